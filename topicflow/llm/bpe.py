@@ -87,9 +87,30 @@ def _units(text: str, path: str) -> list[tuple[str, int]]:
     return [(p, special[p]) if p in special else (normalizer.normalize_str(p) if normalizer else p, -1) for p in parts if p]
 
 
-def encode_documents(docs: DataFrame, path: str, leaf_chars: int = 32_768) -> DataFrame:
+class Decoder:
+    """The library's decode(ids, skip_special_tokens=False), by a table where the file has no decoder."""
+
+    def __init__(self, path: str):
+        self.tokenizer = load(path)
+        self.names = None
+        if self.tokenizer.decoder is None:  # the library then puts a space between the tokens' strings
+            self.names = np.array([self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())], object)
+
+    def __call__(self, raw: bytes) -> str:
+        ids = np.frombuffer(raw, "<u4")
+        return " ".join(self.names[ids]) if self.names is not None else self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
+
+
+@lru_cache(maxsize=4)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
+def encode_documents(docs: DataFrame, path: str, decode: bool = False, leaf_chars: int = 32_768) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers) of every row.
 
+    With ``decode`` also ``decoded``, the text the ids decode to, made in the same tasks.
+
     As the tokenizers library encodes with this file (one that drops white space) and
     add_special_tokens=False. A text of more than ``leaf_chars`` characters is normalised, cut
     in halves down to leaves, its leaves are encoded in parallel tasks, and the parts are
@@ -98,7 +119,11 @@ def encode_documents(docs: DataFrame, path: str, leaf_chars: int = 32_768) -> Da
     """
     text = F.coalesce("text", F.lit(""))
     docs = docs.select("doc_id", text.alias("text"))
-    out = "doc_id long, n_tokens long, ids binary"
+    out = "doc_id long, n_tokens long, ids binary" + ", decoded string" * decode
+
+    def result(doc_ids, sizes, ids: list[bytes]) -> pd.DataFrame:
+        made = pd.DataFrame({"doc_id": doc_ids, "n_tokens": sizes, "ids": ids})
+        return made.assign(decoded=[decoder(path)(x) for x in ids]) if decode else made
 
     def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e = encoder(path, keep_space=False)
@@ -107,7 +132,7 @@ def encode_documents(docs: DataFrame, path: str, leaf_chars: int = 32_768) -> Da
             for s in runs(texts):
                 ids, sizes = e.encode(texts[s])
                 raw, ends = ids.astype("<u4").tobytes(), 4 * np.cumsum(sizes)
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[s], "n_tokens": sizes, "ids": [raw[z - 4 * n : z] for z, n in zip(ends, sizes, strict=True)]})
+                yield result(b["doc_id"].iloc[s], sizes, [raw[z - 4 * n : z] for z, n in zip(ends, sizes, strict=True)])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -133,7 +158,7 @@ def encode_documents(docs: DataFrame, path: str, leaf_chars: int = 32_768) -> Da
         parts = [(t, np.frombuffer(i, "<u4"), np.frombuffer(s, "<i4").reshape(-1, 2).astype(np.int64)) for t, i, s in zip(b["text"], b["ids"], b["spans"], strict=True)]
         units = b["unit"].to_numpy()
         ids = np.concatenate([join_tree([parts[k] for k in np.flatnonzero(units == u)], encode)[1] for u in np.unique(units)])
-        return pd.DataFrame({"doc_id": pd.array([b["doc_id"].iloc[0]] * copies, "Int64"), "n_tokens": len(ids), "ids": [ids.astype("<u4").tobytes()] * copies})
+        return result(pd.array([b["doc_id"].iloc[0]] * copies, "Int64"), len(ids), [ids.astype("<u4").tobytes()] * copies)
 
     is_long = F.char_length("text") > leaf_chars
     leaves = docs.filter(is_long).withColumn("key", F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text"), 256)).mapInPandas(cut, "doc_id long, key string, unit int, leaf int, text string, special int")
@@ -144,13 +169,10 @@ def encode_documents(docs: DataFrame, path: str, leaf_chars: int = 32_768) -> Da
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """Adds ``decoded``: the library's decode(ids, skip_special_tokens=False). No ids: the empty string."""
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t = load(path)
-        names = None
-        if t.decoder is None:  # the library then puts a space between the tokens' strings
-            names = [t.id_to_token(i) for i in range(t.get_vocab_size())]
+    def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [np.frombuffer(x, "<u4").tolist() for x in b["ids"]]
-            yield b.assign(decoded=[" ".join([names[i] for i in r]) for r in rows] if names else t.decode_batch(rows, skip_special_tokens=False))
+            for i in range(0, len(b), 500):
+                part = b.iloc[i : i + 500]
+                yield part.assign(decoded=[decoder(path)(x) for x in part["ids"]])
 
-    return encoded.mapInPandas(decode, encoded.schema.simpleString()[7:-1].replace(":", " ") + ", decoded string")
+    return encoded.mapInPandas(decoded, encoded.schema.simpleString()[7:-1].replace(":", " ") + ", decoded string")

@@ -35,7 +35,7 @@ class PieceEncoder:
     beyond ``most`` pieces or ``most_chars`` characters it starts anew.
     """
 
-    def __init__(self, path: str, keep_space: bool, plain: bool = False, most: int = 500_000, most_chars: int = 16_000_000):
+    def __init__(self, path: str, keep_space: bool, plain: bool = False, most: int = 300_000, most_chars: int = 8_000_000):
         self.tokenizer = load(path, plain)
         self.keep_space, self.most, self.most_chars = keep_space, most, most_chars
         self._clear()
@@ -43,9 +43,9 @@ class PieceEncoder:
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.spans = np.zeros((1 << 16, 2), np.int64)
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.lengths = np.zeros(1 << 16, np.int64)
+        self.spans = np.zeros((1 << 10, 2), np.int32)
+        self.starts = np.zeros(1 << 16, np.int32)
+        self.lengths = np.zeros(1 << 16, np.int32)
         self.used = self.chars = 0
 
     def pieces(self, text: str) -> list[str]:
@@ -58,24 +58,26 @@ class PieceEncoder:
 
     def _learn(self, new: list[str], spans: bool) -> None:
         encode = self.tokenizer.encode_batch if spans else self.tokenizer.encode_batch_fast
-        found = encode(new, add_special_tokens=False)
-        rows = [x.ids for x in found]
-        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-        n, total = len(self.index), self.used + int(lengths.sum())
-        while total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(new) > len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        self.ids[self.used : total] = np.fromiter((i for r in rows for i in r), np.uint32, total - self.used)
-        if spans:
-            if len(self.spans) < len(self.ids):
-                self.spans = np.concatenate([self.spans, np.zeros((len(self.ids) - len(self.spans), 2), np.int64)])
-            self.spans[self.used : total] = np.array([o for x in found for o in x.offsets], np.int64).reshape(-1, 2)
-        self.lengths[n : n + len(new)] = lengths
-        self.starts[n : n + len(new)] = self.used + np.cumsum(lengths) - lengths
-        self.index.update(zip(new, range(n, n + len(new)), strict=True))
-        self.used = total
-        self.chars += sum(map(len, new))
+        for s in range(0, len(new), 4096):  # the library's result objects are large
+            part = new[s : s + 4096]
+            found = encode(part, add_special_tokens=False)
+            rows = [x.ids for x in found]
+            lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+            n, total = len(self.index), self.used + int(lengths.sum())
+            while total > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            while n + len(part) > len(self.starts):
+                self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+            self.ids[self.used : total] = np.fromiter((i for r in rows for i in r), np.uint32, total - self.used)
+            if spans:
+                if len(self.spans) < len(self.ids):
+                    self.spans = np.concatenate([self.spans, np.zeros((len(self.ids) - len(self.spans), 2), np.int32)])
+                self.spans[self.used : total] = np.array([o for x in found for o in x.offsets], np.int32).reshape(-1, 2)
+            self.lengths[n : n + len(part)] = lengths
+            self.starts[n : n + len(part)] = self.used + np.cumsum(lengths) - lengths
+            self.index.update(zip(part, range(n, n + len(part)), strict=True))
+            self.used = total
+            self.chars += sum(map(len, part))
 
     def _find(self, flat: list[str], spans: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(self.index) > self.most or self.chars > self.most_chars:
@@ -86,7 +88,7 @@ class PieceEncoder:
         if len(missing):
             self._learn(list(dict.fromkeys(flat[i] for i in missing)), spans)
             where[missing] = [self.index[flat[i]] for i in missing]
-        lengths = self.lengths[where]
+        lengths = self.lengths[where].astype(np.int64)
         ends = np.cumsum(lengths)
         take = np.repeat(self.starts[where] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
         return take, lengths, ends
@@ -104,7 +106,7 @@ class PieceEncoder:
         flat = self.pieces(text)
         take, lengths, _ = self._find(flat, spans=True)
         sizes = np.array([len(p) + 1 for p in flat], np.int64)
-        return self.ids[take], self.spans[take] + np.repeat(np.cumsum(sizes) - sizes, lengths)[:, None]
+        return self.ids[take], self.spans[take].astype(np.int64) + np.repeat(np.cumsum(sizes) - sizes, lengths)[:, None]
 
 
 _encoders: dict[tuple, PieceEncoder] = {}
@@ -118,7 +120,7 @@ def encoder(path: str, keep_space: bool, plain: bool = False) -> PieceEncoder:
     return _encoders[key]
 
 
-def runs(texts: list[str], chars: int = 2_000_000) -> list[slice]:
+def runs(texts: list[str], chars: int = 1_000_000) -> list[slice]:
     """Slices of the list with about so many characters each."""
     out, first, held = [], 0, 0
     for i, t in enumerate(texts):
