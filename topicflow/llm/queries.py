@@ -8,17 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import decode_documents, encode_documents
-from .common import ascii_lower, workspace
+from .bpe import encode_documents
+from .common import ascii_lower, id_remainder, workspace
+from .embed_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
 from .mixing import mix_sources
+from .quality import fit_quality, quality_score
+from .simhash import simhash_components
 from .token_files import read_tokens, write_tokens
+from .url_rules import judge_urls, mine_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = _table(spark, sf_dir, "pages").select("page_id", "url"), _table(spark, sf_dir, "labels")
+    return judge_urls(pages, mine_rules(pages, labels))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -30,10 +39,27 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, derive={"ids_crc32": F.crc32("ids")})
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    decoded = decode_documents(encode_documents(_table(spark, sf_dir, "documents"), path), path)
-    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = encode_documents(_table(spark, sf_dir, "documents"), path, decode=True)
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = id_remainder(F.col("doc_id"), 3) == 1
+    model = fit_quality(docs, labels.filter(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), quality_score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,9 +69,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_url_rules": op2_url_rules,
         "op3_mixing": op3_mixing,
         "op4_token_files": op4_token_files,
+        "op5_simhash": op5_simhash,
+        "op6_embedding_dedup": op6_embedding_dedup,
         "op8_bpe": op8_bpe,
+        "op9_quality": op9_quality,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
