@@ -40,15 +40,17 @@ def encode_block(symbols: np.ndarray, freq: np.ndarray, first: np.ndarray, scale
     x = np.full(LANES, _LOW, np.uint64)
     up, low = np.uint64(63 - scale), np.uint64(0xFFFFFFFF)
     words: list[np.ndarray] = []
-    f_all, c_all = freq.astype(np.uint64)[symbols], first.astype(np.uint64)[symbols]
-    limit = f_all << up
+    freq, first = freq.astype(np.uint64), first.astype(np.uint64)
+    limit = freq << up
     for at in range((len(symbols) - 1) // LANES * LANES, -1, -LANES):
-        f, c, top = f_all[at : at + LANES], c_all[at : at + LANES], limit[at : at + LANES]
+        s = symbols[at : at + LANES]
+        f, c = freq[s], first[s]
         y = x[: len(f)]
-        full = y >= top
-        if full.any():
-            words.append((y[full] & low).astype("<u4"))
-            y = np.where(full, y >> _32, y)
+        full = np.flatnonzero(y >= limit[s])
+        if len(full):
+            over = y[full]
+            words.append((over & low).astype("<u4"))
+            y[full] = over >> _32
         q = y // f
         x[: len(f)] = (q << np.uint64(scale)) + (y - q * f) + c
     return x.astype("<u8").tobytes() + b"".join(w.tobytes() for w in reversed(words))
@@ -80,7 +82,11 @@ def write_frame(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) -
     All blocks of a frame share its table; each has its own states, words, checkpoint and
     checksum, so any block can be read alone.
     """
-    symbols, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True) if len(ids) else (np.zeros(1, np.uint32), np.zeros(0, np.int64), np.ones(1, np.int64))
+    counts = np.bincount(ids) if len(ids) else np.ones(1, np.int64)
+    symbols = np.flatnonzero(counts)
+    place = np.zeros(len(counts), np.int32)
+    place[symbols] = np.arange(len(symbols))
+    inverse, counts, symbols = place[ids], counts[symbols], symbols.astype(np.uint32)
     freq, scale = scaled(counts)
     first = np.cumsum(freq) - freq
     blocks = [encode_block(inverse[i : i + BLOCK], freq, first, scale) for i in range(0, len(ids), BLOCK)]

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
 
 _BEFORE_WORD = re.compile(r" (?=\S)")
 _SPACE_RUN = re.compile(r" (?:\s|\Z)")
+#: Pieces that the lower-casing normalizer leaves as long as they are, and that hold no white space.
+_SIMPLE = re.compile(r"[!-~\u00a1-\u012f\u0131-\u024f]+")
 
 
 def load(path: str, plain: bool = False) -> Tokenizer:
@@ -25,68 +28,116 @@ def load(path: str, plain: bool = False) -> Tokenizer:
     return tokenizer
 
 
+class _Index(dict):
+    """Places of pieces; -1 for one not seen."""
+
+    def __missing__(self, key: str) -> int:
+        return -1
+
+
 class PieceEncoder:
     """Encodes texts as the tokenizers library does, keeping the ids of pieces it has seen.
 
     ``keep_space``: the tokenizer's words begin with their space (byte-level); a space before a
-    non-space always starts a word there. Otherwise white space is dropped, and every space or
-    line feed separates words. Either way a text's ids are its pieces' ids in turn. A text that
-    holds a special token's opening is one piece where spaces count. The store is bounded:
-    beyond ``most`` pieces or ``most_chars`` characters it starts anew.
+    non-space always starts a word there, so a text is its first piece and others that follow a
+    space each. Otherwise white space is dropped, and every space or line feed separates words.
+    Either way a text's ids are its pieces' ids in turn. New pieces are encoded many to a
+    text, and told apart by the bytes that each id stands for. A text that holds a special token's
+    opening is one piece where spaces count. The store is bounded: beyond ``most`` pieces or
+    ``most_chars`` characters it starts anew.
     """
 
-    def __init__(self, path: str, keep_space: bool, plain: bool = False, most: int = 300_000, most_chars: int = 8_000_000):
+    def __init__(self, path: str, keep_space: bool, plain: bool = False, most: int = 400_000, most_chars: int = 10_000_000):
         self.tokenizer = load(path, plain)
         self.keep_space, self.most, self.most_chars = keep_space, most, most_chars
+        special = self.tokenizer.get_added_tokens_decoder()
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.sizes = np.array([1 << 20 if i in special else len(n.removesuffix("</w>")) for i, n in enumerate(names)], np.int64)
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index, self.firsts = _Index(), _Index()
         self.ids = np.zeros(1 << 16, np.uint32)
         self.spans = np.zeros((1 << 10, 2), np.int32)
         self.starts = np.zeros(1 << 16, np.int32)
         self.lengths = np.zeros(1 << 16, np.int32)
-        self.used = self.chars = 0
+        self.used = self.count = self.chars = 0
 
     def pieces(self, text: str) -> list[str]:
+        """Where spaces count, all but the first piece stand for themselves after a space."""
         if not self.keep_space:
             return text.replace("\n", " ").split(" ")
         if "<|" in text:
             return [text]
-        first, *rest = _BEFORE_WORD.split(text) if _SPACE_RUN.search(text) else text.split(" ")
-        return [first, *[" " + x for x in rest]]
-
-    def _learn(self, new: list[str], spans: bool) -> None:
+        return _BEFORE_WORD.split(text) if _SPACE_RUN.search(text) else text.split(" ")
+
+    def _keep(self, index: _Index, new: list[str], ids: np.ndarray, lengths: np.ndarray, spans: np.ndarray | None) -> None:
+        n, total = self.count, self.used + len(ids)
+        while total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while n + len(new) > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+        self.ids[self.used : total] = ids
+        if spans is not None:
+            if len(self.spans) < len(self.ids):
+                self.spans = np.concatenate([self.spans, np.zeros((len(self.ids) - len(self.spans), 2), np.int32)])
+            self.spans[self.used : total] = spans
+        self.lengths[n : n + len(new)] = lengths
+        self.starts[n : n + len(new)] = self.used + np.cumsum(lengths) - lengths
+        index.update(zip(new, range(n, n + len(new)), strict=True))
+        self.used, self.count = total, n + len(new)
+        self.chars += sum(map(len, new))
+
+    def _learn_each(self, index: _Index, new: list[str], texts: list[str], spans: bool) -> None:
         encode = self.tokenizer.encode_batch if spans else self.tokenizer.encode_batch_fast
-        for s in range(0, len(new), 4096):  # the library's result objects are large
-            part = new[s : s + 4096]
-            found = encode(part, add_special_tokens=False)
+        for s in range(0, len(new), 2048):  # the library's result objects are large
+            found = encode(texts[s : s + 2048], add_special_tokens=False)
             rows = [x.ids for x in found]
             lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-            n, total = len(self.index), self.used + int(lengths.sum())
-            while total > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            while n + len(part) > len(self.starts):
-                self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-            self.ids[self.used : total] = np.fromiter((i for r in rows for i in r), np.uint32, total - self.used)
+            ids = np.fromiter((i for r in rows for i in r), np.uint32, int(lengths.sum()))
+            at = np.array([o for x in found for o in x.offsets], np.int32).reshape(-1, 2) if spans else None
+            self._keep(index, new[s : s + 2048], ids, lengths, at)
+
+    def _learn(self, new: list[str], spans: bool) -> None:
+        if self.keep_space:
+            simple, odd = new, []
+        else:
+            simple, odd = [x for x in new if _SIMPLE.fullmatch(x)], [x for x in new if not _SIMPLE.fullmatch(x)]
+        for s in range(0, len(simple), 4096):
+            part = simple[s : s + 4096]
+            raw = [(" " + x if self.keep_space else x.lower()).encode() for x in part]
+            texts = ["".join([" " + x for x in part[i : i + 128]]) if self.keep_space else " ".join(part[i : i + 128]) for i in range(0, len(part), 128)]
+            ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            to = np.cumsum(self.sizes[ids])
+            ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+            last = np.searchsorted(to, ends)
+            if len(to) != last[-1] + 1 or (to[last] != ends).any():
+                odd += part  # not told apart by bytes: one by one
+                continue
+            lengths = np.diff(last, prepend=-1)
+            at = None
             if spans:
-                if len(self.spans) < len(self.ids):
-                    self.spans = np.concatenate([self.spans, np.zeros((len(self.ids) - len(self.spans), 2), np.int32)])
-                self.spans[self.used : total] = np.array([o for x in found for o in x.offsets], np.int32).reshape(-1, 2)
-            self.lengths[n : n + len(part)] = lengths
-            self.starts[n : n + len(part)] = self.used + np.cumsum(lengths) - lengths
-            self.index.update(zip(part, range(n, n + len(part)), strict=True))
-            self.used = total
-            self.chars += sum(map(len, part))
-
-    def _find(self, flat: list[str], spans: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if len(self.index) > self.most or self.chars > self.most_chars:
+                char = np.cumsum((np.frombuffer(b"".join(raw), np.uint8) & 0xC0) != 0x80) - 1
+                begin = np.repeat(char[ends - np.fromiter(map(len, raw), np.int64, len(raw))], lengths)
+                at = np.stack([char[to - self.sizes[ids]] - begin, char[to - 1] + 1 - begin], axis=1)
+            self._keep(self.index, part, ids, lengths, at)
+        if odd:
+            self._learn_each(self.index, odd, [" " + x for x in odd] if self.keep_space else odd, spans)
+
+    def _find(self, flat: list[str], spans: bool = False, first: list[str] | None = None, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each piece stand; ``first`` pieces stand for themselves at the places ``at``."""
+        if self.count > self.most or self.chars > self.most_chars:
             self._clear()
-        get = self.index.get
-        where = np.array([get(p, -1) for p in flat], np.int64)
+        where = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        if first is not None:
+            where[at] = np.fromiter(map(self.firsts.__getitem__, first), np.int64, len(first))
+            missing = [x for x in dict.fromkeys(first) if self.firsts[x] < 0]
+            if missing:
+                self._learn_each(self.firsts, missing, missing, spans)
+                where[at] = [self.firsts[x] for x in first]
         missing = np.flatnonzero(where < 0)
         if len(missing):
-            self._learn(list(dict.fromkeys(flat[i] for i in missing)), spans)
+            self._learn(list(dict.fromkeys([flat[i] for i in missing])), spans)
             where[missing] = [self.index[flat[i]] for i in missing]
         lengths = self.lengths[where].astype(np.int64)
         ends = np.cumsum(lengths)
@@ -96,8 +147,10 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts in turn, and the number of ids of each text."""
         split = [self.pieces(t) for t in texts]
-        take, _, ends = self._find([p for pieces in split for p in pieces])
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)
+        flat = list(chain.from_iterable(split))
+        first = [x[0] for x in split] if self.keep_space else None
+        take, _, ends = self._find(flat, first=first, at=bounds[:-1] if self.keep_space else None)
         edge = np.concatenate([[0], ends])
         return self.ids[take], edge[bounds[1:]] - edge[bounds[:-1]]
 
