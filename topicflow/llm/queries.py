@@ -12,6 +12,8 @@ from .bpe import encode_documents
 from .common import ascii_lower, id_remainder, workspace
 from .embed_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
+from .line_dedup import line_dedup
+from .lm_score import lm_scores
 from .mixing import mix_sources
 from .quality import fit_quality, quality_score
 from .simhash import simhash_components
@@ -23,6 +25,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm_scores(docs, id_remainder(F.col("doc_id"), 7) != 2, public_tokenizers.path("word_bpe_49k.json"))
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = _table(spark, sf_dir, "pages").select("page_id", "url"), _table(spark, sf_dir, "labels")
     return judge_urls(pages, mine_rules(pages, labels))
@@ -48,6 +56,12 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(_table(spark, sf_dir, "embeddings"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: words cut, runs cut, and the SHA-256 of the text that is left."""
+    cut = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "removed_words", "removed_runs", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     encoded = encode_documents(_table(spark, sf_dir, "documents"), path, decode=True)
@@ -69,11 +83,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_score": op1_lm_score,
         "op2_url_rules": op2_url_rules,
         "op3_mixing": op3_mixing,
         "op4_token_files": op4_token_files,
         "op5_simhash": op5_simhash,
         "op6_embedding_dedup": op6_embedding_dedup,
+        "op7_line_dedup": op7_line_dedup,
         "op8_bpe": op8_bpe,
         "op9_quality": op9_quality,
         "op10_exact_dedup": op10_exact_dedup,
