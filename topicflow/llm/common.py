@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..workdir import work_path as workspace
+
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -23,19 +22,6 @@ def id_remainder(c: Column, n: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def workspace(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share.
-
-    That is ``spark.checkpoint.dir``; only where it is unset (tests, local mode) a local
-    temporary folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="topicflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/topicflow/{name}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

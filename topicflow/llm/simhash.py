@@ -170,18 +170,28 @@ def link_fingerprints(rows: DataFrame, most: int = 4, extra: int = 1, group_rows
     return dealt.repartition(n, "mask", "value", "pair").sortWithinPartitions("mask", "value", "pair").mapInPandas(link, "a long, b long")
 
 
-def simhash_components(docs: DataFrame, words: int = 4, most: int = 4, extra: int = 1, carry: tuple[str, ...] = ()) -> DataFrame:
+def _extra(n: int, most: int, group_rows: int = 2048) -> int:
+    """The fewest blocks to a mask that leave nodes of about ``group_rows`` evenly spread fingerprints."""
+    extra = 1
+    while extra < 6 and n / 2 ** (64 * extra / (most + extra)) > group_rows:
+        extra += 1
+    return extra
+
+
+def simhash_components(docs: DataFrame, words: int = 4, most: int = 4, extra: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (long), component_id (and ``carry``).
 
     component_id is the smallest doc_id that links of at most ``most`` differing bits reach,
     itself included. Texts are lower-cased A-Z, cut into words at ASCII white space and into
     shingles of ``words`` words; fewer words make one shingle, none the fingerprint zero, which
-    links like any other. Equal fingerprints are one node. A null text is empty; rows with a
+    links like any other. Equal fingerprints are one node. ``extra`` changes the work, never the
+    links; by default it follows the number of nodes. A null text is empty; rows with a
     null doc_id link nothing and have a null component unless others share their fingerprint;
     an empty table gives no rows.
     """
     prints = stored(docs.select("doc_id", *carry, simhash(F.col("text"), words).alias("fingerprint")), "fingerprints")
     nodes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("id")), "nodes")
+    extra = _extra(nodes.count(), most) if extra is None else extra
     edges = link_fingerprints(nodes.filter("id is not null").select("id", F.col("fingerprint").alias("print")), most, extra)
     found = components(edges)
     classes = nodes.join(found, nodes["id"] == found["node"], "left").select("fingerprint", F.coalesce("component", "id").alias("component_id"))

@@ -147,7 +147,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str, end_id: int = 0
 
         for b in batches:
             texts, docs_here = b["text"].tolist(), [None if pd.isna(d) else int(d) for d in b["doc_id"]]
-            for s in runs(texts):
+            for s in runs(texts, min(1_000_000, 2 * frame_tokens)):
                 found, n = e.encode(texts[s])
                 ids.append(np.insert(found, np.cumsum(n), end_id))
                 sizes.append(n + 1)
