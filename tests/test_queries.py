@@ -3,6 +3,7 @@
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 
 from topicflow.plans.queries import QUERIES, SQL
@@ -14,11 +15,12 @@ def rows(frame):
     cols = sorted(frame.columns)
 
     def plain(v):
-        if v is None or isinstance(v, float) and math.isnan(v):
+        v = v.item() if hasattr(v, "item") else v
+        if v is None or v is pd.NA or isinstance(v, float) and math.isnan(v):
             return None
         return round(float(v), 6) if isinstance(v, int | float) and not isinstance(v, bool) else v
 
-    return cols, sorted((tuple(plain(getattr(v, "item", lambda v=v: v)()) for v in r) for r in frame[cols].itertuples(index=False)), key=str)
+    return cols, sorted((tuple(map(plain, r)) for r in frame[cols].itertuples(index=False)), key=str)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
