@@ -62,6 +62,8 @@ class PieceEncoder:
         self.starts = np.zeros(1 << 16, np.int32)
         self.lengths = np.zeros(1 << 16, np.int32)
         self.used = self.count = self.chars = 0
+        self.names: list[str] = []
+        self.generation = getattr(self, "generation", 0) + 1
 
     def pieces(self, text: str) -> list[str]:
         """Where spaces count, all but the first piece stand for themselves after a space."""
@@ -85,6 +87,7 @@ class PieceEncoder:
         self.lengths[n : n + len(new)] = lengths
         self.starts[n : n + len(new)] = self.used + np.cumsum(lengths) - lengths
         index.update(zip(new, range(n, n + len(new)), strict=True))
+        self.names += new
         self.used, self.count = total, n + len(new)
         self.chars += sum(map(len, new))
 
@@ -124,8 +127,8 @@ class PieceEncoder:
         if odd:
             self._learn_each(self.index, odd, [" " + x for x in odd] if self.keep_space else odd, spans)
 
-    def _find(self, flat: list[str], spans: bool = False, first: list[str] | None = None, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where the ids of each piece stand; ``first`` pieces stand for themselves at the places ``at``."""
+    def _places(self, flat: list[str], spans: bool = False, first: list[str] | None = None, at: np.ndarray | None = None) -> np.ndarray:
+        """The number of each piece; ``first`` pieces stand for themselves at the places ``at``."""
         if self.count > self.most or self.chars > self.most_chars:
             self._clear()
         where = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
@@ -139,6 +142,13 @@ class PieceEncoder:
         if len(missing):
             self._learn(list(dict.fromkeys([flat[i] for i in missing])), spans)
             where[missing] = [self.index[flat[i]] for i in missing]
+        return where
+
+    def _find(self, flat: list[str], **more) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each piece stand, how many they are, and where they end."""
+        return self.ids_at(self._places(flat, **more))
+
+    def ids_at(self, where: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         lengths = self.lengths[where].astype(np.int64)
         ends = np.cumsum(lengths)
         take = np.repeat(self.starts[where] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
