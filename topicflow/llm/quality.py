@@ -182,9 +182,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", max_
     labelled twice counts with its larger label. At most ``max_rows`` documents are used, those
     whose ids hash lowest: this bound is what may be broadcast and what the driver fits on.
     """
-    order = F.xxhash64(F.col("doc_id"), F.lit(7))
+    lot = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 31))
     rows = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
-    rows = rows.orderBy(order, "doc_id").limit(max_rows)
+    few = lot < int((1 << 31) * min(1.0, 1.5 * max_rows / max(1, rows.count())))  # else every partition would send so many
+    rows = rows.filter(few).orderBy(lot, "doc_id").limit(max_rows)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
