@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from .tokens import encoder, load, runs
 
+#: Pieces that a Python worker keeps, of whole texts and of leaves: workers live on beside those of other stages.
+PIECES, LEAF_PIECES = 150_000, 40_000
 #: One leaf of a long text: ids, and the characters each id stands for.
 Leaf = tuple[str, np.ndarray, np.ndarray]
 
@@ -126,7 +128,7 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False, leaf_char
         return made.assign(decoded=[decoder(path)(x) for x in ids]) if decode else made
 
     def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e = encoder(path, keep_space=False)
+        e = encoder(path, keep_space=False, most=PIECES)
         for b in batches:
             texts = b["text"].tolist()
             for s in runs(texts):
@@ -141,13 +143,13 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False, leaf_char
                 yield pd.DataFrame({"doc_id": pd.array([d] * len(rows), "Int64"), "key": key, "unit": [r[0] for r in rows], "leaf": [r[1] for r in rows], "text": [r[2] for r in rows], "special": [r[3] for r in rows]})
 
     def encode_leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e = encoder(path, keep_space=False, plain=True)
+        e = encoder(path, keep_space=False, plain=True, most=LEAF_PIECES)
         for b in batches:
             found = [e.encode_spans(t) if i < 0 else (np.array([i], np.uint32), np.zeros((1, 2), np.int64)) for t, i in zip(b["text"], b["special"], strict=True)]
             yield b.assign(ids=[x[0].astype("<u4").tobytes() for x in found], spans=[x[1].astype("<i4").tobytes() for x in found])
 
     def join_up(b: pd.DataFrame) -> pd.DataFrame:
-        e = encoder(path, keep_space=False, plain=True)
+        e = encoder(path, keep_space=False, plain=True, most=LEAF_PIECES)
 
         def encode(t: str):
             x = e.tokenizer.encode(t, add_special_tokens=False)

@@ -175,11 +175,11 @@ class PieceEncoder:
 _encoders: dict[tuple, PieceEncoder] = {}
 
 
-def encoder(path: str, keep_space: bool, plain: bool = False) -> PieceEncoder:
-    """One per Python worker, kept from task to task."""
-    key = (path, keep_space, plain)
+def encoder(path: str, keep_space: bool, plain: bool = False, most: int = 400_000) -> PieceEncoder:
+    """One per Python worker, kept from task to task; ``most`` bounds the pieces it keeps."""
+    key = (path, keep_space, plain, most)
     if key not in _encoders:
-        _encoders[key] = PieceEncoder(path, keep_space, plain)
+        _encoders[key] = PieceEncoder(path, keep_space, plain, most)
     return _encoders[key]
 
 
