@@ -84,6 +84,14 @@ def test_stages_on_odd_rows(spark, docs, none):
     assert corpus_pipeline.mix(spark, docs, DATA).count() == mixed
 
 
+def test_texts_with_null_or_shared_ids_stay_apart(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(None, text(0)), (None, text(1)), (None, text(2)), (5, text(3)), (5, text(4)), (9, text(4)), (None, text(3))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.near_copies(spark, docs, DATA).collect())
+    assert found == Counter(rows[:5])
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
     assert set(oracle_sql()) <= set(queries())
