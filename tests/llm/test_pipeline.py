@@ -1,5 +1,6 @@
 """The pipeline, stage by stage, on the smallest tables and on odd rows."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -92,6 +93,26 @@ def test_texts_with_null_or_shared_ids_stay_apart(spark):
     assert found == Counter(rows[:5])
 
 
+def test_near_copies_are_found_in_every_band(spark):
+    """Two texts of each pair as similar as a band says: one stays from 0.8 up, both below it."""
+    rng, rows, pairs = random.Random(6), [], []
+    for k in range(320):
+        base = [f"w{rng.randrange(40_000)}" for _ in range(rng.choice([12, 90, 300]))]
+        other = list(base)
+        for _ in range(rng.choice([1, 1, 2, 3, 4, 6, 8])):
+            other[rng.randrange(len(other))] = f"v{rng.randrange(40_000)}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+        a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (base, other))
+        pairs.append(len(a & b) / len(a | b))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs, DATA).select("doc_id").collect()}
+    for low, high in ((0.0, 0.7), (0.7, 0.8), (0.8, 0.85), (0.85, 0.9), (0.9, 0.95), (0.95, 1.01)):
+        band = [k for k, j in enumerate(pairs) if low <= j < high]
+        assert len(band) >= 5
+        assert sum(2 * k + 1 in left for k in band) == (len(band) if high <= 0.8 else 0), (low, high)
+    assert left >= {2 * k for k in range(320)}
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
     assert set(oracle_sql()) <= set(queries())

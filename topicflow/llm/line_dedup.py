@@ -87,7 +87,7 @@ def fingerprints(hashes: np.ndarray, ends: np.ndarray, pair: int = 2, window: in
     return prints, first, last - first
 
 
-def _bitmap(prints: DataFrame) -> np.ndarray:
+def repeated_bits(prints: DataFrame) -> np.ndarray:
     """Which fingerprints occur more than once, as BITS bits; at most 2**20 rows reach the driver."""
     bit = F.pmod(F.col("print"), F.lit(BITS))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
@@ -164,7 +164,7 @@ def line_dedup(docs: DataFrame, min_words: int = 20, context: int = 16) -> DataF
                 prints, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pd.DataFrame({"print": prints, "n": n})
 
-    repeated = docs.sparkSession.sparkContext.broadcast(_bitmap(rows.select("text").mapInPandas(count, "print long, n long")))
+    repeated = docs.sparkSession.sparkContext.broadcast(repeated_bits(rows.select("text").mapInPandas(count, "print long, n long")))
 
     def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = repeated.value

@@ -16,16 +16,23 @@ from .common import components, stored
 LEAF, FAN = 32, 8
 
 
-def fingerprint(text: str | None, words: int = 4) -> int:
-    """64 bits, each set if it is set in over half of the shingles' XXH64; signed for Spark."""
+def shingle_hashes(text: str | None, words: int = 4) -> np.ndarray:
+    """XXH64 of every shingle in turn; fewer words make one shingle, none no shingle."""
     w = (text or "").encode("utf-8", "replace").lower().split()
     if not w:
-        return 0
+        return np.zeros(0, np.uint64)
     whole, digest = b" ".join(w), xxhash.xxh64_intdigest
     ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     k = min(words, len(w))
-    hashes = np.array([digest(whole[a:b], 42) for a, b in zip(starts[: len(w) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64)
+    return np.array([digest(whole[a:b], 42) for a, b in zip(starts[: len(w) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64)
+
+
+def fingerprint(text: str | None, words: int = 4) -> int:
+    """64 bits, each set if it is set in over half of the shingles' XXH64; signed for Spark."""
+    hashes = shingle_hashes(text, words)
+    if not len(hashes):
+        return 0
     counts = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 8192):
         counts += np.unpackbits(hashes[i : i + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
