@@ -355,6 +355,12 @@ def test_base_scores_and_held_out_gain(spark, docs, none):
     assert all(r["n_known"] == 0 and np.isfinite(r["score"]) for r in nobody)
 
 
+def test_scores_do_not_depend_on_what_is_broadcast(spark, docs):
+    held = common.id_remainder(F.col("doc_id"), 7) == 2
+    few, all_ = ({(r["doc_id"], r["n_tokens"], r["n_known"]): r["score"] for r in lm_score.lm_scores(docs, ~held, WORD_BPE, sample_docs=30, frequent=n).collect()} for n in (50, 100_000))
+    assert few == {k: pytest.approx(v) for k, v in all_.items()}
+
+
 def test_windows_score_as_one_pass():
     rng = np.random.default_rng(1)
     sizes = np.array([1, 5, 16, 17, 70])
