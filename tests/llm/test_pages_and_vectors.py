@@ -72,6 +72,17 @@ def test_mined_rules_equal_brute_force(spark):
     assert verdicts == {i: "block" if any(set(r) <= t for r in rules) else "allow" for i, t in tokens.items()}
 
 
+def test_long_urls_are_read_to_their_end(spark):
+    long = "http://a.example.net/" + "/".join("deep" + c * 2 for c in "abcdefghijklmnopqrstuvwxyz")
+    names = "&".join(f"n{c}=1" for c in "abcdefghijklmnopqrstuvwxyz")
+    rows = [(i, f"{long}?{names}&casino=1" if i % 4 == 0 else f"{long}?ok=1", int(i % 4 > 0), 0) for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, quality int, toxic int")
+    mined = url_rules.mine_rules(pages, pages.select(F.col("page_id").alias("doc_id"), "quality", "toxic"), min_pages=10)
+    rules = {tuple(r["tokens"]): r["pages"] for r in mined.collect()}
+    assert rules == {("q:casino",): 100} | {(f"q:n{c}",): 100 for c in "abcdefghijklmnopqrstuvwxyz"}
+    assert {r["page_id"] for r in url_rules.judge_urls(pages, mined).collect() if r["verdict"] == "block"} == set(range(0, 400, 4))
+
+
 def test_no_labels_no_rules(spark):
     pages, labels = labelled(spark)
     assert url_rules.mine_rules(pages, labels.limit(0)).count() == 0
