@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -14,6 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from topicflow.llm import bpe, common, exact_dedup, line_dedup, lm_score, mixing, quality, simhash, token_files, tokens
+from topicflow.llm.words import text_bytes
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 
@@ -134,14 +136,13 @@ def test_bpe_equals_the_library(docs, none):
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="ab'stre lmdvé!?0\n\t日J̌İ😀", max_size=80), st.integers(2, 20))
 def test_halves_join_to_the_whole(text, leaf):
-    e = tokens.encoder(WORD_BPE, keep_space=False, plain=True)
     normal = tokens.load(WORD_BPE).normalizer.normalize_str(text)
 
     def encode(t):
-        x = e.tokenizer.encode(t, add_special_tokens=False)
+        x = bpe.library(WORD_BPE).encode(t, add_special_tokens=False)
         return np.array(x.ids, np.uint32), np.array(x.offsets, np.int64).reshape(-1, 2)
 
-    found = bpe.join_tree([(h, *e.encode_spans(h)) for h in bpe.halves(normal, leaf)], encode)
+    found = bpe.join_tree([(h, *encode(h)) for h in bpe.halves(normal, leaf)], encode)
     want = encode(normal)
     assert found[1].tolist() == want[0].tolist()
 
@@ -151,20 +152,19 @@ def test_halves_join_to_the_whole(text, leaf):
 def test_pieces_encode_as_the_whole(text):
     for path, keep in ((WORD_BPE, False), (BYTE_BPE, True)):
         want = tokens.load(path).encode(text, add_special_tokens=False).ids
-        assert tokens.encoder(path, keep).encode([text])[0].tolist() == want
+        ids, sizes = tokens.encoder(path, keep).encode(*text_bytes(pa.array([text, "", text])))
+        assert ids.tolist() == want + want and sizes.tolist() == [len(want), 0, len(want)]
 
 
 def test_one_unsplit_word_of_many_leaves():
     rng = random.Random(2)
     text = "".join(rng.choice(["th", "an", "er", "ing", "e", "tion"]) for _ in range(8000))
-    e = tokens.encoder(WORD_BPE, keep_space=False, plain=True)
-
     def encode(t):
         assert len(t) < 2000  # windows stay small
-        x = e.tokenizer.encode(t, add_special_tokens=False)
+        x = bpe.library(WORD_BPE).encode(t, add_special_tokens=False)
         return np.array(x.ids, np.uint32), np.array(x.offsets, np.int64).reshape(-1, 2)
 
-    found = bpe.join_tree([(h, *e.encode_spans(h)) for h in bpe.halves(text, 500)], encode)[1].tolist()
+    found = bpe.join_tree([(h, *encode(h)) for h in bpe.halves(text, 500)], encode)[1].tolist()
     assert found == tokens.load(WORD_BPE).encode(text, add_special_tokens=False).ids
 
 
@@ -337,7 +337,7 @@ def test_a_shared_run_of_three_lines_shares_a_fingerprint(lines, at, n):
 
 def test_base_scores_and_held_out_gain(spark, docs, none):
     held = common.id_remainder(F.col("doc_id"), 7) == 2
-    rows = lm_score.lm_scores(docs, ~held, WORD_BPE, sample_docs=30, frequent=50).collect()
+    rows = lm_score.lm_scores(docs, ~held, WORD_BPE, frequent=50).collect()
     given_ = docs.withColumn("held", held).collect()
     assert len(rows) == len(given_)
     counts = Counter(w for r in given_ if not r["held"] for w in lower(r["text"]).split())
@@ -357,32 +357,68 @@ def test_base_scores_and_held_out_gain(spark, docs, none):
 
 def test_scores_do_not_depend_on_what_is_broadcast(spark, docs):
     held = common.id_remainder(F.col("doc_id"), 7) == 2
-    few, all_ = ({(r["doc_id"], r["n_tokens"], r["n_known"]): r["score"] for r in lm_score.lm_scores(docs, ~held, WORD_BPE, sample_docs=30, frequent=n).collect()} for n in (50, 100_000))
+    few, all_ = ({(r["doc_id"], r["n_tokens"], r["n_known"]): r["score"] for r in lm_score.lm_scores(docs, ~held, WORD_BPE, frequent=n).collect()} for n in (50, 100_000))
     assert few == {k: pytest.approx(v) for k, v in all_.items()}
 
 
-def test_windows_score_as_one_pass():
-    rng = np.random.default_rng(1)
-    sizes = np.array([1, 5, 16, 17, 70])
-    ids = rng.integers(0, 50, int(sizes.sum()))
-    ids[np.cumsum(sizes) - 1] = 50
-    of = lm_score.make_classes(np.bincount(ids, minlength=51), ids, 20, 5)
-    share = lm_score.shares(of, 25, np.full(51, 25), np.arange(51), np.bincount(ids, minlength=51).astype(float))
-    m = lm_score.train_attention(of, 25, share, ids, sizes, dim=4, context=6, passes=2)
-    found = m.score_words(ids, np.ones(len(ids), bool), sizes)
-    at = 0
+def small_model(rng, ids, sizes, n=50):
+    of = lm_score.make_classes(np.bincount(ids, minlength=n + 1), rng.standard_normal((n + 1, 4)), singles=20)
+    pairs, lefts = np.zeros((256, 256)), np.zeros((17, n + 1))
+    np.add.at(pairs, (of[ids[:-1]], of[ids[1:]]), 1)
+    lefts[16] = np.bincount(ids, minlength=n + 1)
+    pair_group, pair_member, share = lm_score.from_counts(of, pairs, lefts)
+    some = lambda *s: rng.standard_normal(s).astype(np.float32)
+    return lm_score.AttentionModel(of, share, pair_group, pair_member, some(256, 4), some(256, 4), some(256, 4), some(6), some(4, 16), some(16, 4, 16))
+
+
+def plain_score(m, ids, sizes):
+    """One id after the other, in float64."""
+    found, at = [], 0
     for size in sizes:
-        seq = [int(of[-1]), *of[ids[at : at + size]]]
+        seq = [int(m.of[-1]), *m.of[ids[at : at + size]]]
         for t in range(size):
             before = seq[max(0, t + 1 - m.context) : t + 1]
-            a = m.key[before] @ m.query[seq[t]] * m.query.shape[1] ** -0.5 + m.bias[::-1][-len(before) :]
+            a = m.key[before].astype(float) @ m.query[seq[t]] * m.query.shape[1] ** -0.5 + m.bias[::-1][-len(before) :]
             a = np.exp(a - a.max())
-            logits = (a / a.sum()) @ m.value[before] @ m.out + m.pair[seq[t]]
-            want = logits[seq[t + 1]] - np.log(np.exp(logits).sum()) + share[25, ids[at + t]]
-            assert found[at + t] * np.log(10) == pytest.approx(want, abs=1e-4)
+            z = (a / a.sum()) @ m.value[before].astype(float)
+            g, k = divmod(seq[t + 1], 16)
+            value = m.share[16, ids[at + t]]
+            for logits, pick in ((z @ m.out_group + m.pair_group[seq[t]], g), (z @ m.out_member[g] + m.pair_member[seq[t], g], k)):
+                value += logits[pick] - np.log(np.exp(logits).sum())
+            found.append(value)
         at += size
+    return np.array(found)
+
+
+def test_windows_score_as_one_pass():
+    rng = np.random.default_rng(1)
+    sizes = np.array([1, 5, 16, 17, 70])
+    ids = rng.integers(0, 50, int(sizes.sum()))
+    ids[np.cumsum(sizes) - 1] = 50
+    m = small_model(rng, ids, sizes)
+    assert m.score_ids(ids, np.full(len(ids), 16), sizes, batch=4) == pytest.approx(plain_score(m, ids, sizes), abs=1e-3)
     # all next ids together have probability one
-    assert np.exp(share[25]) @ np.ones(51) == pytest.approx(len(np.unique(of)), rel=1e-4)
+    assert np.exp(m.share[16]) @ np.ones(51) == pytest.approx(len(np.unique(m.of)), rel=1e-4)
+
+
+def test_gradients_are_the_slopes_of_the_loss():
+    rng = np.random.default_rng(2)
+    sizes = np.array([3, 40, 18])
+    ids = rng.integers(0, 50, int(sizes.sum()))
+    ids[np.cumsum(sizes) - 1] = 50
+    m = small_model(rng, ids, sizes)
+    first, seen = m.windows(sizes)
+    last = np.repeat(np.cumsum(sizes), -(-sizes // m.stride))
+    found = m.gradients(m.framed(m.of[ids]), first, seen, last)
+    for name in lm_score.WEIGHTS:
+        weight = getattr(m, name)
+        at = np.unravel_index(np.abs(found[name]).argmax(), weight.shape)
+        kept, loss = weight[at], []
+        for step in (1e-2, -1e-2):
+            weight[at] = kept + step
+            loss.append(-plain_score(m, ids, sizes).mean())
+        weight[at] = kept
+        assert (loss[0] - loss[1]) / 2e-2 == pytest.approx(found[name][at], rel=0.02), name
 
 
 def test_digest_of_known_text():

@@ -8,13 +8,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from .tokens import encoder, load, runs
+from .tokens import encoder, load
+from .words import binary, parts
 
-#: Pieces that a Python worker keeps, of whole texts and of leaves: workers live on beside those of other stages.
-PIECES, LEAF_PIECES = 150_000, 40_000
 #: One leaf of a long text: ids, and the characters each id stands for.
 Leaf = tuple[str, np.ndarray, np.ndarray]
 
@@ -98,12 +99,16 @@ class Decoder:
         if self.tokenizer.decoder is None:  # the library then puts a space between the tokens' strings
             self.names = np.array([self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())], object)
 
-    def __call__(self, raw: bytes) -> str:
-        ids = np.frombuffer(raw, "<u4")
+    def __call__(self, ids: np.ndarray) -> str:
         return " ".join(self.names[ids]) if self.names is not None else self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
+def library(path: str) -> Tokenizer:
+    return load(path, plain=True)
+
+
+@lru_cache(maxsize=1)
 def decoder(path: str) -> Decoder:
     return Decoder(path)
 
@@ -123,18 +128,19 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False, leaf_char
     docs = docs.select("doc_id", text.alias("text"))
     out = "doc_id long, n_tokens long, ids binary" + ", decoded string" * decode
 
-    def result(doc_ids, sizes, ids: list[bytes]) -> pd.DataFrame:
-        made = pd.DataFrame({"doc_id": doc_ids, "n_tokens": sizes, "ids": ids})
-        return made.assign(decoded=[decoder(path)(x) for x in ids]) if decode else made
+    def result(doc_ids: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        made = [doc_ids, pa.array(sizes.astype(np.int64)), binary(ids.astype("<u4").tobytes(), 4 * edges)]
+        if decode:
+            made.append(pa.array([decoder(path)(ids[x:y]) for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)], "string"))
+        return pa.RecordBatch.from_arrays(made, names=["doc_id", "n_tokens", "ids", "decoded"][: len(made)])
 
-    def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e = encoder(path, keep_space=False, most=PIECES)
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = encoder(path, keep_space=False)
         for b in batches:
-            texts = b["text"].tolist()
-            for s in runs(texts):
-                ids, sizes = e.encode(texts[s])
-                raw, ends = ids.astype("<u4").tobytes(), 4 * np.cumsum(sizes)
-                yield result(b["doc_id"].iloc[s], sizes, [raw[z - 4 * n : z] for z, n in zip(ends, sizes, strict=True)])
+            for s, raw, bounds in parts(b.column("text")):
+                ids, sizes = e.encode(raw, bounds)
+                yield result(b.column("doc_id")[s], sizes, ids)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -142,30 +148,29 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False, leaf_char
                 rows = [(u, n, leaf, i) for u, (part, i) in enumerate(_units(t, path)) for n, leaf in enumerate(halves(part, leaf_chars) if i < 0 else [part])]
                 yield pd.DataFrame({"doc_id": pd.array([d] * len(rows), "Int64"), "key": key, "unit": [r[0] for r in rows], "leaf": [r[1] for r in rows], "text": [r[2] for r in rows], "special": [r[3] for r in rows]})
 
+    def encode(t: str) -> tuple[np.ndarray, np.ndarray]:
+        x = library(path).encode(t, add_special_tokens=False)
+        return np.array(x.ids, np.uint32), np.array(x.offsets, np.int64).reshape(-1, 2)
+
     def encode_leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e = encoder(path, keep_space=False, plain=True, most=LEAF_PIECES)
         for b in batches:
-            found = [e.encode_spans(t) if i < 0 else (np.array([i], np.uint32), np.zeros((1, 2), np.int64)) for t, i in zip(b["text"], b["special"], strict=True)]
+            found = [encode(t) if i < 0 else (np.array([i], np.uint32), np.zeros((1, 2), np.int64)) for t, i in zip(b["text"], b["special"], strict=True)]
             yield b.assign(ids=[x[0].astype("<u4").tobytes() for x in found], spans=[x[1].astype("<i4").tobytes() for x in found])
 
-    def join_up(b: pd.DataFrame) -> pd.DataFrame:
-        e = encoder(path, keep_space=False, plain=True, most=LEAF_PIECES)
-
-        def encode(t: str):
-            x = e.tokenizer.encode(t, add_special_tokens=False)
-            return np.array(x.ids, np.uint32), np.array(x.offsets, np.int64).reshape(-1, 2)
-
+    def join_up(table: pa.Table) -> pa.Table:
+        b = table.to_pandas()
         copies = int(((b["unit"] == 0) & (b["leaf"] == 0)).sum())
+        doc_id = table.column("doc_id")[0].as_py()
         b = b.drop_duplicates(["unit", "leaf"]).sort_values(["unit", "leaf"])
         parts = [(t, np.frombuffer(i, "<u4"), np.frombuffer(s, "<i4").reshape(-1, 2).astype(np.int64)) for t, i, s in zip(b["text"], b["ids"], b["spans"], strict=True)]
         units = b["unit"].to_numpy()
         ids = np.concatenate([join_tree([parts[k] for k in np.flatnonzero(units == u)], encode)[1] for u in np.unique(units)])
-        return result(pd.array([b["doc_id"].iloc[0]] * copies, "Int64"), len(ids), [ids.astype("<u4").tobytes()] * copies)
+        return pa.Table.from_batches([result(pa.array([doc_id] * copies, "int64"), np.full(copies, len(ids)), np.tile(ids, copies))])
 
     is_long = F.char_length("text") > leaf_chars
     leaves = docs.filter(is_long).withColumn("key", F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text"), 256)).mapInPandas(cut, "doc_id long, key string, unit int, leaf int, text string, special int")
     encoded = leaves.repartition("key", "unit", "leaf").mapInPandas(encode_leaves, "doc_id long, key string, unit int, leaf int, text string, special int, ids binary, spans binary")
-    return docs.filter(~is_long).mapInPandas(short, out).union(encoded.groupBy("key").applyInPandas(join_up, out))
+    return docs.filter(~is_long).mapInArrow(short, out).union(encoded.groupBy("key").applyInArrow(join_up, out))
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
@@ -175,6 +180,6 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
         for b in batches:
             for i in range(0, len(b), 500):
                 part = b.iloc[i : i + 500]
-                yield part.assign(decoded=[decoder(path)(x) for x in part["ids"]])
+                yield part.assign(decoded=[decoder(path)(np.frombuffer(x, "<u4")) for x in part["ids"]])
 
     return encoded.mapInPandas(decoded, encoded.schema.simpleString()[7:-1].replace(":", " ") + ", decoded string")

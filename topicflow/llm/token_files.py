@@ -7,18 +7,20 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tokens import encoder, runs
+from .tokens import encoder
+from .words import binary, parts
 
 MAGIC, LANES, BLOCK = b"TKF1", 1024, 1 << 18
 _HEAD = struct.Struct("<4sBIIQIIIII")  # magic, scale bits, lanes, block, tokens, documents, symbols, blocks, index bytes, table bytes
 _CHECKPOINT = struct.Struct("<QIII")  # first token, words before, words, crc32 of the block
 _LOW = np.uint64(1 << 31)
 _32 = np.uint64(32)
+_COLUMNS = ["part", "seq", "n_docs", "n_tokens", "frame"]
 
 
 def scaled(counts: np.ndarray) -> tuple[np.ndarray, int]:
@@ -136,19 +138,19 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str, end_id: int = 0
     """
     spark = docs.sparkSession
 
-    def frames(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(tokenizer_path, keep_space=True)
         part, seq = TaskContext.get().partitionId(), 0
         ids, sizes, names, held = [], [], [], 0
 
-        def made() -> pd.DataFrame:
+        def made() -> pa.RecordBatch:
             frame = write_frame(names, np.concatenate(sizes), np.concatenate(ids))
-            return pd.DataFrame({"part": [part], "seq": [seq], "n_docs": [len(names)], "n_tokens": [held], "frame": [frame]})
+            return pa.RecordBatch.from_arrays([pa.array([part], "int32"), pa.array([seq], "int32"), pa.array([len(names)], "int64"), pa.array([held], "int64"), pa.array([frame], "binary")], names=_COLUMNS)
 
         for b in batches:
-            texts, docs_here = b["text"].tolist(), [None if pd.isna(d) else int(d) for d in b["doc_id"]]
-            for s in runs(texts, min(1_000_000, 2 * frame_tokens)):
-                found, n = e.encode(texts[s])
+            docs_here = b.column("doc_id").to_pylist()
+            for s, raw, bounds in parts(b.column("text"), min(1 << 20, 2 * frame_tokens)):
+                found, n = e.encode(raw, bounds)
                 ids.append(np.insert(found, np.cumsum(n), end_id))
                 sizes.append(n + 1)
                 names += docs_here[s]
@@ -161,7 +163,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str, end_id: int = 0
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInPandas(frames, "part int, seq int, n_docs long, n_tokens long, frame binary").write.option("compression", "none").parquet(out)
+    rows.mapInArrow(frames, "part int, seq int, n_docs long, n_tokens long, frame binary").write.option("compression", "none").parquet(out)
 
 
 def read_tokens(spark: SparkSession, path: str, derive: dict[str, Column] | None = None) -> DataFrame:
@@ -173,21 +175,24 @@ def read_tokens(spark: SparkSession, path: str, derive: dict[str, Column] | None
     partition) are added up, then those of the frames within each part.
     """
 
-    def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part, seq, frame in zip(b["part"], b["seq"], b["frame"], strict=True):
+            for part, seq, frame in zip(*(b.column(c).to_pylist() for c in ("part", "seq", "frame")), strict=True):
                 names, sizes, ids = read_frame(frame)
-                raw, ends = ids.astype("<u4").tobytes(), np.cumsum(sizes.astype(np.int64))
+                raw, edges = ids.astype("<u4").tobytes(), np.concatenate([[0], np.cumsum(sizes.astype(np.int64))])
                 for i in range(0, len(names), 2000):
-                    z, n = ends[i : i + 2000], sizes[i : i + 2000].astype(np.int64)
-                    yield pd.DataFrame({"part": part, "seq": seq, "doc_id": pd.array(names[i : i + 2000], "Int64"), "inside": z - n, "n_tokens": n, "ids": [raw[4 * (b - a) : 4 * b] for a, b in zip(n, z, strict=True)]})
+                    at = edges[i : i + 2001]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(at) - 1, part, np.int32)), pa.array(np.full(len(at) - 1, seq, np.int32)), pa.array(names[i : i + 2000], "int64"),
+                        pa.array(at[:-1]), pa.array(np.diff(at)), binary(raw[4 * at[0] : 4 * at[-1]], 4 * (at - at[0])),
+                    ], names=["part", "seq", "doc_id", "inside", "n_tokens", "ids"])
 
     files = spark.read.schema("part int, seq int, n_docs long, n_tokens long, frame binary").parquet(path)
     before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens")).select("part", before.alias("base"))
     within = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bases = files.select("part", "seq", "n_tokens").withColumn("within", within).join(parts, "part").select("part", "seq", (F.col("base") + F.col("within")).alias("base"))
-    rows = files.select("part", "seq", "frame").mapInPandas(documents, "part int, seq int, doc_id long, inside long, n_tokens long, ids binary")
+    rows = files.select("part", "seq", "frame").mapInArrow(documents, "part int, seq int, doc_id long, inside long, n_tokens long, ids binary")
     derive = {"ids": F.col("ids")} if derive is None else derive
     rows = rows.select("part", "seq", "doc_id", "inside", "n_tokens", *[c.alias(k) for k, c in derive.items()])
     return rows.join(bases, ["part", "seq"]).select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", *derive)

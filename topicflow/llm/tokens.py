@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import json
 import re
-from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
 
-_BEFORE_WORD = re.compile(r" (?=\S)")
-_SPACE_RUN = re.compile(r" (?:\s|\Z)")
+from .words import HashTable, Spans, distinct, spans_of, wide_hashes
+
 #: Pieces that the lower-casing normalizer leaves as long as they are, and that hold no white space.
 _SIMPLE = re.compile(r"[!-~\u00a1-\u012f\u0131-\u024f]+")
+#: White space and its kin among ASCII.
+_WIDE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+_BLANK = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
 
 
 def load(path: str, plain: bool = False) -> Tokenizer:
@@ -28,167 +30,135 @@ def load(path: str, plain: bool = False) -> Tokenizer:
     return tokenizer
 
 
-class _Index(dict):
-    """Places of pieces; -1 for one not seen."""
-
-    def __missing__(self, key: str) -> int:
-        return -1
-
-
 class PieceEncoder:
     """Encodes texts as the tokenizers library does, keeping the ids of pieces it has seen.
 
     ``keep_space``: the tokenizer's words begin with their space (byte-level); a space before a
-    non-space always starts a word there, so a text is its first piece and others that follow a
-    space each. Otherwise white space is dropped, and every space or line feed separates words.
-    Either way a text's ids are its pieces' ids in turn. New pieces are encoded many to a
-    text, and told apart by the bytes that each id stands for. A text that holds a special token's
-    opening is one piece where spaces count. The store is bounded: beyond ``most`` pieces or
-    ``most_chars`` characters it starts anew.
+    non-space always starts a word there, so a text is its first piece and others that begin
+    with a space each. Otherwise white space is dropped, and every space or line feed separates
+    words. Either way a text's ids are its pieces' ids in turn. Pieces are found, hashed to 128
+    bits and looked up by numpy, whole batches at a time; only new ones become strings. These are
+    encoded many to a text, and told apart by the bytes that each id stands for. A text that
+    holds a special token's opening is one piece where spaces count. The store is bounded:
+    beyond ``most`` pieces, or eight times as many ids, it starts anew.
     """
 
-    def __init__(self, path: str, keep_space: bool, plain: bool = False, most: int = 400_000, most_chars: int = 10_000_000):
-        self.tokenizer = load(path, plain)
-        self.keep_space, self.most, self.most_chars = keep_space, most, most_chars
+    def __init__(self, path: str, keep_space: bool, most: int = 1_000_000):
+        self.tokenizer = load(path)
+        self.keep_space, self.most = keep_space, most
         special = self.tokenizer.get_added_tokens_decoder()
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.sizes = np.array([1 << 20 if i in special else len(n.removesuffix("</w>")) for i, n in enumerate(names)], np.int64)
+        self.generation = 0
         self._clear()
 
     def _clear(self) -> None:
-        self.index, self.firsts = _Index(), _Index()
+        self.table = HashTable()
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.spans = np.zeros((1 << 10, 2), np.int32)
-        self.starts = np.zeros(1 << 16, np.int32)
-        self.lengths = np.zeros(1 << 16, np.int32)
-        self.used = self.count = self.chars = 0
-        self.names: list[str] = []
-        self.generation = getattr(self, "generation", 0) + 1
-
-    def pieces(self, text: str) -> list[str]:
-        """Where spaces count, all but the first piece stand for themselves after a space."""
-        if not self.keep_space:
-            return text.replace("\n", " ").split(" ")
-        if "<|" in text:
-            return [text]
-        return _BEFORE_WORD.split(text) if _SPACE_RUN.search(text) else text.split(" ")
+        self.starts = np.zeros(1 << 14, np.int32)
+        self.lengths = np.zeros(1 << 14, np.int32)
+        self.used = self.count = 0
+        self.generation += 1
 
-    def _keep(self, index: _Index, new: list[str], ids: np.ndarray, lengths: np.ndarray, spans: np.ndarray | None) -> None:
-        n, total = self.count, self.used + len(ids)
+    def pieces(self, raw: np.ndarray, bounds: np.ndarray) -> Spans:
+        if not self.keep_space:
+            return spans_of((raw != 32) & (raw != 10), bounds)
+        n = len(raw)
+        cut = raw == 32
+        after = np.full(n + 2, 32, np.uint8)
+        after[:n] = raw
+        cut &= ~_BLANK[after[1 : n + 1]]
+        wide = np.flatnonzero(cut & _WIDE[after[1 : n + 1]])  # may begin white space beyond ASCII
+        if len(wide):
+            x, y = after[wide + 1], after[wide + 2]
+            cut[wide[((x == 0xC2) & ((y == 0x85) | (y == 0xA0))) | ((x == 0xE1) & (y == 0x9A)) | ((x == 0xE2) & ((y == 0x80) | (y == 0x81))) | ((x == 0xE3) & (y == 0x80))]] = False
+        for at in np.unique(np.searchsorted(bounds, np.flatnonzero((raw == 60) & (after[1 : n + 1] == 124)), "right") - 1).tolist():
+            cut[bounds[at] : bounds[at + 1]] = False  # holds "<|"
+        begins = bounds[:-1][bounds[:-1] < bounds[1:]]
+        ends = bounds[1:][bounds[:-1] < bounds[1:]]
+        cut[ends - 1] = False  # a space at the end of a text is its last piece's
+        cut[begins] = True
+        starts = np.flatnonzero(cut)
+        return Spans(starts, np.append(starts[1:], n) if len(starts) else starts, np.searchsorted(starts, bounds))
+
+    def _keep(self, ids: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> None:
+        """Ids of new pieces in turn; at: the pieces' numbers."""
+        total = self.used + len(ids)
         while total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(new) > len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
         self.ids[self.used : total] = ids
-        if spans is not None:
-            if len(self.spans) < len(self.ids):
-                self.spans = np.concatenate([self.spans, np.zeros((len(self.ids) - len(self.spans), 2), np.int32)])
-            self.spans[self.used : total] = spans
-        self.lengths[n : n + len(new)] = lengths
-        self.starts[n : n + len(new)] = self.used + np.cumsum(lengths) - lengths
-        index.update(zip(new, range(n, n + len(new)), strict=True))
-        self.names += new
-        self.used, self.count = total, n + len(new)
-        self.chars += sum(map(len, new))
-
-    def _learn_each(self, index: _Index, new: list[str], texts: list[str], spans: bool) -> None:
-        encode = self.tokenizer.encode_batch if spans else self.tokenizer.encode_batch_fast
-        for s in range(0, len(new), 2048):  # the library's result objects are large
-            found = encode(texts[s : s + 2048], add_special_tokens=False)
-            rows = [x.ids for x in found]
+        self.lengths[at] = lengths
+        self.starts[at] = self.used + np.cumsum(lengths) - lengths
+        self.used = total
+
+    def _learn_each(self, new: list[str], at: np.ndarray) -> None:
+        for s in range(0, len(new), 512):  # the library's result objects are large
+            rows = [x.ids for x in self.tokenizer.encode_batch_fast(new[s : s + 512], add_special_tokens=False)]
             lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-            ids = np.fromiter((i for r in rows for i in r), np.uint32, int(lengths.sum()))
-            at = np.array([o for x in found for o in x.offsets], np.int32).reshape(-1, 2) if spans else None
-            self._keep(index, new[s : s + 2048], ids, lengths, at)
-
-    def _learn(self, new: list[str], spans: bool) -> None:
-        if self.keep_space:
-            simple, odd = new, []
-        else:
-            simple, odd = [x for x in new if _SIMPLE.fullmatch(x)], [x for x in new if not _SIMPLE.fullmatch(x)]
+            self._keep(np.fromiter((i for r in rows for i in r), np.uint32, int(lengths.sum())), lengths, at[s : s + 512])
+
+    def _learn(self, new: list[str]) -> None:
+        """Gives the next numbers to these pieces."""
+        n = self.count
+        self.count += len(new)
+        while self.count > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+        plain = [len(x) < 1000 and (x[0] == " " if self.keep_space else bool(_SIMPLE.fullmatch(x))) for x in new]
+        simple, odd = np.flatnonzero(plain), [np.flatnonzero(~np.array(plain, bool))]
         for s in range(0, len(simple), 4096):
-            part = simple[s : s + 4096]
-            raw = [(" " + x if self.keep_space else x.lower()).encode() for x in part]
-            texts = ["".join([" " + x for x in part[i : i + 128]]) if self.keep_space else " ".join(part[i : i + 128]) for i in range(0, len(part), 128)]
+            at = simple[s : s + 4096]
+            part = [new[i] for i in at.tolist()]
+            ends = np.cumsum([len((x if self.keep_space else x.lower()).encode()) for x in part])
+            texts = [("" if self.keep_space else " ").join(part[i : i + 128]) for i in range(0, len(part), 128)]
             ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
             to = np.cumsum(self.sizes[ids])
-            ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
             last = np.searchsorted(to, ends)
             if len(to) != last[-1] + 1 or (to[last] != ends).any():
-                odd += part  # not told apart by bytes: one by one
-                continue
-            lengths = np.diff(last, prepend=-1)
-            at = None
-            if spans:
-                char = np.cumsum((np.frombuffer(b"".join(raw), np.uint8) & 0xC0) != 0x80) - 1
-                begin = np.repeat(char[ends - np.fromiter(map(len, raw), np.int64, len(raw))], lengths)
-                at = np.stack([char[to - self.sizes[ids]] - begin, char[to - 1] + 1 - begin], axis=1)
-            self._keep(self.index, part, ids, lengths, at)
-        if odd:
-            self._learn_each(self.index, odd, [" " + x for x in odd] if self.keep_space else odd, spans)
-
-    def _places(self, flat: list[str], spans: bool = False, first: list[str] | None = None, at: np.ndarray | None = None) -> np.ndarray:
-        """The number of each piece; ``first`` pieces stand for themselves at the places ``at``."""
-        if self.count > self.most or self.chars > self.most_chars:
+                odd.append(at)  # not told apart by bytes: one by one
+            else:
+                self._keep(ids, np.diff(last, prepend=-1), n + at)
+        left = np.concatenate(odd)
+        self._learn_each([new[i] for i in left.tolist()], n + left)
+
+    def numbers(self, raw: np.ndarray, s: Spans, hashes: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """The number of each piece in the store, where new ones are entered."""
+        if self.count > self.most or self.used > 8 * self.most:
             self._clear()
-        where = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
-        if first is not None:
-            where[at] = np.fromiter(map(self.firsts.__getitem__, first), np.int64, len(first))
-            missing = [x for x in dict.fromkeys(first) if self.firsts[x] < 0]
-            if missing:
-                self._learn_each(self.firsts, missing, missing, spans)
-                where[at] = [self.firsts[x] for x in first]
+        a, b = wide_hashes(raw, s) if hashes is None else hashes
+        where = self.table.find(a, b)
         missing = np.flatnonzero(where < 0)
         if len(missing):
-            self._learn(list(dict.fromkeys([flat[i] for i in missing])), spans)
-            where[missing] = [self.index[flat[i]] for i in missing]
+            one = missing[distinct(a[missing], b[missing])[0]]
+            whole = raw.tobytes()
+            self._learn([whole[x:y].decode("utf-8", "replace") for x, y in zip(s.starts[one].tolist(), s.stops[one].tolist(), strict=True)])
+            self.table.add(a[one], b[one])
+            where[missing] = self.table.find(a[missing], b[missing])
         return where
 
-    def _find(self, flat: list[str], **more) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where the ids of each piece stand, how many they are, and where they end."""
-        return self.ids_at(self._places(flat, **more))
-
     def ids_at(self, where: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each piece stand, how many they are, and where they end."""
         lengths = self.lengths[where].astype(np.int64)
         ends = np.cumsum(lengths)
-        take = np.repeat(self.starts[where] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        take = np.repeat(self.starts[where] - (ends - lengths), lengths)
+        take += np.arange(len(take))
         return take, lengths, ends
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts in turn, and the number of ids of each text."""
-        split = [self.pieces(t) for t in texts]
-        bounds = np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)
-        flat = list(chain.from_iterable(split))
-        first = [x[0] for x in split] if self.keep_space else None
-        take, _, ends = self._find(flat, first=first, at=bounds[:-1] if self.keep_space else None)
+        s = self.pieces(raw, bounds)
+        take, _, ends = self.ids_at(self.numbers(raw, s))
         edge = np.concatenate([[0], ends])
-        return self.ids[take], edge[bounds[1:]] - edge[bounds[:-1]]
-
-    def encode_spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of one text and the characters (from, to) of each. Only where white space is dropped."""
-        flat = self.pieces(text)
-        take, lengths, _ = self._find(flat, spans=True)
-        sizes = np.array([len(p) + 1 for p in flat], np.int64)
-        return self.ids[take], self.spans[take].astype(np.int64) + np.repeat(np.cumsum(sizes) - sizes, lengths)[:, None]
+        return self.ids[take], edge[s.first[1:]] - edge[s.first[:-1]]
 
 
 _encoders: dict[tuple, PieceEncoder] = {}
 
 
-def encoder(path: str, keep_space: bool, plain: bool = False, most: int = 400_000) -> PieceEncoder:
-    """One per Python worker, kept from task to task; ``most`` bounds the pieces it keeps."""
-    key = (path, keep_space, plain, most)
+def encoder(path: str, keep_space: bool) -> PieceEncoder:
+    """One per Python worker, kept from task to task."""
+    key = (path, keep_space)
     if key not in _encoders:
-        _encoders[key] = PieceEncoder(path, keep_space, plain, most)
+        if len(_encoders) > 1:
+            _encoders.clear()  # of other files: workers live on from job to job
+        _encoders[key] = PieceEncoder(path, keep_space)
     return _encoders[key]
-
-
-def runs(texts: list[str], chars: int = 1_000_000) -> list[slice]:
-    """Slices of the list with about so many characters each."""
-    out, first, held = [], 0, 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= chars:
-            out.append(slice(first, i + 1))
-            first, held = i + 1, 0
-    return [*out, slice(first, len(texts))] if first < len(texts) else out
