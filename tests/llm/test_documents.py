@@ -320,16 +320,69 @@ def test_every_word_cut_stands_earlier(docs):
         assert found[r["doc_id"]]["size"] == r["size"]
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.lists(st.integers(0, 3), min_size=1, max_size=40), st.integers(0, 30), st.integers(3, 8))
-def test_a_shared_run_of_three_lines_shares_a_fingerprint(lines, at, n):
-    named = [f"w{k} x y." for k in lines]
-    run = named[at : at + n]
-    if len(run) < 3:
-        return
-    a, b = "\n".join(named), "\n".join(["other one.", *run, "other two."])
-    prints = [set(line_dedup.fingerprints(*line_dedup.parse(t))[0].tolist()) for t in (a, b)]
-    assert prints[0] & prints[1]
+def prints_of(text):
+    raw, bounds = text_bytes(pa.array([text]))
+    return set(line_dedup.read_prints(raw, bounds)[2].tolist())
+
+
+JOINS = {"one line": " ", "lines of one word": "\n", "commas": ", ", "sentences of one word": ". "}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sampled_from(sorted(JOINS)), st.integers(0, 2**32), st.integers(2, 60), st.integers(0, 40), st.integers(0, 40))
+def test_a_run_of_the_guaranteed_length_shares_a_fingerprint(kind, seed, vocabulary, before, after):
+    rng = random.Random(seed)
+    run = [f"w{rng.randrange(vocabulary)}" for _ in range(line_dedup.GUARANTEED)]
+    run = JOINS[kind].join(run)
+    own = [" ".join(f"o{rng.randrange(1000)}" + rng.choice(["", "", "", ".", "\n"]) for _ in range(n)) for n in (before, after, after, before)]
+    assert prints_of(f"{own[0]} {run} {own[1]}") & prints_of(f"{own[2]} {run} {own[3]}")
+
+
+def test_most_runs_of_thirty_words_share_a_fingerprint():
+    rng, found = random.Random(8), 0
+    for i in range(400):
+        run, own = prose(rng, 30), [prose(rng, rng.randint(5, 60)) for _ in range(4)]
+        if i % 2:
+            run = run.replace(".", "")
+        found += bool(prints_of(f"{own[0]} {run} {own[1]}") & prints_of(f"{own[2]} {run} {own[3]}"))
+    assert found >= 380
+
+
+def repeats_of(rows, least):
+    """The words of each text, in turn, that lie in a run of ``least`` words that also occurs earlier."""
+    seen, out = set(), {}
+    for i, text in rows:
+        w = lower(text).split()
+        grams = [tuple(w[k : k + least]) for k in range(len(w) - least + 1)]
+        out[i] = set()
+        for k, g in enumerate(grams):
+            if g in seen:
+                out[i].update(range(k, k + least))
+            seen.add(g)
+    return out
+
+
+def test_repeated_runs_are_cut_in_full(spark):
+    """Passages of 50 words and more, in every kind of line, beside all runs that repeat by brute force."""
+    rng = random.Random(5)
+    lists = ["\n".join(f"{prose(rng, 1)} {prose(rng, 1)}" for _ in range(200)), "\n".join(prose(rng, 1) for _ in range(300))]
+    passages = [*lists, *[prose(rng, n).replace(".", end) for n in (50, 70, 160) for end in (".", ",", "")], "\n".join(prose(rng, 1) for _ in range(60))]
+    inner = prose(rng, 11) + "."  # also stands alone, before the passage that holds it
+    passages.append(f"{prose(rng, 14).replace('.', '')} {inner} {prose(rng, 14).replace('.', '')}")
+    rows = [(0, inner)]
+    for i in range(3):
+        for k, p in enumerate(passages):
+            rows.append((len(rows), f"{prose(rng, 40)} {p} {prose(rng, 40)}" if (i + k) % 2 else f"{prose(rng, 12)}\n{p}\n{prose(rng, 33)}"))
+    want = repeats_of(rows, 20)
+    for most in (1 << 20, 0):  # by a bitmap, by a join
+        found = {r["doc_id"]: r for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), most_broadcast=most).collect()}
+        cut = sum(r["removed_words"] for r in found.values())
+        assert all(found[i]["removed_words"] <= len(want[i]) for i, _ in rows)
+        assert cut >= 0.99 * sum(map(len, want.values())), (cut, sum(map(len, want.values())))
+        for i, text in rows:
+            kept = [w for k, w in enumerate(lower(text).split()) if k not in want[i]]
+            if found[i]["removed_words"] == len(want[i]):
+                assert lower(found[i]["text"]).split() == kept
 
 
 # -- 1: LM scoring ---------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from topicflow.llm import common, line_dedup, mixing, tokens
 from topicflow.llm.queries import oracle_sql, queries
+from topicflow.llm.shingle_join import similar_components
 
 DATA = "/root/testdata/sf0.001"
 
@@ -50,11 +51,32 @@ def test_lines_are_those_of_the_operator(stages):
     assert all(r["n_chars"] == len(r["text"]) for r in kept.values())
 
 
+def near_groups(texts, least=0.8):
+    """Components of texts whose sets of five-word shingles are alike, by comparing all pairs."""
+    sets = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if least * max(len(a), len(b)) <= min(len(a), len(b)) and len(a & b) >= least * len(a | b) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
 def test_one_of_each_near_group_stays(stages):
-    from topicflow.llm.simhash import simhash_components
+    rows = sorted((r["doc_id"], r["text"]) for r in stages["line_dedup"].collect())
+    label = near_groups([t for _, t in rows])
+    want = sorted(rows[min(k for k, x in enumerate(label) if x == g)][0] for g in set(label))
+    assert sorted(r["doc_id"] for r in stages["simhash"].collect()) == want
+
 
-    found = simhash_components(stages["line_dedup"], words=5).collect()
-    assert sorted(r["doc_id"] for r in stages["simhash"].collect()) == sorted({r["component_id"] for r in found})
+def test_near_copies_do_not_depend_on_what_is_broadcast(spark, stages):
+    docs = stages["line_dedup"].select(F.col("doc_id").alias("id"), "text")
+    few, all_ = (Counter(r["component_id"] for r in similar_components(docs, most_broadcast=n).collect()) for n in (0, 1 << 20))
+    assert few == all_
 
 
 def test_copies_are_those_of_the_mix(stages):

@@ -2,113 +2,111 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
+from .words import Spans, binary, lower, parts, span_hashes, words
 
-#: The table of repeated fingerprints: 2**26 bits, whatever the input.
+#: The table of repeated fingerprints, where it is broadcast: 2**26 bits, while an eighth of them are set at most.
 BITS = 1 << 26
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-_MIX, _WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x100000001B3)
-_SPACE, _ENDS = (np.isin(np.arange(256), list(x)) for x in (b" \t\n\x0b\x0c\r", b".!?"))
+_ENDS = np.isin(np.arange(256), list(b".!?"))
+#: Lines of more words are cut; a fingerprint has GRAM words at least. A run of GUARANTEED words holds one.
+LINE, GRAM = 12, 8
+GUARANTEED = 5 * LINE + GRAM
+#: Words known on either side of a fingerprint, which is as far as a run may reach beyond its last one; bytes a word.
+CONTEXT, BYTES = 3 * LINE, 3
 
 
-def parse(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of a text (32 bits, A-Z lower-cased), and where its lines end, as word counts.
+def line_ends(raw: np.ndarray, s: Spans, hashes: np.ndarray, longest: int = LINE) -> np.ndarray:
+    """Where the lines of texts end, as counts of words. ``raw``: the texts' bytes, ``hashes``: one for each word.
 
-    A line ends at a line feed, and also after a word that ends a sentence unless the word before
-    does: passages are often set into other text, and then begin and end inside its lines.
+    A line ends with a text, at a line feed, and after a word that ends a sentence. One of more
+    than ``longest`` words is cut further: of every ``longest`` words in a row in it, it is cut
+    after the one with the least hash (the last on a tie), which depends on these words alone.
+    So text set inside other text has the same lines wherever it stands, but for its edges.
     """
-    raw = np.frombuffer((text or "").encode("utf-8", "replace").lower() + b"\n", np.uint8)
-    space = _SPACE[raw]
-    edges = np.flatnonzero(np.diff(space, prepend=True))
-    starts, stops = edges[::2], edges[1::2]
-    if not len(starts):
-        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    sizes = stops - starts
-    begin = np.cumsum(sizes) - sizes
-    letters = raw[~space]
-    place = np.arange(len(letters)) - np.repeat(begin, sizes)
-    power = np.cumprod(np.full(int(sizes.max()), _WORD_BASE, np.uint64))
-    sums = np.add.reduceat(power[place] * (letters + np.uint64(1)), begin)
-    sums ^= sums >> np.uint64(31)
-    hashes = ((sums * _MIX) >> np.uint64(32)).astype(np.uint32)
-    row = np.cumsum(raw == 10)[starts]
-    last = np.append(row[1:] != row[:-1], True)  # in its row
-    ending = _ENDS[raw[stops - 1]]
-    before = np.append(False, ending[:-1] & ~last[:-1])
-    return hashes, np.flatnonzero(last | (ending & ~before)) + 1
-
-
-def fingerprints(hashes: np.ndarray, ends: np.ndarray, pair: int = 2, window: int = 2, long_line: int = 12, least: int = 6) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Winnowed fingerprints: their hashes, first words and word counts.
-
-    A fingerprint is ``pair`` lines in turn; of every ``window`` of them in a row the least is
-    selected (the last on a tie), so a run of pair + window - 1 whole lines holds a selected
-    one wherever it stands. Those of under ``least`` words are too common to tell anything, and a
-    line of ``long_line`` words or more stands for itself: neither is selected.
+    n = len(s.starts)
+    if not n:
+        return np.zeros(0, np.int64)
+    row = np.cumsum(raw == 10)[s.starts]
+    last = np.append(row[1:] != row[:-1], True) | _ENDS[raw[s.stops - 1]]
+    last[s.first[1:][s.first[1:] > s.first[:-1]] - 1] = True
+    ends = np.flatnonzero(last) + 1
+    sizes = np.diff(ends, prepend=0)
+    line = np.repeat(np.arange(len(ends)), sizes)
+    inside = np.flatnonzero((sizes > longest)[line])  # words of long lines
+    if len(inside) >= longest:
+        # hash and place in one number: the least has the least hash, and among equals the last place
+        key = ((hashes[inside] >> np.uint64(32)) << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - np.arange(len(inside), dtype=np.uint64))
+        least, width = key, 1
+        while width < longest:
+            step = min(width, longest - width)
+            least, width = np.minimum(least[: len(least) - step], least[step:]), width + step
+        whole = line[inside[: len(least)]] == line[inside[longest - 1 :]]
+        last[inside[(np.uint64(0xFFFFFFFF) - (least[whole] & np.uint64(0xFFFFFFFF))).astype(np.int64)]] = True
+        ends = np.flatnonzero(last) + 1
+    return ends
+
+
+def fingerprints(hashes: np.ndarray, ends: np.ndarray, first: np.ndarray, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Winnowed fingerprints of texts: their hashes, first words and word counts.
+
+    From each line on, lines are taken until they hold ``gram`` words: that is a fingerprint. Of
+    every two of them in a row the one with the lesser hash is selected (the later on a tie).
+    ``first``: the first word of each text, and the number of all words.
     """
-    if not len(ends):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    starts = np.concatenate([[0], ends[:-1]])
-    sizes = ends - starts
-    # a line's hash: a polynomial in its words, by prefix sums over powers of an odd number modulo 2**64
-    place = np.arange(len(hashes)) - np.repeat(starts, sizes)
-    power = np.cumprod(np.full(int(sizes.max()), _MIX, np.uint64))
-    line = np.add.reduceat((hashes.astype(np.uint64) + np.uint64(1)) * power[place], starts)
-    line ^= line >> np.uint64(29)
-    line = (line + sizes.astype(np.uint64)) * _MIX
-    line ^= line >> np.uint64(32)
-    gram = line.copy()
-    n = len(line) - pair + 1
-    picked = np.zeros(0, np.int64)
-    grams = np.zeros(0, np.uint64)
-    if n > 0:
-        grams = line[:n].copy()
-        for k in range(1, pair):
-            grams = (grams * _MIX) ^ line[k : n + k]
-        long = np.concatenate([[0], np.cumsum(sizes >= long_line)])
-        known = (ends[pair - 1 :] - starts[:n] >= least) & (long[pair:] == long[:n])
-        grams = np.where(known, grams >> np.uint64(1), ~np.uint64(0))
-        w = min(window, n)
-        views = np.lib.stride_tricks.sliding_window_view(grams, w)[:, ::-1]
-        picked = np.unique(np.arange(n - w + 1) + w - 1 - views.argmin(axis=1))
-        picked = picked[known[picked]]
-    alone = np.flatnonzero(sizes >= long_line)
-    prints = np.concatenate([grams[picked], gram[alone] ^ np.uint64(1)]).view(np.int64)
-    first = np.concatenate([starts[picked], starts[alone]])
-    last = np.concatenate([ends[picked + pair - 1] if len(picked) else picked, ends[alone]])
-    return prints, first, last - first
-
-
-def repeated_bits(prints: DataFrame) -> np.ndarray:
-    """Which fingerprints occur more than once, as BITS bits; at most 2**20 rows reach the driver."""
+    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    text = np.searchsorted(first, starts, "right") - 1
+    at = np.searchsorted(ends, starts + gram)
+    known = at < len(ends)
+    known[known] = ends[at[known]] <= first[text[known] + 1]
+    starts, text, stops = starts[known], text[known], ends[at[known]]
+    prints = span_hashes(hashes, Spans(starts, stops, first))
+    alike = np.append(text[1:] == text[:-1], False)  # a pair begins here
+    less = np.append(prints[:-1] < prints[1:], False)
+    picked = np.zeros(len(prints), bool)
+    picked[np.flatnonzero(alike & less)] = True
+    picked[np.flatnonzero(alike & ~less) + 1] = True
+    picked |= ~alike & ~np.append(False, alike[:-1])[: len(alike)]  # a text's only one
+    return prints[picked].view(np.int64), starts[picked], (stops - starts)[picked]
+
+
+def read_prints(raw: np.ndarray, bounds: np.ndarray) -> tuple[Spans, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of texts, a hash of each (A-Z lower-cased), and the fingerprints."""
+    raw = lower(raw)
+    s = words(raw, bounds)
+    hashes = span_hashes(raw, s)
+    return s, hashes, *fingerprints(hashes, line_ends(raw, s, hashes), s.first)
+
+
+def repeated_bits(repeated: DataFrame) -> np.ndarray:
+    """Fingerprints that occur more than once, as BITS bits; at most 2**20 rows reach the driver."""
     bit = F.pmod(F.col("print"), F.lit(BITS))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
-    rows = prints.groupBy("print").agg(F.sum("n").alias("n")).filter("n > 1").groupBy(F.shiftright(bit, 6).alias("slot")).agg(F.bit_or(one).alias("bits")).toPandas()
+    rows = repeated.groupBy(F.shiftright(bit, 6).alias("slot")).agg(F.bit_or(one).alias("bits")).toPandas()
     out = np.zeros(BITS // 64, np.int64)
     out[rows["slot"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
     return out
 
 
 def _common(a: bytes, b: bytes, back: bool = False) -> int:
-    """How many words of three bytes from the start, or the end, are the same in both."""
-    n = min(len(a), len(b)) // 3
+    """How many words of BYTES bytes from the start, or the end, are the same in both."""
+    n = min(len(a), len(b)) // BYTES
     if not n:
         return 0
     if back:
-        a, b = a[len(a) - 3 * n :], b[len(b) - 3 * n :]
+        a, b = a[len(a) - BYTES * n :], b[len(b) - BYTES * n :]
     else:
-        a, b = a[: 3 * n], b[: 3 * n]
+        a, b = a[: BYTES * n], b[: BYTES * n]
     if a == b:
         return n
-    differ = (np.frombuffer(a, np.uint8) != np.frombuffer(b, np.uint8)).reshape(n, 3).any(1)
+    differ = (np.frombuffer(a, np.uint8) != np.frombuffer(b, np.uint8)).reshape(n, BYTES).any(1)
     return int((differ[::-1] if back else differ).argmax())
 
 
@@ -129,7 +127,7 @@ def cut_spans(text: str | None, starts: list[int] | None, ends: list[int] | None
     if not runs:
         return text or "", 0, 0
     raw = (text or "").encode("utf-8", "replace")
-    at = [m.start() for m in _WORD.finditer(raw)] + [len(raw)]
+    at = [*words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])).starts.tolist(), len(raw)]
     kept, here = [], 0
     for a, b in runs:
         kept.append(raw[here : at[a]])
@@ -138,75 +136,128 @@ def cut_spans(text: str | None, starts: list[int] | None, ends: list[int] | None
     return b"".join(kept).decode("utf-8"), sum(b - a for a, b in runs), len(runs)
 
 
-def line_dedup(docs: DataFrame, min_words: int = 20, context: int = 16) -> DataFrame:
-    """``docs`` with repeated runs of text cut out of ``text``, and removed_words and removed_runs added.
+def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
+    """Every occurrence of a fingerprint that stands in two places or more, with the words around it."""
+    spark = rows.sparkSession
 
-    A run is ``min_words`` words or more, A-Z lower-cased, that also occur earlier: at a smaller
-    (doc_id, place). Lines are hashed and winnowed (``fingerprints``); fingerprints that occur
-    once are dropped by a bitmap of fixed size; for each other one every occurrence is set
-    beside the first, and the match is extended both ways, word by word, up to ``context``
-    words, by 24 bits of each word's hash. Longer runs hold more fingerprints, and overlapping
-    matches are joined: between two of a run's fingerprints lie fewer words than two contexts.
-    The first occurrence stays. Runs without three whole lines (of six words and more in two of
-    them) or one of twelve words may be missed, and a run's outer words beyond the context stay.
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, raw, bounds in parts(b.column("text"), 4 << 20):
+                prints, n = np.unique(read_prints(raw, bounds)[2], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(prints), pa.array(n)], names=["print", "n"])
 
-    Null and empty texts have nothing to cut (null becomes empty); null ids come first; rows
-    that repeat an id and a text keep it all, as each is the other's first occurrence; rows
-    that repeat an id with other texts are documents of their own. An empty table gives none.
-    """
-    key = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), F.coalesce("text", F.lit("")))
-    rows = docs.select("doc_id", key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    counted = rows.select("text").mapInArrow(count, "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
+    repeated = stored(counted.filter("n > 1").select("print"), "repeated")
+    columns = "print long, doc_id long, key long, at long, size long, before binary, after binary"
+
+    def described(b: pa.RecordBatch, s: slice, x: Spans, hashes: np.ndarray, prints: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+        """The fingerprints with their contexts."""
+        text = np.searchsorted(x.first, at, "right") - 1
+        known = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - BYTES :]).tobytes()
+        ends = at + sizes
+        low, high = np.maximum(x.first[text], at - CONTEXT), np.minimum(x.first[text + 1], ends + CONTEXT)
+        some = [b"".join([known[BYTES * p : BYTES * q] for p, q in zip(f.tolist(), t.tolist(), strict=True)]) for f, t in ((low, at), (ends, high))]
+        contexts = [binary(v, BYTES * np.concatenate([[0], np.cumsum(n)])) for v, n in zip(some, (at - low, high - ends), strict=True)]
+        rows_of = pa.array(text)
+        return pa.RecordBatch.from_arrays([pa.array(prints), b.column("doc_id")[s].take(rows_of), b.column("key")[s].take(rows_of), pa.array(at - x.first[text]), pa.array(sizes), *contexts], names=["print", "doc_id", "key", "at", "size", "before", "after"])
+
+    if repeated.count() <= most_broadcast:
+        shared = spark.sparkContext.broadcast(repeated_bits(repeated))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = shared.value
+            for b in batches:
+                for s, raw, bounds in parts(b.column("text")):
+                    x, hashes, prints, at, sizes = read_prints(raw, bounds)
+                    bit = prints % BITS
+                    again = np.flatnonzero((bits[bit >> 6] >> (bit & 63)) & 1)
+                    yield described(b, s, x, hashes, prints[again], at[again], sizes[again])
+
+        return rows.mapInArrow(marked, columns)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(0, len(b), 2000):
-                found = [fingerprints(*parse(t))[0] for t in b["text"].iloc[i : i + 2000]]
-                prints, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pd.DataFrame({"print": prints, "n": n})
+            for s, raw, bounds in parts(b.column("text")):
+                x, _, prints, at, _ = read_prints(raw, bounds)
+                rows_of = np.searchsorted(x.first, at, "right") - 1
+                yield pa.RecordBatch.from_arrays([pa.array(prints), b.column("key")[s].take(pa.array(rows_of)), pa.array(at - x.first[rows_of])], names=["print", "key", "at"])
 
-    repeated = docs.sparkSession.sparkContext.broadcast(repeated_bits(rows.select("text").mapInPandas(count, "print long, n long")))
+    again = rows.mapInArrow(places, "print long, key long, at long").join(repeated, "print", "left_semi")
+    again = again.groupBy("key").agg(F.collect_set("at").alias("places"))  # at most a document's own
 
-    def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = repeated.value
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(0, len(b), 500):
-                part = b.iloc[i : i + 500]
-                found: list[tuple] = []
-                for d, k, t in zip(part["doc_id"], part["key"], part["text"], strict=True):
-                    hashes, ends = parse(t)
-                    prints, first, sizes = fingerprints(hashes, ends)
-                    bit = prints % BITS
-                    again = (bits[bit >> 6] >> (bit & 63)) & 1 == 1
-                    if again.any():
-                        raw = np.ascontiguousarray(hashes.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]).tobytes()
-                        d = None if pd.isna(d) else int(d)
-                        found += [(p, d, k, a, n, raw[3 * max(0, a - context) : 3 * a], raw[3 * a : 3 * (a + n + context)]) for p, a, n in zip(prints[again].tolist(), first[again].tolist(), sizes[again].tolist(), strict=True)]
-                if found:
-                    yield pd.DataFrame(found, columns=["print", "doc_id", "key", "at", "size", "before", "after"]).astype({"doc_id": "Int64"})
+            for s, raw, bounds in parts(b.column("text")):
+                x, hashes, prints, at, sizes = read_prints(raw, bounds)
+                text = np.searchsorted(x.first, at, "right") - 1
+                wanted = [set(v) for v in b.column("places")[s].to_pylist()]
+                kept = np.flatnonzero([k in wanted[t] for t, k in zip(text.tolist(), (at - x.first[text]).tolist(), strict=True)])
+                yield described(b, s, x, hashes, prints[kept], at[kept], sizes[kept])
 
-    columns = "print long, doc_id long, key long, at long, size long, before binary, after binary"
-    found = stored(rows.mapInPandas(occurrences, columns), "occurrences")
+    return rows.join(again, "key").select("doc_id", "key", "text", "places").mapInArrow(chosen, columns)
+
+
+def _matched(found: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """Each occurrence but the first of its group, matched with the first: a and b, the run's first word and its end."""
     place = F.struct("doc_id", "key", "at", "size", "before", "after")
-    firsts = stored(found.groupBy("print").agg(F.min(place).alias("first")), "firsts")
-    later = found.join(firsts, "print").filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key")) & (F.col("at") == F.col("first.at"))))
-    later = later.select("doc_id", "key", "at", "before", "after", F.col("first.before").alias("first_before"), F.col("first.after").alias("first_after"))
+    found = found.withColumn("group", F.xxhash64(*by) if len(by) > 1 else by[0])
+    firsts = stored(found.groupBy("group").agg(F.min(place).alias("first")), name)
+    later = found.join(firsts, "group").filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key")) & (F.col("at") == F.col("first.at"))))
+
+    @F.pandas_udf("struct<back long, on long>")
+    def extend(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for before, after, first_before, first_after in batches:
+            yield pd.DataFrame({
+                "back": [_common(x, y, back=True) for x, y in zip(before, first_before, strict=True)],
+                "on": [_common(x, y) for x, y in zip(after, first_after, strict=True)],
+            }, dtype="int64")
+
+    later = later.filter(F.col("size") == F.col("first.size")).withColumn("run", extend("before", "after", "first.before", "first.after"))
+    return later.withColumns({"a": F.col("at") - F.col("run.back"), "b": F.col("at") + F.col("size") + F.col("run.on")}).drop("first", "run", "group")
 
-    def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            back = [_common(x, y, back=True) for x, y in zip(b["before"], b["first_before"], strict=True)]
-            on = [_common(x, y) for x, y in zip(b["after"], b["first_after"], strict=True)]
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "key": b["key"], "a": b["at"] - back, "b": b["at"] + on})
 
-    spans = later.mapInPandas(extend, "doc_id long, key long, a long, b long")
+def line_dedup(docs: DataFrame, min_words: int = 20, most_broadcast: int = BITS // 8) -> DataFrame:
+    """``docs`` with repeated runs of text cut out of ``text``, and removed_words and removed_runs added.
+
+    A run is ``min_words`` words or more, A-Z lower-cased, that also occur earlier: at a smaller
+    (doc_id, place). Lines (``line_ends``) are hashed and winnowed (``fingerprints``); a run of
+    GUARANTEED words holds a fingerprint wherever it stands, whatever its lines, and most runs
+    of 30 do. Those that occur once are dropped: by a bitmap while at most ``most_broadcast``
+    repeat, else by a join. Every other occurrence is set beside the first, and the match
+    is extended both ways, word by word, by 24 bits of each word's hash. Between two of a run's
+    fingerprints, and beyond its outer ones, lie at most CONTEXT words, so that the matches
+    together cover the run from end to end. An occurrence that has less than ``min_words`` in common with
+    the first is set beside the first that also has the next, or the last, eight words in common:
+    an earlier text may hold one line of a passage only. The first occurrence stays.
+
+    Null and empty texts have nothing to cut (null becomes empty); null ids come first; rows
+    that repeat an id and a text keep it all, as each is the other's first occurrence; rows
+    that repeat an id with other texts are documents of their own. An empty table gives none.
+    """
+    key = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), F.coalesce("text", F.lit("")))
+    rows = docs.select("doc_id", key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    found = stored(_occurrences(rows, most_broadcast), "occurrences")
+    short = F.col("b") - F.col("a") < min_words
+    kept = lambda c: F.when(short, F.col(c)).alias(c)
+    matched = _matched(found, [F.col("print")], "firsts").select("print", "doc_id", "key", "at", "size", kept("before"), kept("after"), "a", "b")
+    matched = stored(matched, "matched")
+    again = matched.filter(short).drop("a", "b")
+    spans = [matched, *(
+        _matched(again.filter(F.octet_length(c) >= 8 * BYTES), [F.col("print"), F.lit(c), side(F.col(c))], f"firsts-{c}")
+        for c, side in (("before", lambda c: F.substring(c, -8 * BYTES, 8 * BYTES)), ("after", lambda c: F.substring(c, 1, 8 * BYTES)))
+    )]
+    every = spans[0].select("key", "a", "b")
+    for more in spans[1:]:
+        every = every.union(more.select("key", "a", "b"))
     # a document's spans: about one for every few of its lines
-    spans = stored(spans.groupBy("key").agg(F.collect_list("a").alias("__a"), F.collect_list("b").alias("__b")), "spans")
+    every = stored(every.groupBy("key").agg(F.collect_list("a").alias("__a"), F.collect_list("b").alias("__b")), "spans")
 
     @F.pandas_udf("struct<text string, removed_words long, removed_runs long>")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, starts, ends in batches:
             yield pd.DataFrame([cut_spans(t, a, b, min_words) for t, a, b in zip(texts, starts, ends, strict=True)], columns=["text", "removed_words", "removed_runs"])
 
-    keyed = docs.withColumn("__key", key).join(spans.withColumnRenamed("key", "__key"), "__key", "left")
+    keyed = docs.withColumn("__key", key).join(every.withColumnRenamed("key", "__key"), "__key", "left")
     # one join moves the texts once; only those with something to cut go to Python
     some = F.col("__a").isNotNull()
     changed = keyed.withColumn("__cut", cut(F.when(some, F.col("text")), "__a", "__b"))
