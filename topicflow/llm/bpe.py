@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .common import lean
 from .tokens import encoder, load
 from .words import binary, parts
 
@@ -135,6 +136,7 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False, leaf_char
             made.append(pa.array([decoder(path)(ids[x:y]) for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)], "string"))
         return pa.RecordBatch.from_arrays(made, names=["doc_id", "n_tokens", "ids", "decoded"][: len(made)])
 
+    @lean
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, keep_space=False)
         for b in batches:
@@ -142,6 +144,7 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False, leaf_char
                 ids, sizes = e.encode(raw, bounds)
                 yield result(b.column("doc_id")[s], sizes, ids)
 
+    @lean
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for d, key, t in zip(b["doc_id"], b["key"], b["text"], strict=True):
@@ -152,6 +155,7 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False, leaf_char
         x = library(path).encode(t, add_special_tokens=False)
         return np.array(x.ids, np.uint32), np.array(x.offsets, np.int64).reshape(-1, 2)
 
+    @lean
     def encode_leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [encode(t) if i < 0 else (np.array([i], np.uint32), np.zeros((1, 2), np.int64)) for t, i in zip(b["text"], b["special"], strict=True)]
@@ -176,6 +180,7 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False, leaf_char
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """Adds ``decoded``: the library's decode(ids, skip_special_tokens=False). No ids: the empty string."""
 
+    @lean
     def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for i in range(0, len(b), 500):

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +29,27 @@ def id_remainder(c: Column, n: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def lean(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function over batches, so that what a task has held goes back to the system at its end.
+
+    Python workers live on from task to task beside those of other stages, and an allocator that
+    keeps its peak would take the room of an executor's other processes.
+    """
+
+    @wraps(f)
+    def run(batches: Any) -> Iterator:
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from f(batches)
+        finally:
+            gc.collect()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

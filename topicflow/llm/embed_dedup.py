@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import components, lean, stored
 
 
 @lru_cache(maxsize=64)
@@ -69,6 +69,7 @@ def link_vectors(rows: DataFrame, n_rows: int, least: float = 0.95, tables: int
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = int(2 ** np.clip(np.ceil(np.log2(max(1, n_rows)) / 2), 5, 12))
 
+    @lean
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             sizes = b["vector"].map(len)
@@ -116,6 +117,7 @@ def link_vectors(rows: DataFrame, n_rows: int, least: float = 0.95, tables: int
         keep = (links > 0) | (low != ids)
         return pd.DataFrame({"id": ids[keep], "links": links[keep], "root": low[keep]}) if keep.any() else None
 
+    @lean
     def groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
         for b in batches:

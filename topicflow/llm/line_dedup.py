@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import lean, stored
 from .words import Spans, binary, lower, parts, span_hashes, words
 
 #: The table of repeated fingerprints, where it is broadcast: 2**26 bits, while an eighth of them are set at most.
@@ -140,9 +140,10 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
     """Every occurrence of a fingerprint that stands in two places or more, with the words around it."""
     spark = rows.sparkSession
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, raw, bounds in parts(b.column("text"), 4 << 20):
+            for _, raw, bounds in parts(b.column("text"), 1 << 20):
                 prints, n = np.unique(read_prints(raw, bounds)[2], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(prints), pa.array(n)], names=["print", "n"])
 
@@ -151,11 +152,17 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
     columns = "print long, doc_id long, key long, at long, size long, before binary, after binary"
 
     def described(b: pa.RecordBatch, s: slice, x: Spans, hashes: np.ndarray, prints: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
-        """The fingerprints with their contexts."""
+        """The fingerprints with their contexts, which end a line's length beyond the next one, or the one before.
+
+        A run that holds the next one too is followed from there.
+        """
         text = np.searchsorted(x.first, at, "right") - 1
+        next_one = np.append(text[1:] == text[:-1], False)
+        on = np.minimum(CONTEXT, np.where(next_one, np.maximum(np.append((at + sizes)[1:], 0) - at - sizes, 0) + LINE, CONTEXT))
+        back = np.minimum(CONTEXT, np.where(np.append(False, next_one[:-1])[: len(at)], at - np.append(0, at[:-1])[: len(at)] + LINE, CONTEXT))
         known = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - BYTES :]).tobytes()
         ends = at + sizes
-        low, high = np.maximum(x.first[text], at - CONTEXT), np.minimum(x.first[text + 1], ends + CONTEXT)
+        low, high = np.maximum(x.first[text], at - back), np.minimum(x.first[text + 1], ends + on)
         some = [b"".join([known[BYTES * p : BYTES * q] for p, q in zip(f.tolist(), t.tolist(), strict=True)]) for f, t in ((low, at), (ends, high))]
         contexts = [binary(v, BYTES * np.concatenate([[0], np.cumsum(n)])) for v, n in zip(some, (at - low, high - ends), strict=True)]
         rows_of = pa.array(text)
@@ -164,6 +171,7 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
     if repeated.count() <= most_broadcast:
         shared = spark.sparkContext.broadcast(repeated_bits(repeated))
 
+        @lean
         def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bits = shared.value
             for b in batches:
@@ -175,6 +183,7 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
 
         return rows.mapInArrow(marked, columns)
 
+    @lean
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s, raw, bounds in parts(b.column("text")):
@@ -185,6 +194,7 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
     again = rows.mapInArrow(places, "print long, key long, at long").join(repeated, "print", "left_semi")
     again = again.groupBy("key").agg(F.collect_set("at").alias("places"))  # at most a document's own
 
+    @lean
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s, raw, bounds in parts(b.column("text")):
@@ -205,6 +215,7 @@ def _matched(found: DataFrame, by: list[Column], name: str) -> DataFrame:
     later = found.join(firsts, "group").filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key")) & (F.col("at") == F.col("first.at"))))
 
     @F.pandas_udf("struct<back long, on long>")
+    @lean
     def extend(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         for before, after, first_before, first_after in batches:
             yield pd.DataFrame({
@@ -253,6 +264,7 @@ def line_dedup(docs: DataFrame, min_words: int = 20, most_broadcast: int = BITS
     every = stored(every.groupBy("key").agg(F.collect_list("a").alias("__a"), F.collect_list("b").alias("__b")), "spans")
 
     @F.pandas_udf("struct<text string, removed_words long, removed_runs long>")
+    @lean
     def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, starts, ends in batches:
             yield pd.DataFrame([cut_spans(t, a, b, min_words) for t, a, b in zip(texts, starts, ends, strict=True)], columns=["text", "removed_words", "removed_runs"])

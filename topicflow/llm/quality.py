@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 FEATURES = (
     "log_bytes", "log_words", "word_bytes", "long_words", "short_words", "distinct_words", "distinct_lines", "line_words",
     "upper", "digits", "stops", "commas", "marks", "symbols", "bars", "brackets", "other_bytes", "controls", "letters", "entropy",
@@ -187,6 +189,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", max_
     few = lot < int((1 << 31) * min(1.0, 1.5 * max_rows / max(1, rows.count())))  # else every partition would send so many
     rows = rows.filter(few).orderBy(lot, "doc_id").limit(max_rows)
 
+    @lean
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for i in range(0, len(b), 500):
@@ -203,6 +206,7 @@ def quality_score(model: AdditiveModel, text: Column) -> Column:
     """A column of scores from 0 to 1, from the text alone; null and empty texts have one too."""
 
     @F.pandas_udf("double")
+    @lean
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(np.concatenate([model.score(features(part)) for part in _in_parts(texts)] or [np.zeros(0)]))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import components, lean, stored
 
 LEAF, FAN = 32, 8
 
@@ -41,6 +41,7 @@ def fingerprint(text: str | None, words: int = 4) -> int:
 
 def simhash(text: Column, words: int = 4) -> Column:
     @F.pandas_udf("long")
+    @lean
     def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, words) for t in texts], dtype="int64")
@@ -152,6 +153,7 @@ def link_fingerprints(rows: DataFrame, most: int = 4, extra: int = 1, group_rows
         linked = root != ids
         return pd.DataFrame({"a": ids[linked], "b": root[linked]}) if linked.any() else None
 
+    @lean
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
 

@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import lean
 from .tokens import encoder
 from .words import binary, parts
 
@@ -138,6 +139,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str, end_id: int = 0
     """
     spark = docs.sparkSession
 
+    @lean
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(tokenizer_path, keep_space=True)
         part, seq = TaskContext.get().partitionId(), 0
@@ -175,6 +177,7 @@ def read_tokens(spark: SparkSession, path: str, derive: dict[str, Column] | None
     partition) are added up, then those of the frames within each part.
     """
 
+    @lean
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part, seq, frame in zip(*(b.column(c).to_pylist() for c in ("part", "seq", "frame")), strict=True):

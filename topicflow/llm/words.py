@@ -37,7 +37,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def parts(column: pa.Array, most: int = 1 << 20, rows: int = 4000) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+def parts(column: pa.Array, most: int = 1 << 19, rows: int = 4000) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """A column's texts in slices of about ``most`` bytes: the rows, their bytes and bounds. Texts stay whole."""
     raw, bounds = text_bytes(column)
     i = 0
@@ -87,7 +87,7 @@ def _power(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         out = np.full(n, x, np.uint64)
         out[0] = 1
         made.append(np.cumprod(out, out=out))
-    if n <= 1 << 22:
+    if n <= 1 << 20:
         _powers[which] = (made[0], made[1])
     return made[0], made[1]
 
