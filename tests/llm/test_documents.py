@@ -362,7 +362,7 @@ def repeats_of(rows, least):
     return out
 
 
-def test_repeated_runs_are_cut_in_full(spark):
+def test_repeated_runs_are_cut_in_full(spark, monkeypatch):
     """Passages of 50 words and more, in every kind of line, beside all runs that repeat by brute force."""
     rng = random.Random(5)
     lists = ["\n".join(f"{prose(rng, 1)} {prose(rng, 1)}" for _ in range(200)), "\n".join(prose(rng, 1) for _ in range(300))]
@@ -374,7 +374,8 @@ def test_repeated_runs_are_cut_in_full(spark):
         for k, p in enumerate(passages):
             rows.append((len(rows), f"{prose(rng, 40)} {p} {prose(rng, 40)}" if (i + k) % 2 else f"{prose(rng, 12)}\n{p}\n{prose(rng, 33)}"))
     want = repeats_of(rows, 20)
-    for most in (1 << 20, 0):  # by a bitmap, by a join
+    for most, hot in ((1 << 20, 2000), (0, 2000), (1 << 20, 1)):  # by a bitmap, by a join, all groups split
+        monkeypatch.setattr(line_dedup, "HOT", hot)
         found = {r["doc_id"]: r for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), most_broadcast=most).collect()}
         cut = sum(r["removed_words"] for r in found.values())
         assert all(found[i]["removed_words"] <= len(want[i]) for i, _ in rows)

@@ -11,16 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import lean, stored
-from .words import Spans, binary, lower, parts, span_hashes, words
+from .words import Spans, binary, lower, parts, span_hashes, text_bytes, words
 
-#: The table of repeated fingerprints, where it is broadcast: 2**26 bits, while an eighth of them are set at most.
-BITS = 1 << 26
+#: The table of repeated fingerprints, where it is broadcast: 2**24 bits, while an eighth of them are set at most.
+BITS = 1 << 24
 _ENDS = np.isin(np.arange(256), list(b".!?"))
 #: Lines of more words are cut; a fingerprint has GRAM words at least. A run of GUARANTEED words holds one.
 LINE, GRAM = 12, 8
 GUARANTEED = 5 * LINE + GRAM
 #: Words known on either side of a fingerprint, which is as far as a run may reach beyond its last one; bytes a word.
 CONTEXT, BYTES = 3 * LINE, 3
+#: Occurrences of one fingerprint that a task takes; more are dealt out.
+HOT = 2000
 
 
 def line_ends(raw: np.ndarray, s: Spans, hashes: np.ndarray, longest: int = LINE) -> np.ndarray:
@@ -86,7 +88,7 @@ def read_prints(raw: np.ndarray, bounds: np.ndarray) -> tuple[Spans, np.ndarray,
 
 
 def repeated_bits(repeated: DataFrame) -> np.ndarray:
-    """Fingerprints that occur more than once, as BITS bits; at most 2**20 rows reach the driver."""
+    """Fingerprints that occur more than once, as BITS bits; at most 2**18 rows reach the driver."""
     bit = F.pmod(F.col("print"), F.lit(BITS))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
     rows = repeated.groupBy(F.shiftright(bit, 6).alias("slot")).agg(F.bit_or(one).alias("bits")).toPandas()
@@ -95,30 +97,28 @@ def repeated_bits(repeated: DataFrame) -> np.ndarray:
     return out
 
 
-def _common(a: bytes, b: bytes, back: bool = False) -> int:
-    """How many words of BYTES bytes from the start, or the end, are the same in both."""
-    n = min(len(a), len(b)) // BYTES
-    if not n:
-        return 0
-    if back:
-        a, b = a[len(a) - BYTES * n :], b[len(b) - BYTES * n :]
-    else:
-        a, b = a[: BYTES * n], b[: BYTES * n]
-    if a == b:
+def common_words(column: pa.Array, here: np.ndarray, there: np.ndarray, back: bool = False) -> np.ndarray:
+    """How many words of BYTES bytes, from the start or the end, the contexts ``here`` share with those ``there``."""
+    raw, edges = text_bytes(column)
+    n = np.minimum(np.diff(edges)[here], np.diff(edges)[there]) // BYTES
+    most = int(n.max(initial=0))
+    if not most:
         return n
-    differ = (np.frombuffer(a, np.uint8) != np.frombuffer(b, np.uint8)).reshape(n, BYTES).any(1)
-    return int((differ[::-1] if back else differ).argmax())
+    step = np.arange(most * BYTES)
+    at = [np.clip(edges[k + 1][:, None] - 1 - step if back else edges[k][:, None] + step, 0, len(raw) - 1) for k in (here, there)]
+    same = (raw[at[0]] == raw[at[1]]).reshape(len(here), most, BYTES).all(2)
+    return np.minimum(n, np.where(same.all(1), most, same.argmin(1)))
 
 
-def cut_spans(text: str | None, starts: list[int] | None, ends: list[int] | None, min_words: int) -> tuple[str, int, int]:
+def cut_spans(text: str | None, spans: list[dict[str, int]] | None, min_words: int) -> tuple[str, int, int]:
     """The text without its repeated runs of ``min_words`` or more, the words cut and the runs cut.
 
     Overlapping and adjoining spans make one run. A run goes with the white space after it.
     """
-    if starts is None or ends is None:
+    if spans is None:
         return text or "", 0, 0
     runs: list[list[int]] = []
-    for a, b in sorted(zip(starts, ends, strict=True)):
+    for a, b in sorted((x["a"], x["b"]) for x in spans):
         if runs and a <= runs[-1][1]:
             runs[-1][1] = max(runs[-1][1], b)
         else:
@@ -148,8 +148,8 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(prints), pa.array(n)], names=["print", "n"])
 
     counted = rows.select("text").mapInArrow(count, "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
-    repeated = stored(counted.filter("n > 1").select("print"), "repeated")
-    columns = "print long, doc_id long, key long, at long, size long, before binary, after binary"
+    repeated = stored(counted.filter("n > 1"), "repeated")
+    hot = repeated.filter(F.col("n") > HOT).select("print", F.ceil(F.col("n") / HOT).alias("salts"))
 
     def described(b: pa.RecordBatch, s: slice, x: Spans, hashes: np.ndarray, prints: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
         """The fingerprints with their contexts, which end a line's length beyond the next one, or the one before.
@@ -181,7 +181,7 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
                     again = np.flatnonzero((bits[bit >> 6] >> (bit & 63)) & 1)
                     yield described(b, s, x, hashes, prints[again], at[again], sizes[again])
 
-        return rows.mapInArrow(marked, columns)
+        return _salted(rows.mapInArrow(marked, _FOUND), hot)
 
     @lean
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,27 +204,55 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
                 kept = np.flatnonzero([k in wanted[t] for t, k in zip(text.tolist(), (at - x.first[text]).tolist(), strict=True)])
                 yield described(b, s, x, hashes, prints[kept], at[kept], sizes[kept])
 
-    return rows.join(again, "key").select("doc_id", "key", "text", "places").mapInArrow(chosen, columns)
+    return _salted(rows.join(again, "key").select("doc_id", "key", "text", "places").mapInArrow(chosen, _FOUND), hot)
 
 
-def _matched(found: DataFrame, by: list[Column], name: str) -> DataFrame:
-    """Each occurrence but the first of its group, matched with the first: a and b, the run's first word and its end."""
-    place = F.struct("doc_id", "key", "at", "size", "before", "after")
-    found = found.withColumn("group", F.xxhash64(*by) if len(by) > 1 else by[0])
-    firsts = stored(found.groupBy("group").agg(F.min(place).alias("first")), name)
-    later = found.join(firsts, "group").filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key")) & (F.col("at") == F.col("first.at"))))
+def _salted(found: DataFrame, hot: DataFrame) -> DataFrame:
+    """With the columns group and salt: a hot fingerprint's occurrences are dealt out, others have -1."""
+    salt = F.coalesce(F.pmod(F.xxhash64("doc_id", "key", "at"), F.col("salts")), F.lit(-1))
+    return found.join(hot, "print", "left").select(*_NAMES, F.col("print").alias("group"), salt.alias("salt"))
 
-    @F.pandas_udf("struct<back long, on long>")
-    @lean
-    def extend(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for before, after, first_before, first_after in batches:
-            yield pd.DataFrame({
-                "back": [_common(x, y, back=True) for x, y in zip(before, first_before, strict=True)],
-                "on": [_common(x, y) for x, y in zip(after, first_after, strict=True)],
-            }, dtype="int64")
 
-    later = later.filter(F.col("size") == F.col("first.size")).withColumn("run", extend("before", "after", "first.before", "first.after"))
-    return later.withColumns({"a": F.col("at") - F.col("run.back"), "b": F.col("at") + F.col("size") + F.col("run.on")}).drop("first", "run", "group")
+_FOUND = "print long, doc_id long, key long, at long, size long, before binary, after binary"
+_PLACE = ("print", "doc_id", "key", "at")
+
+
+def _matched(found: DataFrame, salted: bool) -> DataFrame:
+    """Each occurrence but its group's first, matched with that: a and b, the run's first word and its end.
+
+    Rows of (group, salt) are sorted by place in one task, which keeps but the first. With
+    ``salted`` the firsts of split groups come out too: those are to be matched in turn.
+    """
+
+    @lean
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None  # the first of the group that is open
+        for b in batches:
+            if not len(b):
+                continue
+            if held is not None:
+                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+            group, salt, doc, key, at = (b.column(c).fill_null(-1).to_numpy(zero_copy_only=False) for c in ("group", "salt", "doc_id", "key", "at"))
+            new = np.ones(len(b), bool)
+            new[1:] = (group[1:] != group[:-1]) | (salt[1:] != salt[:-1])
+            first = np.maximum.accumulate(np.where(new, np.arange(len(b)), 0))
+            here = np.flatnonzero(~new & ((key != key[first]) | (at != at[first]) | (doc != doc[first])))
+            there = first[here]
+            low = at[here] - common_words(b.column("before"), here, there, back=True)
+            high = at[here] + b.column("size").to_numpy()[here] + common_words(b.column("after"), here, there)
+            split = np.flatnonzero(new & (salt >= 0) & (np.arange(len(b)) >= (held is not None))) if salted else here[:0]
+            rows = np.concatenate([here, split])
+            nothing = pa.nulls(len(split), pa.int64())
+            ends = [pa.concat_arrays([pa.array(v), nothing]) for v in (low, high)]
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(rows)) for c in _NAMES), *ends], names=[*_NAMES, "a", "b"])
+            held = b.slice(int(first[-1]), 1)
+
+    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = found.repartition(n, "group", "salt").sortWithinPartitions("group", "salt", "doc_id", "key", "at")
+    return dealt.mapInArrow(follow, _FOUND + ", a long, b long")
+
+
+_NAMES = [c.split()[0] for c in _FOUND.split(", ")]
 
 
 def line_dedup(docs: DataFrame, min_words: int = 20, most_broadcast: int = BITS // 8) -> DataFrame:
@@ -247,32 +275,39 @@ def line_dedup(docs: DataFrame, min_words: int = 20, most_broadcast: int = BITS
     """
     key = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), F.coalesce("text", F.lit("")))
     rows = docs.select("doc_id", key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    found = stored(_occurrences(rows, most_broadcast), "occurrences")
-    short = F.col("b") - F.col("a") < min_words
-    kept = lambda c: F.when(short, F.col(c)).alias(c)
-    matched = _matched(found, [F.col("print")], "firsts").select("print", "doc_id", "key", "at", "size", kept("before"), kept("after"), "a", "b")
-    matched = stored(matched, "matched")
-    again = matched.filter(short).drop("a", "b")
-    spans = [matched, *(
-        _matched(again.filter(F.octet_length(c) >= 8 * BYTES), [F.col("print"), F.lit(c), side(F.col(c))], f"firsts-{c}")
-        for c, side in (("before", lambda c: F.substring(c, -8 * BYTES, 8 * BYTES)), ("after", lambda c: F.substring(c, 1, 8 * BYTES)))
-    )]
-    every = spans[0].select("key", "a", "b")
+    short = (F.col("b") - F.col("a") < min_words) | F.col("a").isNull()
+    matched = _matched(_occurrences(rows, most_broadcast), salted=True)
+    kept = [F.when(short, F.col(c)).alias(c) for c in ("before", "after")]
+    matched = stored(matched.select("print", "doc_id", "key", "at", "size", *kept, "a", "b"), "matched")
+    spans = [matched.filter("a is not null")]
+    # the firsts of split groups among themselves
+    firsts = matched.filter("a is null").select(*_NAMES, F.col("print").alias("group"), F.lit(-1).cast("long").alias("salt"))
+    firsts = stored(_matched(firsts, salted=False), "firsts")
+    again = matched.filter("a is not null").unionByName(firsts).filter(short).select(*_NAMES)
+    spans.append(firsts)
+    for c, side in (("before", F.substring("before", -8 * BYTES, 8 * BYTES)), ("after", F.substring("after", 1, 8 * BYTES))):
+        wide = again.filter(F.octet_length(c) >= 8 * BYTES).select(*_NAMES, F.xxhash64("print", side).alias("group"))
+        counts = stored(wide.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1"), f"wide-{c}")
+        wide = wide.join(counts, "group").withColumn("salt", F.when(F.col("n") > HOT, F.pmod(F.xxhash64("doc_id", "key", "at"), F.ceil(F.col("n") / HOT))).otherwise(-1)).select(*_NAMES, "group", "salt")
+        once = stored(_matched(wide, salted=True), f"matched-{c}")
+        more = once.filter("a is null").select(*_NAMES, F.xxhash64("print", side).alias("group"), F.lit(-1).cast("long").alias("salt"))
+        spans += [once.filter("a is not null"), _matched(more, salted=False)]
+    every = spans[0].select("doc_id", "key", "a", "b")
     for more in spans[1:]:
-        every = every.union(more.select("key", "a", "b"))
+        every = every.union(more.select("doc_id", "key", "a", "b"))
     # a document's spans: about one for every few of its lines
-    every = stored(every.groupBy("key").agg(F.collect_list("a").alias("__a"), F.collect_list("b").alias("__b")), "spans")
+    every = stored(every.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("__spans")), "spans")
 
     @F.pandas_udf("struct<text string, removed_words long, removed_runs long>")
     @lean
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, starts, ends in batches:
-            yield pd.DataFrame([cut_spans(t, a, b, min_words) for t, a, b in zip(texts, starts, ends, strict=True)], columns=["text", "removed_words", "removed_runs"])
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, spans in batches:
+            yield pd.DataFrame([cut_spans(t, x, min_words) for t, x in zip(texts, spans, strict=True)], columns=["text", "removed_words", "removed_runs"])
 
     keyed = docs.withColumn("__key", key).join(every.withColumnRenamed("key", "__key"), "__key", "left")
     # one join moves the texts once; only those with something to cut go to Python
-    some = F.col("__a").isNotNull()
-    changed = keyed.withColumn("__cut", cut(F.when(some, F.col("text")), "__a", "__b"))
+    some = F.col("__spans").isNotNull()
+    changed = keyed.withColumn("__cut", cut(F.when(some, F.col("text")), "__spans"))
     changed = changed.withColumn("text", F.when(some, F.col("__cut.text")).otherwise(F.coalesce("text", F.lit(""))))
     changed = changed.withColumns({c: F.col(f"__cut.{c}") for c in ("removed_words", "removed_runs")})
     out: list[Column | str] = [*docs.columns, *[c for c in ("removed_words", "removed_runs") if c not in docs.columns]]
