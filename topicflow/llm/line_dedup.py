@@ -152,14 +152,14 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
     hot = repeated.filter(F.col("n") > HOT).select("print", F.ceil(F.col("n") / HOT).alias("salts"))
 
     def described(b: pa.RecordBatch, s: slice, x: Spans, hashes: np.ndarray, prints: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
-        """The fingerprints with their contexts, which end a line's length beyond the next one, or the one before.
+        """The fingerprints with their contexts, which end a few words beyond the next one, or the one before.
 
         A run that holds the next one too is followed from there.
         """
         text = np.searchsorted(x.first, at, "right") - 1
         next_one = np.append(text[1:] == text[:-1], False)
-        on = np.minimum(CONTEXT, np.where(next_one, np.maximum(np.append((at + sizes)[1:], 0) - at - sizes, 0) + LINE, CONTEXT))
-        back = np.minimum(CONTEXT, np.where(np.append(False, next_one[:-1])[: len(at)], at - np.append(0, at[:-1])[: len(at)] + LINE, CONTEXT))
+        on = np.minimum(CONTEXT, np.where(next_one, np.maximum(np.append((at + sizes)[1:], 0) - at - sizes, 0) + GRAM // 2, CONTEXT))
+        back = np.minimum(CONTEXT, np.where(np.append(False, next_one[:-1])[: len(at)], at - np.append(0, at[:-1])[: len(at)] + GRAM // 2, CONTEXT))
         known = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - BYTES :]).tobytes()
         ends = at + sizes
         low, high = np.maximum(x.first[text], at - back), np.minimum(x.first[text + 1], ends + on)
@@ -292,9 +292,9 @@ def line_dedup(docs: DataFrame, min_words: int = 20, most_broadcast: int = BITS
         once = stored(_matched(wide, salted=True), f"matched-{c}")
         more = once.filter("a is null").select(*_NAMES, F.xxhash64("print", side).alias("group"), F.lit(-1).cast("long").alias("salt"))
         spans += [once.filter("a is not null"), _matched(more, salted=False)]
-    every = spans[0].select("doc_id", "key", "a", "b")
+    every = spans[0].select("key", "a", "b")
     for more in spans[1:]:
-        every = every.union(more.select("doc_id", "key", "a", "b"))
+        every = every.union(more.select("key", "a", "b"))
     # a document's spans: about one for every few of its lines
     every = stored(every.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("__spans")), "spans")
 
