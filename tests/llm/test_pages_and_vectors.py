@@ -60,11 +60,15 @@ def test_mined_rules_equal_brute_force(spark):
     bad = {r["doc_id"]: int(r["quality"] == 0 or r["toxic"] == 1) for r in labels.collect()}
     seen = Counter(t for i in bad for t in tokens[i])
     useful = sorted(t for t, n in seen.items() if 30 <= n <= 0.9 * len(bad))
-    sure = {}
+    sure, share = {}, sum(bad.values()) / len(bad)
     for mask in range(1, 1 << len(useful)):
         s = frozenset(t for k, t in enumerate(useful) if mask >> k & 1)
         held = [bad[i] for i in bad if s <= tokens[i]]
-        if len(held) >= 30 and sum(held) / len(held) >= 0.6:
+        if len(held) < 30:
+            continue
+        p, n = sum(held) / len(held), len(held)
+        bound = (p + 1 / (2 * n) - np.sqrt(p * (1 - p) / n + 1 / (4 * n * n))) / (1 + 1 / n)
+        if p >= 0.6 and bound > share:
             sure[s] = (len(held), round(sum(held) / len(held), 9))
     want = {tuple(sorted(s)): v for s, v in sure.items() if not any(s - {t} in sure and sure[s - {t}][1] >= v[1] for t in s)}
     assert rules == want and rules
