@@ -88,12 +88,15 @@ def unit(x: np.ndarray) -> np.ndarray:
 _GROUP = ("dim", "filter", "pair")
 
 
-def _pairs(x: np.ndarray, edges: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of a group (from one edge to the next) with a product of ``least`` or more, in parts."""
+def _pairs(x: np.ndarray, f: np.ndarray, here: np.ndarray, edges: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of a group (from one edge to the next) with a product of ``least`` or more, in parts.
+
+    Only pairs whose first shared filter (``f``: each row's, -1 for none) is the group's own: in
+    groups of many alike, whose filters are alike too, all but one group pass over a pair.
+    """
     sizes = np.diff(edges)
     large = sizes > 128
-    small = ~np.repeat(large, sizes)
-    later = np.where(small, np.repeat(edges[1:], sizes) - np.arange(len(x)) - 1, 0)
+    later = np.where(~np.repeat(large, sizes), np.repeat(edges[1:], sizes) - np.arange(len(x)) - 1, 0)
     total = np.cumsum(later)
     i = 0
     while i < len(x):  # about so many pairs at a time
@@ -101,13 +104,28 @@ def _pairs(x: np.ndarray, edges: np.ndarray, least: float) -> Iterator[tuple[np.
         p = np.repeat(np.arange(i, j), later[i:j])
         q = p + 1 + np.arange(len(p)) - np.repeat(np.cumsum(later[i:j]) - later[i:j], later[i:j])
         hit = np.einsum("ij,ij->i", x[p], x[q]) >= least
-        yield p[hit], q[hit]
+        p, q = p[hit], q[hit]
+        for c in range(0, len(p), 4096):
+            a, b = p[c : c + 4096], q[c : c + 4096]
+            seen = ((f[a][:, :, None] == f[b][:, None, :]) & ((f[a] >= 0) & (f[a] < here[a][:, None]))[:, :, None]).any((1, 2))
+            yield a[~seen], b[~seen]
         i = j
     for k in np.flatnonzero(large).tolist():
-        y = x[edges[k] : edges[k + 1]]
-        for s in range(0, len(y), 256):
-            p, q = np.nonzero(y[s : s + 256] @ y[s:].T >= least)
-            yield (p + s + edges[k])[q > p], (q + s + edges[k])[q > p]
+        low, high = int(edges[k]), int(edges[k + 1])
+        earlier = np.where((f[low:high] >= 0) & (f[low:high] < here[low]), f[low:high], -1)
+        for s in range(0, high - low, 64):
+            known = np.unique(earlier[s : s + 64])
+            known = known[known >= 0]
+            rest = earlier[s:]
+            shared = np.zeros((len(rest), len(known)), np.float32)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, rest), len(known) - 1)
+                row, column = np.nonzero(known[at] == rest)
+                shared[row, at[row, column]] = 1
+            hit = x[low + s : min(low + s + 64, high)] @ x[low + s : high].T >= least
+            hit &= shared[: len(hit)] @ shared.T == 0
+            p, q = np.nonzero(np.triu(hit, 1))
+            yield p + low + s, q + low + s
 
 
 def compared(t: pa.Table, least: float) -> Iterator[pa.RecordBatch]:
@@ -124,21 +142,18 @@ def compared(t: pa.Table, least: float) -> Iterator[pa.RecordBatch]:
         edges = np.concatenate([[0], np.flatnonzero((here[1:] != here[:-1]) | (pair[1:] != pair[:-1])) + 1, [len(same)]])
         across = pair // chunks != pair % chunks
         links, root = np.zeros(len(same), np.int64), np.arange(len(same))
-        for p, q in _pairs(x, edges, least):
+        for p, q in _pairs(x, f, here, edges, least):
             new = ~across[p] | (chunk[p] != chunk[q])
-            for c in range(0, int(new.sum()), 4096):
-                a, b = p[new][c : c + 4096], q[new][c : c + 4096]
-                while True:  # hook and jump until every pair has one root
-                    ra, rb = root[a], root[b]
-                    if (ra == rb).all():
-                        break
-                    np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
-                    while (root != root[root]).any():
-                        root = root[root]
-                # a pair counts in the first of the filters that both are under
-                first = ~((f[a][:, :, None] == f[b][:, None, :]) & ((f[a] >= 0) & (f[a] < here[a][:, None]))[:, :, None]).any((1, 2))
-                np.add.at(links, a[first], copies[b[first]])
-                np.add.at(links, b[first], copies[a[first]])
+            a, b = p[new], q[new]
+            np.add.at(links, a, copies[b])
+            np.add.at(links, b, copies[a])
+            while True:  # hook and jump until every pair has one root
+                ra, rb = root[a], root[b]
+                if (ra == rb).all():
+                    break
+                np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+                while (root != root[root]).any():
+                    root = root[root]
         low = np.full(len(same), np.iinfo(np.int64).max)
         np.minimum.at(low, root, ids)
         low = low[root]
