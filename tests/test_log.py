@@ -279,3 +279,57 @@ def test_listener_reports_progress_and_end(spark, tmp_path):
     finally:
         spark.streams.removeListener(listener)
     assert reports and ends == [None]
+
+
+def test_null_partitions_are_numbered_too(spark):
+    rows = spark.createDataFrame([("a", None, 1), (None, 0, 2), (None, 0, 70_000), ("a", None, 3)], "topic string, partition int, n long")
+    for bucket in (None, F.floor(F.col("n") / 65_536)):
+        found = logs.dense_offsets(rows, ["topic", "partition"], ["n"], bucket)
+        assert sorted((r["n"], r["offset"]) for r in found.collect()) == [(1, 0), (2, 0), (3, 1), (70_000, 1)]
+
+
+def test_ranges_along_a_hot_partition(spark, monkeypatch):
+    from topicflow.operators import partitioned
+
+    rows = spark.range(40).select(F.lit("a").alias("topic"), F.lit(None).cast("int").alias("partition"), (F.col("id") * 3).alias("offset"), (F.col("id") % 9 == 8).alias("mark"))
+    monkeypatch.setattr(partitioned, "RANGE", 16)
+    got = lambda df, c: [r[c] for r in df.orderBy("offset").collect()]
+    assert got(partitioned.running_count(rows), "n") == list(range(1, 41))
+    assert got(partitioned.take(rows, 7), "offset") == [3 * i for i in range(7)]
+    assert got(partitioned.chunks(rows, 6), "chunk") == [i // 6 for i in range(40)]
+    assert got(partitioned.segments(rows, F.col("mark")), "segment") == [i // 9 for i in range(40)]
+    for inclusive in (False, True):
+        assert got(partitioned.take_while(rows, ~F.col("mark"), inclusive), "offset") == [3 * i for i in range(8 + inclusive)]
+    none = rows.limit(0)
+    for f in (partitioned.running_count(none), partitioned.segments(none, F.col("mark")), partitioned.take_while(none, F.col("mark"))):
+        assert f.count() == 0
+
+
+def test_commits_of_two_jobs_follow_time(spark, tmp_path):
+    """An older job's batch 57 does not beat a newer job's batch 3; a name may not be taken twice."""
+    rows = numbers(spark, 20)
+    for source, batch, offset in (("old", 57, 5), ("new", 3, 9)):
+        jobs.commit_batch(readers.committable(rows.filter(F.col("offset") == offset), "g"), str(tmp_path / "j"), source, batch)
+    journal = jobs.read_batches(spark, str(tmp_path / "j"), jobs.JOURNAL_SCHEMA)
+    assert {r["next_offset"] for r in offsets.current_positions(journal).collect()} == {10}
+    assert offsets.compact_journal(journal).first()["source_id"] == "new"
+    logs.write_log(rows, str(tmp_path / "log"))
+    with pytest.raises(ValueError, match="another job"):
+        jobs.at_least_once(logs.stream_log(spark, str(tmp_path / "log")), lambda b: b, "g", str(tmp_path / "o"), str(tmp_path / "j"), str(tmp_path / "c"), source_id="old")
+
+
+def test_refused_envelopes_have_a_result(spark):
+    row = lambda topic, part: (topic, part, None, b"k", b"v")
+    made = [(0, [row("a", 0)], "p0"), (1, [row("a", 0), row(None, 1)], "p1"), (2, [row("a", -7)], "p2"), (3, [], "p3"), (4, None, "p4"), (5, [row("a", 0), row("b", None)], "p5")]
+    schema = "envelope_id long, records array<struct<topic:string,partition:int,timestamp:timestamp_ntz,key:binary,value:binary>>, pass_through string"
+    sent, done = produce.produce(spark.createDataFrame(made, schema), 3)
+    assert sorted((r["envelope_id"], r["topic"], r["offset"]) for r in sent.collect()) == [(0, "a", 0), (5, "a", 1), (5, "b", 0)]
+    found = {r["envelope_id"]: (r["kind"], len(r["parts"]), r["pass_through"], r["error_code"]) for r in done.collect()}
+    assert found == {0: ("single", 1, "p0", None), 1: ("refused", 0, "p1", "INVALID_TOPIC"), 2: ("refused", 0, "p2", "INVALID_PARTITION"), 3: ("passthrough", 0, "p3", None), 4: ("passthrough", 0, "p4", None), 5: ("multi", 2, "p5", None)}
+
+
+def test_each_result_reaches_the_action(spark, tmp_path):
+    logs.write_log(numbers(spark, 10), str(tmp_path / "log"))
+    seen = []
+    jobs.drain(jobs.for_each_result(logs.stream_log(spark, str(tmp_path / "log")), lambda rows, batch: seen.append(rows.count()), str(tmp_path / "c")))
+    assert sum(seen) == 10

@@ -42,20 +42,30 @@ def grouped_within(records: DataFrame, by: list[str], time: Column, interval: st
     return timed.withColumn("batch", F.floor(place / most).cast("long"))
 
 
-def journal_rows(batches: DataFrame, source_id: Column, commit_seq: Column) -> DataFrame:
-    """Batches as rows of the journal. What is committed is the next offset to read."""
-    return batches.select(*GROUP, (F.col("offset") + 1).alias("next_offset"), "metadata", "batch_size", source_id.alias("source_id"), commit_seq.cast("long").alias("commit_seq"))
+def journal_rows(batches: DataFrame, source_id: Column, commit_seq: Column, committed_at: int | None = None) -> DataFrame:
+    """Batches as rows of the journal. What is committed is the next offset to read.
+
+    ``committed_at`` (milliseconds) orders the commits of different jobs, which number their own.
+    """
+    at = F.lit(committed_at).cast("long").alias("committed_at")
+    return batches.select(*GROUP, (F.col("offset") + 1).alias("next_offset"), "metadata", "batch_size", source_id.alias("source_id"), commit_seq.cast("long").alias("commit_seq"), at)
+
+
+def _arrival(journal: DataFrame) -> Column:
+    """The order of commits: by time where the journal has it (a null one comes first), then by number, source and offset."""
+    at = F.coalesce("committed_at", F.lit(-1)) if "committed_at" in journal.columns else F.lit(-1)
+    return F.struct(at.cast("long").alias("at"), "commit_seq", "source_id", "next_offset")
 
 
 def current_positions(journal: DataFrame) -> DataFrame:
     """The latest commit of each group, topic and partition."""
-    last = F.max_by(F.struct("next_offset", "metadata"), F.col("commit_seq"))
+    last = F.max_by(F.struct("next_offset", "metadata"), _arrival(journal))
     return journal.groupBy(*GROUP).agg(last.alias("last")).select(*GROUP, "last.next_offset", "last.metadata")
 
 
 def compact_journal(journal: DataFrame) -> DataFrame:
     """One row a position, with all that were folded into it."""
-    last = F.max_by(F.struct("next_offset", "metadata", "source_id", "commit_seq"), F.col("commit_seq"))
+    last = F.max_by(F.struct("next_offset", "metadata", "source_id", "commit_seq"), _arrival(journal))
     folded = journal.groupBy(*GROUP).agg(last.alias("last"), F.sum("batch_size").alias("batch_size"))
     return folded.select(*GROUP, "last.next_offset", "last.metadata", "batch_size", "last.source_id", "last.commit_seq")
 

@@ -1,27 +1,34 @@
-"""What runs along each partition in offset order."""
+"""What runs along each partition in offset order.
+
+Partitions are numbered in ranges of offsets, so that a hot one lies in many tasks. A null topic or
+partition makes a partition of its own, a null offset comes first; records that share an offset follow
+each other in no fixed order; an empty log gives an empty result. Columns that begin with two
+underscores are the library's.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.log import PARTITION
+from ..sources.log import PARTITION, dense_offsets
 
 
-def _along(by: Sequence[str] = PARTITION) -> Window:
-    return Window.partitionBy(*by).orderBy("offset")
+#: Offsets that are numbered in one task: a hot partition is many ranges of so many.
+RANGE = 1 << 16
 
 
 def running_count(records: DataFrame, name: str = "n") -> DataFrame:
-    """How many of the partition have come, this one included."""
-    return records.withColumn(name, F.row_number().over(_along()).cast("long"))
+    """How many of the partition have come, this one included. A column called ``name`` is replaced."""
+    numbered = dense_offsets(records, PARTITION, ["offset"], F.floor(F.col("offset") / RANGE), "__n")
+    return numbered.withColumn(name, F.col("__n") + 1).drop("__n") if name != "__n" else numbered
 
 
 def take(records: DataFrame, n: int) -> DataFrame:
     """The first n of each partition."""
-    return records.withColumn("__n", F.row_number().over(_along())).filter(F.col("__n") <= n).drop("__n")
+    return running_count(records, "__count").filter(F.col("__count") <= n).drop("__count")
 
 
 def take_first(records: DataFrame, n: int, order: str = "offset") -> DataFrame:
@@ -31,20 +38,28 @@ def take_first(records: DataFrame, n: int, order: str = "offset") -> DataFrame:
 
 def chunks(records: DataFrame, n: int, name: str = "chunk") -> DataFrame:
     """Consecutive chunks of n: together they hold every record once."""
-    return records.withColumn(name, F.floor((F.row_number().over(_along()) - 1) / n).cast("long"))
+    return running_count(records, "__count").withColumn(name, F.floor((F.col("__count") - 1) / n).cast("long")).drop("__count")
 
 
 def segments(records: DataFrame, marker: Column, name: str = "segment") -> DataFrame:
     """Numbers the stretches between failures: a record with the marker ends its segment."""
-    before = _along().rowsBetween(Window.unboundedPreceding, -1)
-    return records.withColumn(name, F.coalesce(F.sum(marker.cast("int")).over(before), F.lit(0)).cast("long"))
+    marked = records.withColumns({"__mark": F.coalesce(marker.cast("int"), F.lit(0)), "__range": F.floor(F.col("offset") / RANGE)})
+    sums = marked.groupBy(*PARTITION, "__range").agg(F.sum("__mark").alias("__in"))
+    earlier = Window.partitionBy(*PARTITION).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*[F.col(c).alias(f"__{c}") for c in (*PARTITION, "__range")], F.coalesce(F.sum("__in").over(earlier), F.lit(0)).alias("__base"))
+    before = Window.partitionBy(*PARTITION, "__range").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
+    here = marked.withColumn("__before", F.coalesce(F.sum("__mark").over(before), F.lit(0)))
+    same = [here[c].eqNullSafe(F.col(f"__{c}")) for c in (*PARTITION, "__range")]
+    return here.join(sums, same).withColumn(name, (F.col("__base") + F.col("__before")).cast("long")).select(*[c for c in records.columns if c != name], name)
 
 
 def take_while(records: DataFrame, good: Column, inclusive: bool = False) -> DataFrame:
-    """Each partition up to its first record that is not good; with that record if inclusive."""
-    frame = _along().rowsBetween(Window.unboundedPreceding, -1 if inclusive else Window.currentRow)
-    over = F.max((~good).cast("int")).over(frame)
-    return records.withColumn("__over", F.coalesce(over, F.lit(0))).filter("__over = 0").drop("__over")
+    """Each partition up to its first record that is not good (or null); with that record if inclusive."""
+    ends = records.filter(~F.coalesce(good, F.lit(False))).groupBy(*PARTITION).agg(F.min("offset").alias("__end"))
+    ends = ends.select(F.col("topic").alias("__topic"), F.col("partition").alias("__partition"), "__end")
+    joined = records.join(ends, [records[c].eqNullSafe(F.col(f"__{c}")) for c in PARTITION], "left")
+    inside = F.col("offset") <= F.col("__end") if inclusive else F.col("offset") < F.col("__end")
+    return joined.filter(F.col("__end").isNull() | inside).drop("__end", "__topic", "__partition")
 
 
 def merge(*streams: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.log import PARTITION, dense_offsets
@@ -44,8 +44,18 @@ def invalid_reason(topic: Column, partition: Column, epoch_ms: Column) -> Column
     return F.when(topic.isNull(), "INVALID_TOPIC").when(partition < 0, "INVALID_PARTITION").when(epoch_ms < 0, "INVALID_TIMESTAMP")
 
 
+def _reason(topic: Column, partition: Column, timestamp: Column) -> Column:
+    return invalid_reason(topic, partition, F.unix_millis(timestamp.cast("timestamp")))
+
+
+def refusal(records: Column) -> Column:
+    """The first error code among an envelope's records: null if all may be sent."""
+    reasons = F.transform(records, lambda r: _reason(r["topic"], r["partition"], r["timestamp"]))
+    return F.try_element_at(F.filter(reasons, lambda c: c.isNotNull()), F.lit(1))
+
+
 def valid_or_raise(records: DataFrame) -> DataFrame:
-    reason = invalid_reason(F.col("topic"), F.col("partition"), F.unix_millis(F.col("timestamp").cast("timestamp")))
+    reason = _reason(F.col("topic"), F.col("partition"), F.col("timestamp"))
     return records.filter(F.when(reason.isNotNull(), F.raise_error(F.concat(F.lit("record refused: "), reason)).cast("boolean")).otherwise(F.lit(True)))
 
 
@@ -69,25 +79,23 @@ def assign_offsets(records: DataFrame, ends: DataFrame | None = None, bucket_row
 
 
 def results(envelopes: DataFrame, sent: DataFrame) -> DataFrame:
-    """One result per envelope: kind, parts (topic, partition, offset, in order) and its pass_through."""
+    """One result per envelope: kind, parts (topic, partition, offset, in order), its pass_through and error_code.
+
+    An envelope with a record that may not be sent is refused: it has no parts, and the first
+    record's error code.
+    """
     parts = sent.groupBy("envelope_id").agg(F.array_sort(F.collect_list(F.struct("ordinal", "topic", "partition", "offset"))).alias("parts"))
-    joined = envelopes.select("envelope_id", "pass_through", F.size("records").alias("asked")).join(parts, "envelope_id", "left")
-    kind = F.when(F.col("asked") == 0, "passthrough").when(F.col("asked") == 1, "single").otherwise("multi")
-    return joined.select("envelope_id", kind.alias("kind"), F.coalesce("parts", F.array().cast("array<struct<ordinal:int,topic:string,partition:int,offset:bigint>>")).alias("parts"), "pass_through")
+    joined = envelopes.select("envelope_id", "pass_through", F.coalesce(F.size("records"), F.lit(0)).alias("asked"), refusal(F.col("records")).alias("error_code")).join(parts, "envelope_id", "left")
+    kind = F.when(F.col("error_code").isNotNull(), "refused").when(F.col("asked") <= 0, "passthrough").when(F.col("asked") == 1, "single").otherwise("multi")
+    return joined.select("envelope_id", kind.alias("kind"), F.coalesce("parts", F.array().cast("array<struct<ordinal:int,topic:string,partition:int,offset:bigint>>")).alias("parts"), "pass_through", "error_code")
 
 
 def produce(envelopes: DataFrame, partitions: int, ends: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """The records with partition and offset, and the results: as many as envelopes."""
-    sent = assign_offsets(explode_records(envelopes, partitions), ends)
-    return sent, results(envelopes, sent)
-
-
-def dead_envelopes(envelopes: DataFrame, records: DataFrame) -> DataFrame:
-    """Results of envelopes that hold a record which may not be sent: their first error code each."""
-    reason = invalid_reason(F.col("topic"), F.col("partition"), F.unix_millis(F.col("timestamp").cast("timestamp")))
-    bad = records.withColumn("error_code", reason).filter("error_code is not null")
-    return bad.groupBy("envelope_id").agg(F.min_by("error_code", "ordinal").alias("error_code")).join(envelopes.select("envelope_id", "pass_through"), "envelope_id")
+    """The records with partition and offset, and the results: as many as envelopes.
 
+    Records follow each other in the order of envelope_id, which is to be unique and not null.
+    Envelopes that hold an invalid record are refused whole; null or empty records pass through.
+    """
+    sent = assign_offsets(explode_records(envelopes.filter(refusal(F.col("records")).isNull()), partitions), ends)
+    return sent, results(envelopes, sent)
 
-def row_order(by: list[str], order: list[str]) -> Column:
-    return F.row_number().over(Window.partitionBy(*by).orderBy(*order))

@@ -526,14 +526,40 @@ def stream_transactional(job):
     return _short(seen, F.col("key").alias("k"))
 
 
-@streaming("select 'g1' as group_id, topic, part, max(off) + 1 as next_offset, count(*) as committed from log group by topic, part")
-def stream_pipeline(job):
+_COPIED = "topic string, partition int, offset bigint, key binary"
+
+
+def _copied(job) -> None:
+    """Copies every record to another topic, in the order of its offsets; every eleventh has a partition that is refused."""
+
     def envelopes(batch: DataFrame) -> DataFrame:
-        sent = produce.single(produce.record(F.concat(F.lit("copy-"), F.col("topic")), F.col("key"), F.col("value")))
-        number = F.xxhash64("topic", "partition", "offset")
-        return batch.select(number.alias("envelope_id"), sent.alias("records"), F.col("commit").alias("pass_through"))
+        known = F.array(*map(F.lit, ("click", "error", "purchase", "signup", "view")))
+        number = F.col("offset") * 16 + F.array_position(known, F.col("topic")) * 3 + F.col("partition")
+        wrong = F.when(F.col("offset") % 11 == 5, F.lit(-7))
+        sent = produce.single(produce.record(F.concat(F.lit("copy-"), F.col("topic")), F.col("key"), F.col("value"), wrong))
+        return batch.select(number.cast("long").alias("envelope_id"), sent.alias("records"), F.col("commit").alias("pass_through"))
 
     jobs.drain(jobs.pipeline(job.stream, envelopes, 3, "g1", job.path("out"), job.path("results"), job.path("journal"), job.path("checkpoint")))
+
+
+@streaming("""select 'copy-' || topic as topic, cast((('0x' || substr(md5(k), 1, 8))::bigint) % 3 as int) as part, count(*) as n, count(*) as distinct_offsets,
+  0 as lo, count(*) - 1 as hi from log where off % 11 <> 5 group by 1, 2""")
+def stream_pipeline_records(job):
+    _copied(job)
+    rows = job.read("out", _COPIED)
+    return rows.groupBy("topic", F.col("partition").alias("part")).agg(F.count("*").alias("n"), F.count_distinct("offset").alias("distinct_offsets"), F.min("offset").cast("int").alias("lo"), F.max("offset").alias("hi"))
+
+
+@streaming("select topic, part, off, case when off % 11 = 5 then 'refused' else 'single' end as kind, case when off % 11 = 5 then 'INVALID_PARTITION' end as error_code from log")
+def stream_pipeline_results(job):
+    _copied(job)
+    rows = job.read("results", "kind string, error_code string, pass_through struct<topic: string, partition: int, offset: bigint>")
+    return rows.select("pass_through.topic", F.col("pass_through.partition").alias("part"), F.col("pass_through.offset").alias("off"), "kind", "error_code")
+
+
+@streaming("select 'g1' as group_id, topic, part, max(off) + 1 as next_offset, count(*) as committed from log group by topic, part")
+def stream_pipeline(job):
+    _copied(job)
     journal = job.read("journal", jobs.JOURNAL_SCHEMA)
     sizes = journal.groupBy("group_id", "topic", "partition").agg(F.sum("batch_size").alias("committed"))
     return offsets.current_positions(journal).drop("metadata").join(sizes, ["group_id", "topic", "partition"]).withColumnRenamed("partition", "part")
@@ -561,7 +587,9 @@ def partition_events(job):
 
 @streaming("select count(*) as input_rows from log")
 def stream_progress(job):
-    query = jobs.at_least_once(job.stream, _step, "g1", job.path("out"), job.path("journal"), job.path("checkpoint"))
-    jobs.drain(query)
-    return monitor.progress_rows(job.spark, query).agg(F.sum("input_rows").alias("input_rows"))
+    with monitor.all_progress(job.spark) as reports:
+        query = jobs.at_least_once(job.stream, _step, "g1", job.path("out"), job.path("journal"), job.path("checkpoint"))
+        jobs.drain(query)
+        rows = reports(query)
+    return rows.agg(F.sum("input_rows").alias("input_rows"))
 

@@ -27,7 +27,9 @@ def dense_offsets(df: DataFrame, by: Sequence[str], order: Sequence[str], bucket
 
     Without ``bucket`` this is one window per group. ``bucket`` must not decrease along
     ``order``: rows are then numbered inside (by, bucket), where the work is spread out, and the
-    counts of earlier buckets are added - one small row per (by, bucket).
+    counts of earlier buckets are added - one small row per (by, bucket). Nulls in ``by`` make a
+    group of their own, nulls in ``bucket`` come first; ties in ``order`` are numbered in no
+    fixed order. A column called ``name`` is replaced. An empty table gives none.
     """
     if bucket is None:
         return df.withColumn(name, (F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1).cast("long"))
@@ -36,7 +38,11 @@ def dense_offsets(df: DataFrame, by: Sequence[str], order: Sequence[str], bucket
     before = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(*by, "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
     inside = F.row_number().over(Window.partitionBy(*by, "__bucket").orderBy(*order)) - 1
-    return df.withColumn("__inside", inside).join(counts, [*by, "__bucket"]).withColumn(name, (F.col("__base") + F.col("__inside")).cast("long")).drop("__bucket", "__inside", "__base")
+    numbered, keys = df.withColumn("__inside", inside), [*by, "__bucket"]
+    counts = counts.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(keys)], "__base")
+    same = [numbered[c].eqNullSafe(F.col(f"__{i}")) for i, c in enumerate(keys)]
+    joined = numbered.join(counts, same).withColumn(name, (F.col("__base") + F.col("__inside")).cast("long"))
+    return joined.drop("__bucket", "__inside", "__base", *[f"__{i}" for i in range(len(keys))])
 
 
 def log_of_events(events: DataFrame, partitions: int = 3, bucket_rows: int = 1 << 16) -> DataFrame:
@@ -56,7 +62,9 @@ def log_of_events(events: DataFrame, partitions: int = 3, bucket_rows: int = 1 <
 def write_log(records: DataFrame, path: str, mode: str = "append") -> None:
     """Appends records to a log's files: one folder per topic and partition, sorted by offset.
 
-    One writer per topic: next offsets come from what the log holds.
+    One file for each partition and append, whose rows a stream then reads in order: several
+    could reach it in any order. So what is appended at once to a hot partition is one task's
+    work. One writer per topic: next offsets come from what the log holds.
     """
     records.repartition(*PARTITION).sortWithinPartitions(*PARTITION, "offset").write.mode(mode).partitionBy(*PARTITION).parquet(path)
 

@@ -19,10 +19,11 @@ def plain_source(log: DataFrame, subscription: Subscription) -> DataFrame:
 def multi_assignment_source(log: DataFrame, assignments: DataFrame) -> DataFrame:
     """Several manual assignments ``(assign_id, topic, partition, start)`` served by one scan.
 
-    A row for each assignment that covers it. Assignments are named by hand, so few.
+    A row for each assignment that covers it. A null start is 0; a null topic or partition
+    matches nothing.
     """
-    joined = log.join(assignments.hint("broadcast"), list(PARTITION))
-    return joined.filter(F.col("offset") >= F.coalesce("start", F.lit(0))).drop("start")
+    assigned = assignments.withColumnRenamed("start", "__start")
+    return log.join(assigned, list(PARTITION)).filter(F.col("offset") >= F.coalesce("__start", F.lit(0))).drop("__start")
 
 
 def committable(records: DataFrame, group_id: str, metadata: Column | None = None) -> DataFrame:
@@ -96,8 +97,8 @@ def seek(starts: DataFrame, overrides: DataFrame) -> DataFrame:
 
 def committed_records(log: DataFrame, committed_txns: DataFrame) -> DataFrame:
     """Records outside transactions, and those of committed ones."""
-    inside = log.filter("txn_id is not null").join(committed_txns.select("txn_id").distinct(), "txn_id", "left_semi")
-    return log.filter("txn_id is null").unionByName(inside)
+    done = committed_txns.select(F.col("txn_id").alias("__txn")).distinct()
+    return log.join(done, log["txn_id"] == done["__txn"], "left").filter("txn_id is null or __txn is not null").drop("__txn")
 
 
 def topic_metadata(log: DataFrame) -> DataFrame:

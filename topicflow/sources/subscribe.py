@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -90,7 +90,3 @@ def kafka_writer_options(client: Mapping[str, str] | None = None, *more: Mapping
             raise ValueError("a transactional id must not be empty")
         out |= {"kafka.enable.idempotence": "true", "kafka.transactional.id": transactional_id, "kafka.max.in.flight.requests.per.connection": "1"}
     return out
-
-
-def starts_of(subscription: Subscription) -> Sequence[tuple[str, int, int | None]]:
-    return [(t, p, o) for (t, p), o in subscription.partitions.items()]

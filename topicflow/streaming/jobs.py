@@ -6,9 +6,11 @@ the batch id, and overwritten when Spark replays the batch.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +18,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.offsets import fold_offsets, journal_rows
 from ..operators.produce import produce
-from ..sources.readers import committable
+from ..sources.readers import committable, end_offsets
 
-JOURNAL_SCHEMA = "group_id string, topic string, partition int, next_offset bigint, metadata string, batch_size bigint, source_id string, commit_seq bigint"
+JOURNAL_SCHEMA = "group_id string, topic string, partition int, next_offset bigint, metadata string, batch_size bigint, source_id string, commit_seq bigint, committed_at bigint"
+ENDS_SCHEMA = "topic string, partition int, end bigint"
 TXN_SCHEMA = "txn_id bigint, source_id string"
 Step = Callable[[DataFrame], DataFrame]
 #: Called before each step of a batch with the step's name and the batch id; tests raise in it.
@@ -35,7 +38,11 @@ def _put(df: DataFrame, path: str, source_id: str, batch: int) -> None:
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether a batch's folder was written in full."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return _there(spark, path + "/_SUCCESS")
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
@@ -63,14 +70,18 @@ def _held(batch: DataFrame) -> Iterator[DataFrame]:
 def commit_batch(batch: DataFrame, journal_path: str, source_id: str, batch_id: int) -> None:
     """Folds the batch's ``commit`` columns and writes them as the batch's journal."""
     folded = fold_offsets(batch.select("commit.*"), F.col("offset"))
-    _put(journal_rows(folded, F.lit(source_id), F.lit(batch_id)), journal_path, source_id, batch_id)
+    _put(journal_rows(folded, F.lit(source_id), F.lit(batch_id), int(time.time() * 1000)), journal_path, source_id, batch_id)
 
 
 def _tagged(df: DataFrame, source_id: str, batch_id: int) -> DataFrame:
     return df.withColumns({"source_id": F.lit(source_id), "commit_seq": F.lit(batch_id).cast("long")})
 
 
-def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, once: bool, interval: str) -> StreamingQuery:
+def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, once: bool, interval: str, journal: str, source_id: str) -> StreamingQuery:
+    """Starts a job. One that is new may not take the name of another: it would overwrite its batches."""
+    spark = stream.sparkSession
+    if _there(spark, f"{journal}/source={source_id}") and not _there(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"the journal has batches of another job called {source_id}")
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
@@ -86,7 +97,7 @@ def at_least_once(stream: DataFrame, step: Step, group_id: str, out: str, journa
             hook("commit", batch_id)
             commit_batch(committable(rows, group_id), journal, source_id, batch_id)
 
-    return _start(stream, each, checkpoint, once, interval)
+    return _start(stream, each, checkpoint, once, interval, journal, source_id)
 
 
 #: Both are keyed by batch, and readers use ``read_visible``: so what is seen is exactly once.
@@ -106,7 +117,7 @@ def at_most_once(stream: DataFrame, step: Step, group_id: str, out: str, journal
             hook("output", batch_id)
             _put(_tagged(step(rows), source_id, batch_id), out, source_id, batch_id)
 
-    return _start(stream, each, checkpoint, once, interval)
+    return _start(stream, each, checkpoint, once, interval, journal, source_id)
 
 
 def transactional(stream: DataFrame, step: Step, group_id: str, out: str, journal: str, committed: str, checkpoint: str, transactional_id: str, once: bool = True, interval: str = "100 milliseconds", hook: Hook | None = None) -> StreamingQuery:
@@ -128,39 +139,64 @@ def transactional(stream: DataFrame, step: Step, group_id: str, out: str, journa
         row = batch.sparkSession.range(1).select(F.lit(batch_id).cast("long").alias("txn_id"), F.lit(transactional_id).alias("source_id"))
         _put(row.coalesce(1), committed, transactional_id, batch_id)
 
-    return _start(stream, each, checkpoint, once, interval)
+    return _start(stream, each, checkpoint, once, interval, journal, transactional_id)
 
 
 def pipeline(stream: DataFrame, envelopes: Step, partitions: int, group_id: str, out: str, results: str, journal: str, checkpoint: str, source_id: str = "job", once: bool = True, interval: str = "10 seconds") -> StreamingQuery:
     """Consume, transform, produce, commit, with two outputs from one stream: records and results.
 
     ``envelopes`` makes (envelope_id, records, pass_through) of a batch; pass_through is ``commit``.
+    Offsets go on from those of the batches before: each batch's next offsets are kept beside ``out``.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         with _held(batch) as rows:
             made = envelopes(committable(rows, group_id))
-            sent, done = produce(made, partitions)
+            before = read_batches(batch.sparkSession, f"{out}-ends", ENDS_SCHEMA + ", source_id string, commit_seq bigint") if _there(batch.sparkSession, f"{out}-ends") else None
+            if before is not None:  # of all batches but this one, which is being repeated then
+                others = (F.col("source_id") != source_id) | (F.col("commit_seq") < batch_id)
+                before = before.filter(others).groupBy("topic", "partition").agg(F.max("end").alias("end"))
+            sent, done = produce(made, partitions, before)
             _put(_tagged(sent, source_id, batch_id), out, source_id, batch_id)
+            written = batch.sparkSession.read.parquet(_folder(out, source_id, batch_id))
+            _put(_tagged(end_offsets(written), source_id, batch_id), f"{out}-ends", source_id, batch_id)
             _put(_tagged(done, source_id, batch_id), results, source_id, batch_id)
             commit_batch(done.select(F.col("pass_through").alias("commit")), journal, source_id, batch_id)
 
-    return _start(stream, each, checkpoint, once, interval)
+    return _start(stream, each, checkpoint, once, interval, journal, source_id)
 
 
 def commit_with_context(stream: DataFrame, journal: str, checkpoint: str, source_id: str = "job", once: bool = True, interval: str = "10 seconds") -> StreamingQuery:
     """Commits the positions of ``(element, commit)`` rows; elements are dropped."""
-    return _start(stream, lambda batch, batch_id: commit_batch(batch.select("commit"), journal, source_id, batch_id), checkpoint, once, interval)
+    return _start(stream, lambda batch, batch_id: commit_batch(batch.select("commit"), journal, source_id, batch_id), checkpoint, once, interval, journal, source_id)
+
+
+def for_each_result(results: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str, once: bool = True, interval: str = "10 seconds") -> StreamingQuery:
+    """Calls ``action(rows, batch id)`` for every batch of a stream, such as a job's results.
+
+    A batch that fails is given again: an action that must not repeat keeps the batch id.
+    """
+    writer = results.writeStream.foreachBatch(action).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
+
 
+def drain(query: StreamingQuery, timeout: float | None = None, once: bool = True) -> None:
+    """Lets a query finish what there is to read, stops it in any case, and raises what it failed with.
 
-def drain(query: StreamingQuery, timeout: float | None = None) -> None:
-    """Lets a query finish what it has read, ends it, and raises what it failed with."""
-    if query.isActive:
-        if timeout is not None:
-            query.awaitTermination(timeout)
-        else:
-            query.awaitTermination()
-    if (error := query.exception()) is not None:
+    A job started with ``once`` ends by itself; give ``once=False`` for one that would run on.
+    After ``timeout`` seconds it is stopped where it stands: its next run goes on from there.
+    """
+    try:
+        if query.isActive and not once and timeout is None:
+            query.processAllAvailable()
+        elif query.isActive:
+            query.awaitTermination(timeout) if timeout is not None else query.awaitTermination()
+    except StreamingQueryException:
+        pass  # raised below
+    finally:
+        error = query.exception()
+        query.stop()
+    if error is not None:
         raise error
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -30,6 +32,32 @@ class StatisticsListener(StreamingQueryListener):
             self.on_stop(str(event.id), event.exception)
 
 
+@contextmanager
+def all_progress(spark: SparkSession, wait: float = 30.0) -> Iterator[Callable[[StreamingQuery], DataFrame]]:
+    """Inside, collects every report of the queries that are started; the function it gives makes rows of an ended query's.
+
+    A query itself holds its last hundred reports only.
+    """
+    reports: list[dict] = []
+    ended: set[str] = set()
+    listener = StatisticsListener(lambda text: reports.append(json.loads(text)), lambda name, error: ended.add(name))
+    spark.streams.addListener(listener)
+
+    def rows(query: StreamingQuery) -> DataFrame:
+        until = time.time() + wait
+        while str(query.id) not in ended:  # events come after the fact
+            if time.time() > until:
+                raise TimeoutError("the query has not ended")
+            time.sleep(0.05)
+        found = [(int(p["batchId"]), int(p["numInputRows"])) for p in reports if p["id"] == str(query.id)]
+        return spark.createDataFrame(found, "batch_id long, input_rows long")
+
+    try:
+        yield rows
+    finally:
+        spark.streams.removeListener(listener)
+
+
 def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """Reports the query still holds, one row a batch: batch_id, input_rows."""
     rows = [(int(p["batchId"]), int(p["numInputRows"])) for p in map(lambda p: json.loads(p.json) if hasattr(p, "json") else p, query.recentProgress)]

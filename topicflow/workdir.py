@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: The temporary folder of each application that names no shared one.
+_local: dict[str, str] = {}
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share: ``spark.checkpoint.dir``.
 
@@ -15,6 +19,7 @@ def work_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="topicflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local.setdefault(spark.sparkContext.applicationId, "")
+        if not base:
+            base = _local[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="topicflow-")
     return f"{base.rstrip('/')}/topicflow/{name}-{uuid.uuid4().hex}"
