@@ -29,6 +29,15 @@ def id_remainder(c: Column, n: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def give_back() -> None:
+    """Returns memory that is free in this process to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim is not None:
+        trim(0)
+
+
 def lean(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """The function over batches, so that what a task has held goes back to the system at its end.
 
@@ -42,10 +51,7 @@ def lean(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
         try:
             yield from f(batches)
         finally:
-            gc.collect()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
-            if trim is not None:
-                trim(0)
+            give_back()
 
     return run
 
