@@ -65,32 +65,41 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that ``stored`` wrote and nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        folders = {f.rpartition("/")[0] for f in df.inputFiles()}
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: one row ``(node, component)`` per node on an edge.
 
     The component is the smallest node id in it. Alternating large-star and small-star rounds;
     each step is a pre-aggregated minimum and a join whose two sides both come from stored
-    tables, so that the adaptive skew join can split a hot centre. Self loops and repeats are
-    ignored; no edges give no rows.
+    tables, so that the adaptive skew join can split a hot centre. A round's tables are removed
+    once the next one's edges are written. Self loops and repeats are ignored; no edges give no rows.
     """
     e = stored(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges"
     )
     before = None
-    for _ in range(max_rounds):
+    while True:  # settles in a number of rounds that grows with the logarithm of the nodes
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(e.select("lo", "hi"))
         low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
         # every larger neighbour v of u is linked to the smallest of u's neighbourhood
         large = stored(e.select(F.col("lo").alias("u"), F.col("hi").alias("v")).join(low, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "large")
         least = stored(large.groupBy("hi").agg(F.min("lo").alias("m")), "least")
         moved = large.join(least, "hi").filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        e = stored(moved.union(least.select("hi", F.col("m").alias("lo"))).distinct(), "edges")
+        old, e = e, stored(moved.union(least.select("hi", F.col("m").alias("lo"))).distinct(), "edges")
+        discard(old, low, large, least)
         now = e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")), F.lit(0))).first()
         if tuple(now) == before:
             break
         before = tuple(now)
-    else:
-        raise RuntimeError("components did not settle")
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(
         e.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     )
