@@ -17,6 +17,8 @@ from .common import lean
 from .tokens import encoder, load
 from .words import binary, parts
 
+#: Pieces that a worker keeps with their ids, and leaves that are encoded at a time.
+PIECES, LEAVES = 1 << 18, 32
 #: One leaf of a long text: ids, and the characters each id stands for.
 Leaf = tuple[str, np.ndarray, np.ndarray]
 
@@ -104,7 +106,6 @@ class Decoder:
         return " ".join(self.names[ids]) if self.names is not None else self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
 
 
-@lru_cache(maxsize=1)
 def library(path: str) -> Tokenizer:
     return load(path, plain=True)
 
@@ -138,7 +139,7 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False, leaf_char
 
     @lean
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path, keep_space=False)
+        e = encoder(path, keep_space=False, most=PIECES)
         for b in batches:
             for s, raw, bounds in parts(b.column("text")):
                 ids, sizes = e.encode(raw, bounds)
@@ -157,7 +158,7 @@ def encode_documents(docs: DataFrame, path: str, decode: bool = False, leaf_char
 
     @lean
     def encode_leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (whole.iloc[i : i + LEAVES] for whole in batches for i in range(0, len(whole), LEAVES)):
             found = [encode(t) if i < 0 else (np.array([i], np.uint32), np.zeros((1, 2), np.int64)) for t, i in zip(b["text"], b["special"], strict=True)]
             yield b.assign(ids=[x[0].astype("<u4").tobytes() for x in found], spans=[x[1].astype("<i4").tobytes() for x in found])
 

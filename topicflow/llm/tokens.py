@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import json
+import os
 import re
+from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -17,19 +18,28 @@ _WIDE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
 _BLANK = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
 
 
-def load(path: str, plain: bool = False) -> Tokenizer:
-    """The tokenizer of a file. plain: without its normalizer, and with special tokens' strings as ordinary text."""
-    with open(path, encoding="utf-8") as f:
-        made = json.load(f)
+@lru_cache(maxsize=4)
+def _loaded(path: str, plain: bool) -> Tokenizer:
+    tokenizer = Tokenizer.from_file(path)
     if plain:
-        made["normalizer"] = None
-    tokenizer = Tokenizer.from_str(json.dumps(made))
+        tokenizer.normalizer = None
     tokenizer.no_truncation()
     tokenizer.no_padding()
     tokenizer.encode_special_tokens = plain
     return tokenizer
 
 
+def load(path: str, plain: bool = False) -> Tokenizer:
+    """The tokenizer of a file, one per process; it is not to be changed.
+
+    plain: without its normalizer, and with special tokens' strings as ordinary text. The library
+    runs without threads of its own: Spark's tasks keep the cores busy, and each thread would hold
+    memory of its own.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return _loaded(path, plain)
+
+
 class PieceEncoder:
     """Encodes texts as the tokenizers library does, keeping the ids of pieces it has seen.
 
@@ -154,11 +164,11 @@ class PieceEncoder:
 _encoders: dict[tuple, PieceEncoder] = {}
 
 
-def encoder(path: str, keep_space: bool) -> PieceEncoder:
+def encoder(path: str, keep_space: bool, most: int = 1_000_000) -> PieceEncoder:
     """One per Python worker, kept from task to task."""
-    key = (path, keep_space)
+    key = (path, keep_space, most)
     if key not in _encoders:
         if len(_encoders) > 1:
             _encoders.clear()  # of other files: workers live on from job to job
-        _encoders[key] = PieceEncoder(path, keep_space)
+        _encoders[key] = PieceEncoder(path, keep_space, most)
     return _encoders[key]
