@@ -19,6 +19,7 @@ from .quality import fit_quality, quality_score
 from .simhash import simhash_components
 from .token_files import read_tokens, write_tokens
 from .url_rules import judge_urls, mine_rules
+from .whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +82,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs, carry=["text_sha256"]).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_score": op1_lm_score,
@@ -93,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": op8_bpe,
         "op9_quality": op9_quality,
         "op10_exact_dedup": op10_exact_dedup,
+        "op13_whitening": op13_whitening,
     }
 
 
