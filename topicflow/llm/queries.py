@@ -15,10 +15,12 @@ from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .lm_score import lm_scores
 from .mixing import mix_sources
+from .pii import listed, pii_spans
 from .quality import fit_quality, quality_score
 from .simhash import simhash_components
 from .token_files import read_tokens, write_tokens
 from .url_rules import judge_urls, mine_rules
+from .variants import spelling_variants
 from .whitening import whiten
 
 
@@ -82,6 +84,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs, carry=["text_sha256"]).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _table(spark, sf_dir, "documents").select("doc_id", pii_spans(F.coalesce("text", F.lit(""))).alias("found"))
+    base = F.filter("found", lambda s: s["base"])
+    of_kind = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(base) - F.size(F.array_remove(of_kind, k))).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"), typos=97)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -98,6 +112,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": op8_bpe,
         "op9_quality": op9_quality,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_pii": op11_pii,
+        "op12_variants": op12_variants,
         "op13_whitening": op13_whitening,
     }
 
