@@ -1,0 +1,3 @@
+"""The registered queries: each module adds its own to ``queries.QUERIES`` and ``queries.SQL``."""
+
+from . import queries, store  # noqa: F401
