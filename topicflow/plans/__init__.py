@@ -1,3 +1,3 @@
 """The registered queries: each module adds its own to ``queries.QUERIES`` and ``queries.SQL``."""
 
-from . import queries, stateful, store  # noqa: F401
+from . import jobs, queries, stateful, store  # noqa: F401

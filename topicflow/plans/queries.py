@@ -522,24 +522,24 @@ def stream_exactly_once(job):
 @streaming(_COPY)
 def stream_transactional(job):
     jobs.drain(jobs.transactional(job.stream, _step, "g1", job.path("out"), job.path("journal"), job.path("committed"), job.path("checkpoint"), "t1"))
-    seen = readers.committed_records(job.read("out", _OUT + ", txn_id bigint"), job.read("committed", jobs.TXN_SCHEMA))
+    seen = readers.committed_records(job.read("out", _OUT + ", source_id string, txn_id bigint"), job.read("committed", jobs.TXN_SCHEMA))
     return _short(seen, F.col("key").alias("k"))
 
 
 _COPIED = "topic string, partition int, offset bigint, key binary"
 
 
-def _copied(job) -> None:
+def _envelopes_of_copies(batch: DataFrame) -> DataFrame:
     """Copies every record to another topic, in the order of its offsets; every eleventh has a partition that is refused."""
+    known = F.array(*map(F.lit, ("click", "error", "purchase", "signup", "view")))
+    number = F.col("offset") * 16 + F.array_position(known, F.col("topic")) * 3 + F.col("partition")
+    wrong = F.when(F.col("offset") % 11 == 5, F.lit(-7))
+    sent = produce.single(produce.record(F.concat(F.lit("copy-"), F.col("topic")), F.col("key"), F.col("value"), wrong))
+    return batch.select(number.cast("long").alias("envelope_id"), sent.alias("records"), F.col("commit").alias("pass_through"))
 
-    def envelopes(batch: DataFrame) -> DataFrame:
-        known = F.array(*map(F.lit, ("click", "error", "purchase", "signup", "view")))
-        number = F.col("offset") * 16 + F.array_position(known, F.col("topic")) * 3 + F.col("partition")
-        wrong = F.when(F.col("offset") % 11 == 5, F.lit(-7))
-        sent = produce.single(produce.record(F.concat(F.lit("copy-"), F.col("topic")), F.col("key"), F.col("value"), wrong))
-        return batch.select(number.cast("long").alias("envelope_id"), sent.alias("records"), F.col("commit").alias("pass_through"))
 
-    jobs.drain(jobs.pipeline(job.stream, envelopes, 3, "g1", job.path("out"), job.path("results"), job.path("journal"), job.path("checkpoint")))
+def _copied(job) -> None:
+    jobs.drain(jobs.pipeline(job.stream, _envelopes_of_copies, 3, "g1", job.path("out"), job.path("results"), job.path("journal"), job.path("checkpoint")))
 
 
 @streaming("""select 'copy-' || topic as topic, cast((('0x' || substr(md5(k), 1, 8))::bigint) % 3 as int) as part, count(*) as n, count(*) as distinct_offsets,

@@ -95,10 +95,46 @@ def seek(starts: DataFrame, overrides: DataFrame) -> DataFrame:
     return starts.join(new, list(PARTITION), "full").select(*PARTITION, F.coalesce("new", "start").alias("start"))
 
 
+def _transaction(log: DataFrame, txns: DataFrame) -> list[str]:
+    """What names a transaction in both: its source too, where they have it, as sources number their own."""
+    return [c for c in ("source_id", "txn_id") if c in log.columns and c in txns.columns]
+
+
 def committed_records(log: DataFrame, committed_txns: DataFrame) -> DataFrame:
-    """Records outside transactions, and those of committed ones."""
-    done = committed_txns.select(F.col("txn_id").alias("__txn")).distinct()
-    return log.join(done, log["txn_id"] == done["__txn"], "left").filter("txn_id is null or __txn is not null").drop("__txn")
+    """Records outside transactions (a null txn_id), and those of committed ones: ``(txn_id)`` or ``(source_id, txn_id)``.
+
+    Rows of one transaction that are given twice count once. Where transactions of several sources are
+    in one log, both tables are to have source_id.
+    """
+    keys = _transaction(log, committed_txns)
+    done = committed_txns.select(*[F.col(c).alias(f"__{c}") for c in keys]).distinct()
+    joined = log.join(done, [log[c] == done[f"__{c}"] for c in keys], "left")
+    return joined.filter("txn_id is null or __txn_id is not null").drop(*[f"__{c}" for c in keys])
+
+
+def stable_ends(log: DataFrame, txns: DataFrame) -> DataFrame:
+    """The last stable offset of each partition that has one: the first record of a transaction that is still open.
+
+    ``txns``: (source_id, txn_id, state), state committed or aborted; a transaction of which
+    neither is known is open.
+    """
+    keys = _transaction(log, txns)
+    ended = txns.filter(F.col("state").isin("committed", "aborted")).select(*keys).distinct()
+    open_ones = log.filter(F.col("txn_id").isNotNull()).join(ended, keys, "left_anti")
+    return open_ones.groupBy(*PARTITION).agg(F.min("offset").alias("stable_end"))
+
+
+def stable_records(log: DataFrame, txns: DataFrame) -> DataFrame:
+    """What a read-committed consumer may see: committed records before the first open transaction of their partition.
+
+    So it never sees a record whose predecessor may still appear. Records of aborted
+    transactions are left out without holding others up.
+    """
+    ends = stable_ends(log, txns)
+    ends = ends.select(*[F.col(c).alias(f"__{c}") for c in PARTITION], "stable_end")
+    seen = committed_records(log, txns.filter(F.col("state") == "committed"))
+    bounded = seen.join(ends, [seen[c].eqNullSafe(ends[f"__{c}"]) for c in PARTITION], "left")
+    return bounded.filter("stable_end is null or offset < stable_end").select(*log.columns)
 
 
 def topic_metadata(log: DataFrame) -> DataFrame:

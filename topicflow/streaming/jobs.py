@@ -7,7 +7,7 @@ the batch id, and overwritten when Spark replays the batch.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
@@ -17,8 +17,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.offsets import fold_offsets, journal_rows
+from ..operators.policy import directive
 from ..operators.produce import produce
 from ..sources.readers import committable, end_offsets
+from .lease import Lease
 
 JOURNAL_SCHEMA = "group_id string, topic string, partition int, next_offset bigint, metadata string, batch_size bigint, source_id string, commit_seq bigint, committed_at bigint"
 ENDS_SCHEMA = "topic string, partition int, end bigint"
@@ -46,9 +48,61 @@ def _there(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none where there is no folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def batch_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders that hold all batches of all sources: a batch's own, or the widest one that it was merged into."""
+    found = []
+    for source in _children(spark, path):
+        names = [n for n in _children(spark, f"{path}/{source}") if source.startswith("source=")]
+        spans = [tuple(map(int, n[5:].split("-"))) for n in names if n.startswith("span=") and _exists(spark, f"{path}/{source}/{n}")]
+        widest = [s for s in spans if not any(t != s and t[0] <= s[0] and s[1] <= t[1] for t in spans)]
+        found += [f"{path}/{source}/span={a}-{b}" for a, b in widest]
+        batches = [int(n[6:]) for n in names if n.startswith("batch=")]
+        found += [f"{path}/{source}/batch={b}" for b in batches if not any(a <= b <= z for a, z in widest)]
+    return found
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """All batches of all sources written under a path."""
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    """All batches of all sources written under a path, each once, merged or not. No batches give no rows."""
+    folders = batch_folders(spark, path)
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def merge_batches(spark: SparkSession, path: str, source_id: str, batch: int, schema: T.StructType | str, every: int = 100) -> None:
+    """Merges a source's finished batches, those before ``batch``, so that few folders are left to read.
+
+    Each ``every`` batches become one folder, and so do each ``every`` of these: of n batches no more than
+    ``every`` folders are left at each of log(n) widths. The newest batch stays, as Spark may
+    repeat it. A merged folder counts from when it is written in full; what it replaces goes afterwards.
+    """
+    if batch % every:
+        return
+    width = every
+    while batch % width == 0 and batch:
+        a, b = batch - width, batch - 1
+        inside = [f for f in batch_folders(spark, f"{path}") if f.startswith(f"{path}/source={source_id}/") and _within(f, a, b)]
+        if inside:
+            spark.read.schema(schema).parquet(*inside).coalesce(1).write.mode("overwrite").parquet(f"{path}/source={source_id}/span={a}-{b}")
+            for f in inside:
+                _remove(spark, f)
+        width *= every
+
+
+def _within(folder: str, a: int, b: int) -> bool:
+    kind, _, span = folder.rpartition("/")[2].partition("=")
+    low, _, high = span.partition("-")
+    return a <= int(low) and int(high or low) <= b and (kind, int(low), int(high or low)) != ("span", a, b)
 
 
 def read_visible(spark: SparkSession, path: str, schema: T.StructType | str, journal_path: str) -> DataFrame:
@@ -77,12 +131,24 @@ def _tagged(df: DataFrame, source_id: str, batch_id: int) -> DataFrame:
     return df.withColumns({"source_id": F.lit(source_id), "commit_seq": F.lit(batch_id).cast("long")})
 
 
-def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, once: bool, interval: str, journal: str, source_id: str) -> StreamingQuery:
-    """Starts a job. One that is new may not take the name of another: it would overwrite its batches."""
+def _start(stream: DataFrame, each: Callable[[DataFrame, int, Lease], None], checkpoint: str, once: bool, interval: str, journal: str, source_id: str, group: str, merge: bool = True) -> StreamingQuery:
+    """Starts a job, which takes the group's lease: an earlier job of the group fails at its next step.
+
+    One that is new may not take the name of another: it would overwrite its batches. Journals
+    are merged every hundred batches.
+    """
     spark = stream.sparkSession
     if _there(spark, f"{journal}/source={source_id}") and not _there(spark, f"{checkpoint}/metadata"):
         raise ValueError(f"the journal has batches of another job called {source_id}")
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    lease = Lease(spark, f"{journal}-leases", group).take()
+
+    def fenced(batch: DataFrame, batch_id: int) -> None:
+        lease.check()
+        each(batch, batch_id, lease)
+        if merge:
+            merge_batches(batch.sparkSession, journal, source_id, batch_id, JOURNAL_SCHEMA)
+
+    writer = stream.writeStream.foreachBatch(fenced).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
 
@@ -90,14 +156,15 @@ def at_least_once(stream: DataFrame, step: Step, group_id: str, out: str, journa
     """Output, then commit: a failure between the two repeats the batch, which overwrites itself."""
     hook = hook or (lambda name, batch: None)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
+    def each(batch: DataFrame, batch_id: int, lease: Lease) -> None:
         with _held(batch) as rows:
             hook("output", batch_id)
             _put(_tagged(step(rows), source_id, batch_id), out, source_id, batch_id)
             hook("commit", batch_id)
+            lease.check()
             commit_batch(committable(rows, group_id), journal, source_id, batch_id)
 
-    return _start(stream, each, checkpoint, once, interval, journal, source_id)
+    return _start(stream, each, checkpoint, once, interval, journal, source_id, group_id)
 
 
 #: Both are keyed by batch, and readers use ``read_visible``: so what is seen is exactly once.
@@ -108,67 +175,107 @@ def at_most_once(stream: DataFrame, step: Step, group_id: str, out: str, journal
     """Commit, then output: a batch that is in the journal already is not put out again."""
     hook = hook or (lambda name, batch: None)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
+    def each(batch: DataFrame, batch_id: int, lease: Lease) -> None:
         if _exists(batch.sparkSession, _folder(journal, source_id, batch_id)):
             return
         with _held(batch) as rows:
             hook("commit", batch_id)
+            lease.check()
             commit_batch(committable(rows, group_id), journal, source_id, batch_id)
             hook("output", batch_id)
             _put(_tagged(step(rows), source_id, batch_id), out, source_id, batch_id)
 
-    return _start(stream, each, checkpoint, once, interval, journal, source_id)
+    return _start(stream, each, checkpoint, once, interval, journal, source_id, group_id)
 
 
 def transactional(stream: DataFrame, step: Step, group_id: str, out: str, journal: str, committed: str, checkpoint: str, transactional_id: str, once: bool = True, interval: str = "100 milliseconds", hook: Hook | None = None) -> StreamingQuery:
     """Records and positions become visible together: with the batch's row in ``committed``.
 
-    Output carries txn_id, the batch's id; readers take ``committed_records``.
+    Output carries source_id, the transactional id, and txn_id, the batch's: two jobs number their
+    own. Readers take ``committed_records``. See ``transactions`` for several batches in one.
     """
     if not transactional_id:
         raise ValueError("a transactional id must not be empty")
     hook = hook or (lambda name, batch: None)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
+    def each(batch: DataFrame, batch_id: int, lease: Lease) -> None:
         with _held(batch) as rows:
             hook("output", batch_id)
-            _put(step(rows).withColumn("txn_id", F.lit(batch_id).cast("long")), out, transactional_id, batch_id)
+            _put(step(rows).withColumns({"source_id": F.lit(transactional_id), "txn_id": F.lit(batch_id).cast("long")}), out, transactional_id, batch_id)
             hook("commit", batch_id)
+            lease.check()
             commit_batch(committable(rows, group_id), journal, transactional_id, batch_id)
         hook("transaction", batch_id)
+        lease.check()
         row = batch.sparkSession.range(1).select(F.lit(batch_id).cast("long").alias("txn_id"), F.lit(transactional_id).alias("source_id"))
         _put(row.coalesce(1), committed, transactional_id, batch_id)
 
-    return _start(stream, each, checkpoint, once, interval, journal, transactional_id)
+    return _start(stream, each, checkpoint, once, interval, journal, transactional_id, group_id)
 
 
-def pipeline(stream: DataFrame, envelopes: Step, partitions: int, group_id: str, out: str, results: str, journal: str, checkpoint: str, source_id: str = "job", once: bool = True, interval: str = "10 seconds") -> StreamingQuery:
+def ends_before(spark: SparkSession, out: str, source_id: str, batch_id: int) -> DataFrame:
+    """Each partition's next offset in ``out`` before a batch: (topic, partition, end).
+
+    A batch leaves the ends of all partitions, so a job reads those of its own last batch; only
+    its first one reads what other jobs have left.
+    """
+    own = [int(n[6:]) for n in _children(spark, f"{out}-ends/source={source_id}") if n.startswith("batch=") and int(n[6:]) < batch_id]
+    whole = [b for b in sorted(own, reverse=True)[:2] if _exists(spark, _folder(f"{out}-ends", source_id, b))]
+    if whole:
+        return spark.read.schema(ENDS_SCHEMA).parquet(_folder(f"{out}-ends", source_id, whole[0]))
+    newest = {}
+    for f in batch_folders(spark, f"{out}-ends"):
+        source, _, batch = f.rpartition("/")
+        if source != f"{out}-ends/source={source_id}":
+            newest[source] = max(newest.get(source, -1), int(batch[6:]))
+    if not newest:
+        return spark.createDataFrame([], ENDS_SCHEMA)
+    return spark.read.schema(ENDS_SCHEMA).parquet(*[f"{s}/batch={b}" for s, b in newest.items()]).groupBy("topic", "partition").agg(F.max("end").alias("end"))
+
+
+def put_ends(spark: SparkSession, before: DataFrame, out: str, source_id: str, batch_id: int) -> None:
+    """Keeps the ends of all partitions after a batch that has been written; those of the batch before the last are no longer needed."""
+    written = end_offsets(spark.read.parquet(_folder(out, source_id, batch_id)))
+    after = before.select("topic", "partition", "end").unionByName(written).groupBy("topic", "partition").agg(F.max("end").alias("end"))
+    _put(after.coalesce(1), f"{out}-ends", source_id, batch_id)
+    if batch_id >= 2:
+        _remove(spark, _folder(f"{out}-ends", source_id, batch_id - 2))
+
+
+def refused_by(results: DataFrame, policy: Mapping[str, str]) -> DataFrame:
+    """The results; reading them raises at a refused envelope whose error stops the job, or has it start again."""
+    found = directive(F.col("error_code"), policy)
+    message = F.concat(F.lit("record refused: "), F.col("error_code"))
+    return results.filter(F.when(found.isin("stop", "restart"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
+def pipeline(stream: DataFrame, envelopes: Step, partitions: int, group_id: str, out: str, results: str, journal: str, checkpoint: str, source_id: str = "job", once: bool = True, interval: str = "10 seconds", policy: Mapping[str, str] | None = None) -> StreamingQuery:
     """Consume, transform, produce, commit, with two outputs from one stream: records and results.
 
     ``envelopes`` makes (envelope_id, records, pass_through) of a batch; pass_through is ``commit``.
-    Offsets go on from those of the batches before: each batch's next offsets are kept beside ``out``.
+    Offsets go on from those of the batches before: the next ones are kept beside ``out``. A refused
+    envelope is a result like others, unless a ``policy`` says that its error stops the job.
     """
 
-    def each(batch: DataFrame, batch_id: int) -> None:
+    def each(batch: DataFrame, batch_id: int, lease: Lease) -> None:
         with _held(batch) as rows:
             made = envelopes(committable(rows, group_id))
-            before = read_batches(batch.sparkSession, f"{out}-ends", ENDS_SCHEMA + ", source_id string, commit_seq bigint") if _there(batch.sparkSession, f"{out}-ends") else None
-            if before is not None:  # of all batches but this one, which is being repeated then
-                others = (F.col("source_id") != source_id) | (F.col("commit_seq") < batch_id)
-                before = before.filter(others).groupBy("topic", "partition").agg(F.max("end").alias("end"))
+            before = ends_before(batch.sparkSession, out, source_id, batch_id)
             sent, done = produce(made, partitions, before)
             _put(_tagged(sent, source_id, batch_id), out, source_id, batch_id)
-            written = batch.sparkSession.read.parquet(_folder(out, source_id, batch_id))
-            _put(_tagged(end_offsets(written), source_id, batch_id), f"{out}-ends", source_id, batch_id)
-            _put(_tagged(done, source_id, batch_id), results, source_id, batch_id)
+            put_ends(batch.sparkSession, before, out, source_id, batch_id)
+            done = _tagged(done, source_id, batch_id)
+            _put(done if policy is None else refused_by(done, policy), results, source_id, batch_id)
+            lease.check()
+            done = batch.sparkSession.read.parquet(_folder(results, source_id, batch_id))
             commit_batch(done.select(F.col("pass_through").alias("commit")), journal, source_id, batch_id)
 
-    return _start(stream, each, checkpoint, once, interval, journal, source_id)
+    return _start(stream, each, checkpoint, once, interval, journal, source_id, group_id)
 
 
 def commit_with_context(stream: DataFrame, journal: str, checkpoint: str, source_id: str = "job", once: bool = True, interval: str = "10 seconds") -> StreamingQuery:
     """Commits the positions of ``(element, commit)`` rows; elements are dropped."""
-    return _start(stream, lambda batch, batch_id: commit_batch(batch.select("commit"), journal, source_id, batch_id), checkpoint, once, interval, journal, source_id)
+    return _start(stream, lambda batch, batch_id, lease: commit_batch(batch.select("commit"), journal, source_id, batch_id), checkpoint, once, interval, journal, source_id, source_id)
 
 
 def for_each_result(results: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str, once: bool = True, interval: str = "10 seconds") -> StreamingQuery:

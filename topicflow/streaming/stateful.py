@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from ..operators.offsets import GROUP
 from ..sources.log import PARTITION
 from .jobs import _put, _start
+from .lease import Lease
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -133,7 +134,7 @@ def commit_in_batches(stream: DataFrame, most: int, wait_ms: int, journal: str,
     """
     closed = closed_batches(stream.select("commit.*"), most, wait_ms)
 
-    def each(rows: DataFrame, number: int) -> None:
+    def each(rows: DataFrame, number: int, lease: Lease) -> None:
         rows = rows.persist()
         try:
             if rows.isEmpty():
@@ -141,13 +142,14 @@ def commit_in_batches(stream: DataFrame, most: int, wait_ms: int, journal: str,
             at = F.lit(int(time.time() * 1000)).cast("long")
             tags = {"source_id": F.lit(source_id), "commit_seq": F.lit(number).cast("long")}
             lines = rows.withColumns(tags).select(*GROUP, (F.col("offset") + 1).alias("next_offset"), "metadata", "batch_size", "source_id", "commit_seq", at.alias("committed_at"))
+            lease.check()
             _put(lines, journal, source_id, number)
             _put(rows.withColumns(tags), batches, source_id, number)
         finally:
             rows.unpersist()
 
     with rocksdb(stream.sparkSession):
-        return _start(closed, each, checkpoint, False, interval, journal, source_id)
+        return _start(closed, each, checkpoint, False, interval, journal, source_id, source_id)
 
 
 BATCH_SCHEMA = "group_id string, topic string, partition int, batch long, first_offset long, offset long, metadata string, batch_size long, closed_by string, source_id string, commit_seq long"
