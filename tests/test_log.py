@@ -295,7 +295,8 @@ def test_ranges_along_a_hot_partition(spark, monkeypatch):
     monkeypatch.setattr(partitioned, "RANGE", 16)
     got = lambda df, c: [r[c] for r in df.orderBy("offset").collect()]
     assert got(partitioned.running_count(rows), "n") == list(range(1, 41))
-    assert got(partitioned.take(rows, 7), "offset") == [3 * i for i in range(7)]
+    for n in (0, 1, 7, 16, 39, 40, 99):
+        assert got(partitioned.take(rows, n), "offset") == [3 * i for i in range(min(n, 40))]
     assert got(partitioned.chunks(rows, 6), "chunk") == [i // 6 for i in range(40)]
     assert got(partitioned.segments(rows, F.col("mark")), "segment") == [i // 9 for i in range(40)]
     for inclusive in (False, True):
@@ -333,3 +334,69 @@ def test_each_result_reaches_the_action(spark, tmp_path):
     seen = []
     jobs.drain(jobs.for_each_result(logs.stream_log(spark, str(tmp_path / "log")), lambda rows, batch: seen.append(rows.count()), str(tmp_path / "c")))
     assert sum(seen) == 10
+
+
+def test_dense_offsets_count_without_a_shuffle(spark):
+    log = numbers(spark, 90, partitions=3).filter("offset >= 4")
+    for f in (lambda **k: partitioned.running_count(log, **k), lambda **k: partitioned.take(log, 5, **k), lambda **k: partitioned.chunks(log, 7, **k)):
+        fast = f(first=F.lit(4))
+        assert sorted(map(str, fast.collect())) == sorted(map(str, f().select(*fast.columns).collect()))
+        assert "Exchange" not in fast._jdf.queryExecution().executedPlan().toString()
+
+
+def test_records_without_a_time_keep_their_place(spark):
+    rows = spark.createDataFrame([("a", 0, i, t, "x", 9) for i, t in enumerate(["2024-01-01 00:00:01", None, "2024-01-01 05:00:00", None, None, "2024-01-02 00:00:00"])], "topic string, partition int, offset long, t string, window_start string, batch int").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    found = offsets.grouped_within(rows, ["topic", "partition"], F.col("t"), "1 day", ["offset"], 2).orderBy("offset").collect()
+    assert [(str(r["window_start"])[:10], r["batch"]) for r in found] == [("2024-01-01", 0), ("None", 0), ("2024-01-01", 0), ("None", 0), ("None", 1), ("2024-01-02", 0)]
+    assert offsets.grouped_within(rows.limit(0), ["topic"], F.col("t"), "1 day", ["offset"], 2).count() == 0
+
+
+def test_exact_medians_of_groups_that_span_ranges(spark):
+    import random
+    import statistics
+
+    rng = random.Random(2)
+    rows = [("hot", float(rng.randint(0, 60))) for _ in range(5000)] + [("odd", float(i)) for i in range(7)] + [("two", 1.0), ("two", 4.0), (None, 5.0), (None, None), ("none", None), ("same", 2.0), ("same", 2.0)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(7)
+    found = {r["g"]: r["median"] for r in summary.exact_median(df, F.col("x"), "g").collect()}
+    assert found == {g: statistics.median([x for h, x in rows if h == g and x is not None]) for g in ("hot", "odd", "two", None, "same")}
+    both = summary.sample_summary(df, F.col("x"), "g")
+    assert {r["g"]: r["median"] for r in both.collect()} == {**found, "none": None}
+    assert "percentile" not in both._jdf.queryExecution().executedPlan().toString().lower()
+    assert summary.sample_summary(df.limit(0), F.col("x")).first()["median"] is None and summary.exact_median(df.limit(0), F.col("x"), "g").count() == 0
+
+
+def test_audits_over_ranges_equal_a_plain_count(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(summary, "RANGE", 8)
+    rng = random.Random(5)
+    for _ in range(3):
+        want = [(p, o) for p in (0, None) for o in range(rng.randint(0, 60))]
+        came = [k for k in want + [(0, 90), (1, 3)] for _ in range(rng.choice([0, 1, 1, 1, 2]))]
+        frame = lambda rows: spark.createDataFrame([("t", p, o) for p, o in rows], "topic string, partition int, offset long")
+        found = {r["partition"]: tuple(r[c] for c in ("expected", "delivered", "missing", "repeated", "unknown", "gaps")) for r in summary.delivery_audit(frame(want), frame(came)).collect()}
+        for p in {k[0] for k in want + came}:
+            w, c = {o for q, o in want if q == p}, [o for q, o in came if q == p]
+            runs = sum(o - 1 not in c for o in set(c))
+            assert found[p] == (len(w), len(c), len(w - set(c)), sum(c.count(o) > 1 for o in set(c)), len(set(c) - w), max(0, runs - 1))
+
+
+def test_queries_scan_the_written_log_once(spark):
+    from topicflow.plans.queries import QUERIES
+
+    for name in ("gapless_chunks", "running_count", "take_per_partition", "assignment_from_offset", "topics_subscription"):
+        text = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert text.count("FileScan parquet") == 1 and "events-log" in text, name
+    assert "PartitionFilters: [isnotnull(topic" in text or "PartitionFilters: [topic" in text
+    assert "PushedFilters: [IsNotNull(offset), LessThan(offset,10)]" in QUERIES["take_per_partition"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from topicflow.workdir import work_path
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="a"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_path(cluster, "x")

@@ -35,9 +35,15 @@ def grouped_within(records: DataFrame, by: list[str], time: Column, interval: st
     """Adds window_start and batch: up to ``most`` records in a row within one interval.
 
     Intervals are of the records' own time, in fixed steps, where a running job would use the
-    clock. A batch is numbered within its window.
+    clock (``streaming.stateful.closed_batches``). A batch is numbered within its window. Records
+    without a time share a window of their own, whose start is null; null keys make groups of their own, ties in
+    ``order`` are numbered in no fixed order, and columns called window_start and batch are
+    replaced. An empty table gives none.
     """
-    timed = records.withColumn("window_start", F.window(time, interval).getField("start"))
+    # F.window alone would drop records without a time
+    start = F.window(F.coalesce(time, F.lit("1970-01-01").cast("timestamp_ntz")), interval).getField("start")
+    timed = records.withColumn("__none", time.isNull()).withColumn("window_start", start)
+    timed = timed.withColumn("window_start", F.when(~F.col("__none"), F.col("window_start"))).drop("__none")
     place = F.row_number().over(Window.partitionBy(*by, "window_start").orderBy(*order)) - 1
     return timed.withColumn("batch", F.floor(place / most).cast("long"))
 

@@ -20,15 +20,33 @@ from ..sources.log import PARTITION, dense_offsets
 RANGE = 1 << 16
 
 
-def running_count(records: DataFrame, name: str = "n") -> DataFrame:
-    """How many of the partition have come, this one included. A column called ``name`` is replaced."""
+def running_count(records: DataFrame, name: str = "n", first: Column | None = None) -> DataFrame:
+    """How many of the partition have come, this one included. A column called ``name`` is replaced.
+
+    Give ``first`` where offsets are dense from it on, as in a log that is read from there: the
+    count then follows from the offset, and nothing is shuffled.
+    """
+    if first is not None:
+        return records.withColumn(name, (F.col("offset") - first + 1).cast("long"))
     numbered = dense_offsets(records, PARTITION, ["offset"], F.floor(F.col("offset") / RANGE), "__n")
     return numbered.withColumn(name, F.col("__n") + 1).drop("__n") if name != "__n" else numbered
 
 
-def take(records: DataFrame, n: int) -> DataFrame:
-    """The first n of each partition."""
-    return running_count(records, "__count").filter(F.col("__count") <= n).drop("__count")
+def take(records: DataFrame, n: int, first: Column | None = None) -> DataFrame:
+    """The first n of each partition. With ``first`` (see ``running_count``) that is a filter on offsets, which reaches the files.
+
+    Else the records of each range of offsets are counted, and only ranges in which the first n
+    can lie are numbered.
+    """
+    if first is not None:
+        return records.filter(F.col("offset") < first + n)
+    where = F.coalesce(F.floor(F.col("offset") / RANGE), F.lit(-1))
+    counts = records.groupBy(*PARTITION, where.alias("__range")).agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(*PARTITION).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    last = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).filter(F.col("__before") < n).groupBy(*PARTITION).agg(F.max("__range").alias("__last"))
+    last = last.select(F.col("topic").alias("__topic"), F.col("partition").alias("__partition"), "__last")
+    some = records.join(last, [records[c].eqNullSafe(F.col(f"__{c}")) for c in PARTITION]).filter(where <= F.col("__last")).select(*records.columns)
+    return running_count(some, "__count").filter(F.col("__count") <= n).drop("__count")
 
 
 def take_first(records: DataFrame, n: int, order: str = "offset") -> DataFrame:
@@ -36,9 +54,9 @@ def take_first(records: DataFrame, n: int, order: str = "offset") -> DataFrame:
     return records.orderBy(order).limit(n)
 
 
-def chunks(records: DataFrame, n: int, name: str = "chunk") -> DataFrame:
-    """Consecutive chunks of n: together they hold every record once."""
-    return running_count(records, "__count").withColumn(name, F.floor((F.col("__count") - 1) / n).cast("long")).drop("__count")
+def chunks(records: DataFrame, n: int, name: str = "chunk", first: Column | None = None) -> DataFrame:
+    """Consecutive chunks of n: together they hold every record once. ``first``: see ``running_count``."""
+    return running_count(records, "__count", first).withColumn(name, F.floor((F.col("__count") - 1) / n).cast("long")).drop("__count")
 
 
 def segments(records: DataFrame, marker: Column, name: str = "segment") -> DataFrame:

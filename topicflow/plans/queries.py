@@ -41,8 +41,18 @@ def query(sql: str | None = None) -> Callable[[Callable[[DataFrame], DataFrame]]
     return register
 
 
+#: The log of each session and table: numbered and written once, then scanned by all queries.
+_written: dict[tuple[str, str], str] = {}
+
+
 def _events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs.log_of_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    key = (spark.sparkContext.applicationId, sf_dir)
+    made = logs.log_of_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    if key not in _written:
+        path = work_path(spark, "events-log")
+        logs.write_log(made, path, ranges=True)
+        _written[key] = path
+    return logs.read_log(spark, _written[key], made.schema)
 
 
 def _short(records: DataFrame, *more) -> DataFrame:
@@ -159,7 +169,7 @@ def offset_context(log):
 @query("select topic, part, off, off + 1 as n, 'g1' as group_id, 'm' || off as metadata from log where topic in ('click', 'error')")
 def partitioned_committable(log):
     records = readers.partitioned_source(readers.committable_source(log, topics("click", "error"), "g1", F.concat(F.lit("m"), F.col("offset").cast("string"))))
-    return _short(partitioned.running_count(records), "n", "commit.group_id", "commit.metadata")
+    return _short(partitioned.running_count(records, first=F.lit(0)), "n", "commit.group_id", "commit.metadata")
 
 
 @query("select topic, part, off, event_id from log where off >= case when topic = 'click' and part = 0 then 1 else 0 end")
@@ -371,12 +381,12 @@ def divide_resume(log):
 
 @query("select topic, part, off, off + 1 as n from log")
 def running_count(log):
-    return _short(partitioned.running_count(log), "n")
+    return _short(partitioned.running_count(log, first=F.lit(0)), "n")
 
 
 @query("select topic, part, off, event_id from log where off < 10")
 def take_per_partition(log):
-    return _short(partitioned.take(log, 10), "event_id")
+    return _short(partitioned.take(log, 10, first=F.lit(0)), "event_id")
 
 
 @query("select off, event_id from log where topic = 'click' and part = 1 order by off limit 25")
@@ -391,7 +401,7 @@ def take_while_inclusive(log):
 
 @query("select topic, part, off // 10 as chunk, count(*) as n, min(off) as lo, max(off) as hi from log group by all")
 def gapless_chunks(log):
-    found = partitioned.chunks(log, 10)
+    found = partitioned.chunks(log, 10, first=F.lit(0))
     return found.groupBy("topic", F.col("partition").alias("part"), "chunk").agg(F.count("*").alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi"))
 
 

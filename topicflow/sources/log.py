@@ -59,14 +59,16 @@ def log_of_events(events: DataFrame, partitions: int = 3, bucket_rows: int = 1 <
     return numbered.select("topic", "partition", "offset", "key", "value", "timestamp", "event_id", "user_id", "amount")
 
 
-def write_log(records: DataFrame, path: str, mode: str = "append") -> None:
-    """Appends records to a log's files: one folder per topic and partition, sorted by offset.
+def write_log(records: DataFrame, path: str, mode: str = "append", ranges: bool = False) -> None:
+    """Appends records to a log's files: folders for topics and partitions, sorted by offset.
 
     One file for each partition and append, whose rows a stream then reads in order: several
     could reach it in any order. So what is appended at once to a hot partition is one task's
-    work. One writer per topic: next offsets come from what the log holds.
+    work. With ``ranges`` tasks take ranges of offsets, for logs that are read in batches. Streams of hot
+    partitions read a ``topiclog`` instead. One writer per topic: next offsets come from what the log holds.
     """
-    records.repartition(*PARTITION).sortWithinPartitions(*PARTITION, "offset").write.mode(mode).partitionBy(*PARTITION).parquet(path)
+    dealt = records.repartitionByRange(*PARTITION, "offset") if ranges else records.repartition(*PARTITION)
+    dealt.sortWithinPartitions(*PARTITION, "offset").write.mode(mode).partitionBy(*PARTITION).parquet(path)
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType = LOG_SCHEMA) -> DataFrame:

@@ -57,8 +57,3 @@ def all_progress(spark: SparkSession, wait: float = 30.0) -> Iterator[Callable[[
     finally:
         spark.streams.removeListener(listener)
 
-
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Reports the query still holds, one row a batch: batch_id, input_rows."""
-    rows = [(int(p["batchId"]), int(p["numInputRows"])) for p in map(lambda p: json.loads(p.json) if hasattr(p, "json") else p, query.recentProgress)]
-    return spark.createDataFrame(rows, "batch_id long, input_rows long")
