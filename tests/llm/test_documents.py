@@ -310,11 +310,11 @@ def test_every_word_cut_stands_earlier(docs):
     before: set[bytes] = set()
     for r in sorted(docs.collect(), key=lambda r: r["doc_id"]):
         w = lower(r["text"]).split()
-        seen_here = [b" ".join(w[i : i + 20]) for i in range(len(w) - 19)]
+        seen_here = [b" ".join(w[i : i + 30]) for i in range(len(w) - 29)]
         covered: set[int] = set()
         for i, g in enumerate(seen_here):
             if g in before:
-                covered.update(range(i, i + 20))
+                covered.update(range(i, i + 30))
             before.add(g)
         assert found[r["doc_id"]]["removed_words"] <= len(covered)
         assert found[r["doc_id"]]["size"] == r["size"]
@@ -373,7 +373,7 @@ def test_repeated_runs_are_cut_in_full(spark, monkeypatch):
     for i in range(3):
         for k, p in enumerate(passages):
             rows.append((len(rows), f"{prose(rng, 40)} {p} {prose(rng, 40)}" if (i + k) % 2 else f"{prose(rng, 12)}\n{p}\n{prose(rng, 33)}"))
-    want = repeats_of(rows, 20)
+    want = repeats_of(rows, 30)
     for most, hot in ((1 << 20, 2000), (0, 2000), (1 << 20, 1)):  # by a bitmap, by a join, all groups split
         monkeypatch.setattr(line_dedup, "HOT", hot)
         found = {r["doc_id"]: r for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), most_broadcast=most).collect()}
@@ -386,6 +386,43 @@ def test_repeated_runs_are_cut_in_full(spark, monkeypatch):
                 assert lower(found[i]["text"]).split() == kept
 
 
+def test_short_repeats_that_meet_stay(spark):
+    """Two sentences from two texts, side by side, repeat nothing as one run."""
+    rng = random.Random(9)
+    sentence = [prose(rng, 19).replace(".", "") + "." for _ in range(3)]
+    one, two = (f"{prose(rng, 30)}. {s} {prose(rng, 30)}" for s in sentence[:2])
+    rows = [(1, one), (2, two), (3, f"{prose(rng, 20)}. {sentence[0]} {sentence[1]} {prose(rng, 20)}"), (4, f"{sentence[1]} {sentence[0]}")]
+    for least in (20, 30):
+        found = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), min_words=least).collect()
+        assert {r["doc_id"]: (r["text"], r["removed_words"]) for r in found} == {i: (t, 0) for i, t in rows}
+    spans = [{"run": 1, "a": 0, "b": 12}, {"run": 2, "a": 12, "b": 31}, {"run": 1, "a": 12, "b": 15}]
+    assert line_dedup.cut_spans(" ".join(map(str, range(40))), spans, 20)[1:] == (0, 0)
+    assert line_dedup.cut_spans(" ".join(map(str, range(40))), [*spans, {"run": 1, "a": 14, "b": 22}], 20) == (" ".join(map(str, range(22, 40))), 22, 1)
+
+
+def test_no_document_loses_more_than_what_repeats(spark):
+    """All documents of a whole table beside all runs of thirty words that repeat by brute force; and how many are found."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    want = repeats_of(rows, 30)
+    found = {r["doc_id"]: r["removed_words"] for r in line_dedup.line_dedup(docs).collect()}
+    assert [i for i in want if found[i] > len(want[i])] == []
+    assert sum(found.values()) >= 0.97 * sum(map(len, want.values()))
+
+
+@pytest.mark.parametrize("n, least", [(30, 0.93), (40, 0.97), (52, 1.0)])
+def test_recall_of_passages(spark, n, least):
+    """Passages that occur twice in other text: the share that is cut, whole but for a few outer words."""
+    rng = random.Random(n)
+    rows, passages = [], [prose(rng, n) for _ in range(150)]
+    for k in range(2):
+        for i, p in enumerate(passages):
+            rows.append((1000 * k + i, f"{prose(rng, rng.randint(5, 60))} {p if i % 2 else p.replace('.', '')} {prose(rng, rng.randint(5, 60))}"))
+    found = {r["doc_id"]: r["removed_words"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), min_words=min(n, 30)).collect()}
+    assert not any(found[i] for i in range(len(passages)))
+    assert np.mean([found[1000 + i] >= 0.9 * n for i in range(len(passages))]) >= least
+
+
 # -- 1: LM scoring ---------------------------------------------------------------------------
 
 

@@ -21,6 +21,8 @@ LINE, GRAM = 12, 8
 GUARANTEED = 5 * LINE + GRAM
 #: Words known on either side of a fingerprint, which is as far as a run may reach beyond its last one; bytes a word.
 CONTEXT, BYTES = 3 * LINE, 3
+#: Odd multipliers, which make one number of an earlier text and a distance.
+_RUNS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 #: Occurrences of one fingerprint that a task takes; more are dealt out.
 HOT = 2000
 
@@ -113,17 +115,24 @@ def common_words(column: pa.Array, here: np.ndarray, there: np.ndarray, back: bo
 def cut_spans(text: str | None, spans: list[dict[str, int]] | None, min_words: int) -> tuple[str, int, int]:
     """The text without its repeated runs of ``min_words`` or more, the words cut and the runs cut.
 
-    Overlapping and adjoining spans make one run. A run goes with the white space after it.
+    Spans that were matched with one earlier text at one distance (``run``) and overlap or adjoin stand
+    together there too, and make one run; those of fewer than ``min_words`` are left alone, whatever lies beside them.
+    Runs that are long enough and touch are cut in one. A run goes with the white space after it.
     """
     if spans is None:
         return text or "", 0, 0
+    matched: list[list[int]] = []  # run, from, to
+    for r, a, b in sorted((x["run"], x["a"], x["b"]) for x in spans):
+        if matched and matched[-1][0] == r and a <= matched[-1][2]:
+            matched[-1][2] = max(matched[-1][2], b)
+        else:
+            matched.append([r, a, b])
     runs: list[list[int]] = []
-    for a, b in sorted((x["a"], x["b"]) for x in spans):
+    for a, b in sorted((a, b) for _, a, b in matched if b - a >= min_words):
         if runs and a <= runs[-1][1]:
             runs[-1][1] = max(runs[-1][1], b)
         else:
             runs.append([a, b])
-    runs = [r for r in runs if r[1] - r[0] >= min_words]
     if not runs:
         return text or "", 0, 0
     raw = (text or "").encode("utf-8", "replace")
@@ -218,55 +227,73 @@ _PLACE = ("print", "doc_id", "key", "at")
 
 
 def _matched(found: DataFrame, salted: bool) -> DataFrame:
-    """Each occurrence but its group's first, matched with that: a and b, the run's first word and its end.
+    """Each occurrence but its group's first, matched with that, or with the one before where that has more in common:
+    a and b, the run's first word and its end.
+
+    ``run`` names the earlier text and how far before this place the match stands in it.
 
-    Rows of (group, salt) are sorted by place in one task, which keeps but the first. With
+    Rows of (group, salt) are sorted by place in one task, which keeps but two. With
     ``salted`` the firsts of split groups come out too: those are to be matched in turn.
     """
 
     @lean
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.RecordBatch | None = None  # the first of the group that is open
+        held: list[pa.RecordBatch] = []  # of the group that is open: its first, and the last one so far
         for b in batches:
             if not len(b):
                 continue
-            if held is not None:
-                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+            old = len(held)
+            if held:
+                b = pa.Table.from_batches([*held, b]).combine_chunks().to_batches()[0]
             group, salt, doc, key, at = (b.column(c).fill_null(-1).to_numpy(zero_copy_only=False) for c in ("group", "salt", "doc_id", "key", "at"))
+            size, place = b.column("size").to_numpy(), np.arange(len(b))
             new = np.ones(len(b), bool)
             new[1:] = (group[1:] != group[:-1]) | (salt[1:] != salt[:-1])
-            first = np.maximum.accumulate(np.where(new, np.arange(len(b)), 0))
-            here = np.flatnonzero(~new & ((key != key[first]) | (at != at[first]) | (doc != doc[first])))
+            first = np.maximum.accumulate(np.where(new, place, 0))
+            elsewhere = lambda i, k: (key[i] != key[k]) | (at[i] != at[k]) | (doc[i] != doc[k])
+            here = np.flatnonzero(~new & (place >= old))
+            here = here[elsewhere(here, first[here])]
+
+            def reach(here: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                low = at[here] - common_words(b.column("before"), here, there, back=True)
+                return low, at[here] + size[here] + common_words(b.column("after"), here, there)
+
             there = first[here]
-            low = at[here] - common_words(b.column("before"), here, there, back=True)
-            high = at[here] + b.column("size").to_numpy()[here] + common_words(b.column("after"), here, there)
-            split = np.flatnonzero(new & (salt >= 0) & (np.arange(len(b)) >= (held is not None))) if salted else here[:0]
+            low, high = reach(here, there)
+            more = np.flatnonzero((here - 1 != there) & elsewhere(here, here - 1))
+            low2, high2 = reach(here[more], here[more] - 1)
+            longer = high2 - low2 > high[more] - low[more]
+            more, low2, high2 = more[longer], low2[longer], high2[longer]
+            there[more], low[more], high[more] = here[more] - 1, low2, high2
+            split = np.flatnonzero(new & (salt >= 0) & (place >= old)) if salted else here[:0]
             rows = np.concatenate([here, split])
             nothing = pa.nulls(len(split), pa.int64())
-            ends = [pa.concat_arrays([pa.array(v), nothing]) for v in (low, high)]
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(rows)) for c in _NAMES), *ends], names=[*_NAMES, "a", "b"])
-            held = b.slice(int(first[-1]), 1)
+            run = (key[there].view(np.uint64) * _RUNS[0] + (at[there] - at[here]).view(np.uint64) * _RUNS[1]).view(np.int64)
+            ends = [pa.concat_arrays([pa.array(v), nothing]) for v in (run, low, high)]
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(rows)) for c in _NAMES), *ends], names=[*_NAMES, "run", "a", "b"])
+            begin, end = int(first[-1]), len(b) - 1
+            held = [b.slice(begin, 1), *([b.slice(end, 1)] if end > begin else [])]
 
     n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = found.repartition(n, "group", "salt").sortWithinPartitions("group", "salt", "doc_id", "key", "at")
-    return dealt.mapInArrow(follow, _FOUND + ", a long, b long")
+    return dealt.mapInArrow(follow, _FOUND + ", run long, a long, b long")
 
 
 _NAMES = [c.split()[0] for c in _FOUND.split(", ")]
 
 
-def line_dedup(docs: DataFrame, min_words: int = 20, most_broadcast: int = BITS // 8) -> DataFrame:
+def line_dedup(docs: DataFrame, min_words: int = 30, most_broadcast: int = BITS // 8) -> DataFrame:
     """``docs`` with repeated runs of text cut out of ``text``, and removed_words and removed_runs added.
 
-    A run is ``min_words`` words or more, A-Z lower-cased, that also occur earlier: at a smaller
-    (doc_id, place). Lines (``line_ends``) are hashed and winnowed (``fingerprints``); a run of
+    A run is ``min_words`` words or more, A-Z lower-cased, that also stand together earlier: at a
+    smaller (doc_id, place). Shorter ones stay, also where several meet. Lines (``line_ends``) are hashed and winnowed (``fingerprints``); a run of
     GUARANTEED words holds a fingerprint wherever it stands, whatever its lines, and most runs
     of 30 do. Those that occur once are dropped: by a bitmap while at most ``most_broadcast``
-    repeat, else by a join. Every other occurrence is set beside the first, and the match
+    repeat, else by a join. Every other occurrence is set beside the first and the one before it, and the longer match
     is extended both ways, word by word, by 24 bits of each word's hash. Between two of a run's
     fingerprints, and beyond its outer ones, lie at most CONTEXT words, so that the matches
     together cover the run from end to end. An occurrence that has less than ``min_words`` in common with
-    the first is set beside the first that also has the next, or the last, eight words in common:
+    both is set beside the first that also has the next, or the last, eight words in common:
     an earlier text may hold one line of a passage only. The first occurrence stays.
 
     Null and empty texts have nothing to cut (null becomes empty); null ids come first; rows
@@ -278,7 +305,7 @@ def line_dedup(docs: DataFrame, min_words: int = 20, most_broadcast: int = BITS
     short = (F.col("b") - F.col("a") < min_words) | F.col("a").isNull()
     matched = _matched(_occurrences(rows, most_broadcast), salted=True)
     kept = [F.when(short, F.col(c)).alias(c) for c in ("before", "after")]
-    matched = stored(matched.select("print", "doc_id", "key", "at", "size", *kept, "a", "b"), "matched")
+    matched = stored(matched.select("print", "doc_id", "key", "at", "size", *kept, "run", "a", "b"), "matched")
     spans = [matched.filter("a is not null")]
     # the firsts of split groups among themselves
     firsts = matched.filter("a is null").select(*_NAMES, F.col("print").alias("group"), F.lit(-1).cast("long").alias("salt"))
@@ -292,11 +319,11 @@ def line_dedup(docs: DataFrame, min_words: int = 20, most_broadcast: int = BITS
         once = stored(_matched(wide, salted=True), f"matched-{c}")
         more = once.filter("a is null").select(*_NAMES, F.xxhash64("print", side).alias("group"), F.lit(-1).cast("long").alias("salt"))
         spans += [once.filter("a is not null"), _matched(more, salted=False)]
-    every = spans[0].select("key", "a", "b")
+    every = spans[0].select("key", "run", "a", "b")
     for more in spans[1:]:
-        every = every.union(more.select("key", "a", "b"))
+        every = every.union(more.select("key", "run", "a", "b"))
     # a document's spans: about one for every few of its lines
-    every = stored(every.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("__spans")), "spans")
+    every = stored(every.groupBy("key").agg(F.collect_list(F.struct("run", "a", "b")).alias("__spans")), "spans")
 
     @F.pandas_udf("struct<text string, removed_words long, removed_runs long>")
     @lean
