@@ -400,3 +400,48 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="a"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_path(cluster, "x")
+
+
+def test_calls_in_flight_are_bounded_ordered_and_faster(spark):
+    import time
+
+    rows = spark.range(0, 64, 1, 1)
+
+    def slow(b):
+        import threading
+
+        held = getattr(slow, "held", None) or threading.Semaphore(4)
+        slow.held = held
+        assert held.acquire(blocking=False), "more than four calls at once"
+        try:
+            time.sleep(0.02 * (1 + b.column("id")[0].as_py() % 3))  # later ones end before earlier ones
+        finally:
+            held.release()
+        return b
+
+    def seconds(n):
+        start = time.time()
+        found = [r["id"] for r in partitioned.map_in_flight(rows, slow, "id long", in_flight=n).collect()]
+        assert found == list(range(64))
+        return time.time() - start
+
+    seconds(4)
+    assert seconds(4) < 0.6 * seconds(1)
+    assert partitioned.map_in_flight(rows.limit(0), slow, "id long").count() == 0
+    with pytest.raises(ValueError):
+        partitioned.map_in_flight(rows, slow, "id long", in_flight=0)
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        partitioned.map_in_flight(rows, lambda b: 1 // 0, "id long").collect()
+
+
+def test_ranges_of_numbers(spark):
+    got = lambda *a: [r[0] for r in logs.element_range(spark, *a).collect()]
+    assert got(1, 5) == [1, 2, 3, 4, 5] and got(5, 1) == [] and got(5, 1, -2) == [5, 3, 1] and got(1, 6, 2) == [1, 3, 5]
+    with pytest.raises(ValueError):
+        logs.element_range(spark, 1, 2, 0)
+
+
+def test_single_commits(spark):
+    rows = readers.committable(numbers(spark, 5), "g").select("commit.*")
+    made = offsets.commit_one(rows.union(rows.filter("offset = 2").withColumn("offset", F.lit(None).cast("long"))), F.lit("s"), F.col("offset"))
+    assert [(r["next_offset"], r["batch_size"]) for r in made.orderBy("next_offset").collect()] == [(i, 1) for i in range(1, 6)]

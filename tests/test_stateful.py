@@ -131,3 +131,36 @@ def test_the_sessions_state_store_comes_back(spark):
     with stateful.rocksdb(spark):
         assert "RocksDB" in spark.conf.get(stateful._PROVIDER)
     assert spark.conf.get(stateful._PROVIDER) == before
+
+
+def test_sets_of_offsets():
+    import numpy as np
+
+    rng = random.Random(4)
+    for _ in range(200):
+        a, b = ({rng.randint(0, 25) for _ in range(rng.randint(0, 20))} for _ in range(2))
+        x, y = (stateful.Offsets.of(np.array(sorted(s), np.int64)) for s in (a, b))
+        both = x | y
+        members = lambda s: {o for i, j in zip(s.starts.tolist(), s.ends.tolist(), strict=True) for o in range(i, j)}
+        assert members(x) == a and members(both) == a | b and len(both) == len(a | b) and x.shared(y) == len(a & b)
+        assert all(j < i for j, i in zip(both.ends[:-1], both.starts[1:], strict=True))
+        assert [o in a for o in range(-1, 28)] == x.has(np.arange(-1, 28)).tolist()
+
+
+def test_a_running_audit_equals_the_batch_form(spark, tmp_path):
+    """Several batches of both sides, out of order, with a restart; records come late, twice, thrice or never."""
+    from topicflow.operators import summary
+
+    rng = random.Random(6)
+    want = [("t", p, o) for p in (0, None) for o in range(40)]
+    came = [k for k in [*want, ("t", 0, 77), ("u", 1, 0)] for _ in range(rng.choice([0, 1, 1, 1, 2, 3]))]
+    rng.shuffle(came)
+    (tmp_path / "w").mkdir(), (tmp_path / "c").mkdir()
+    cut = lambda rows, i: rows[i * len(rows) // 4 : (i + 1) * len(rows) // 4]
+    read = lambda: stateful.last_audit(jobs.read_batches(spark, str(tmp_path / "out"), stateful.AUDIT_SCHEMA))
+    for part in ((0, 1), (2, 3)):
+        log, out = (files(spark, tmp_path / d, [cut(rows, i) for i in part]) for d, rows in (("w", want), ("c", came)))
+        jobs.drain(stateful.running_audit(log, out, str(tmp_path / "out"), str(tmp_path / "cp")))
+    frame = lambda rows: spark.createDataFrame(rows, "topic string, partition int, offset long")
+    batch = summary.delivery_audit(frame(want), frame(came))
+    assert sorted(map(str, read().collect())) == sorted(map(str, batch.select(*read().columns).collect()))

@@ -57,6 +57,15 @@ def journal_rows(batches: DataFrame, source_id: Column, commit_seq: Column, comm
     return batches.select(*GROUP, (F.col("offset") + 1).alias("next_offset"), "metadata", "batch_size", source_id.alias("source_id"), commit_seq.cast("long").alias("commit_seq"), at)
 
 
+def commit_one(commits: DataFrame, source_id: Column, commit_seq: Column) -> DataFrame:
+    """Every commit as a batch of its own, in the journal's form: for consumers that commit record by record.
+
+    Null offsets commit nothing and are left out; repeated commits are repeated rows.
+    """
+    single = commits.filter(F.col("offset").isNotNull()).select(*GROUP, "offset", "metadata", F.lit(1).cast("long").alias("batch_size"))
+    return journal_rows(single, source_id, commit_seq)
+
+
 def _arrival(journal: DataFrame) -> Column:
     """The order of commits: by time where the journal has it (a null one comes first), then by number, source and offset."""
     at = F.coalesce("committed_at", F.lit(-1)) if "committed_at" in journal.columns else F.lit(-1)

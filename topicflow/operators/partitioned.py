@@ -8,8 +8,11 @@ underscores are the library's.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,6 +96,35 @@ def map_batches(records: DataFrame, function: Callable[[Iterator], Iterator], sc
     return records.mapInArrow(function, schema)
 
 
+def map_in_flight(records: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, in_flight: int = 8, rows: int = 1) -> DataFrame:
+    """A function that waits, such as a remote call, over ``rows`` records at a time; the results keep the records' order.
+
+    In each task up to ``in_flight`` calls run at once, in threads of its own, and no further one
+    begins before the first of them has been passed on: so results wait for those before them, and what
+    a task holds is bounded. An error of a call fails its task, which Spark repeats: calls are to bear being made again.
+    An empty table makes no call.
+    """
+    if in_flight < 1 or rows < 1:
+        raise ValueError("at least one call, of one record")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: deque = deque()
+        with ThreadPoolExecutor(in_flight) as pool:
+            try:
+                for b in batches:
+                    for i in range(0, len(b), rows):
+                        if len(waiting) == in_flight:
+                            yield waiting.popleft().result()
+                        waiting.append(pool.submit(function, b.slice(i, rows)))
+                while waiting:
+                    yield waiting.popleft().result()
+            finally:
+                for call in waiting:
+                    call.cancel()
+
+    return records.mapInArrow(run, schema)
+
+
 def last_count_total(records: DataFrame) -> DataFrame:
     """Each partition's last running count, and the running sum of these over the partitions."""
     counts = records.groupBy(*PARTITION).agg(F.count("*").alias("n"))

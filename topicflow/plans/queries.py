@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -194,6 +195,11 @@ def element_cycle(log):
     return logs.cycle(log, "event_id", 100).select("event_id", "element")
 
 
+@query("select unnest(generate_series(1, 2 * count(*), 2)) as element from log")
+def element_range(log):
+    return logs.element_range(log.sparkSession, 1, 2 * log.count(), 2)
+
+
 @query("select topic, part, off from log where false or topic = 'click'")
 def missing_topic(log):
     return _short(logs.topic_or_empty(log, ["click", "no-such-topic"]))
@@ -253,6 +259,12 @@ def current_positions(log):
     return offsets.current_positions(_journal(log)).withColumnRenamed("partition", "part")
 
 
+@query("select 'g1' as group_id, topic, part, off + 1 as next_offset, 1 as batch_size from log where topic = 'signup'")
+def commit_one(log):
+    rows = offsets.commit_one(_commits(log).filter("topic = 'signup'"), F.lit("s"), F.col("offset"))
+    return rows.select("group_id", "topic", F.col("partition").alias("part"), "next_offset", "batch_size")
+
+
 @query("""select 'g1' as group_id, topic, part, max(off) + 1 as next_offset, count(*) * 100 as batch_size, max(off) as commit_seq
 from log where off % 100 = 99 group by topic, part""")
 def compact_journal(log):
@@ -429,6 +441,17 @@ def map_in_arrow(log):
     return partitioned.map_batches(log.select("event_id", "value"), sizes, "event_id long, size long")
 
 
+@query("select event_id, sha256(v) as digest from log")
+def map_in_flight(log):
+    """Eight calls at once in each task, of 64 records each; a call may wait for something outside."""
+
+    def digests(b):
+        made = [hashlib.sha256(v).hexdigest() for v in b.column("value").to_pylist()]
+        return pa.RecordBatch.from_arrays([b.column("event_id"), pa.array(made, pa.string())], names=["event_id", "digest"])
+
+    return partitioned.map_in_flight(log.select("event_id", "value"), digests, "event_id long, digest string", in_flight=8, rows=64)
+
+
 @query("select topic, part, n, sum(n) over (order by topic, part) as total from (select topic, part, count(*) as n from log group by topic, part)")
 def last_count_total(log):
     return partitioned.last_count_total(log).withColumnRenamed("partition", "part")

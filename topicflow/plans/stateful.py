@@ -64,3 +64,20 @@ def partition_lifecycle(job: _Job) -> DataFrame:
     read = lambda: jobs.read_batches(job.spark, job.path("events"), stateful.EVENT_SCHEMA)
     stateful.stop_with_event(query, job.spark, job.path("events"), lambda: not parts or _written(job, "events") and read().filter("event = 'revoke'").count() == parts, timeout=300)
     return read().select("topic", F.col("partition").alias("part"), "event", F.col("next_offset").alias("next_off"))
+
+
+_AUDIT_SQL = """select topic, part, count(*) as expected, count(*) - sum(case when off % 97 = 0 then 1 else 0 end) + sum(case when off % 89 = 0 and off % 97 <> 0 then 1 else 0 end) as delivered,
+  sum(case when off % 97 = 0 then 1 else 0 end) as missing, sum(case when off % 89 = 0 and off % 97 <> 0 then 1 else 0 end) as repeated, 0 as unknown,
+  sum(case when off % 97 <> 0 and next_got - off > 1 then 1 else 0 end) as gaps
+from (select *, min(case when off % 97 <> 0 then off end) over (partition by topic, part order by off rows between 1 following and unbounded following) as next_got from log) group by topic, part"""
+
+
+@stored(_AUDIT_SQL)
+def stream_audit(store: _Stored) -> DataFrame:
+    """The audit of a job that loses and repeats records, kept up batch by batch while both sides come in bounded batches."""
+    came = store.stream.load().filter("offset % 97 <> 0")
+    twice = came.withColumn("again", F.explode(F.when(F.col("offset") % 89 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    source = store.stream.options(maxRecordsPerPartition=MOST, positions=store.path("positions")).load()
+    query = stateful.running_audit(source, twice, store.path("audit"), store.path("checkpoint"), once=False, interval="0 seconds")
+    jobs.stop_after_all(query)
+    return stateful.last_audit(jobs.read_batches(store.spark, store.path("audit"), stateful.AUDIT_SCHEMA)).withColumnRenamed("partition", "part")

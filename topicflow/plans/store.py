@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,3 +83,38 @@ def bounded_intake(store: _Stored) -> DataFrame:
     jobs.stop_after_all(source.writeStream.foreachBatch(each).option("checkpointLocation", store.path("checkpoint")).trigger(processingTime="0 seconds").start())
     rows = jobs.read_batches(store.spark, store.path("out"), "topic string, partition int, offset bigint, batch bigint")
     return rows.groupBy("topic", F.col("partition").alias("part"), "batch").agg(F.count("*").alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi"))
+
+
+@stored(_COPY)
+def stop_and_resume(store: _Stored) -> DataFrame:
+    """A job that is stopped in the middle of its work and started again has put out everything once."""
+    step = lambda batch: batch.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"))
+    source = store.stream.options(maxRecordsPerPartition=MOST, positions=store.path("positions")).load()
+    start = lambda: jobs.exactly_once(source, step, "g1", store.path("out"), store.path("journal"), store.path("checkpoint"), once=False, interval="0 seconds")
+    first = start()
+    until = time.time() + 120
+    while first.isActive and not jobs._there(store.spark, store.path("journal")) and time.time() < until:
+        time.sleep(0.05)
+    jobs.stop_now(first)
+    jobs.stop_after_all(start())
+    seen = jobs.read_visible(store.spark, store.path("out"), "topic string, partition int, offset bigint, key string, source_id string, commit_seq bigint", store.path("journal"))
+    return _short(seen, F.col("key").alias("k"))
+
+
+@stored("select topic, part, count(*) as n, max(off) as last_off from log group by topic, part")
+def action_for_each(store: _Stored) -> DataFrame:
+    """An action for each batch of a stream: here it keeps a count of what it was given."""
+    each = lambda rows, batch: jobs._put(rows.groupBy("topic", "partition").agg(F.count("*").alias("n"), F.max("offset").alias("last_off")), store.path("seen"), "action", batch)
+    jobs.drain(jobs.for_each_result(store.stream.load(), each, store.path("checkpoint")))
+    rows = jobs.read_batches(store.spark, store.path("seen"), "topic string, partition int, n bigint, last_off bigint")
+    return rows.groupBy("topic", F.col("partition").alias("part")).agg(F.sum("n").alias("n"), F.max("last_off").alias("last_off"))
+
+
+@stored("select topic, part, count(*) as n, sum(off) as sum_off from log group by topic, part")
+def paced_batches(store: _Stored) -> DataFrame:
+    """At most so many records of a partition in each interval."""
+    source = store.stream.options(maxRecordsPerPartition=4 * MOST, positions=store.path("positions")).load()
+    each = lambda rows, batch: jobs._put(rows.groupBy("topic", "partition").agg(F.count("*").alias("n"), F.sum("offset").alias("sum_off")), store.path("seen"), "paced", batch)
+    jobs.stop_after_all(jobs.paced(source, each, store.path("checkpoint"), "500 milliseconds"))
+    rows = jobs.read_batches(store.spark, store.path("seen"), "topic string, partition int, n bigint, sum_off bigint")
+    return rows.groupBy("topic", F.col("partition").alias("part")).agg(F.sum("n").alias("n"), F.sum("sum_off").alias("sum_off"))

@@ -95,6 +95,13 @@ def topic_or_empty(log: DataFrame, topics: Sequence[str], auto_create: bool = Tr
     return found
 
 
+def element_range(spark: SparkSession, first: int, last: int, step: int = 1, name: str = "element") -> DataFrame:
+    """The numbers from first to last, both included, dealt over tasks. None where first is beyond last."""
+    if not step:
+        raise ValueError("a range needs a step")
+    return spark.range(first, last + (1 if step > 0 else -1), step).withColumnRenamed("id", name)
+
+
 def cycle(df: DataFrame, number: str, n: int, name: str = "element") -> DataFrame:
     """An endless 1..n, dealt out by a running number."""
     return df.withColumn(name, (F.pmod(F.col(number), F.lit(n)) + 1).cast("long"))

@@ -315,6 +315,17 @@ def stop_after_all(query: StreamingQuery) -> None:
         query.stop()
 
 
+def stop_now(query: StreamingQuery) -> None:
+    """Stops where it stands: a batch under way is given up, and begun again by the next run."""
+    query.stop()
+
+
+def paced(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, interval: str = "1 second") -> StreamingQuery:
+    """A batch for each interval and no sooner. With a source that bounds its batches (``maxRecordsPerPartition``,
+    ``maxFilesPerTrigger``) that is so many records an interval at most."""
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
+
+
 def first_sights(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Partition events: one row when a topic's partition is first seen."""
     seen = stream.select("topic", "partition").dropDuplicates(["topic", "partition"])

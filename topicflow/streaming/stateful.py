@@ -307,3 +307,100 @@ def stop_with_event(query: StreamingQuery, spark: SparkSession, out: str, done:
         number = int(last["batchId"]) + 1 if last else 0
         row = spark.createDataFrame([(None, None, "stop", None, None, source_id, number)], EVENT_SCHEMA)
         _put(row.coalesce(1), out, f"{source_id}-stop", number)
+
+
+# -- the audit of a running job ----------------------------------------------------------------
+
+
+class Offsets:
+    """A set of offsets as runs: sorted, apart from each other, ends exclusive. Its size is that of its gaps, not of its members."""
+
+    def __init__(self, starts: np.ndarray, ends: np.ndarray):
+        self.starts, self.ends = starts, ends
+
+    @staticmethod
+    def of(offsets: np.ndarray) -> Offsets:
+        o = np.unique(np.asarray(offsets, np.int64))
+        cut = np.flatnonzero(np.diff(o) > 1)
+        return Offsets(o[np.concatenate([[0], cut + 1])] if len(o) else o, o[np.concatenate([cut, [len(o) - 1]])] + 1 if len(o) else o)
+
+    @staticmethod
+    def rows(rows: list[tuple[int, int]]) -> Offsets:
+        a = np.array(rows, np.int64).reshape(-1, 2)
+        order = np.argsort(a[:, 0])
+        return Offsets(a[order, 0], a[order, 1])
+
+    def __len__(self) -> int:
+        return int((self.ends - self.starts).sum())
+
+    def __or__(self, other: Offsets) -> Offsets:
+        starts, ends = np.concatenate([self.starts, other.starts]), np.concatenate([self.ends, other.ends])
+        order = np.argsort(starts, kind="stable")
+        starts, ends = starts[order], np.maximum.accumulate(ends[order]) if len(order) else ends
+        new = np.append(True, starts[1:] > ends[:-1]) if len(starts) else np.zeros(0, bool)
+        last = np.append(new[1:], True) if len(starts) else new
+        return Offsets(starts[new], ends[last])
+
+    def has(self, offsets: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.starts, offsets, "right") - 1
+        return (at >= 0) & (offsets < np.append(self.ends, 0)[at])
+
+    def shared(self, other: Offsets) -> int:
+        return len(self) + len(other) - len(self | other)
+
+
+class _Audit(StatefulProcessor):
+    """Of each partition the offsets that the log has, that came, and that came again, as runs; and the records of either side."""
+
+    def init(self, handle) -> None:
+        self.sets = {name: handle.getListState(name, "low long, high long") for name in ("want", "got", "again")}
+        self.counts = handle.getValueState("counts", "expected long, delivered long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held = {name: Offsets.rows(list(s.get()) if s.exists() else []) for name, s in self.sets.items()}
+        expected, delivered = self.counts.get() if self.counts.exists() else (0, 0)
+        for frame in rows:
+            o, came = frame["offset"].to_numpy(np.int64), frame["came"].to_numpy(bool)
+            expected, delivered = expected + int((~came).sum()), delivered + int(came.sum())
+            held["want"] = held["want"] | Offsets.of(o[~came])
+            once, n = np.unique(o[came], return_counts=True)
+            held["again"] = held["again"] | Offsets.of(once[(n > 1) | held["got"].has(once)])
+            held["got"] = held["got"] | Offsets.of(once)
+        for name, s in self.sets.items():
+            if len(held[name].starts):  # sets only grow; an empty list cannot be kept
+                s.put(list(zip(held[name].starts.tolist(), held[name].ends.tolist(), strict=True)))
+        self.counts.update((expected, delivered))
+        want, got, both = held["want"], held["got"], held["want"].shared(held["got"])
+        row = (*key, expected, delivered, len(want) - both, len(held["again"]), len(got) - both, max(0, len(got.starts) - 1))
+        yield pd.DataFrame([row], columns=[*PARTITION, "expected", "delivered", "missing", "repeated", "unknown", "gaps"])
+
+    def close(self) -> None:
+        pass
+
+
+AUDIT_SCHEMA = "topic string, partition int, expected long, delivered long, missing long, repeated long, unknown long, gaps long, source_id string, commit_seq long"
+
+
+def running_audit(log: DataFrame, output: DataFrame, out: str, checkpoint: str, source_id: str = "audit", once: bool = True, interval: str = "10 seconds") -> StreamingQuery:
+    """``operators.summary.delivery_audit`` of two streams as they come: each micro-batch puts out the partitions it touched.
+
+    State is runs of offsets, which grow with the gaps there are at the time and not with the
+    records. The last row of a partition (``last_audit``) is the audit of all that has come,
+    in whatever order; what is under way counts as missing. Records with a null offset are left out; a null topic or
+    partition is one of its own.
+    """
+    side = lambda df, came: df.filter(F.col("offset").isNotNull()).select(*PARTITION, F.col("offset").cast("long").alias("offset"), F.lit(came).alias("came"))
+    rows = side(log, False).unionByName(side(output, True))
+    schema = AUDIT_SCHEMA.removesuffix(", source_id string, commit_seq long")
+    audits = rows.groupBy(*PARTITION).transformWithStateInPandas(_Audit(), schema, "Update", "None")
+    each = lambda batch, number: _put(batch.withColumns({"source_id": F.lit(source_id), "commit_seq": F.lit(number).cast("long")}), out, source_id, number)
+    with rocksdb(log.sparkSession):
+        writer = audits.writeStream.foreachBatch(each).outputMode("update").option("checkpointLocation", checkpoint)
+        return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
+
+
+def last_audit(audits: DataFrame) -> DataFrame:
+    """The last row of each partition."""
+    names = [c for c in audits.columns if c not in (*PARTITION, "source_id", "commit_seq")]
+    last = F.max_by(F.struct(*names), F.col("commit_seq")).alias("last")
+    return audits.groupBy(*PARTITION).agg(last).select(*PARTITION, *[F.col(f"last.{c}").alias(c) for c in names])
