@@ -1,4 +1,8 @@
-"""Payload codecs as column functions: a value or null, and an error code."""
+"""Payload codecs as column functions: a value or null, and an error code.
+
+Null bytes decode to null, and null values encode to null, without an error; empty bytes are the empty
+string, and no integer.
+"""
 
 from __future__ import annotations
 
@@ -14,6 +18,7 @@ KEY_ENCODE, VALUE_ENCODE = "KEY_SERIALIZATION", "VALUE_SERIALIZATION"
 
 
 def utf8(b: Column) -> Column:
+    """Text; null where the bytes are not valid UTF-8."""
     return F.when(F.is_valid_utf8(b.cast("string")), b.cast("string"))
 
 
@@ -24,10 +29,12 @@ def int32(b: Column) -> Column:
 
 
 def reversed4(b: Column) -> Column:
+    """Four bytes the other way round."""
     return F.concat(*[F.substring(b, i, 1) for i in (4, 3, 2, 1)])
 
 
 def int32_little(b: Column) -> Column:
+    """Little-endian; null unless there are four bytes."""
     return F.when(F.octet_length(b) == 4, int32(reversed4(b)))
 
 
@@ -48,7 +55,8 @@ def encode_int32_little(n: Column) -> Column:
 def decode(records: DataFrame, key: Codec | None = None, value: Codec | None = None) -> DataFrame:
     """Decodes key and value in place of their bytes; raw_key, raw_value and error_code are added.
 
-    error_code is null where all went well. Null bytes decode to null without an error.
+    error_code is null where all went well; where both fail it is the key's. Null bytes decode to null without an error.
+    Columns called raw_key, raw_value and error_code are replaced. Repeated rows are rows like others; an empty table gives none.
     """
     out = records.withColumns({"raw_key": F.col("key"), "raw_value": F.col("value")})
     error = F.lit(None).cast("string")

@@ -1,4 +1,9 @@
-"""Positions of consumer groups: folding offsets, batching commits, the offset journal."""
+"""Positions of consumer groups: folding offsets, batching commits, the offset journal.
+
+A null group, topic or partition is one of its own. Null offsets lose against any other, and make a
+null position where there is nothing else. Empty tables give none. Columns beside those named are dropped
+by folds and kept by what adds columns.
+"""
 
 from __future__ import annotations
 
@@ -14,20 +19,21 @@ def fold_offsets(commits: DataFrame, seq: Column, *more: str) -> DataFrame:
     """One batch per group, topic and partition (and ``more``): the last arrival wins, whatever its offset.
 
     ``commits`` has the columns of ``commit``; ``seq`` is the order of arrival. batch_size
-    counts what was folded.
+    counts what was folded. Of commits with one ``seq`` the one with the larger offset counts, then the larger metadata; a null ``seq``
+    counts in no batch that has others.
     """
-    last = F.max_by(F.struct("offset", "metadata"), seq)
+    last = F.max_by(F.struct("offset", "metadata"), F.struct(seq.alias("seq"), "offset", "metadata"))
     return commits.groupBy(*more, *GROUP).agg(last.alias("last"), F.count("*").alias("batch_size")).select(*more, *GROUP, "last.offset", "last.metadata", "batch_size")
 
 
 def merge_batches(batches: DataFrame, batch_seq: str) -> DataFrame:
-    """Batches into one: of each partition the later batch's offset, and the sum of the sizes."""
-    last = F.max_by(F.struct("offset", "metadata"), F.col(batch_seq))
+    """Batches into one: of each partition the later batch's offset, and the sum of the sizes. Ties as in ``fold_offsets``."""
+    last = F.max_by(F.struct("offset", "metadata"), F.struct(F.col(batch_seq).alias("seq"), "offset", "metadata"))
     return batches.groupBy(*GROUP).agg(last.alias("last"), F.sum("batch_size").alias("batch_size")).select(*GROUP, "last.offset", "last.metadata", "batch_size")
 
 
 def fold_transaction(commits: DataFrame, *more: str) -> DataFrame:
-    """The next offset after a transaction: here the highest offset counts."""
+    """The next offset after a transaction: here the highest offset counts. Null offsets don't."""
     return commits.groupBy(*more, *GROUP).agg((F.max("offset") + 1).alias("next_offset"), F.count("*").alias("batch_size"))
 
 

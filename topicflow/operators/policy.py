@@ -1,4 +1,8 @@
-"""What a bad record does: stop, be dropped, or have the job start again."""
+"""What a bad record does: stop, be dropped, or have the job start again.
+
+Rows are judged one by one: repeated ones alike, null values by their error_code alone, and empty
+tables give none. ``directive`` replaces a column of that name; ``streaming.supervised`` is the same in a job.
+"""
 
 from __future__ import annotations
 
@@ -40,7 +44,8 @@ def directive(code: Column, table: Mapping[str, str]) -> Column:
 def apply_policy(decoded: DataFrame, overrides: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """The good rows, and the dead letters of those whose directive is to resume.
 
-    A row that must stop the job, or restart it, raises as it is read.
+    A row that must stop the job, or restart it, raises as it is read. Good rows have neither
+    ``directive`` nor ``error_code``; letters keep those of topic, partition, offset, raw_key, raw_value, error_code and directive that there are.
     """
     marked = decoded.withColumn("directive", directive(F.col("error_code"), policy(overrides)))
     fails = F.col("directive").isin(STOP, RESTART)

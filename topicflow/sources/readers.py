@@ -1,4 +1,10 @@
-"""Sources: slices of a log, alone or with the position that is to be committed."""
+"""Sources: slices of a log, alone or with the position that is to be committed.
+
+A null topic or partition makes a partition of its own, which no subscription, assignment or start names; it begins at the
+default. A null offset is before every start: such a record is read only where no start applies. Repeated
+records are records like others, empty logs give empty results. A column that a function adds
+takes the place of one of its name: ``commit``, ``element``.
+"""
 
 from __future__ import annotations
 
@@ -33,10 +39,12 @@ def committable(records: DataFrame, group_id: str, metadata: Column | None = Non
 
 
 def committable_source(log: DataFrame, subscription: Subscription, group_id: str, metadata: Column | None = None) -> DataFrame:
+    """The records of a subscription, each with its position in ``commit``; null metadata stays null."""
     return committable(plain_source(log, subscription), group_id, metadata)
 
 
 def committable_multi_assignment_source(log: DataFrame, assignments: DataFrame, group_id: str) -> DataFrame:
+    """``multi_assignment_source`` with ``commit``: a record that several assignments cover has it in each row."""
     return committable(multi_assignment_source(log, assignments), group_id)
 
 
@@ -46,21 +54,27 @@ def with_offset_context(records: DataFrame) -> DataFrame:
 
 
 def map_element(contextual: DataFrame, element: Column) -> DataFrame:
+    """Another element with the same position; a null one keeps its position too, so that it is committed."""
     return contextual.withColumn("element", element)
 
 
 def partitioned_source(records: DataFrame) -> DataFrame:
-    """Records of a partition together and in offset order, for per-partition work."""
+    """Records of a partition together and in offset order, for per-partition work: null offsets first, ties in no fixed order.
+
+    A partition is one task's work, however hot: what runs along offsets does better with
+    ``operators.partitioned``, whose tasks take ranges of them.
+    """
     return records.repartition(*PARTITION).sortWithinPartitions(*PARTITION, "offset")
 
 
 def from_starts(log: DataFrame, starts: DataFrame, default: Column | None = None) -> DataFrame:
     """Records from the start of their partition on: ``starts(topic, partition, start)``.
 
-    A partition without a start, or with a null one, begins at ``default``, or else at 0.
+    A partition without a start, or with a null one, begins at ``default``, or else at 0. Of several
+    starts of one partition the least counts.
     """
     default = F.lit(0) if default is None else default
-    starts = starts.select(*PARTITION, F.col("start").alias("__start"))
+    starts = starts.groupBy(*PARTITION).agg(F.min("start").alias("__start"))
     return log.join(starts, list(PARTITION), "left").filter(F.col("offset") >= F.coalesce("__start", default)).drop("__start")
 
 
@@ -71,11 +85,12 @@ def manual_offset_source(log: DataFrame, subscription: Subscription, offsets_on_
 
 
 def end_offsets(log: DataFrame) -> DataFrame:
+    """The next offset of each partition that has records; null where all its offsets are."""
     return log.groupBy(*PARTITION).agg((F.max("offset") + 1).alias("end"))
 
 
 def offsets_for_time(log: DataFrame, timestamp: Column) -> DataFrame:
-    """The first offset at or after a time in each partition; null where there is none."""
+    """The first offset at or after a time in each partition; null where there is none. Records without a time are passed over."""
     return log.groupBy(*PARTITION).agg(F.min(F.when(F.col("timestamp") >= timestamp, F.col("offset"))).alias("start"))
 
 
@@ -90,7 +105,7 @@ def start_positions(log: DataFrame, positions: DataFrame, policy: str = "latest"
 
 
 def seek(starts: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Starts with those of ``overrides(topic, partition, start)`` in their place."""
+    """Starts with those of ``overrides(topic, partition, start)`` in their place; a null override changes nothing."""
     new = overrides.select(*PARTITION, F.col("start").alias("new"))
     return starts.join(new, list(PARTITION), "full").select(*PARTITION, F.coalesce("new", "start").alias("start"))
 
@@ -145,7 +160,7 @@ def topic_metadata(log: DataFrame) -> DataFrame:
 
 
 def consumer_lag(log: DataFrame, positions: DataFrame) -> DataFrame:
-    """How many records of each partition a group has not read."""
+    """How many records of each partition a group has not read: all, where it has no position. Below 0 where it is beyond the end."""
     known = positions.select(*PARTITION, "next_offset")
     lag = F.col("end") - F.coalesce("next_offset", F.lit(0))
     return end_offsets(log).join(known, list(PARTITION), "left").select(*PARTITION, F.coalesce("next_offset", F.lit(0)).alias("next_offset"), "end", lag.alias("lag"))

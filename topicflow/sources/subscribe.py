@@ -20,7 +20,7 @@ class Subscription:
 
     @property
     def predicate(self) -> Column:
-        """A filter of literals only, so that folders and row groups are pruned."""
+        """A filter of literals only, so that folders and row groups are pruned. Null topics and partitions are in none; no partitions match nothing."""
         if self.pattern is not None:
             return F.col("topic").rlike(self.pattern)
         if self.topics:

@@ -1,7 +1,9 @@
 """Streaming jobs over a log: what is written when, and so what a failure may lose or repeat.
 
 A batch's output and its commits are folders of their own, named by the job's source_id and
-the batch id, and overwritten when Spark replays the batch.
+the batch id, and overwritten when Spark replays the batch. Output gets the columns source_id and commit_seq (or
+txn_id), in place of columns of these names. Batches without records are written too. Records with a null topic, partition
+or offset are put out like others; positions follow ``operators.offsets``.
 """
 
 from __future__ import annotations
