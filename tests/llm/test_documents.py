@@ -452,6 +452,27 @@ def test_scores_do_not_depend_on_what_is_broadcast(spark, docs):
     assert few == {k: pytest.approx(v) for k, v in all_.items()}
 
 
+def test_scores_do_not_depend_on_partitions(spark, docs, monkeypatch):
+    """Shards of few ids, so that there are several in a round."""
+    monkeypatch.setattr(lm_score, "SHARD", 4000)
+    held = common.id_remainder(F.col("doc_id"), 7) == 2
+    rows = docs.select("doc_id", "text")
+    one, four = ([r["score"] for r in lm_score.lm_scores(rows.repartition(n), ~held, WORD_BPE).orderBy("doc_id", "n_tokens", "score").collect()] for n in (1, 4))
+    assert one == pytest.approx(four, rel=1e-6)
+
+
+def test_ids_are_kept_as_they_are(spark, docs):
+    found = lm_score.encode_ids(docs.select(F.lit(0).cast("long").alias("lot"), F.lit(1).cast("long").alias("order"), F.coalesce("text", F.lit("")).alias("text")), WORD_BPE).coalesce(1)
+    end, t = lm_score.vocabulary_size(WORD_BPE), tokens.load(WORD_BPE)
+    kept = Counter()
+    for ids, heads, sizes in lm_score.coded(iter(found.toArrow().to_batches()), end):
+        for x, h in zip(np.split(ids, np.cumsum(sizes)[:-1]), np.split(heads, np.cumsum(sizes)[:-1]), strict=True):
+            assert x[-1] == end and h[-1]
+            kept[tuple(x[:-1].tolist())] += 1
+    want = Counter(tuple(i for w in lower(r["text"]).split() for i in t.encode(w.decode(), add_special_tokens=False).ids) for r in docs.collect())
+    assert kept == want
+
+
 def small_model(rng, ids, sizes, n=50):
     of = lm_score.make_classes(np.bincount(ids, minlength=n + 1), rng.standard_normal((n + 1, 4)), singles=20)
     pairs, lefts = np.zeros((256, 256)), np.zeros((17, n + 1))

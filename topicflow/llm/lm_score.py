@@ -12,13 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import give_back, lean, stored
+from .common import discard, give_back, lean, stored
 from .tokens import PieceEncoder, encoder
-from .words import HashTable, distinct, lower, parts, wide_hashes, words
+from .words import HashTable, binary, distinct, lower, parts, text_bytes, wide_hashes, words
 
 #: Classes are in groups of so many; both numbers are fixed, whatever the corpus.
 GROUPS, MEMBERS = 16, 16
 CLASSES = GROUPS * MEMBERS
+#: Ids of a shard, which is trained in turn; ids that are mixed; and parts of one in which weights are averaged.
+SHARD, CHUNK, FINE = 1 << 20, 1 << 17, 1 << 24
 #: The weights that are trained, in the order in which they are sent.
 WEIGHTS = ("query", "key", "value", "bias", "out_group", "out_member")
 
@@ -292,9 +294,13 @@ class Ids:
         return cls(np.insert(e.ids[take].astype(np.int64), edge[1:], end), np.insert(heads[: len(take)], edge[1:], True), np.diff(edge) + 1, np.insert(lengths > 0, s.first[1:], True), hashes, np.diff(s.first))
 
     def left(self, of: np.ndarray) -> np.ndarray:
-        """The group to the left of each id inside its word; GROUPS for a word's first."""
-        groups = of[self.ids] // MEMBERS
-        return np.where(self.heads, GROUPS, np.concatenate([[0], groups[:-1]]))
+        return left_of(self.ids, self.heads, of)
+
+
+def left_of(ids: np.ndarray, heads: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The group to the left of each id inside its word; GROUPS for a word's first."""
+    groups = of[ids] // MEMBERS
+    return np.where(heads, GROUPS, np.concatenate([[0], groups[:-1]]))
 
 
 def count_words(rows: DataFrame, held: int = 1_000_000) -> DataFrame:
@@ -332,41 +338,91 @@ def count_words(rows: DataFrame, held: int = 1_000_000) -> DataFrame:
     return counted.groupBy("a", "b").agg(F.sum("n").alias("c"))
 
 
+def encode_ids(rows: DataFrame, path: str) -> DataFrame:
+    """(lot, order, ids, heads) of ``rows(lot, order, text)``: each text's subword ids with its end, and bits that say which begin a word."""
+    end = vocabulary_size(path)
+
+    @lean
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = encoder(path, keep_space=False)
+        for b in batches:
+            for s, raw, bounds in parts(b.column("text"), 1 << 19):
+                x = Ids.of(e, raw, bounds, end)
+                edge, at = np.concatenate([[0], np.cumsum(x.sizes)]), np.concatenate([[0], np.cumsum(-(-x.sizes // 8))])
+                bits = np.zeros(8 * at[-1], bool)
+                bits[np.repeat(8 * at[:-1] - edge[:-1], x.sizes) + np.arange(len(x.ids))] = x.heads
+                kind = _width(end)
+                yield pa.RecordBatch.from_arrays([b.column("lot")[s], b.column("order")[s], binary(x.ids.astype(kind).tobytes(), np.dtype(kind).itemsize * edge), binary(np.packbits(bits).tobytes(), at)], names=["lot", "order", "ids", "heads"])
+
+    return stored(rows.select("lot", "order", "text").mapInArrow(code, "lot long, order long, ids binary, heads binary"), "ids")
+
+
+def _width(end: int) -> str:
+    return "<u2" if end < 1 << 16 else "<u4"
+
+
+def coded(batches: Iterator[pa.RecordBatch], end: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, heads and sizes of many texts at a time, from ``encode_ids``' columns."""
+    kind = np.dtype(_width(end))
+    for b in batches:
+        for s, raw, bounds in parts(b.column("ids"), 1 << 19):
+            sizes = np.diff(bounds) // kind.itemsize
+            bits = np.unpackbits(text_bytes(b.column("heads")[s])[0]).astype(bool)
+            edge, at = np.cumsum(sizes) - sizes, np.cumsum(-(-sizes // 8)) - -(-sizes // 8)
+            yield raw.view(kind).astype(np.int64), bits[np.repeat(8 * at - edge, sizes) + np.arange(int(sizes.sum()))], sizes
+
+
+def lots(batches: Iterator[pa.RecordBatch], end: int, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Texts of one shard at a time, ``most`` ids or the last of them: shard, ids and sizes. What goes together depends on the shard alone."""
+    kind, held, total, now = np.dtype(_width(end)), [], 0, None
+    made = lambda: (now, np.concatenate(held).astype(np.int64), np.array([len(x) for x in held]))
+    for b in batches:
+        raw, bounds = text_bytes(b.column("ids"))
+        for shard, x, y in zip(b.column("shard").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if held and (shard != now or total >= most):
+                yield made()
+                held, total = [], 0
+            now = shard
+            held.append(np.frombuffer(raw[x:y].tobytes(), kind))
+            total += len(held[-1])
+    if held:
+        yield made()
+
+
 def train_attention(rows: DataFrame, path: str, dim: int = 16, context: int = 16, rounds: int = 4, rate: float = 0.01, batch: int = 128, seed: int = 5) -> AttentionModel:
-    """Learns the model from all texts of ``rows(lot, text)``, in tasks; the driver holds tables of fixed size.
-
-    Three steps over all texts. First, how often each id occurs, and what stands beside it
-    (sums of a random vector for each neighbour), which give the classes. Then counts of
-    neighbouring classes, and of ids by the group to their left. Last the weights: in each of
-    ``rounds`` the tasks take the texts whose ``lot`` is the round's (0 to rounds - 1; every
-    text has one), go down their gradients from the same weights, and the mean of what they
-    reach, weighted by ids, begins the next round. Of the windows every second one is a
-    target; as each reads the one before it, all ids are read.
+    """Learns the model from all texts of ``rows(lot, order, text)``, in tasks; the driver holds tables of fixed size.
+
+    Texts are encoded once. Three steps go over all of their ids. First, how often each id
+    occurs, and what stands beside it (sums of a vector of whole numbers for each neighbour), which give the
+    classes. Then counts of neighbouring classes, and of ids by the group to their left. Last the
+    weights: each of ``rounds`` takes the texts whose ``lot`` is the round's (0 to rounds - 1; every
+    text has one), dealt into shards of about SHARD ids by ``order``, a hash. Each shard, in the order of that
+    hash, goes down its gradients from the same weights, every id a target once; the mean of what they
+    reach, weighted by ids, begins the next round. All sums are of whole numbers, so neither
+    partitions nor the order in which tasks end change the model.
     """
     spark = rows.sparkSession
     end = vocabulary_size(path)
     rng = np.random.default_rng(seed)
-    signs, half = rng.standard_normal((4, end + 1)).astype(np.float32), 4
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[Ids]:
-        e = encoder(path, keep_space=False)
-        for b in batches:
-            for _, raw, bounds in parts(b.column("text"), 1 << 19):
-                yield Ids.of(e, raw, bounds, end)
+    signs, half = rng.integers(-64, 65, (4, end + 1)).astype(float), 4
+    texts = encode_ids(rows, path)
 
     @lean
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, near = np.zeros(end + 1, np.int64), np.zeros((2 * half, end + 1))
-        for x in read(batches):
-            n += np.bincount(x.ids, minlength=end + 1)
+        for ids, _, sizes in coded(batches, end):
+            n += np.bincount(ids, minlength=end + 1)
+            inside = np.ones(len(ids), bool)  # what follows an end is another text's
+            inside[np.cumsum(sizes) - 1] = False
+            one, two = ids[:-1][inside[:-1]], ids[1:][inside[:-1]]
             for j in range(half):
-                near[j, :] += np.bincount(x.ids[1:], signs[j][x.ids[:-1]], end + 1)
-                near[half + j, :] += np.bincount(x.ids[:-1], signs[j][x.ids[1:]], end + 1)
+                near[j, :] += np.bincount(two, signs[j][one], end + 1)
+                near[half + j, :] += np.bincount(one, signs[j][two], end + 1)
         at = np.flatnonzero(n)
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at]), *[pa.array(row[at]) for row in near]], names=["id", "n", *_NEAR])
 
-    found = rows.select("text").mapInArrow(neighbours, "id long, n long, " + ", ".join(f"{c} double" for c in _NEAR))
+    found = texts.select("ids", "heads").mapInArrow(neighbours, "id long, n long, " + ", ".join(f"{c} double" for c in _NEAR))
     found = found.groupBy("id").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in _NEAR]).toPandas()
     counts, near = np.zeros(end + 1), np.zeros((end + 1, 2 * half))
     counts[found["id"]], near[found["id"]] = found["n"], found[_NEAR].to_numpy()
@@ -378,17 +434,17 @@ def train_attention(rows: DataFrame, path: str, dim: int = 16, context: int = 16
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, lefts = np.zeros(CLASSES * CLASSES, np.int64), np.zeros((GROUPS + 1) * (end + 1), np.int32)
         last = int(of[-1])
-        for x in read(batches):
-            c = of[x.ids]
+        for ids, heads, _ in coded(batches, end):
+            c = of[ids]
             pairs += np.bincount(np.concatenate([[last], c[:-1]]) * CLASSES + c, minlength=len(pairs))  # an end stands before each text
-            np.add.at(lefts, x.left(of) * (end + 1) + x.ids, np.int32(1))
+            np.add.at(lefts, left_of(ids, heads, of) * (end + 1) + ids, np.int32(1))
         table = np.concatenate([pairs, lefts])
         at = np.flatnonzero(table)
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], names=["at", "n"])
 
     # at most a row for each two classes, and for each id and group
-    found = rows.select("text").mapInArrow(tables, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    found = texts.select("ids", "heads").mapInArrow(tables, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(CLASSES * CLASSES + (GROUPS + 1) * (end + 1))
     table[found["at"]] = found["n"]
     del found
@@ -397,37 +453,47 @@ def train_attention(rows: DataFrame, path: str, dim: int = 16, context: int = 16
     del table
     small = lambda *s: (rng.standard_normal(s) * 0.3).astype(np.float32)
     model = AttentionModel(of, share, pair_group, pair_member, small(CLASSES, dim), small(CLASSES, dim), small(CLASSES, dim), np.zeros(context, np.float32), np.zeros((dim, GROUPS), np.float32), np.zeros((GROUPS, dim, MEMBERS), np.float32))
+    shards = max(1, round(float(counts.sum()) / rounds / SHARD))
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast((of, pair_group, pair_member, model.weights()))
         pace = rate * (1 - turn / rounds)
 
         @lean
-        def train(batches: Iterator[pa.RecordBatch], shared=shared, pace=pace) -> Iterator[pa.RecordBatch]:
+        def train(batches: Iterator[pa.RecordBatch], shared=shared, pace=pace, turn=turn) -> Iterator[pa.RecordBatch]:
             of, pair_group, pair_member, flat = shared.value
             shapes = [(CLASSES, dim)] * 3 + [(context,), (dim, GROUPS), (GROUPS, dim, MEMBERS)]
             m = AttentionModel(of, np.zeros((0, 0)), pair_group, pair_member, *[np.zeros(x, np.float32) for x in shapes])
-            m.set_weights(flat)
-            adam, order, seen_ids = Adam(m, pace), np.random.default_rng(seed), 0
-            for x in read(batches):
-                framed = m.framed(of[x.ids])
-                first, seen = m.windows(x.sizes)
-                last = np.repeat(np.cumsum(x.sizes), -(-x.sizes // m.stride))
-                mixed = order.permutation(np.flatnonzero(seen // m.stride % 2 == order.integers(2)))
+            total, reached, now, here = 0, np.zeros(len(flat), np.int64), None, 0
+            for shard, ids, sizes in lots(batches, end, CHUNK):
+                if shard != now:
+                    reached += here * np.rint(m.weights().astype(float) * FINE).astype(np.int64)
+                    m.set_weights(flat)
+                    adam, order, now, here = Adam(m, pace), np.random.default_rng([seed, turn, shard]), shard, 0
+                framed = m.framed(of[ids])
+                first, seen = m.windows(sizes)
+                last = np.repeat(np.cumsum(sizes), -(-sizes // m.stride))
+                mixed = order.permutation(len(first))
                 for i in range(0, len(mixed), batch):
                     w = mixed[i : i + batch]
                     adam.down(m.gradients(framed, first[w], seen[w], last[w]))
-                seen_ids += len(x.ids)
-            if seen_ids:
-                yield pa.RecordBatch.from_arrays([pa.array([float(seen_ids)]), pa.array([m.weights().tolist()], pa.list_(pa.float32()))], names=["ids", "weights"])
-
-        reached = rows.filter(F.col("lot") == turn).select("text").mapInArrow(train, "ids double, weights array<float>")
-        mean = reached.select("ids", F.posexplode("weights")).groupBy("pos").agg((F.sum(F.col("ids") * F.col("col")) / F.sum("ids")).alias("w")).toPandas()
+                here, total = here + len(ids), total + len(ids)
+            if total:
+                reached += here * np.rint(m.weights().astype(float) * FINE).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([reached.tolist()], pa.list_(pa.int64()))], names=["ids", "weights"])
+
+        shard = F.pmod(F.xxhash64("order", F.lit(seed)), F.lit(shards))
+        dealt = texts.filter(F.col("lot") == turn).select("order", "ids", shard.alias("shard")).repartition("shard").sortWithinPartitions("shard", "order", "ids")
+        reached = dealt.mapInArrow(train, "ids long, weights array<long>")
+        # a row of weights for each task
+        whole = "decimal(38,0)"
+        mean = reached.select("ids", F.posexplode("weights")).groupBy("pos").agg((F.sum(F.col("col").cast(whole)).cast("double") / F.sum("ids") / FINE).alias("w")).toPandas()
         shared.unpersist()
         if len(mean):
             flat = np.zeros(len(mean), np.float32)
             flat[mean["pos"]] = mean["w"]
             model.set_weights(flat)
         give_back()
+    discard(texts)
     return model
 
 
@@ -459,8 +525,9 @@ def lm_scores(docs: DataFrame, training: Column, path: str, frequent: int = 1 <<
     total = float(n_all + v_all + 1)
     of_end = float(np.log10((n_ends + 1) / total))
     end = vocabulary_size(path)
-    lot = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(rounds))
-    model = train_attention(learned.select(lot.alias("lot"), "text"), path, rounds=rounds)
+    order = F.xxhash64("doc_id", "text")
+    lot = F.pmod(F.xxhash64(order, F.lit(11)), F.lit(rounds))
+    model = train_attention(learned.select(lot.alias("lot"), order.alias("order"), "text"), path, rounds=rounds)
     # the words above a count that at most ``frequent`` reach, by steps of an eighth of a power of two
     step = F.floor(F.log2("c") * 8)
     steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).toPandas().sort_values("step", ascending=False)
