@@ -87,6 +87,29 @@ def test_long_urls_are_read_to_their_end(spark):
     assert {r["page_id"] for r in url_rules.judge_urls(pages, mined).collect() if r["verdict"] == "block"} == set(range(0, 400, 4))
 
 
+@pytest.mark.parametrize("share", [0.97, 0.8])
+@pytest.mark.parametrize("pure", [True, False])
+def test_names_that_nearly_always_stand_together(spark, share, pure):
+    """22 names, each dropped at random from some pages: their combinations double with each. Every name is a rule by itself."""
+    import random
+    import time
+
+    rng = random.Random(7)
+    rows = []
+    for i in range(1200):
+        spam = i % 2 == 0
+        names = [f"n{c}" for c in "abcdefghijklmnopqrstuv" if spam and rng.random() < share]
+        rows.append((i, f"http://h{i % 7}.example.net/p?" + "&".join(f"{n}=1" for n in names), int(not spam or (not pure and i % 10 == 0)), 0))
+    pages = spark.createDataFrame(rows, "page_id long, url string, quality int, toxic int")
+    start = time.time()
+    mined = url_rules.mine_rules(pages, pages.select(F.col("page_id").alias("doc_id"), "quality", "toxic")).collect()
+    assert time.time() - start < 60
+    assert {f"q:n{c}" for c in "abcdefghijklmnopqrstuv"} <= {r["tokens"][0] for r in mined if len(r["tokens"]) == 1}
+    tokens = [set(r["t"]) for r in pages.select(url_rules.url_tokens(F.col("url")).alias("t")).collect()]
+    for r in mined[:200]:
+        assert r["pages"] == sum(set(r["tokens"]) <= t for t in tokens)
+
+
 def test_no_labels_no_rules(spark):
     pages, labels = labelled(spark)
     assert url_rules.mine_rules(pages, labels.limit(0)).count() == 0
