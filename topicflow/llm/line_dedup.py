@@ -23,8 +23,8 @@ GUARANTEED = 5 * LINE + GRAM
 CONTEXT, BYTES = 3 * LINE, 3
 #: Odd multipliers, which make one number of an earlier text and a distance.
 _RUNS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
-#: Occurrences of one fingerprint that a task takes; more are dealt out.
-HOT = 2000
+#: Occurrences of one fingerprint that a task takes; more are dealt out. Hot fingerprints that are broadcast at most.
+HOT, MOST_HOT = 2000, 1 << 18
 
 
 def line_ends(raw: np.ndarray, s: Spans, hashes: np.ndarray, longest: int = LINE) -> np.ndarray:
@@ -158,7 +158,7 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
 
     counted = rows.select("text").mapInArrow(count, "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
     repeated = stored(counted.filter("n > 1"), "repeated")
-    hot = repeated.filter(F.col("n") > HOT).select("print", F.ceil(F.col("n") / HOT).alias("salts"))
+    hot = repeated.filter(F.col("n") > HOT).select(F.col("print").alias("group"), "n")
 
     def described(b: pa.RecordBatch, s: slice, x: Spans, hashes: np.ndarray, prints: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
         """The fingerprints with their contexts, which end a line's length beyond the next one, or the one before.
@@ -190,7 +190,7 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
                     again = np.flatnonzero((bits[bit >> 6] >> (bit & 63)) & 1)
                     yield described(b, s, x, hashes, prints[again], at[again], sizes[again])
 
-        return _salted(rows.mapInArrow(marked, _FOUND), hot)
+        return _salted(rows.mapInArrow(marked, _FOUND), F.col("print"), hot)
 
     @lean
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,13 +213,19 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
                 kept = np.flatnonzero([k in wanted[t] for t, k in zip(text.tolist(), (at - x.first[text]).tolist(), strict=True)])
                 yield described(b, s, x, hashes, prints[kept], at[kept], sizes[kept])
 
-    return _salted(rows.join(again, "key").select("doc_id", "key", "text", "places").mapInArrow(chosen, _FOUND), hot)
+    return _salted(rows.join(again, "key").select("doc_id", "key", "text", "places").mapInArrow(chosen, _FOUND), F.col("print"), hot)
 
 
-def _salted(found: DataFrame, hot: DataFrame) -> DataFrame:
-    """With the columns group and salt: a hot fingerprint's occurrences are dealt out, others have -1."""
+def _salted(found: DataFrame, group: Column, hot: DataFrame) -> DataFrame:
+    """With the columns group and salt: the occurrences of a hot group, of which ``hot(group, n)`` has a row, are dealt out; others have -1.
+
+    So many hot groups as may be broadcast are, and the occurrences then move once, when they are sorted.
+    """
+    hot = hot.select(F.col("group").alias("__hot"), F.ceil(F.col("n") / HOT).alias("salts"))
+    hot = F.broadcast(hot) if hot.count() <= MOST_HOT else hot
     salt = F.coalesce(F.pmod(F.xxhash64("doc_id", "key", "at"), F.col("salts")), F.lit(-1))
-    return found.join(hot, "print", "left").select(*_NAMES, F.col("print").alias("group"), salt.alias("salt"))
+    joined = found.withColumn("group", group).join(hot, F.col("group") == F.col("__hot"), "left")
+    return joined.select(*_NAMES, "group", salt.alias("salt"))
 
 
 _FOUND = "print long, doc_id long, key long, at long, size long, before binary, after binary"
@@ -304,19 +310,22 @@ def line_dedup(docs: DataFrame, min_words: int = 30, most_broadcast: int = BITS
     rows = docs.select("doc_id", key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     short = (F.col("b") - F.col("a") < min_words) | F.col("a").isNull()
     matched = _matched(_occurrences(rows, most_broadcast), salted=True)
-    kept = [F.when(short, F.col(c)).alias(c) for c in ("before", "after")]
-    matched = stored(matched.select("print", "doc_id", "key", "at", "size", *kept, "run", "a", "b"), "matched")
+    # of those that are long enough only the run is needed
+    kept = [F.when(short, F.col(c)).alias(c) for c in _NAMES if c != "key"]
+    matched = stored(matched.select(*kept, "key", "run", "a", "b"), "matched")
     spans = [matched.filter("a is not null")]
     # the firsts of split groups among themselves
     firsts = matched.filter("a is null").select(*_NAMES, F.col("print").alias("group"), F.lit(-1).cast("long").alias("salt"))
     firsts = stored(_matched(firsts, salted=False), "firsts")
-    again = matched.filter("a is not null").unionByName(firsts).filter(short).select(*_NAMES)
+    again = matched.filter("a is not null").unionByName(firsts, allowMissingColumns=True).filter(short).select(*_NAMES)
     spans.append(firsts)
     for c, side in (("before", F.substring("before", -8 * BYTES, 8 * BYTES)), ("after", F.substring("after", 1, 8 * BYTES))):
-        wide = again.filter(F.octet_length(c) >= 8 * BYTES).select(*_NAMES, F.xxhash64("print", side).alias("group"))
-        counts = stored(wide.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1"), f"wide-{c}")
-        wide = wide.join(counts, "group").withColumn("salt", F.when(F.col("n") > HOT, F.pmod(F.xxhash64("doc_id", "key", "at"), F.ceil(F.col("n") / HOT))).otherwise(-1)).select(*_NAMES, "group", "salt")
-        once = stored(_matched(wide, salted=True), f"matched-{c}")
+        wide, group = again.filter(F.octet_length(c) >= 8 * BYTES), F.xxhash64("print", side)
+        counts = stored(wide.groupBy(group.alias("group")).agg(F.count("*").alias("n")).filter(F.col("n") > HOT), f"wide-{c}")
+        wide = _salted(wide, group, counts)
+        # what comes out is a span, or the first of a split group, which is matched once more
+        firsts_only = [F.when(F.col("a").isNull(), F.col(c)).alias(c) for c in _NAMES if c != "key"]
+        once = stored(_matched(wide, salted=True).select(*firsts_only, "key", "run", "a", "b"), f"matched-{c}")
         more = once.filter("a is null").select(*_NAMES, F.xxhash64("print", side).alias("group"), F.lit(-1).cast("long").alias("salt"))
         spans += [once.filter("a is not null"), _matched(more, salted=False)]
     every = spans[0].select("key", "run", "a", "b")
