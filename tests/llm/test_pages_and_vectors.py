@@ -87,8 +87,7 @@ def test_long_urls_are_read_to_their_end(spark):
     assert {r["page_id"] for r in url_rules.judge_urls(pages, mined).collect() if r["verdict"] == "block"} == set(range(0, 400, 4))
 
 
-@pytest.mark.parametrize("share", [0.97, 0.8])
-@pytest.mark.parametrize("pure", [True, False])
+@pytest.mark.parametrize("share, pure", [(0.97, True), (0.8, False)])
 def test_names_that_nearly_always_stand_together(spark, share, pure):
     """22 names, each dropped at random from some pages: their combinations double with each. Every name is a rule by itself."""
     import random

@@ -96,6 +96,12 @@ def test_run_gives_the_last_stage(spark, stages):
     assert Counter(map(tuple, corpus_pipeline.run(spark, DATA).collect())) == Counter(map(tuple, stages["bpe"].collect()))
 
 
+def test_a_run_leaves_one_table_behind(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(common, "workspace", lambda spark, name: f"file://{tmp_path}/{name}-{len(list(tmp_path.iterdir()))}-{random.random()}")
+    corpus_pipeline.run(spark, DATA).count()
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["mixing"]
+
+
 def test_stages_on_odd_rows(spark, docs, none):
     docs = docs.withColumn("clash", F.lit(1))
     for stage in (corpus_pipeline.lines, corpus_pipeline.near_copies, corpus_pipeline.mix):
@@ -103,6 +109,8 @@ def test_stages_on_odd_rows(spark, docs, none):
         assert stage(spark, docs, DATA).count() > 0
         assert stage(spark, none, DATA).count() == 0
     assert corpus_pipeline.quality(spark, docs, DATA).columns == list(corpus_pipeline.COLUMNS)
+    assert corpus_pipeline.quality(spark, none, DATA).count() == 0 and corpus_pipeline.encode(spark, none, DATA).count() == 0
+    assert corpus_pipeline.encode(spark, docs, DATA).count() == docs.count()
     mixed = mixing.mix_sources(docs).agg(F.sum("copies")).first()[0]
     assert corpus_pipeline.mix(spark, docs, DATA).count() == mixed
 
@@ -136,7 +144,7 @@ def test_near_copies_are_found_in_every_band(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 14))
     assert set(oracle_sql()) <= set(queries())
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import wraps
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workdir import work_path as workspace
@@ -62,17 +63,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = workspace(spark, name)
     schema = df.schema
     df.write.parquet(path)
+    if _scratch:
+        _scratch[-1].append(path)
     return spark.read.schema(schema).parquet(path)
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Inside, the paths of the tables that ``stored`` writes are listed; those still in the list at the end are removed.
+
+    For results that are written before the end. What is to stay is taken from the list.
+    """
+    made: list[str] = []
+    _scratch.append(made)
+    try:
+        yield made
+    finally:
+        _scratch.pop()
+        _delete(spark, made)
+
+
+def _delete(spark: SparkSession, paths: Iterable[str]) -> None:
+    for folder in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Removes tables that ``stored`` wrote and nothing reads any more."""
     for df in tables:
-        spark = df.sparkSession
-        folders = {f.rpartition("/")[0] for f in df.inputFiles()}
-        for folder in folders:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, {f.rpartition("/")[0] for f in df.inputFiles()})
 
 
 def components(edges: DataFrame) -> DataFrame:
