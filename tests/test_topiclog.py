@@ -67,6 +67,9 @@ def test_tables_scan_only_what_is_asked_for(spark, tmp_path):
     assert "PushedFilters: [" in text and "value" not in text.split("ReadSchema")[1]
     assert load(spark, path, topics="a,c", startingOffsets='{"a/0": 24, "c/1": 25}').count() == 1 + 25 + 25
     assert load(spark, path, startingOffsets="latest").count() == 0
+    assert {r["topic"] for r in load(spark, path, topicPattern="^[bc]").select("topic").distinct().collect()} == {"b", "c"}
+    with pytest.raises(Exception, match="not both"):
+        load(spark, path, topics="a", topicPattern="b").count()
 
 
 def test_an_empty_log(spark, tmp_path):

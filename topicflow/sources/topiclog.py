@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -337,7 +338,7 @@ def read_ranges(path: str, ranges: Ranges) -> Iterator[pa.RecordBatch]:
 
 
 class _Options:
-    """path; topics (comma-separated); startingOffsets: earliest, latest, or JSON {"topic/partition": offset}; rangeRecords;
+    """path; topics (comma-separated) or topicPattern (a regular expression that is found in the name); startingOffsets: earliest, latest, or JSON {"topic/partition": offset}; rangeRecords;
     for streams maxRecordsPerPartition and positions, the folder that keeps how far the stream has been planned."""
 
     def __init__(self, options: dict[str, str]):
@@ -345,6 +346,10 @@ class _Options:
         if not self.path:
             raise ValueError("topiclog needs a path")
         self.topics = {t for t in options.get("topics", "").split(",") if t}
+        pattern = options.get("topicpattern", "")
+        if self.topics and pattern:
+            raise ValueError("topics or topicPattern, not both")
+        self.pattern = re.compile(pattern) if pattern else None
         self.starting = options.get("startingoffsets", "earliest")
         self.range_records = int(options.get("rangerecords", RANGE_RECORDS))
         most = options.get("maxrecordsperpartition")
@@ -353,7 +358,8 @@ class _Options:
             raise ValueError("maxRecordsPerPartition is to be positive, and needs positions: a folder of the stream's own")
 
     def wanted(self, ends: dict[Key, int]) -> dict[Key, int]:
-        return {k: v for k, v in ends.items() if not self.topics or k[0] in self.topics}
+        chosen = self.pattern.search if self.pattern else self.topics.__contains__ if self.topics else lambda topic: True
+        return {k: v for k, v in ends.items() if chosen(k[0])}
 
     def starts(self, ends: dict[Key, int]) -> dict[Key, int]:
         if self.starting == "earliest":
