@@ -199,3 +199,9 @@ def test_no_batch_takes_more_than_its_bound(spark, tmp_path):
         for p in (0, 1):
             offsets = [o for q, o in b if q == p]
             assert len(offsets) <= 10 and offsets == list(range(min(offsets, default=0), min(offsets, default=0) + len(offsets)))
+
+
+def test_positions_as_starting_offsets(spark):
+    rows = spark.createDataFrame([("a/b", 0, 7), ("a/b", 0, 5), ("a", 1, None), (None, 1, 2)], "topic string, partition int, next_offset long")
+    assert topiclog.starting_offsets(rows) == '{"a/b/0": 5}' and topiclog.starting_offsets(rows.limit(0)) == "{}"
+    assert topiclog._Options({"path": "x", "startingoffsets": topiclog.starting_offsets(rows)}).starts({}) == {("a/b", 0): 5}

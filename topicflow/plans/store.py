@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
-from ..sources import topiclog
+from ..operators import offsets
+from ..sources import readers, topiclog
 from ..sources.subscribe import assignment_from
 from ..streaming import jobs
 from ..workdir import work_path
@@ -118,3 +119,18 @@ def paced_batches(store: _Stored) -> DataFrame:
     jobs.stop_after_all(jobs.paced(source, each, store.path("checkpoint"), "500 milliseconds"))
     rows = jobs.read_batches(store.spark, store.path("seen"), "topic string, partition int, n bigint, sum_off bigint")
     return rows.groupBy("topic", F.col("partition").alias("part")).agg(F.sum("n").alias("n"), F.sum("sum_off").alias("sum_off"))
+
+
+@stored("""select topic, part, off, k from log
+where off >= case when topic = 'click' and part = 1 then 100 when topic = 'view' and part = 0 then 50 else 0 end""")
+def stream_resume(store: _Stored) -> DataFrame:
+    """A new stream of a group that has committed part of two partitions goes on from there."""
+    log = topiclog.log_table(store.spark, store.path("log"))
+    done = log.filter("(topic = 'click' and partition = 1 and offset < 100) or (topic = 'view' and partition = 0 and offset < 50)")
+    folded = offsets.fold_offsets(readers.committable(done, "g1").select("commit.*"), F.col("offset"))
+    known = offsets.current_positions(offsets.journal_rows(folded, F.lit("s"), F.lit(0)))
+    source = store.stream.option("startingOffsets", topiclog.starting_offsets(known)).load()
+    step = lambda batch: batch.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"))
+    jobs.drain(jobs.at_least_once(source, step, "g1", store.path("out"), store.path("journal"), store.path("checkpoint")))
+    seen = jobs.read_batches(store.spark, store.path("out"), "topic string, partition int, offset bigint, key string")
+    return _short(seen, F.col("key").alias("k"))

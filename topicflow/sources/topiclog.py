@@ -508,6 +508,16 @@ def log_table(spark: SparkSession, path: str, subscription: Subscription | None
     return found if subscription is None else found.filter(subscription.predicate)
 
 
+def starting_offsets(positions: DataFrame) -> str:
+    """A group's positions ``(topic, partition, next_offset)`` as the option startingOffsets: a stream then goes on where the group stands.
+
+    One row for each partition comes to the driver. Rows with nulls are left out, so their partitions begin at 0; of
+    several rows of a partition the least counts. A stream that has a checkpoint goes on from that instead.
+    """
+    rows = positions.dropna(subset=["topic", "partition", "next_offset"]).groupBy(*PARTITION).agg(F.min("next_offset").alias("next_offset")).collect()
+    return json.dumps({f"{r['topic']}/{r['partition']}": r["next_offset"] for r in rows}, sort_keys=True)
+
+
 def appended(spark: SparkSession, path: str, writer: str | None = None) -> DataFrame:
     """What each append did: (number, writer, batch, topic, partition, first, next): a sink's completion result.
 
