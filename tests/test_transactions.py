@@ -99,6 +99,7 @@ def test_transactions_end_with_their_interval(spark, tmp_path, log):
 
 
 def test_the_older_holder_is_fenced(spark, tmp_path):
+    assert Lease(spark, f"file://{tmp_path}/a folder", "g").take().epoch == 0
     one = Lease(spark, str(tmp_path), "g").take()
     one.check()
     two = Lease(spark, str(tmp_path), "g").take()

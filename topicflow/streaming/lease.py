@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -43,9 +42,8 @@ class Lease:
         fs = self._fs(path)
         fs.mkdirs(path.getParent())
         if fs.getUri().getScheme() == "file":
-            where = urlparse(path.toUri().toString()).path
             try:
-                os.close(os.open(where, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+                os.close(os.open(path.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
                 return True
             except FileExistsError:
                 return False
