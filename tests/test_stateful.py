@@ -89,7 +89,7 @@ def test_batches_close_by_count_or_clock_over_a_crash(spark, tmp_path, monkeypat
         put(df, where, source, number)
 
     monkeypatch.setattr(stateful, "_put", once)
-    start = lambda wait: stateful.commit_in_batches(commits(stream), 10, wait, path("journal"), path("batches"), path("cp"), interval="200 milliseconds")
+    start = lambda wait: stateful.commit_in_batches(commits(stream), path("journal"), path("batches"), path("cp"), 10, wait, interval="200 milliseconds")
     with pytest.raises(Exception, match="injected"):
         stateful.run_until(start(1500), closed)
     stateful.run_until(start(1500), closed)

@@ -21,7 +21,7 @@ def _written(job: _Job | _Stored, name: str) -> bool:
 
 def _committed(job: _Job) -> None:
     stream = readers.committable(job.stream, "g1", F.col("offset").cast("string"))
-    query = stateful.commit_in_batches(stream, BATCH, WAIT, job.path("journal"), job.path("batches"), job.path("checkpoint"))
+    query = stateful.commit_in_batches(stream, job.path("journal"), job.path("batches"), job.path("checkpoint"), BATCH, WAIT)
     total = job.log.count()
     held = lambda: jobs.read_batches(job.spark, job.path("batches"), stateful.BATCH_SCHEMA).agg(F.sum("batch_size")).first()[0]
     stateful.run_until(query, lambda: not total or _written(job, "batches") and held() == total, 300)

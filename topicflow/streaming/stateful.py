@@ -22,6 +22,8 @@ from ..sources.log import PARTITION
 from .jobs import _put, _start
 from .lease import Lease
 
+#: Commits of a batch, and milliseconds after which it closes without them.
+MOST, WAIT = 1000, 10_000
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -110,7 +112,7 @@ class _Batches(StatefulProcessor):
         pass
 
 
-def closed_batches(commits: DataFrame, most: int, wait_ms: int) -> DataFrame:
+def closed_batches(commits: DataFrame, most: int = MOST, wait_ms: int = WAIT) -> DataFrame:
     """A stream of ``commit``'s columns as batches: group_id, topic, partition, batch, first_offset, offset, metadata, batch_size, closed_by.
 
     A batch of a group's partition closes with its ``most``-th commit, or ``wait_ms`` after its first
@@ -126,7 +128,7 @@ def closed_batches(commits: DataFrame, most: int, wait_ms: int) -> DataFrame:
     return checked.groupBy(*GROUP).transformWithStateInPandas(_Batches(most, wait_ms), schema, "Append", "ProcessingTime")
 
 
-def commit_in_batches(stream: DataFrame, most: int, wait_ms: int, journal: str, batches: str, checkpoint: str, source_id: str = "job", interval: str = "1 second") -> StreamingQuery:
+def commit_in_batches(stream: DataFrame, journal: str, batches: str, checkpoint: str, most: int = MOST, wait_ms: int = WAIT, source_id: str = "job", interval: str = "1 second") -> StreamingQuery:
     """Commits the ``commit`` column of a stream by count or clock, and puts out every batch that it has committed.
 
     The batches come out under ``batches`` (``closed_batches``' columns, source_id and commit_seq), after
