@@ -395,9 +395,31 @@ def test_short_repeats_that_meet_stay(spark):
     for least in (20, 30):
         found = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), min_words=least).collect()
         assert {r["doc_id"]: (r["text"], r["removed_words"]) for r in found} == {i: (t, 0) for i, t in rows}
-    spans = [{"run": 1, "a": 0, "b": 12}, {"run": 2, "a": 12, "b": 31}, {"run": 1, "a": 12, "b": 15}]
-    assert line_dedup.cut_spans(" ".join(map(str, range(40))), spans, 20)[1:] == (0, 0)
-    assert line_dedup.cut_spans(" ".join(map(str, range(40))), [*spans, {"run": 1, "a": 14, "b": 22}], 20) == (" ".join(map(str, range(22, 40))), 22, 1)
+    spans = [(1, 0, 12), (2, 12, 31), (1, 12, 15)]
+    cut = lambda s: line_dedup.cut_spans(" ".join(map(str, range(40))), tuple(np.array(s).T), 20)
+    assert cut(spans)[1:] == (0, 0)
+    assert cut([*spans, (1, 14, 22)]) == (" ".join(map(str, range(22, 40))), 22, 1)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(-2, 2), st.integers(0, 50), st.integers(1, 20)), max_size=12), st.integers(1, 25))
+def test_spans_are_put_together_within_a_run(spans, least):
+    words = {g: {w for r, a, n in spans if r == g for w in range(a, a + n)} for g, _, _ in spans}
+    cut = set()
+    for g, held in words.items():
+        for w in sorted(held):
+            end = w
+            while end in held:
+                end += 1
+            begin = w
+            while begin - 1 in held:
+                begin -= 1
+            if end - begin >= least:
+                cut |= set(range(begin, end))
+    text = " ".join(map(str, range(80)))
+    arrays = tuple(np.array([(r, a, a + n) for r, a, n in spans], np.int64).reshape(-1, 3).T)
+    left, removed, _ = line_dedup.cut_spans(text, arrays, least)
+    assert [int(w) for w in left.split()] == [w for w in range(80) if w not in cut] and removed == len(cut)
 
 
 def test_no_document_loses_more_than_what_repeats(spark):
@@ -483,7 +505,7 @@ def small_model(rng, ids, sizes, n=50):
     return lm_score.AttentionModel(of, share, pair_group, pair_member, some(256, 4), some(256, 4), some(256, 4), some(6), some(4, 16), some(16, 4, 16))
 
 
-def plain_score(m, ids, sizes):
+def plain_score(m, ids, sizes, left=None):
     """One id after the other, in float64."""
     found, at = [], 0
     for size in sizes:
@@ -494,7 +516,7 @@ def plain_score(m, ids, sizes):
             a = np.exp(a - a.max())
             z = (a / a.sum()) @ m.value[before].astype(float)
             g, k = divmod(seq[t + 1], 16)
-            value = m.share[16, ids[at + t]]
+            value = m.share[16 if left is None else left[at + t], ids[at + t]]
             for logits, pick in ((z @ m.out_group + m.pair_group[seq[t]], g), (z @ m.out_member[g] + m.pair_member[seq[t], g], k)):
                 value += logits[pick] - np.log(np.exp(logits).sum())
             found.append(value)
@@ -502,6 +524,35 @@ def plain_score(m, ids, sizes):
     return np.array(found)
 
 
+def test_scores_equal_a_plain_pass(spark):
+    """Every word's probability from its ids one by one in float64, mixed with its count, beside the query's operator."""
+    rng = random.Random(12)
+    some = [" ".join(rng.choice(["the", "thereafter", "unbelievable", "xqzv", "of", "Straße", "tion", "a"]) for _ in range(n)) for n in (1, 3, 17, 40, 64, 5, 9, 30)]
+    rows = [*enumerate(some), (8, ""), (9, None), (10, some[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    training = F.col("doc_id") % 3 != 0
+    found = {r["doc_id"]: r["score"] for r in lm_score.lm_scores(docs, training, WORD_BPE, frequent=4).collect()}
+    text = F.coalesce("text", F.lit(""))
+    order = F.xxhash64("doc_id", text)
+    m = lm_score.train_attention(docs.filter(training).select(F.pmod(F.xxhash64(order, F.lit(11)), F.lit(4)).alias("lot"), order.alias("order"), text.alias("text")), WORD_BPE)
+    counts = Counter(w for i, t in rows if i % 3 for w in lower(t).split())
+    counts["\0end"] = sum(i % 3 > 0 for i, _ in rows)
+    total = sum(counts.values()) + len(counts) + 1
+    end, t = lm_score.vocabulary_size(WORD_BPE), tokens.load(WORD_BPE)
+    for i, text_here in rows:
+        words_here = lower(text_here).split()
+        pieces = [*[t.encode(w.decode(), add_special_tokens=False).ids for w in words_here], [end]]
+        ids = np.array([x for p in pieces for x in p])
+        left = [lm_score.GROUPS if k == 0 else int(m.of[p[k - 1]]) // lm_score.MEMBERS for p in pieces for k in range(len(p))]
+        each = plain_score(m, ids, [len(ids)], left)
+        want, at = 0.0, 0
+        for w, p in zip([*words_here, "\0end"], pieces, strict=True):
+            seen, base = each[at : at + len(p)].sum(), (counts[w] + 1) / total
+            want += np.log10(0.6 * np.exp(seen) + 0.4 * base) if p else np.log10(base)
+            at += len(p)
+        assert found[i] == pytest.approx(want, rel=1e-4), i
+
+
 def test_windows_score_as_one_pass():
     rng = np.random.default_rng(1)
     sizes = np.array([1, 5, 16, 17, 70])

@@ -102,37 +102,48 @@ def repeated_bits(repeated: DataFrame) -> np.ndarray:
 def common_words(column: pa.Array, here: np.ndarray, there: np.ndarray, back: bool = False) -> np.ndarray:
     """How many words of BYTES bytes, from the start or the end, the contexts ``here`` share with those ``there``."""
     raw, edges = text_bytes(column)
-    n = np.minimum(np.diff(edges)[here], np.diff(edges)[there]) // BYTES
+    known = np.zeros((len(raw) // BYTES, 4), np.uint8)
+    known[:, :BYTES] = raw.reshape(-1, BYTES)
+    edges = edges // BYTES
+    n = np.minimum(np.diff(edges)[here], np.diff(edges)[there])
     most = int(n.max(initial=0))
     if not most:
         return n
-    step = np.arange(most * BYTES)
-    at = [np.clip(edges[k + 1][:, None] - 1 - step if back else edges[k][:, None] + step, 0, len(raw) - 1) for k in (here, there)]
-    same = (raw[at[0]] == raw[at[1]]).reshape(len(here), most, BYTES).all(2)
+    # a word is one number; margins take what lies beyond the first and last context
+    word = np.concatenate([np.zeros(most, np.uint32), known.view(np.uint32).ravel(), np.zeros(most, np.uint32)])
+    step = np.arange(most, dtype=np.int32)
+    at = [((edges[k + 1] - 1 + most).astype(np.int32)[:, None] - step if back else (edges[k] + most).astype(np.int32)[:, None] + step) for k in (here, there)]
+    same = word[at[0]] == word[at[1]]
     return np.minimum(n, np.where(same.all(1), most, same.argmin(1)))
 
 
-def cut_spans(text: str | None, spans: list[dict[str, int]] | None, min_words: int) -> tuple[str, int, int]:
+def joined(group: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of one group that overlap or adjoin as one. They come by group, and by first word in it."""
+    if not len(a):
+        return a, b
+    other = np.append(True, group[1:] != group[:-1])
+    base = np.cumsum(other) * (int(b.max()) + 1)  # no group reaches the next one's
+    high = np.maximum.accumulate(b + base)
+    new = other | np.append(True, (a + base)[1:] > high[:-1])
+    return a[new], (high - base)[np.append(new[1:], True)]
+
+
+def cut_spans(text: str | None, spans: tuple[np.ndarray, np.ndarray, np.ndarray] | None, min_words: int) -> tuple[str, int, int]:
     """The text without its repeated runs of ``min_words`` or more, the words cut and the runs cut.
 
-    Spans that were matched with one earlier text at one distance (``run``) and overlap or adjoin stand
+    ``spans``: run, first word and end of each. Those that were matched with one earlier text at one distance (``run``) and overlap or adjoin stand
     together there too, and make one run; those of fewer than ``min_words`` are left alone, whatever lies beside them.
     Runs that are long enough and touch are cut in one. A run goes with the white space after it.
     """
     if spans is None:
         return text or "", 0, 0
-    matched: list[list[int]] = []  # run, from, to
-    for r, a, b in sorted((x["run"], x["a"], x["b"]) for x in spans):
-        if matched and matched[-1][0] == r and a <= matched[-1][2]:
-            matched[-1][2] = max(matched[-1][2], b)
-        else:
-            matched.append([r, a, b])
-    runs: list[list[int]] = []
-    for a, b in sorted((a, b) for _, a, b in matched if b - a >= min_words):
-        if runs and a <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], b)
-        else:
-            runs.append([a, b])
+    run, a, b = spans
+    order = np.lexsort((a, run))
+    a, b = joined(run[order], a[order], b[order])
+    a, b = a[b - a >= min_words], b[b - a >= min_words]
+    order = np.argsort(a, kind="stable")
+    a, b = joined(np.zeros(len(a), np.int64), a[order], b[order])
+    runs = list(zip(a.tolist(), b.tolist(), strict=True))
     if not runs:
         return text or "", 0, 0
     raw = (text or "").encode("utf-8", "replace")
@@ -232,9 +243,9 @@ _FOUND = "print long, doc_id long, key long, at long, size long, before binary,
 _PLACE = ("print", "doc_id", "key", "at")
 
 
-def _matched(found: DataFrame, salted: bool) -> DataFrame:
-    """Each occurrence but its group's first, matched with that, or with the one before where that has more in common:
-    a and b, the run's first word and its end.
+def _matched(found: DataFrame, salted: bool, min_words: int) -> DataFrame:
+    """Each occurrence but its group's first, matched with that: a and b, the run's first word and its end. Where these are
+    less than ``min_words`` it is matched with the one before, if that has more in common.
 
     ``run`` names the earlier text and how far before this place the match stands in it.
 
@@ -266,7 +277,7 @@ def _matched(found: DataFrame, salted: bool) -> DataFrame:
 
             there = first[here]
             low, high = reach(here, there)
-            more = np.flatnonzero((here - 1 != there) & elsewhere(here, here - 1))
+            more = np.flatnonzero((high - low < min_words) & (here - 1 != there) & elsewhere(here, here - 1))
             low2, high2 = reach(here[more], here[more] - 1)
             longer = high2 - low2 > high[more] - low[more]
             more, low2, high2 = more[longer], low2[longer], high2[longer]
@@ -295,11 +306,11 @@ def line_dedup(docs: DataFrame, min_words: int = 30, most_broadcast: int = BITS
     smaller (doc_id, place). Shorter ones stay, also where several meet. Lines (``line_ends``) are hashed and winnowed (``fingerprints``); a run of
     GUARANTEED words holds a fingerprint wherever it stands, whatever its lines, and most runs
     of 30 do. Those that occur once are dropped: by a bitmap while at most ``most_broadcast``
-    repeat, else by a join. Every other occurrence is set beside the first and the one before it, and the longer match
+    repeat, else by a join. Every other occurrence is set beside the first, and the match
     is extended both ways, word by word, by 24 bits of each word's hash. Between two of a run's
     fingerprints, and beyond its outer ones, lie at most CONTEXT words, so that the matches
     together cover the run from end to end. An occurrence that has less than ``min_words`` in common with
-    both is set beside the first that also has the next, or the last, eight words in common:
+    it is set beside the one before, and then beside the first that also has the next, or the last, eight words in common:
     an earlier text may hold one line of a passage only. The first occurrence stays.
 
     Null and empty texts have nothing to cut (null becomes empty); null ids come first; rows
@@ -309,14 +320,14 @@ def line_dedup(docs: DataFrame, min_words: int = 30, most_broadcast: int = BITS
     key = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), F.coalesce("text", F.lit("")))
     rows = docs.select("doc_id", key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     short = (F.col("b") - F.col("a") < min_words) | F.col("a").isNull()
-    matched = _matched(_occurrences(rows, most_broadcast), salted=True)
+    matched = _matched(_occurrences(rows, most_broadcast), True, min_words)
     # of those that are long enough only the run is needed
     kept = [F.when(short, F.col(c)).alias(c) for c in _NAMES if c != "key"]
     matched = stored(matched.select(*kept, "key", "run", "a", "b"), "matched")
     spans = [matched.filter("a is not null")]
     # the firsts of split groups among themselves
     firsts = matched.filter("a is null").select(*_NAMES, F.col("print").alias("group"), F.lit(-1).cast("long").alias("salt"))
-    firsts = stored(_matched(firsts, salted=False), "firsts")
+    firsts = stored(_matched(firsts, False, min_words), "firsts")
     again = matched.filter("a is not null").unionByName(firsts, allowMissingColumns=True).filter(short).select(*_NAMES)
     spans.append(firsts)
     for c, side in (("before", F.substring("before", -8 * BYTES, 8 * BYTES)), ("after", F.substring("after", 1, 8 * BYTES))):
@@ -325,25 +336,25 @@ def line_dedup(docs: DataFrame, min_words: int = 30, most_broadcast: int = BITS
         wide = _salted(wide, group, counts)
         # what comes out is a span, or the first of a split group, which is matched once more
         firsts_only = [F.when(F.col("a").isNull(), F.col(c)).alias(c) for c in _NAMES if c != "key"]
-        once = stored(_matched(wide, salted=True).select(*firsts_only, "key", "run", "a", "b"), f"matched-{c}")
+        once = stored(_matched(wide, True, min_words).select(*firsts_only, "key", "run", "a", "b"), f"matched-{c}")
         more = once.filter("a is null").select(*_NAMES, F.xxhash64("print", side).alias("group"), F.lit(-1).cast("long").alias("salt"))
-        spans += [once.filter("a is not null"), _matched(more, salted=False)]
+        spans += [once.filter("a is not null"), _matched(more, False, min_words)]
     every = spans[0].select("key", "run", "a", "b")
     for more in spans[1:]:
         every = every.union(more.select("key", "run", "a", "b"))
     # a document's spans: about one for every few of its lines
-    every = stored(every.groupBy("key").agg(F.collect_list(F.struct("run", "a", "b")).alias("__spans")), "spans")
+    every = stored(every.groupBy("key").agg(*[F.collect_list(c).alias(f"__{c}") for c in ("run", "a", "b")]), "spans")
 
     @F.pandas_udf("struct<text string, removed_words long, removed_runs long>")
     @lean
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, spans in batches:
-            yield pd.DataFrame([cut_spans(t, x, min_words) for t, x in zip(texts, spans, strict=True)], columns=["text", "removed_words", "removed_runs"])
+    def cut(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for texts, *spans in batches:
+            yield pd.DataFrame([cut_spans(t, None if x[0] is None else x, min_words) for t, *x in zip(texts, *spans, strict=True)], columns=["text", "removed_words", "removed_runs"])
 
     keyed = docs.withColumn("__key", key).join(every.withColumnRenamed("key", "__key"), "__key", "left")
     # one join moves the texts once; only those with something to cut go to Python
-    some = F.col("__spans").isNotNull()
-    changed = keyed.withColumn("__cut", cut(F.when(some, F.col("text")), "__spans"))
+    some = F.col("__run").isNotNull()
+    changed = keyed.withColumn("__cut", cut(F.when(some, F.col("text")), "__run", "__a", "__b"))
     changed = changed.withColumn("text", F.when(some, F.col("__cut.text")).otherwise(F.coalesce("text", F.lit(""))))
     changed = changed.withColumns({c: F.col(f"__cut.{c}") for c in ("removed_words", "removed_runs")})
     out: list[Column | str] = [*docs.columns, *[c for c in ("removed_words", "removed_runs") if c not in docs.columns]]
