@@ -500,7 +500,7 @@ def train_attention(rows: DataFrame, path: str, dim: int = 16, context: int = 16
 _NEAR = [f"v{i}" for i in range(8)]
 
 
-def lm_scores(docs: DataFrame, training: Column, path: str, frequent: int = 1 << 19, attention: float = 0.6, rounds: int = 4) -> DataFrame:
+def lm_scores(docs: DataFrame, training: Column, path: str, frequent: int = 1 << 18, attention: float = 0.6, rounds: int = 4) -> DataFrame:
     """One row per row of ``docs``: doc_id, training, n_tokens, n_known, train_tokens, base_score, score.
 
     Words are counted over all rows where ``training`` holds, each text with one end. The
@@ -515,6 +515,7 @@ def lm_scores(docs: DataFrame, training: Column, path: str, frequent: int = 1 <<
     that repeat an id have a result each; an empty table gives none.
     """
     spark = docs.sparkSession
+    pa.set_memory_pool(pa.system_memory_pool())  # the driver too gives back what it has read
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.coalesce(training, F.lit(False)).alias("training"), text.alias("text"))
     learned = rows.filter("training")
