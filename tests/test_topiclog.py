@@ -205,3 +205,37 @@ def test_positions_as_starting_offsets(spark):
     rows = spark.createDataFrame([("a/b", 0, 7), ("a/b", 0, 5), ("a", 1, None), (None, 1, 2)], "topic string, partition int, next_offset long")
     assert topiclog.starting_offsets(rows) == '{"a/b/0": 5}' and topiclog.starting_offsets(rows.limit(0)) == "{}"
     assert topiclog._Options({"path": "x", "startingoffsets": topiclog.starting_offsets(rows)}).starts({}) == {("a/b", 0): 5}
+
+
+def test_waiting_batches_are_taken_together_and_numbered(spark, tmp_path):
+    """A backlog of twenty bounded batches takes six micro-batches, one of them repeated after a stop; each is as bounded as before."""
+    path = str(tmp_path / "log")
+    rows = numbers(spark, 300, partitions=2)  # 150 records of each partition
+    append(rows.filter("partition = 0 or offset < 45").repartitionByRange(3, "partition", "offset"), path)
+    seen = {}
+
+    def run(most):
+        options = {"path": path, "maxRecordsPerPartition": 10, "maxBatchesAtOnce": 4, "numberBatches": True, "positions": str(tmp_path / "positions")}
+        def each(b, i):
+            if len(seen) >= most:
+                raise RuntimeError("stopped")
+            seen[i] = [(r["partition"], r["offset"], r["batch"]) for r in b.collect()]
+        writer = spark.readStream.format("topiclog").options(**options).load().writeStream.foreachBatch(each).option("checkpointLocation", str(tmp_path / "cp"))
+        jobs.stop_after_all(writer.trigger(processingTime="0 seconds").start())
+
+    with pytest.raises(Exception, match="stopped"):
+        run(3)  # fails in the middle of its work
+    run(99)
+    assert [len({b for _, _, b in seen[i]}) for i in sorted(seen)] == [1, 1, 2, 4, 4, 3]
+    append(spark.createDataFrame([(1, "x")] * 12, "partition int, value string").selectExpr("'t' as topic", "partition", "cast(value as binary) as value"), path)
+    run(99)
+    found = [r for b in seen.values() for r in b]
+    assert len({r[:2] for r in found}) == len(found) == load(spark, path).count()
+    late = {o - 45: b for p, o, b in found if p == 1 and o >= 45}
+    assert all(b == o // 10 for p, o, b in found if p == 0 or o < 45) and late == {o: 15 + o // 10 for o in range(12)}
+
+
+def test_batches_at_once_need_bounds(spark, tmp_path):
+    for options in ({"maxBatchesAtOnce": 2}, {"numberBatches": "true"}, {"maxRecordsPerPartition": 5, "positions": "p", "maxBatchesAtOnce": 0}):
+        with pytest.raises(ValueError, match="maxBatchesAtOnce"):
+            topiclog._Options({"path": "x"} | {k.lower(): v for k, v in options.items()})

@@ -305,9 +305,11 @@ class StreamWriter(DataSourceStreamArrowWriter):
 
 @dataclass
 class Ranges(InputPartition):
-    """What one task reads: (segment, from, to), offsets with the end exclusive."""
+    """What one task reads: (segment, from, to), offsets with the end exclusive; for numbered streams each partition's start, and the bounded batch that begins there."""
 
     pieces: list[tuple[Segment, int, int]]
+    starts: dict[Key, int] | None = None
+    batch: int = 0
 
 
 def plan(segments: Iterable[Segment], starts: dict[Key, int], ends: dict[Key, int], most: int) -> list[Ranges]:
@@ -327,19 +329,25 @@ def plan(segments: Iterable[Segment], starts: dict[Key, int], ends: dict[Key, in
     return [*tasks, Ranges(pieces)] if pieces else tasks
 
 
-def read_ranges(path: str, ranges: Ranges) -> Iterator[pa.RecordBatch]:
+def read_ranges(path: str, ranges: Ranges, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The records; with ``starts`` also the bounded batch of each, which holds ``most`` of a partition."""
     store = Store(path)
     for s, low, high in ranges.pieces:
         wanted = [("topic", "=", s.topic), ("partition", "=", s.partition), ("position", ">=", low - s.base), ("position", "<", high - s.base)]
         t = pq.read_table(store.data(s.file), filesystem=store.fs, filters=wanted)
         offset = pc.add(t["position"], pa.scalar(s.base, pa.int64()))
         columns = [offset if f.name == "offset" else t[f.name] for f in _READ]
-        yield from pa.Table.from_arrays(columns, schema=_READ).to_batches(max_chunksize=10_000)
+        found = pa.Table.from_arrays(columns, schema=_READ)
+        if ranges.starts is not None:
+            place = offset.to_numpy() - ranges.starts.get(s.key, 0)
+            found = found.append_column("batch", pa.array(ranges.batch + place // most, pa.int64()))
+        yield from found.to_batches(max_chunksize=10_000)
 
 
 class _Options:
     """path; topics (comma-separated) or topicPattern (a regular expression that is found in the name); startingOffsets: earliest, latest, or JSON {"topic/partition": offset}; rangeRecords;
-    for streams maxRecordsPerPartition and positions, the folder that keeps how far the stream has been planned."""
+    for streams maxRecordsPerPartition and positions, the folder that keeps how far the stream has been planned;
+    with these maxBatchesAtOnce (1), so many bounded batches may be one micro-batch, and numberBatches (false), which adds a column batch."""
 
     def __init__(self, options: dict[str, str]):
         self.path = options.get("path", "")
@@ -356,6 +364,10 @@ class _Options:
         self.most, self.positions = int(most) if most else None, options.get("positions", "")
         if self.most is not None and (self.most <= 0 or not self.positions):
             raise ValueError("maxRecordsPerPartition is to be positive, and needs positions: a folder of the stream's own")
+        self.at_once = int(options.get("maxbatchesatonce", "1"))
+        self.numbered = options.get("numberbatches", "false").lower() == "true"
+        if self.at_once < 1 or self.most is None and (self.at_once > 1 or self.numbered):
+            raise ValueError("maxBatchesAtOnce is to be positive; it and numberBatches need maxRecordsPerPartition")
 
     def wanted(self, ends: dict[Key, int]) -> dict[Key, int]:
         chosen = self.pattern.search if self.pattern else self.topics.__contains__ if self.topics else lambda topic: True
@@ -385,9 +397,12 @@ class BatchReader(DataSourceReader):
 
 
 class StreamReader(DataSourceStreamReader):
-    """A stream's offset: the next offset of each partition, and the first manifest of which something is unread.
+    """A stream's offset: the next offset of each partition, the first manifest of which something is unread, and the bounded batches so far.
 
-    With maxRecordsPerPartition no batch reads more records than that of any partition. What
+    With maxRecordsPerPartition no batch reads more records than that of any partition. A micro-batch is
+    one such batch, or with maxBatchesAtOnce several that wait already: as many as all before it together
+    (so 1, 1, 2, 4 ...), up to that number. A backlog then takes few micro-batches, whose cost is
+    mostly their own, and a stream that keeps up takes one bounded batch at a time. What
     Spark asks for is the end of the next batch, without saying where that begins; so each
     planned end is kept in ``positions``. Spark plans every batch that it has logged, again
     after a failure, before it asks for the next: the file is never behind or ahead.
@@ -399,8 +414,8 @@ class StreamReader(DataSourceStreamReader):
         self.store = Store(self.options.path)
 
     @staticmethod
-    def _offset(manifest: int, ends: dict[Key, int]) -> dict:
-        return {"manifest": manifest, "next": {f"{t}/{p}": e for (t, p), e in sorted(ends.items())}}
+    def _offset(manifest: int, ends: dict[Key, int], batch: int = 0) -> dict:
+        return {"manifest": manifest, "next": {f"{t}/{p}": e for (t, p), e in sorted(ends.items())}, "batch": batch}
 
     @staticmethod
     def _ends(offset: dict) -> dict[Key, int]:
@@ -428,22 +443,30 @@ class StreamReader(DataSourceStreamReader):
         planned = self._planned()
         last = self.store.last(planned["manifest"] - 1)
         known, ends = self._ends(planned), self.options.wanted(self.store.manifest(last).ends)
-        until = {k: max(known.get(k, 0), min(e, known.get(k, 0) + self.options.most)) for k, e in ends.items()}
+        taken = planned.get("batch", 0)
+        room = self.options.most * min(self.options.at_once, max(1, taken))
+        until = {k: max(known.get(k, 0), min(e, known.get(k, 0) + room)) for k, e in ends.items()}
+        taken += max((-((known.get(k, 0) - e) // self.options.most) for k, e in until.items()), default=0)
         until = known | until
         unread = planned["manifest"]
         while unread <= last and all(s.key not in ends or s.end <= until[s.key] for s in self.store.manifest(unread).segments):
             unread += 1
-        return self._offset(unread, until)
+        return self._offset(unread, until, taken)
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         if self.options.most is not None:
             Store(self.options.positions).put(self._file, json.dumps(end).encode(), replace=True)
         ends = self._ends(end)
         last = self.store.last(end["manifest"] - 1)
-        return plan(self.store.segments(last, start["manifest"]), self._ends(start), ends, self.options.range_records)
+        starts = self._ends(start)
+        tasks = plan(self.store.segments(last, start["manifest"]), starts, ends, self.options.range_records)
+        if self.options.numbered:
+            for task in tasks:
+                task.starts, task.batch = {s.key: starts.get(s.key, 0) for s, _, _ in task.pieces}, start.get("batch", 0)
+        return tasks
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        return read_ranges(self.options.path, partition) if isinstance(partition, Ranges) else iter(())
+        return read_ranges(self.options.path, partition, self.options.most) if isinstance(partition, Ranges) else iter(())
 
     def commit(self, end: dict) -> None:
         pass
@@ -451,14 +474,16 @@ class StreamReader(DataSourceStreamReader):
 
 class TopicLog(DataSource):
     """Reads have the columns of LOG_SCHEMA. Writes need topic (not null) and partition (0 or more); offset is given
-    by the log, key, value, timestamp and txn_id are null where the rows have no such column, others are not kept."""
+    by the log, key, value, timestamp and txn_id are null where the rows have no such column, others are not kept.
+    A stream with numberBatches has the column batch too: the number of the bounded batch that a record is in."""
 
     @classmethod
     def name(cls) -> str:
         return "topiclog"
 
     def schema(self) -> T.StructType:
-        return LOG_SCHEMA
+        numbered = self.options.get("numberBatches", "false").lower() == "true"
+        return T.StructType([*LOG_SCHEMA.fields, T.StructField("batch", T.LongType())]) if numbered else LOG_SCHEMA
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return BatchReader(dict(self.options))
