@@ -164,3 +164,24 @@ def test_a_running_audit_equals_the_batch_form(spark, tmp_path):
     frame = lambda rows: spark.createDataFrame(rows, "topic string, partition int, offset long")
     batch = summary.delivery_audit(frame(want), frame(came))
     assert sorted(map(str, read().collect())) == sorted(map(str, batch.select(*read().columns).collect()))
+
+
+def test_state_has_no_more_parts_than_cores(spark, tmp_path):
+    """Each part is opened and committed in every micro-batch; the session's own number comes back."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        jobs.drain(stateful.write_in_order(files(spark, tmp_path, [[("t", 0, 0), ("t", 1, 0)]]), str(tmp_path / "out"), str(tmp_path / "cp")))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len([d for d in os.listdir(tmp_path / "cp" / "state" / "0") if d.isdigit()]) == spark.sparkContext.defaultParallelism
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_runs_are_kept_as_one_value():
+    import numpy as np
+
+    for s in ([], [4], [0, 1, 2, 9, 11, 12]):
+        kept = stateful.Offsets.parse(stateful.Offsets.of(np.array(s, np.int64)).bytes())
+        assert [(a, b) for a, b in zip(kept.starts.tolist(), kept.ends.tolist(), strict=True)] == {0: [], 1: [(4, 5)], 6: [(0, 3), (9, 10), (11, 13)]}[len(s)]

@@ -9,7 +9,7 @@ from ..operators import offsets
 from ..sources import readers
 from ..streaming import jobs, stateful
 from .queries import _Job, streaming
-from .store import MOST, _Stored, stored
+from .store import _Stored, stored
 
 #: Commits of a batch, and milliseconds after which an open one is closed.
 BATCH, WAIT = 100, 1000
@@ -47,7 +47,7 @@ def stream_batch_positions(job: _Job) -> DataFrame:
   coalesce(sum(case when k like '%0' then 1 else 0 end) over (partition by topic, part order by off rows between unbounded preceding and 1 preceding), 0) as segment from log""")
 def stream_in_order(store: _Stored) -> DataFrame:
     """Running count, chunks, segments and take-while along a bounded stream: many micro-batches, one result."""
-    source = store.stream.options(maxRecordsPerPartition=MOST, positions=store.path("positions")).load()
+    source = store.bounded.load()
     marker, stop = F.col("key").cast("string").endswith("0"), F.col("offset") % 37 == 36
     jobs.stop_after_all(stateful.write_in_order(source, store.path("out"), store.path("checkpoint"), once=False, marker=marker, stop=stop))
     found = store.spark.read.parquet(store.path("out"))
@@ -77,7 +77,7 @@ def stream_audit(store: _Stored) -> DataFrame:
     """The audit of a job that loses and repeats records, kept up batch by batch while both sides come in bounded batches."""
     came = store.stream.load().filter("offset % 97 <> 0")
     twice = came.withColumn("again", F.explode(F.when(F.col("offset") % 89 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
-    source = store.stream.options(maxRecordsPerPartition=MOST, positions=store.path("positions")).load()
+    source = store.bounded.load()
     query = stateful.running_audit(source, twice, store.path("audit"), store.path("checkpoint"), once=False, interval="0 seconds")
     jobs.stop_after_all(query)
     return stateful.last_audit(jobs.read_batches(store.spark, store.path("audit"), stateful.AUDIT_SCHEMA)).withColumnRenamed("partition", "part")
