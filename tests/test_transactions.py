@@ -179,3 +179,18 @@ def test_a_policy_stops_the_pipeline(spark, tmp_path, log):
     assert jobs.read_batches(spark, path("journal"), jobs.JOURNAL_SCHEMA).count() == 0
     jobs.drain(start(policy({"INVALID_PARTITION": "resume"})))
     assert jobs.read_batches(spark, path("journal"), jobs.JOURNAL_SCHEMA).agg(F.sum("batch_size")).first()[0] == 60
+
+
+def test_records_are_numbered_once_in_a_batch(spark, tmp_path, monkeypatch, log):
+    """Results and positions are made from the records that were written: numbering is not done again for each of them."""
+    calls, assign = spark.sparkContext.accumulator(0), produce.assign_offsets
+
+    @F.udf("long")
+    def counted(offset):
+        calls.add(1)
+        return offset
+
+    monkeypatch.setattr(produce, "assign_offsets", lambda records, ends=None: assign(records, ends).withColumn("offset", counted.asNondeterministic()("offset")))
+    j = job(spark, tmp_path, "t1")
+    j.drain(j.start(log(), copies, 3, str(tmp_path / "cp")))
+    assert calls.value == 60 and list(map(len, seen(spark, tmp_path).values())) == [60]

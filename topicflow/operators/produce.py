@@ -90,12 +90,17 @@ def results(envelopes: DataFrame, sent: DataFrame) -> DataFrame:
     return joined.select("envelope_id", kind.alias("kind"), F.coalesce("parts", F.array().cast("array<struct<ordinal:int,topic:string,partition:int,offset:bigint>>")).alias("parts"), "pass_through", "error_code")
 
 
+def sent_records(envelopes: DataFrame, partitions: int, ends: DataFrame | None = None) -> DataFrame:
+    """The records of all envelopes that may be sent, with partition and offset, in the order of envelope_id."""
+    return assign_offsets(explode_records(envelopes.filter(refusal(F.col("records")).isNull()), partitions), ends)
+
+
 def produce(envelopes: DataFrame, partitions: int, ends: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The records with partition and offset, and the results: as many as envelopes.
 
     Records follow each other in the order of envelope_id, which is to be unique and not null.
     Envelopes that hold an invalid record are refused whole; null or empty records pass through.
+    Jobs that write both make the results from the records that they have written.
     """
-    sent = assign_offsets(explode_records(envelopes.filter(refusal(F.col("records")).isNull()), partitions), ends)
+    sent = sent_records(envelopes, partitions, ends)
     return sent, results(envelopes, sent)
-

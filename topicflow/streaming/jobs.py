@@ -20,7 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.offsets import fold_offsets, journal_rows
 from ..operators.policy import directive
-from ..operators.produce import produce
+from ..operators.produce import results as results_of
+from ..operators.produce import sent_records
 from ..sources.readers import committable, end_offsets
 from .lease import Lease
 
@@ -40,6 +41,11 @@ def _put(df: DataFrame, path: str, source_id: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(_folder(path, source_id, batch))
 
 
+def _read_back(spark: SparkSession, path: str, source_id: str, batch: int) -> DataFrame:
+    """What ``_put`` has written: later steps read it, where they would number the records once more."""
+    return spark.read.parquet(_folder(path, source_id, batch))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether a batch's folder was written in full."""
     return _there(spark, path + "/_SUCCESS")
@@ -263,13 +269,12 @@ def pipeline(stream: DataFrame, envelopes: Step, partitions: int, group_id: str,
         with _held(batch) as rows:
             made = envelopes(committable(rows, group_id))
             before = ends_before(batch.sparkSession, out, source_id, batch_id)
-            sent, done = produce(made, partitions, before)
-            _put(_tagged(sent, source_id, batch_id), out, source_id, batch_id)
+            _put(_tagged(sent_records(made, partitions, before), source_id, batch_id), out, source_id, batch_id)
             put_ends(batch.sparkSession, before, out, source_id, batch_id)
-            done = _tagged(done, source_id, batch_id)
+            done = _tagged(results_of(made, _read_back(batch.sparkSession, out, source_id, batch_id)), source_id, batch_id)
             _put(done if policy is None else refused_by(done, policy), results, source_id, batch_id)
             lease.check()
-            done = batch.sparkSession.read.parquet(_folder(results, source_id, batch_id))
+            done = _read_back(batch.sparkSession, results, source_id, batch_id)
             commit_batch(done.select(F.col("pass_through").alias("commit")), journal, source_id, batch_id)
 
     return _start(stream, each, checkpoint, once, interval, journal, source_id, group_id)

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.offsets import fold_transaction
-from ..operators.produce import produce
+from ..operators.produce import results as results_of
+from ..operators.produce import sent_records
 from ..sources.readers import committable, committed_records, stable_records
-from .jobs import Hook, Step, _children, _exists, _folder, _held, _put, _start, _tagged, drain, ends_before, put_ends, read_batches
+from .jobs import Hook, Step, _children, _exists, _folder, _held, _put, _read_back, _start, _tagged, drain, ends_before, put_ends, read_batches
 from .lease import Lease
 
 #: A micro-batch's place: the transaction it is part of, the first batch of that, and when it was opened (milliseconds).
@@ -97,11 +98,13 @@ class TransactionalJob:
             with _held(batch) as rows:
                 self.hook("output", number)
                 before = ends_before(self.spark, self.path("out"), self.id, number)
-                sent, done = produce(envelopes(committable(rows, self.group)), partitions, before)
-                _put(tagged(sent), self.path("out"), self.id, number)
+                made = envelopes(committable(rows, self.group))
+                _put(tagged(sent_records(made, partitions, before)), self.path("out"), self.id, number)
                 put_ends(self.spark, before, self.path("out"), self.id, number)
+                done = results_of(made, _read_back(self.spark, self.path("out"), self.id, number))
                 _put(tagged(done), self.path("results"), self.id, number)
                 self.hook("positions", number)
+                done = _read_back(self.spark, self.path("results"), self.id, number)
                 _put(done.select("pass_through.*"), self.path("positions"), self.id, number)
             self.hook("transaction", number)
             if self.clock() - opened >= self.interval and not self.ended(txn):
