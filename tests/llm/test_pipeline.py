@@ -151,3 +151,21 @@ def test_every_operator_is_registered():
 def test_workspace_is_in_the_shared_folder(spark):
     first = common.workspace(spark, "x")
     assert first.startswith(spark.conf.get("spark.checkpoint.dir")) and first != common.workspace(spark, "x")
+
+
+def test_near_copies_come_from_simhash_first(spark, stages, monkeypatch):
+    """The stage takes SimHash's pairs, drops those that the shingles refuse, and has the join find the others: the result is the same."""
+    given, join = [], corpus_pipeline.similar_components
+
+    def seen(docs, **more):
+        given.append(more["found"].count())
+        return join(docs, **more)
+
+    monkeypatch.setattr(corpus_pipeline, "similar_components", seen)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_copies(spark, stages["line_dedup"], DATA).collect())
+    assert given[0] > 0 and kept == sorted(r["doc_id"] for r in stages["simhash"].collect())
+    docs = stages["line_dedup"].select(F.col("doc_id").alias("id"), "text")
+    ids = sorted(r["id"] for r in docs.collect())
+    odd = spark.createDataFrame([(ids[0], i) for i in ids[1:40]] + [(ids[3], ids[0]), (ids[5], ids[5]), (ids[5], 10**12)], "a long, b long")
+    groups = lambda **more: Counter((r["id"], r["component_id"]) for r in similar_components(docs, **more).collect())
+    assert len(set(groups(found=odd).values())) == 1 and groups(found=odd).keys() == groups().keys()
