@@ -208,3 +208,21 @@ def test_list_decoding_finds_all_filters_over_the_height():
 
 def test_empty_table(spark):
     assert embed_dedup.embedding_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_no_rule_is_lost_on_wide_pages(spark):
+    """Pages of up to nine tokens: with three of each in FP-growth the rules are those with all of them in it."""
+    import random
+
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(240):
+        words = sorted(w for w in "abcdefghi" if rng.random() < 0.55)
+        bad = {"a", "e", "h"} <= set(words) or {"b", "c", "i"} <= set(words) or rng.random() < 0.25
+        rows.append((i, "http://x.org/" + "/".join(words)))
+        labels.append((i, int(not bad), 0))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rules = lambda widest: sorted((tuple(r["tokens"]), r["pages"], round(r["confidence"], 9)) for r in url_rules.mine_rules(pages, labels, widest=widest, exact=True).collect())
+    every = rules(99)
+    assert rules(3) == every and max(len(t) for t, _, _ in every) >= 3

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -46,7 +47,34 @@ def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(named("h:", host, r"\."), named("p:", path, r"[^a-z#]+"), named("q:", names, "&")))
 
 
-def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.001, min_confidence: float = 0.5, min_pages: int = 5, common: float = 0.9, errors: float = 1.0, widest: int = 12) -> DataFrame:
+def _wide_rules(tokens: DataFrame, least_bad: float) -> DataFrame:
+    """Combinations of two and more tokens that stand on a wide page, on ``least_bad`` bad pages at least: (rule), sorted.
+
+    ``tokens(id, bad, n, token, wide)`` has a row for each token of a distinct set of ``n`` pages. Level by level sets
+    that share all but their last token meet in a join on the pages that have them, so no task holds
+    more than its share. A set on the same pages as one of its parts is left out, and so is one with a part on bad pages only, as
+    no set on more tokens is a surer rule than these: what is left has the parts of all its sets in the level before.
+    """
+    counted = lambda held: held.groupBy("rule").agg(F.sum("n").alias("seen"), F.sum(F.col("bad") * F.col("n")).alias("bad_pages"), F.max("wide").alias("wide")).filter((F.col("bad_pages") >= least_bad) & F.col("wide"))
+    held = stored(tokens.select("id", "bad", "n", "wide", F.array("token").alias("rule")), "held-sets")
+    level, found = stored(counted(held), "level"), []
+    while True:
+        open_ = level.filter("bad_pages < seen").select("rule", "seen")
+        last = held.join(open_.select("rule"), "rule", "left_semi").select("id", "bad", "n", "wide", F.slice("rule", 1, F.size("rule") - 1).alias("head"), F.element_at("rule", -1).alias("last"))
+        last = stored(last, "open-sets")
+        pairs = last.join(last.select("id", "head", F.col("last").alias("other")), ["id", "head"]).filter("last < other")
+        held = stored(pairs.select("id", "bad", "n", "wide", F.concat("head", F.array("last", "other")).alias("rule")), "held-sets")
+        more = stored(counted(held), "candidates")
+        parts = more.select("rule", "seen", F.explode(F.transform("rule", lambda t: F.array_remove(F.col("rule"), t))).alias("part"))
+        wider = parts.join(open_.select(F.col("rule").alias("part"), F.col("seen").alias("before")), "part").filter("before > seen")
+        whole = wider.groupBy("rule").agg(F.count("*").alias("parts")).filter("parts = size(rule)")
+        level = stored(more.join(whole, "rule", "left_semi"), "level")
+        found.append(level.select("rule"))
+        if level.isEmpty():
+            return reduce(DataFrame.union, found)
+
+
+def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.001, min_confidence: float = 0.5, min_pages: int = 5, common: float = 0.9, errors: float = 1.0, widest: int = 12, exact: bool = False) -> DataFrame:
     """Association rules "these tokens -> a bad page": (rule_id, tokens, anchor, pages, confidence).
 
     A page is bad if its label says quality 0 or toxic 1; pages without a label teach nothing.
@@ -59,8 +87,9 @@ def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.001,
 
     What FP-growth holds is bounded. A token of which all labelled pages are bad is a rule by itself, and no
     rule on more tokens is surer: it is not combined with others. Of each page's other tokens, the ``widest`` of
-    the highest share of bad pages (the rarer on a tie, then in order) are combined, so that one page has 2**widest
-    combinations at most; every token can be a rule by itself. A page_id on several pages counts for each of them; null ids and null
+    the highest share of bad pages (the rarer on a tie, then in order) are combined by FP-growth, so that one page has 2**widest
+    combinations at most there. With ``exact`` combinations on pages with more tokens are found level by level beside it (``_wide_rules``), so none
+    is lost; there may be exponentially many. Every token can be a rule by itself. A page_id on several pages counts for each of them; null ids and null
     urls teach nothing; of labels that repeat an id the worst counts. Tokens that always stand together are one item to FP-growth, or
     their combinations would double with each, and are put into its rules one at a time, each in
     place of the rarest (a rule on two of them is never surer than one on either). ``anchor`` is the rule's rarest token, under which it is indexed.
@@ -99,7 +128,13 @@ def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.001,
         bad_rows = lots.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).select("items")
         mined = FPGrowth(itemsCol="items", minSupport=min(1.0, least * min_confidence / rows)).fit(bad_rows).freqItemsets
         found = found.union(mined.filter(F.size("items") > 1).select(F.array_sort("items")))
-    found = stored(found.withColumn("rule_id", F.xxhash64("rule")), "itemsets")
+    shown = every.drop("seen").join(open_.select("token"), "token")
+    wide = shown.filter("bad = 1").groupBy("id").agg((F.count("*") > widest).alias("wide")).filter("wide")
+    wide = stored(wide, "wide") if exact else None
+    if wide is not None and not wide.isEmpty():
+        marked = shown.join(wide, "id", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
+        found = found.union(_wide_rules(marked, least * min_confidence))
+    found = stored(found.distinct().withColumn("rule_id", F.xxhash64("rule")), "itemsets")
     rarity = leads
     anchored = stored(found.select("rule_id", "rule", F.explode("rule").alias("token")).join(rarity, "token").groupBy("rule_id", "rule").agg(F.min_by("token", F.struct("seen", "token")).alias("anchor")), "anchored")
     held = items.select("items", "bad", "n", F.explode("items").alias("anchor")).join(anchored, "anchor")
