@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from topicflow.llm import bpe, common, exact_dedup, line_dedup, lm_score, mixing, quality, simhash, token_files, tokens
-from topicflow.llm.words import text_bytes
+from topicflow.llm.words import text_bytes, wide_hashes, words
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 
@@ -495,6 +495,25 @@ def test_ids_are_kept_as_they_are(spark, docs):
     assert kept == want
 
 
+def test_texts_are_encoded_with_the_places_of_their_words(spark, docs):
+    """Scores need no second pass over the texts: which words are frequent ones, or have no ids, is kept beside the ids."""
+    frequent = [b"the", b"on", b"er", b"end"]
+    raw = np.frombuffer(b" ".join(frequent), np.uint8)
+    hashes = wide_hashes(raw, words(raw, np.array([0, len(raw)])))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("text", F.lit("")).alias("whole"))
+    found = lm_score.encode_ids(rows, WORD_BPE, hashes).collect()
+    t, seen = tokens.load(WORD_BPE), 0
+    assert len(found) == docs.count()
+    for r in found:
+        number = np.frombuffer(r["low"], "<u2") + (np.frombuffer(r["high"], "<u2").astype(int) << 16)
+        want = lower(r["whole"]).split()
+        assert (number >> 1).tolist() == [frequent.index(w) + 1 if w in frequent else 0 for w in want]
+        assert (number & 1).tolist() == [bool(t.encode(w.decode(), add_special_tokens=False).ids) for w in want]
+        assert len(r["a"]) == len(r["b"]) == sum(w not in frequent for w in want)
+        seen += sum(w in frequent for w in want)
+    assert seen
+
+
 def small_model(rng, ids, sizes, n=50):
     of = lm_score.make_classes(np.bincount(ids, minlength=n + 1), rng.standard_normal((n + 1, 4)), singles=20)
     pairs, lefts = np.zeros((256, 256)), np.zeros((17, n + 1))

@@ -8,8 +8,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import as_strided
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
 from .common import discard, give_back, lean, stored
@@ -32,6 +34,11 @@ def vocabulary_size(path: str) -> int:
     return size
 
 
+def rows_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """x[at], by a call that is several times as fast on short rows; ``at`` must lie inside."""
+    return x.take(at, 0, mode="clip")
+
+
 def exponents(x: np.ndarray) -> np.ndarray:
     """exp of the rows in place, each shifted to at most 0 unless all are small; and the rows' sums."""
     if x.max(initial=0) > 60:
@@ -71,10 +78,11 @@ class AttentionModel:
         return np.concatenate([getattr(self, k).ravel() for k in WEIGHTS]).astype(np.float32)
 
     def set_weights(self, flat: np.ndarray) -> None:
+        """The weights become views of ``flat``."""
         at = 0
         for k in WEIGHTS:
             x = getattr(self, k)
-            setattr(self, k, flat[at : at + x.size].reshape(x.shape).astype(np.float32))
+            setattr(self, k, flat[at : at + x.size].reshape(x.shape).astype(np.float32, copy=False))
             at += x.size
 
     def windows(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,23 +96,38 @@ class AttentionModel:
         inside = (np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)) * self.stride
         return (np.cumsum(sizes) - sizes)[text] + inside, inside
 
-    def attend(self, c: np.ndarray, seen: np.ndarray):
-        """c: classes [windows, context + stride - 1 inputs]; seen: ids of the text before each window."""
-        s, ctx, d = self.stride, self.context, self.query.shape[1]
-        width = c.shape[1]
-        q, k, v = self.query[c[:, width - s :]], self.key[c], self.value[c]
-        q *= np.float32(d**-0.5)
-        a = q @ k.transpose(0, 2, 1)
-        back = (np.arange(s)[:, None] + (width - s)) - np.arange(width)[None, :]
-        a += np.where((back >= 0) & (back < ctx), self.bias[np.clip(back, 0, ctx - 1)], np.float32(-1e9))
-        early = np.flatnonzero(seen < width - s)
-        if len(early):  # inputs before the text's first, which is the end of the one before
-            missing = np.arange(width)[None, :] < (width - s) - seen[early, None]
-            a[early] += np.where(missing, np.float32(-1e9), np.float32(0))[:, None, :]
-        inverse = 1 / exponents(a)[:, :, None]
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """exp of what each class gives each class before it (none at CLASSES); of what each distance adds, the farthest first; values.
+
+        A weight depends on two classes and their distance only, so these stand for all products
+        of queries and keys. Rows are shifted to at most 0 unless all are small; below -60 counts as -60.
+        """
+        by_class = (self.query * np.float32(self.query.shape[1] ** -0.5)) @ self.key.T
+        if np.abs(by_class).max() > 30:
+            by_class -= by_class.max(1, keepdims=True)
+            np.maximum(by_class, np.float32(-60), out=by_class)
+        given = np.zeros((CLASSES, CLASSES + 1), np.float32)
+        np.exp(by_class, out=given[:, :CLASSES])
+        far = np.exp(np.maximum(self.bias - self.bias.max(), np.float32(-20)))[::-1]
+        return given.ravel(), np.ascontiguousarray(far), np.concatenate([self.value, np.zeros((1, self.value.shape[1]), np.float32)])
+
+    def banded(self, x: np.ndarray) -> np.ndarray:
+        """Of [windows, targets, inputs] the inputs that each target sees, itself and context - 1 before it, as [targets, those inputs, windows]."""
+        return as_strided(x, (self.stride, self.context, len(x)), (x.strides[1] + x.strides[2], x.strides[2], x.strides[0]))
+
+    def attend(self, c: np.ndarray, tables: tuple[np.ndarray, np.ndarray, np.ndarray]):
+        """c: classes [windows, context + stride - 1 inputs], CLASSES before a text's first. Pairs of classes, weights, 1 / their sums, and means of values."""
+        given, far, value = tables
+        by_place = np.ascontiguousarray(c.T)  # windows last, as numpy is fast on long rows
+        row, one = by_place.strides
+        pairs = as_strided(by_place, (self.stride, self.context, len(c)), (row, row, one)) + (by_place[self.context - 1 :] * (CLASSES + 1))[:, None, :]
+        a = np.zeros((len(c), self.stride, c.shape[1]), np.float32)
+        np.multiply(rows_at(given, pairs), far[:, None], out=self.banded(a))
+        inverse = 1 / (a.reshape(-1, c.shape[1]) @ np.ones(c.shape[1], np.float32)).reshape(a.shape[0], -1, 1)
+        v = rows_at(value, c)
         z = a @ v
         z *= inverse
-        return q, k, v, a, inverse, z
+        return pairs, a, inverse, v, z
 
     def framed(self, classes: np.ndarray) -> np.ndarray:
         """Classes with ends before and after, so that every window lies inside."""
@@ -112,24 +135,34 @@ class AttentionModel:
         return np.concatenate([edge, classes, edge])
 
     def inputs(self, framed: np.ndarray, first: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Input classes of each window, the classes it scores, and where these stand."""
+        """Input classes of each window (CLASSES where the text has none), the classes it scores, and where these stand."""
         width, end = self.context + self.stride - 1, int(self.of[-1])
         at = first[:, None] + np.arange(-(width - self.stride) - 1, self.stride)[None, :]
-        c = framed[at + (self.context + self.stride)]
-        start = width - self.stride  # the input before the window's first target
-        c[np.arange(width + 1)[None, :] == (start - seen)[:, None]] = end
+        c = rows_at(framed, at + (self.context + self.stride))
+        early = np.flatnonzero(seen <= width - self.stride)
+        start = (width - self.stride - seen[early])[:, None]  # the input before the text's first target
+        place = np.arange(width + 1)[None, :]
+        c[early] = np.where(place > start, c[early], np.where(place == start, end, CLASSES))
         return c[:, :-1], c[:, -self.stride :], at[:, -self.stride :]
 
+    @staticmethod
+    def by_group(target: np.ndarray, real: np.ndarray) -> np.ndarray:
+        """Which of the targets are real, in the order of their groups."""
+        key = np.where(real, target // MEMBERS, GROUPS).astype(np.uint8).ravel()  # small numbers are sorted fast
+        return np.argsort(key, kind="stable")[: np.count_nonzero(real)]
+
     def heads(self, z: np.ndarray, now: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
         """Logits of groups and of the target group's members; rows must be in the order of their targets' groups."""
         groups = target // MEMBERS
         by_group = z @ self.out_group
-        by_group += self.pair_group[now]
-        by_member = self.pair_member[now, groups]
+        by_group += rows_at(self.pair_group, now)
+        by_member = rows_at(self.pair_member.reshape(-1, MEMBERS), now * GROUPS + groups)
         edges = np.searchsorted(groups, np.arange(GROUPS + 1)).tolist()
         held = [(g, a, b) for g, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+        more = np.empty_like(by_member)
         for g, a, b in held:
-            by_member[a:b] += z[a:b] @ self.out_member[g]
+            np.matmul(z[a:b], self.out_member[g], out=more[a:b])
+        by_member += more
         return by_group, by_member, held
 
     def score_ids(self, ids: np.ndarray, left: np.ndarray, sizes: np.ndarray, batch: int = 192) -> np.ndarray:
@@ -138,86 +171,92 @@ class AttentionModel:
         framed = self.framed(classes)
         first, seen = self.windows(sizes)
         last = np.repeat(np.cumsum(sizes), -(-sizes // self.stride))
-        found = np.zeros(len(ids), np.float32)
+        found, tables = np.zeros(len(ids), np.float32), self.tables()
         for i in range(0, len(first), batch):
             f, s = first[i : i + batch], seen[i : i + batch]
             c, target, at = self.inputs(framed, f, s)
-            z = self.attend(c, s)[5].reshape(-1, self.value.shape[1])
-            real = np.flatnonzero((at < last[i : i + batch, None]).ravel())
-            real = real[np.argsort(target.ravel()[real] // MEMBERS, kind="stable")]
+            z = self.attend(c, tables)[-1].reshape(-1, self.value.shape[1])
+            real = self.by_group(target, at < last[i : i + batch, None])
             t = target.ravel()[real]
             rows = np.arange(len(t))
             value = np.zeros(len(t), np.float32)
-            by_group, by_member, _ = self.heads(z[real], c[:, -self.stride :].ravel()[real], t)
+            by_group, by_member, _ = self.heads(rows_at(z, real), c[:, -self.stride :].ravel()[real], t)
             for logits, pick in ((by_group, t // MEMBERS), (by_member, t % MEMBERS)):
                 whole = exponents(logits)
-                value += np.log(np.maximum(logits[rows, pick], np.float32(1e-35)) / whole)
+                value += np.log(np.maximum(logits.reshape(-1)[rows * logits.shape[1] + pick], np.float32(1e-35)) / whole)
             found[at.ravel()[real]] = value
-        return found.astype(np.float64) + self.share[left, ids]
+        return found.astype(np.float64) + rows_at(self.share.reshape(-1), left * self.share.shape[1] + ids)
 
     def gradients(self, framed: np.ndarray, first: np.ndarray, seen: np.ndarray, last: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean loss over a batch of windows, by weight."""
-        s, width, dim = self.stride, self.context + self.stride - 1, self.query.shape[1]
+        s, dim = self.stride, self.query.shape[1]
         c, target, at = self.inputs(framed, first, seen)
-        q, k, v, a, inverse, z = self.attend(c, seen)
-        a *= inverse
+        pairs, a, inverse, v, z = self.attend(c, self.tables())
         flat, now = z.reshape(-1, dim), c[:, -s:].ravel()
-        real = np.flatnonzero((at < last[:, None]).ravel())
-        real = real[np.argsort(target.ravel()[real] // MEMBERS, kind="stable")]
-        t, zr = target.ravel()[real], flat[real]
+        real = self.by_group(target, at < last[:, None])
+        t, zr = target.ravel()[real], rows_at(flat, real)
         by_group, by_member, held = self.heads(zr, now[real], t)
         rows, part = np.arange(len(t)), np.float32(1 / max(1, len(t)))
         for logits, pick in ((by_group, t // MEMBERS), (by_member, t % MEMBERS)):
             logits *= (part / exponents(logits))[:, None]
-            logits[rows, pick] -= part
-        dzr = by_group @ self.out_group.T
-        out_member = np.zeros_like(self.out_member)
+            logits.reshape(-1)[rows * logits.shape[1] + pick] -= part
+        dzr, out_member = np.zeros((len(t) + 1, dim), np.float32), np.zeros_like(self.out_member)
         for g, x, y in held:
-            dzr[x:y] += by_member[x:y] @ self.out_member[g].T
-            out_member[g] = zr[x:y].T @ by_member[x:y]
-        dz = np.zeros_like(flat)
-        dz[real] = dzr
-        dz = dz.reshape(z.shape)
-        da = dz @ v.transpose(0, 2, 1)
-        da -= (dz * z).reshape(-1, dim).dot(np.ones(dim, np.float32)).reshape(z.shape[:2])[:, :, None]
-        ds = np.multiply(a, da, out=da)
-        back = (np.arange(s)[:, None] + (width - s)) - np.arange(width)[None, :]
-        order = np.argsort(c.ravel(), kind="stable")
+            np.matmul(by_member[x:y], self.out_member[g].T, out=dzr[x:y])
+            np.matmul(zr[x:y].T, by_member[x:y], out=out_member[g])
+        dzr[:-1] += by_group @ self.out_group.T
+        place = np.full(len(flat), len(t))  # the others' are the last row, which is zero
+        place[real] = rows
+        dz = rows_at(dzr, place).reshape(z.shape)
+        dz *= inverse  # of the weights before they are divided by their sums
+        ds = np.empty(pairs.shape, np.float32)
+        mean = (dz * z).reshape(-1, dim).dot(np.ones(dim, np.float32)).reshape(z.shape[:2])
+        np.subtract(self.banded(dz @ v.transpose(0, 2, 1)), mean.T[:, None, :], out=ds)
+        ds *= self.banded(a)
+        by_class = np.bincount(pairs.ravel(), ds.ravel(), CLASSES * (CLASSES + 1)).reshape(CLASSES, -1)[:, :CLASSES].astype(np.float32)
+        by_class *= np.float32(dim**-0.5)
         return {
             "out_group": zr.T @ by_group, "out_member": out_member,
-            "value": summed(c.ravel(), (a.transpose(0, 2, 1) @ dz).reshape(-1, dim), order),
-            "query": summed(now, (ds @ k).reshape(-1, dim) * np.float32(dim**-0.5)),
-            "key": summed(c.ravel(), (ds.transpose(0, 2, 1) @ q).reshape(-1, dim), order),
-            "bias": np.bincount(np.clip(back, 0, self.context - 1).ravel(), (ds.sum(0) * ((back >= 0) & (back < self.context))).ravel(), self.context).astype(np.float32),
+            "value": summed(c.ravel(), (a.transpose(0, 2, 1) @ dz).reshape(-1, dim)),
+            "query": by_class @ self.key,
+            "key": by_class.T @ self.query,
+            "bias": ds.sum(2).sum(0)[::-1],
         }
 
 
-def summed(at: np.ndarray, rows: np.ndarray, order: np.ndarray | None = None) -> np.ndarray:
-    """The sum of the rows of each class."""
-    order = np.argsort(at, kind="stable") if order is None else order
+def summed(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sum of the rows of each class; those at CLASSES are left out."""
+    order = np.argsort(at.astype(np.uint16), kind="stable")  # small numbers are sorted fast
     at = at[order]
     begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    out = np.zeros((CLASSES, rows.shape[1]), np.float32)
-    out[at[begin]] = np.add.reduceat(rows[order], begin)
-    return out
+    out = np.zeros((CLASSES + 1, rows.shape[1]), np.float32)
+    out[at[begin]] = np.add.reduceat(rows_at(rows, order), begin)
+    return out[:CLASSES]
 
 
 class Adam:
     """Steps down gradients from the model's weights."""
 
     def __init__(self, model: AttentionModel, rate: float):
-        self.model, self.rate, self.step = model, rate, 0
-        self.moments = {k: (np.zeros_like(getattr(model, k)), np.zeros_like(getattr(model, k))) for k in WEIGHTS}
+        self.rate, self.step, self.flat = rate, 0, model.weights()
+        model.set_weights(self.flat)
+        self.mean, self.square = np.zeros_like(self.flat), np.zeros_like(self.flat)
 
     def down(self, gradients: dict[str, np.ndarray]) -> None:
         self.step += 1
-        pace = self.rate * min(1.0, self.step / 20)
-        for name, g in gradients.items():
-            m1, m2 = self.moments[name]
-            m1 += 0.1 * (g - m1)
-            m2 += 0.01 * (g * g - m2)
-            x = getattr(self.model, name)
-            x -= (pace * (m1 / (1 - 0.9**self.step)) / (np.sqrt(m2 / (1 - 0.99**self.step)) + 1e-8)).astype(np.float32)
+        g = np.concatenate([gradients[k].ravel() for k in WEIGHTS])
+        self.mean *= 0.9
+        self.mean += 0.1 * g
+        self.square *= 0.99
+        g *= g
+        g *= 0.01
+        self.square += g
+        np.sqrt(self.square, out=g)
+        g *= (1 - 0.99**self.step) ** -0.5
+        g += 1e-8
+        np.divide(self.mean, g, out=g)
+        g *= self.rate * min(1.0, self.step / 20) / (1 - 0.9**self.step)
+        self.flat -= g
 
 
 def make_classes(counts: np.ndarray, near: np.ndarray, singles: int = CLASSES // 2, seed: int = 3) -> np.ndarray:
@@ -293,9 +332,6 @@ class Ids:
         edge = np.concatenate([[0], ends])[s.first]
         return cls(np.insert(e.ids[take].astype(np.int64), edge[1:], end), np.insert(heads[: len(take)], edge[1:], True), np.diff(edge) + 1, np.insert(lengths > 0, s.first[1:], True), hashes, np.diff(s.first))
 
-    def left(self, of: np.ndarray) -> np.ndarray:
-        return left_of(self.ids, self.heads, of)
-
 
 def left_of(ids: np.ndarray, heads: np.ndarray, of: np.ndarray) -> np.ndarray:
     """The group to the left of each id inside its word; GROUPS for a word's first."""
@@ -338,13 +374,21 @@ def count_words(rows: DataFrame, held: int = 1_000_000) -> DataFrame:
     return counted.groupBy("a", "b").agg(F.sum("n").alias("c"))
 
 
-def encode_ids(rows: DataFrame, path: str) -> DataFrame:
-    """(lot, order, ids, heads) of ``rows(lot, order, text)``: each text's subword ids with its end, and bits that say which begin a word."""
+def encode_ids(rows: DataFrame, path: str, frequent: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """``rows``, which have a column text, with (ids, heads) instead: each text's subword ids with its end, and bits that say which begin a word.
+
+    With ``frequent``, the hashes of words: ``low`` and ``high`` too, halves of a number for each word of the
+    text, which is odd if the word has any ids, and half of it one more than the word's place in ``frequent``
+    (0: it has none); ``a`` and ``b`` are the hashes of those words that have none.
+    """
     end = vocabulary_size(path)
+    carried = [c for c in rows.columns if c != "text"]
+    shared = None if frequent is None else rows.sparkSession.sparkContext.broadcast(frequent)
 
     @lean
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, keep_space=False)
+        table = None if shared is None else table_of(*shared.value)
         for b in batches:
             for s, raw, bounds in parts(b.column("text"), 1 << 19):
                 x = Ids.of(e, raw, bounds, end)
@@ -352,24 +396,49 @@ def encode_ids(rows: DataFrame, path: str) -> DataFrame:
                 bits = np.zeros(8 * at[-1], bool)
                 bits[np.repeat(8 * at[:-1] - edge[:-1], x.sizes) + np.arange(len(x.ids))] = x.heads
                 kind = _width(end)
-                yield pa.RecordBatch.from_arrays([b.column("lot")[s], b.column("order")[s], binary(x.ids.astype(kind).tobytes(), np.dtype(kind).itemsize * edge), binary(np.packbits(bits).tobytes(), at)], names=["lot", "order", "ids", "heads"])
-
-    return stored(rows.select("lot", "order", "text").mapInArrow(code, "lot long, order long, ids binary, heads binary"), "ids")
+                found = [*(b.column(c)[s] for c in carried), binary(x.ids.astype(kind).tobytes(), np.dtype(kind).itemsize * edge), binary(np.packbits(bits).tobytes(), at)]
+                if table is not None:
+                    place, first = table.find(*x.hashes), np.concatenate([[0], np.cumsum(x.n_words)])
+                    inside = np.ones(len(x.shown), bool)
+                    inside[first[1:] + np.arange(len(x.n_words))] = False  # the ends
+                    number = 2 * (place.astype(np.int64) + 1) + x.shown[inside]
+                    found += [binary(half.astype("<u2").tobytes(), 2 * first) for half in (number & 0xFFFF, number >> 16)]
+                    rare = place < 0
+                    some = pa.array(np.concatenate([[0], np.cumsum(rare)])[first].astype(np.int32))
+                    found += [pa.ListArray.from_arrays(some, pa.array(h[rare].view(np.int64))) for h in x.hashes]
+                yield pa.RecordBatch.from_arrays(found, names=columns.names)
+
+    columns = StructType([StructField(c, rows.schema[c].dataType) for c in carried])
+    for name, kind in (("ids", BinaryType()), ("heads", BinaryType()), *[(c, BinaryType()) for c in ("low", "high") if shared], *[(c, ArrayType(LongType())) for c in ("a", "b") if shared]):
+        columns.add(name, kind)
+    return stored(rows.select(*carried, "text").mapInArrow(code, columns), "ids")
+
+
+def table_of(a: np.ndarray, b: np.ndarray) -> HashTable:
+    table = HashTable(len(a))
+    table.add(a, b)
+    return table
 
 
 def _width(end: int) -> str:
     return "<u2" if end < 1 << 16 else "<u4"
 
 
+def decoded(b: pa.RecordBatch, end: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, heads and sizes of many texts at a time, from ``encode_ids``' columns; which rows these are."""
+    kind = np.dtype(_width(end))
+    for s, raw, bounds in parts(b.column("ids"), 1 << 19):
+        sizes = np.diff(bounds) // kind.itemsize
+        bits = np.unpackbits(text_bytes(b.column("heads")[s])[0]).astype(bool)
+        edge, at = np.cumsum(sizes) - sizes, np.cumsum(-(-sizes // 8)) - -(-sizes // 8)
+        yield s, raw.view(kind).astype(np.int64), bits[np.repeat(8 * at - edge, sizes) + np.arange(int(sizes.sum()))], sizes
+
+
 def coded(batches: Iterator[pa.RecordBatch], end: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Ids, heads and sizes of many texts at a time, from ``encode_ids``' columns."""
-    kind = np.dtype(_width(end))
     for b in batches:
-        for s, raw, bounds in parts(b.column("ids"), 1 << 19):
-            sizes = np.diff(bounds) // kind.itemsize
-            bits = np.unpackbits(text_bytes(b.column("heads")[s])[0]).astype(bool)
-            edge, at = np.cumsum(sizes) - sizes, np.cumsum(-(-sizes // 8)) - -(-sizes // 8)
-            yield raw.view(kind).astype(np.int64), bits[np.repeat(8 * at - edge, sizes) + np.arange(int(sizes.sum()))], sizes
+        for _, *found in decoded(b, end):
+            yield tuple(found)
 
 
 def lots(batches: Iterator[pa.RecordBatch], end: int, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -392,7 +461,7 @@ def lots(batches: Iterator[pa.RecordBatch], end: int, most: int) -> Iterator[tup
 def train_attention(rows: DataFrame, path: str, dim: int = 16, context: int = 16, rounds: int = 4, rate: float = 0.01, batch: int = 128, seed: int = 5) -> AttentionModel:
     """Learns the model from all texts of ``rows(lot, order, text)``, in tasks; the driver holds tables of fixed size.
 
-    Texts are encoded once. Three steps go over all of their ids. First, how often each id
+    Texts are encoded once, unless ``encode_ids`` has made the rows. Three steps go over all of their ids. First, how often each id
     occurs, and what stands beside it (sums of a vector of whole numbers for each neighbour), which give the
     classes. Then counts of neighbouring classes, and of ids by the group to their left. Last the
     weights: each of ``rounds`` takes the texts whose ``lot`` is the round's (0 to rounds - 1; every
@@ -405,7 +474,7 @@ def train_attention(rows: DataFrame, path: str, dim: int = 16, context: int = 16
     end = vocabulary_size(path)
     rng = np.random.default_rng(seed)
     signs, half = rng.integers(-64, 65, (4, end + 1)).astype(float), 4
-    texts = encode_ids(rows, path)
+    texts = rows if "ids" in rows.columns else encode_ids(rows, path)
 
     @lean
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -493,7 +562,8 @@ def train_attention(rows: DataFrame, path: str, dim: int = 16, context: int = 16
             flat[mean["pos"]] = mean["w"]
             model.set_weights(flat)
         give_back()
-    discard(texts)
+    if texts is not rows:
+        discard(texts)
     return model
 
 
@@ -528,44 +598,48 @@ def lm_scores(docs: DataFrame, training: Column, path: str, frequent: int = 1 <<
     end = vocabulary_size(path)
     order = F.xxhash64("doc_id", "text")
     lot = F.pmod(F.xxhash64(order, F.lit(11)), F.lit(rounds))
-    model = train_attention(learned.select(lot.alias("lot"), order.alias("order"), "text"), path, rounds=rounds)
     # the words above a count that at most ``frequent`` reach, by steps of an eighth of a power of two
     step = F.floor(F.log2("c") * 8)
     steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).toPandas().sort_values("step", ascending=False)
     enough = steps["step"][steps["n"].cumsum() <= frequent]
     top = counts.filter(step >= int(enough.min()) if len(enough) else F.lit(False)).toPandas()
-    shared = spark.sparkContext.broadcast((model, top["a"].to_numpy(np.int64).view(np.uint64), top["b"].to_numpy(np.int64).view(np.uint64), np.log10((top["c"].to_numpy(np.float64) + 1) / total)))
+    hashes = tuple(top[k].to_numpy(np.int64).view(np.uint64) for k in "ab")
+    logs = np.log10((top["c"].to_numpy(np.float64) + 1) / total)
     del top, steps
     give_back()
+    # one pass over the texts: what follows reads their ids, and the places of their words in ``logs``
+    texts = encode_ids(rows.select("doc_id", "training", lot.alias("lot"), order.alias("order"), "text"), path, hashes)
+    model = train_attention(texts.filter("training").select("lot", "order", "ids", "heads"), path, rounds=rounds)
+    shared = spark.sparkContext.broadcast((model, logs))
+    give_back()
 
     @lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, a, b, known = shared.value
-        table = HashTable(len(a))
-        table.add(a, b)
+        m, known = shared.value
         known = np.append(known, np.nan)
-        e = encoder(path, keep_space=False)
         for batch in batches:
-            for s, raw, bounds in parts(batch.column("text"), 1 << 19):
-                x = Ids.of(e, raw, bounds, end)
-                n = x.n_words
-                base, text = known[table.find(*x.hashes)], np.repeat(np.arange(len(n)), n)  # -1 has no count here
+            for s, ids, heads, sizes in decoded(batch, end):
+                (low, edge), high = text_bytes(batch.column("low")[s]), text_bytes(batch.column("high")[s])[0]
+                number, n = low.view("<u2") + (high.view("<u2").astype(np.int64) << 16), np.diff(edge) // 2
+                base, text = known[(number >> 1) - 1], np.repeat(np.arange(len(n)), n)  # -1 has no count here
                 ends, rare = np.cumsum(n), np.isnan(base)
-                plain = np.insert(np.where(rare, 0, base), ends, of_end)
+                shown, plain = np.insert((number & 1).astype(bool), ends, True), np.insert(np.where(rare, 0, base), ends, of_end)
                 seen = np.full(len(plain), np.nan)
-                seen[x.shown] = np.add.reduceat(m.score_ids(x.ids, x.left(m.of), x.sizes), np.flatnonzero(x.heads)) / np.log(10)
-                mixed = np.where(x.shown, np.logaddexp(np.log(attention) + np.log(10) * seen, np.log(1 - attention) + np.log(10) * plain) / np.log(10), plain)
+                seen[shown] = np.add.reduceat(m.score_ids(ids, left_of(ids, heads, m.of), sizes), np.flatnonzero(heads)) / np.log(10)
+                mixed = np.where(shown, np.logaddexp(np.log(attention) + np.log(10) * seen, np.log(1 - attention) + np.log(10) * plain) / np.log(10), plain)
                 later = np.flatnonzero(rare) + text[rare]  # these are mixed once their counts have joined
                 mixed[later] = 0
                 at = pa.array(np.searchsorted(text[rare], np.arange(len(n) + 1)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(at, pa.array(v)) for v in (x.hashes[0][rare].view(np.int64), x.hashes[1][rare].view(np.int64), seen[later])]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id")[s], batch.column("training")[s], pa.array(n + 1), pa.array(n - np.bincount(text[rare], minlength=len(n))),
-                    pa.array(np.bincount(text, np.where(rare, 0, base), len(n))), pa.array(np.add.reduceat(mixed, ends - n + np.arange(len(n)))), *lists,
+                    pa.array(np.bincount(text, np.where(rare, 0, base), len(n))), pa.array(np.add.reduceat(mixed, ends - n + np.arange(len(n)))),
+                    batch.column("a")[s], batch.column("b")[s], pa.ListArray.from_arrays(at, pa.array(seen[later])),
                 ], names=["doc_id", "training", "n_tokens", "n_known", "base", "score", "a", "b", "part"])
 
     columns = "doc_id long, training boolean, n_tokens long, n_known long, base double, score double, a array<long>, b array<long>, part array<double>"
-    scored = stored(rows.mapInArrow(score, columns).withColumn("row", F.monotonically_increasing_id()), "scores")
+    told = texts.select("doc_id", "training", "ids", "heads", "low", "high", "a", "b")
+    scored = stored(told.mapInArrow(score, columns).withColumn("row", F.monotonically_increasing_id()), "scores")
+    discard(texts)
     rest = scored.select("row", F.explode(F.arrays_zip("a", "b", "part")).alias("r")).select("row", "r.*")
     each = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(total))
     both = F.log10(F.lit(attention) * F.pow(F.lit(10.0), "part") + F.lit(1 - attention) * F.pow(F.lit(10.0), each))
