@@ -422,6 +422,16 @@ def test_spans_are_put_together_within_a_run(spans, least):
     assert [int(w) for w in left.split()] == [w for w in range(80) if w not in cut] and removed == len(cut)
 
 
+def test_many_texts_are_cut_at_once():
+    """Each text loses its own runs, also where one ends with a run and the next begins with one."""
+    spans = lambda *x: tuple(np.array(x, np.int64).reshape(-1, 3).T)
+    texts = ["a b é d ", "e  f\ng h", "", "i j", "k l m n o"]
+    given_ = [spans((1, 2, 4)), spans((1, 0, 1), (1, 1, 2)), spans(), spans((1, 0, 1), (2, 1, 2)), spans((5, 3, 5), (4, 0, 2))]
+    left, words_cut, runs_cut = line_dedup.cut_texts(texts, given_, 2)
+    assert left == ["a b ", "g h", "", "i j", "m "]
+    assert (words_cut.tolist(), runs_cut.tolist()) == ([2, 2, 0, 0, 4], [1, 1, 0, 0, 2])
+
+
 def test_no_document_loses_more_than_what_repeats(spark):
     """All documents of a whole table beside all runs of thirty words that repeat by brute force; and how many are found."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")

@@ -117,43 +117,62 @@ def common_words(column: pa.Array, here: np.ndarray, there: np.ndarray, back: bo
     return np.minimum(n, np.where(same.all(1), most, same.argmin(1)))
 
 
-def joined(group: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spans of one group that overlap or adjoin as one. They come by group, and by first word in it."""
+def joined(group: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of one group that overlap or adjoin as one: groups, first words and ends. They come by group, and by first word in it."""
     if not len(a):
-        return a, b
+        return group, a, b
     other = np.append(True, group[1:] != group[:-1])
     base = np.cumsum(other) * (int(b.max()) + 1)  # no group reaches the next one's
     high = np.maximum.accumulate(b + base)
     new = other | np.append(True, (a + base)[1:] > high[:-1])
-    return a[new], (high - base)[np.append(new[1:], True)]
+    return group[new], a[new], (high - base)[np.append(new[1:], True)]
 
 
-def cut_spans(text: str | None, spans: tuple[np.ndarray, np.ndarray, np.ndarray] | None, min_words: int) -> tuple[str, int, int]:
-    """The text without its repeated runs of ``min_words`` or more, the words cut and the runs cut.
+def runs_of(doc: np.ndarray, run: np.ndarray, a: np.ndarray, b: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs to cut of many documents: document, first word and end, in this order. ``doc``, ``run``, ``a``, ``b``: the spans'."""
+    order = np.lexsort((a, run, doc))
+    doc, run, a, b = doc[order], run[order], a[order], b[order]
+    other = np.append(True, (doc[1:] != doc[:-1]) | (run[1:] != run[:-1]))[: len(doc)]
+    group, a, b = joined(np.cumsum(other) - 1, a, b)
+    doc, long = doc[other][group], b - a >= min_words
+    doc, a, b = doc[long], a[long], b[long]
+    order = np.lexsort((a, doc))
+    return joined(doc[order], a[order], b[order])
+
+
+def cut_texts(texts: list[str], spans: list[tuple[np.ndarray, np.ndarray, np.ndarray]], min_words: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Texts without their repeated runs of ``min_words`` or more, the words cut and the runs cut of each.
 
-    ``spans``: run, first word and end of each. Those that were matched with one earlier text at one distance (``run``) and overlap or adjoin stand
+    ``spans``: run, first word and end of each of a text's. Those that were matched with one earlier text at one distance (``run``) and overlap or adjoin stand
     together there too, and make one run; those of fewer than ``min_words`` are left alone, whatever lies beside them.
     Runs that are long enough and touch are cut in one. A run goes with the white space after it.
     """
+    n = len(texts)
+    run, a, b = (np.concatenate([x[k] for x in spans]) if n else np.zeros(0, np.int64) for k in range(3))
+    doc, a, b = runs_of(np.repeat(np.arange(n), [len(x[0]) for x in spans]), run, a, b, min_words)
+    words_cut, runs_cut = np.bincount(doc, b - a, n).astype(np.int64), np.bincount(doc, minlength=n)
+    out, hit = list(texts), np.flatnonzero(runs_cut)
+    raws = [texts[i].encode("utf-8", "replace") for i in hit.tolist()]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in raws])]).astype(np.int64)
+    raw, place = np.frombuffer(b"".join(raws), np.uint8), np.searchsorted(hit, doc)
+    s = words(raw, bounds)
+    at = np.append(s.starts, len(raw))
+    edge = np.zeros(len(raw) + 1, np.int8)  # where cuts begin and end
+    edge[at[s.first[place] + a]] += 1
+    edge[np.where(s.first[place] + b < s.first[place + 1], at[s.first[place] + b], bounds[place + 1])] -= 1
+    kept = np.cumsum(edge[:-1], dtype=np.int8) == 0
+    left, ends = raw[kept].tobytes(), np.concatenate([[0], np.cumsum(kept)])[bounds].tolist()
+    for i, x, y in zip(hit.tolist(), ends[:-1], ends[1:], strict=True):
+        out[i] = left[x:y].decode("utf-8")
+    return out, words_cut, runs_cut
+
+
+def cut_spans(text: str | None, spans: tuple[np.ndarray, np.ndarray, np.ndarray] | None, min_words: int) -> tuple[str, int, int]:
+    """``cut_texts`` of one text, which may have nothing to cut."""
     if spans is None:
         return text or "", 0, 0
-    run, a, b = spans
-    order = np.lexsort((a, run))
-    a, b = joined(run[order], a[order], b[order])
-    a, b = a[b - a >= min_words], b[b - a >= min_words]
-    order = np.argsort(a, kind="stable")
-    a, b = joined(np.zeros(len(a), np.int64), a[order], b[order])
-    runs = list(zip(a.tolist(), b.tolist(), strict=True))
-    if not runs:
-        return text or "", 0, 0
-    raw = (text or "").encode("utf-8", "replace")
-    at = [*words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])).starts.tolist(), len(raw)]
-    kept, here = [], 0
-    for a, b in runs:
-        kept.append(raw[here : at[a]])
-        here = at[b]
-    kept.append(raw[here:])
-    return b"".join(kept).decode("utf-8"), sum(b - a for a, b in runs), len(runs)
+    (left,), (n,), (runs,) = cut_texts([text or ""], [spans], min_words)
+    return left, int(n), int(runs)
 
 
 def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
@@ -228,15 +247,15 @@ def _occurrences(rows: DataFrame, most_broadcast: int) -> DataFrame:
 
 
 def _salted(found: DataFrame, group: Column, hot: DataFrame) -> DataFrame:
-    """With the columns group and salt: the occurrences of a hot group, of which ``hot(group, n)`` has a row, are dealt out; others have -1.
+    """With the group in place of the fingerprint, and a column salt: the occurrences of a hot group, of which ``hot(group, n)`` has a row, are dealt out; others have -1.
 
     So many hot groups as may be broadcast are, and the occurrences then move once, when they are sorted.
     """
     hot = hot.select(F.col("group").alias("__hot"), F.ceil(F.col("n") / HOT).alias("salts"))
     hot = F.broadcast(hot) if hot.count() <= MOST_HOT else hot
     salt = F.coalesce(F.pmod(F.xxhash64("doc_id", "key", "at"), F.col("salts")), F.lit(-1))
-    joined = found.withColumn("group", group).join(hot, F.col("group") == F.col("__hot"), "left")
-    return joined.select(*_NAMES, "group", salt.alias("salt"))
+    dealt = found.withColumn("print", group).join(hot, F.col("print") == F.col("__hot"), "left")
+    return dealt.select(*_NAMES, salt.alias("salt"))
 
 
 _FOUND = "print long, doc_id long, key long, at long, size long, before binary, after binary"
@@ -249,7 +268,7 @@ def _matched(found: DataFrame, salted: bool, min_words: int) -> DataFrame:
 
     ``run`` names the earlier text and how far before this place the match stands in it.
 
-    Rows of (group, salt) are sorted by place in one task, which keeps but two. With
+    Rows of (print, salt) are sorted by place in one task, which keeps but two. With
     ``salted`` the firsts of split groups come out too: those are to be matched in turn.
     """
 
@@ -262,7 +281,7 @@ def _matched(found: DataFrame, salted: bool, min_words: int) -> DataFrame:
             old = len(held)
             if held:
                 b = pa.Table.from_batches([*held, b]).combine_chunks().to_batches()[0]
-            group, salt, doc, key, at = (b.column(c).fill_null(-1).to_numpy(zero_copy_only=False) for c in ("group", "salt", "doc_id", "key", "at"))
+            group, salt, doc, key, at = (b.column(c).fill_null(-1).to_numpy(zero_copy_only=False) for c in ("print", "salt", "doc_id", "key", "at"))
             size, place = b.column("size").to_numpy(), np.arange(len(b))
             new = np.ones(len(b), bool)
             new[1:] = (group[1:] != group[:-1]) | (salt[1:] != salt[:-1])
@@ -292,13 +311,18 @@ def _matched(found: DataFrame, salted: bool, min_words: int) -> DataFrame:
             held = [b.slice(begin, 1), *([b.slice(end, 1)] if end > begin else [])]
 
     n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = found.repartition(n, "group", "salt").sortWithinPartitions("group", "salt", "doc_id", "key", "at")
+    dealt = found.repartition(n, "print", "salt").sortWithinPartitions("print", "salt", "doc_id", "key", "at")
     return dealt.mapInArrow(follow, _FOUND + ", run long, a long, b long")
 
 
 _NAMES = [c.split()[0] for c in _FOUND.split(", ")]
 
 
+def _packed(a: Column, b: Column) -> Column:
+    """Two numbers of words as one."""
+    return F.call_function("shiftleft", a, F.lit(32)).bitwiseOR(b)
+
+
 def line_dedup(docs: DataFrame, min_words: int = 30, most_broadcast: int = BITS // 8) -> DataFrame:
     """``docs`` with repeated runs of text cut out of ``text``, and removed_words and removed_runs added.
 
@@ -326,7 +350,7 @@ def line_dedup(docs: DataFrame, min_words: int = 30, most_broadcast: int = BITS
     matched = stored(matched.select(*kept, "key", "run", "a", "b"), "matched")
     spans = [matched.filter("a is not null")]
     # the firsts of split groups among themselves
-    firsts = matched.filter("a is null").select(*_NAMES, F.col("print").alias("group"), F.lit(-1).cast("long").alias("salt"))
+    firsts = matched.filter("a is null").select(*_NAMES, F.lit(-1).cast("long").alias("salt"))
     firsts = stored(_matched(firsts, False, min_words), "firsts")
     again = matched.filter("a is not null").unionByName(firsts, allowMissingColumns=True).filter(short).select(*_NAMES)
     spans.append(firsts)
@@ -337,24 +361,32 @@ def line_dedup(docs: DataFrame, min_words: int = 30, most_broadcast: int = BITS
         # what comes out is a span, or the first of a split group, which is matched once more
         firsts_only = [F.when(F.col("a").isNull(), F.col(c)).alias(c) for c in _NAMES if c != "key"]
         once = stored(_matched(wide, True, min_words).select(*firsts_only, "key", "run", "a", "b"), f"matched-{c}")
-        more = once.filter("a is null").select(*_NAMES, F.xxhash64("print", side).alias("group"), F.lit(-1).cast("long").alias("salt"))
+        more = once.filter("a is null").select(*_NAMES, F.lit(-1).cast("long").alias("salt"))
         spans += [once.filter("a is not null"), _matched(more, False, min_words)]
     every = spans[0].select("key", "run", "a", "b")
     for more in spans[1:]:
         every = every.union(more.select("key", "run", "a", "b"))
-    # a document's spans: about one for every few of its lines
-    every = stored(every.groupBy("key").agg(*[F.collect_list(c).alias(f"__{c}") for c in ("run", "a", "b")]), "spans")
+    # a document's spans: about one for every few of its lines; dealt first, as lists of one span each would be dear to move
+    dealt = every.repartition("key")
+    every = stored(dealt.groupBy("key").agg(F.collect_list("run").alias("__run"), F.collect_list(_packed(F.col("a"), F.col("b"))).alias("__span")), "spans")
 
     @F.pandas_udf("struct<text string, removed_words long, removed_runs long>")
     @lean
     def cut(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for texts, *spans in batches:
-            yield pd.DataFrame([cut_spans(t, None if x[0] is None else x, min_words) for t, *x in zip(texts, *spans, strict=True)], columns=["text", "removed_words", "removed_runs"])
+        for texts, run, span in batches:
+            out = pd.DataFrame({"text": "", "removed_words": 0, "removed_runs": 0}, index=range(len(texts)))
+            some = np.flatnonzero(run.notna())
+            sizes = np.cumsum([len(t or "") for t in texts.iloc[some]], dtype=np.int64)
+            for at in np.split(some, np.flatnonzero(np.diff(sizes >> 20)) + 1):  # of about a million characters
+                spans = [(r, s >> 32, s & 0xFFFFFFFF) for r, s in zip(run.iloc[at], span.iloc[at], strict=True)]
+                for c, found in zip(out.columns, cut_texts([t or "" for t in texts.iloc[at]], spans, min_words), strict=True):
+                    out.iloc[at, out.columns.get_loc(c)] = found
+            yield out
 
     keyed = docs.withColumn("__key", key).join(every.withColumnRenamed("key", "__key"), "__key", "left")
     # one join moves the texts once; only those with something to cut go to Python
     some = F.col("__run").isNotNull()
-    changed = keyed.withColumn("__cut", cut(F.when(some, F.col("text")), "__run", "__a", "__b"))
+    changed = keyed.withColumn("__cut", cut(F.when(some, F.col("text")), "__run", "__span"))
     changed = changed.withColumn("text", F.when(some, F.col("__cut.text")).otherwise(F.coalesce("text", F.lit(""))))
     changed = changed.withColumns({c: F.col(f"__cut.{c}") for c in ("removed_words", "removed_runs")})
     out: list[Column | str] = [*docs.columns, *[c for c in ("removed_words", "removed_runs") if c not in docs.columns]]
