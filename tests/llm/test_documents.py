@@ -613,5 +613,28 @@ def test_gradients_are_the_slopes_of_the_loss():
         assert (loss[0] - loss[1]) / 2e-2 == pytest.approx(found[name][at], rel=0.02), name
 
 
+def test_prepared_windows_give_the_same_gradients():
+    """A shard's windows are laid out once, not again in each step."""
+    rng = np.random.default_rng(4)
+    sizes = np.array([3, 40, 1, 18, 16])
+    ids = rng.integers(0, 50, int(sizes.sum()))
+    ids[np.cumsum(sizes) - 1] = 50
+    m = small_model(rng, ids, sizes)
+    first, seen = m.windows(sizes)
+    last = np.repeat(np.cumsum(sizes), -(-sizes // m.stride))
+    some = np.array([4, 0, 6, 2])
+    want = m.gradients(m.framed(m.of[ids]), first[some], seen[some], last[some])
+    found = m.slopes(*(x[some] for x in m.prepared(m.of[ids], sizes)), m.rows())
+    assert all(np.array_equal(want[k], found[k]) for k in lm_score.WEIGHTS)
+
+
+def test_ascii_pieces_skip_the_librarys_rules():
+    e, t = tokens.PieceEncoder(WORD_BPE, keep_space=False), tokens.load(WORD_BPE)
+    assert e.split is not None and tokens.PieceEncoder(BYTE_BPE, keep_space=True).split is None
+    for text in ("It's 12,34 don't! a--b &'s x3y7Z AB_cd|E= 9 99 9a", "a<b <|endoftext|>, x<|endoftext|>y", "a\x7fb c\x1cd Straße,x Ȿq İx y\x85z", "a" * 1500 + " b1", "é", ""):
+        ids, n = e.encode(*text_bytes(pa.array([text])))
+        assert ids.tolist() == t.encode(text, add_special_tokens=False).ids and n.tolist() == [len(ids)]
+
+
 def test_digest_of_known_text():
     assert hashlib.sha256(np.array([], "<u4").tobytes()).hexdigest().startswith("e3b0c442")

@@ -20,7 +20,7 @@ from .words import HashTable, binary, distinct, lower, parts, text_bytes, wide_h
 
 #: Classes are in groups of so many; both numbers are fixed, whatever the corpus.
 GROUPS, MEMBERS = 16, 16
-CLASSES = GROUPS * MEMBERS
+CLASSES, SHIFT = GROUPS * MEMBERS, MEMBERS.bit_length() - 1
 #: Ids of a shard, which is trained in turn; ids that are mixed; and parts of one in which weights are averaged.
 SHARD, CHUNK, FINE = 1 << 20, 1 << 17, 1 << 24
 #: The weights that are trained, in the order in which they are sent.
@@ -96,38 +96,53 @@ class AttentionModel:
         inside = (np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)) * self.stride
         return (np.cumsum(sizes) - sizes)[text] + inside, inside
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """exp of what each class gives each class before it (none at CLASSES); of what each distance adds, the farthest first; values.
+    def by_class(self) -> tuple[np.ndarray, np.ndarray]:
+        """Log of what each class gives each class before it (none at CLASSES), and of what each distance adds, the farthest first.
 
-        A weight depends on two classes and their distance only, so these stand for all products
+        A weight depends on two classes and their distance only, so this table stands for all products
         of queries and keys. Rows are shifted to at most 0 unless all are small; below -60 counts as -60.
         """
-        by_class = (self.query * np.float32(self.query.shape[1] ** -0.5)) @ self.key.T
-        if np.abs(by_class).max() > 30:
-            by_class -= by_class.max(1, keepdims=True)
-            np.maximum(by_class, np.float32(-60), out=by_class)
-        given = np.zeros((CLASSES, CLASSES + 1), np.float32)
-        np.exp(by_class, out=given[:, :CLASSES])
-        far = np.exp(np.maximum(self.bias - self.bias.max(), np.float32(-20)))[::-1]
-        return given.ravel(), np.ascontiguousarray(far), np.concatenate([self.value, np.zeros((1, self.value.shape[1]), np.float32)])
+        table = np.empty((CLASSES, CLASSES + 1), np.float32)
+        given, query = table[:, :CLASSES], self.query * np.float32(self.query.shape[1] ** -0.5)
+        np.matmul(query, self.key.T, out=given)
+        longest = [np.sqrt(np.einsum("ij,ij->i", x, x).max()) for x in (query, self.key)]
+        if not longest[0] * longest[1] <= 30 and np.abs(given).max() > 30:
+            given -= given.max(1, keepdims=True)
+            np.maximum(given, np.float32(-60), out=given)
+        table[:, CLASSES] = -np.inf
+        return table, np.ascontiguousarray(np.maximum(self.bias - self.bias.max(), np.float32(-20))[::-1])
 
     def banded(self, x: np.ndarray) -> np.ndarray:
         """Of [windows, targets, inputs] the inputs that each target sees, itself and context - 1 before it, as [targets, those inputs, windows]."""
         return as_strided(x, (self.stride, self.context, len(x)), (x.strides[1] + x.strides[2], x.strides[2], x.strides[0]))
 
-    def attend(self, c: np.ndarray, tables: tuple[np.ndarray, np.ndarray, np.ndarray]):
-        """c: classes [windows, context + stride - 1 inputs], CLASSES before a text's first. Pairs of classes, weights, 1 / their sums, and means of values."""
+    def attend(self, c: np.ndarray, tables: tuple[np.ndarray, np.ndarray, np.ndarray], logs: bool = False):
+        """c: classes [windows, context + stride - 1 inputs], CLASSES before a text's first. Pairs of classes, weights (banded, and whole), values, and their means.
+
+        tables: of pairs of classes and of distances, or with ``logs`` their logs; and values, with zeros for none.
+        """
         given, far, value = tables
         by_place = np.ascontiguousarray(c.T)  # windows last, as numpy is fast on long rows
         row, one = by_place.strides
         pairs = as_strided(by_place, (self.stride, self.context, len(c)), (row, row, one)) + (by_place[self.context - 1 :] * (CLASSES + 1))[:, None, :]
-        a = np.zeros((len(c), self.stride, c.shape[1]), np.float32)
-        np.multiply(rows_at(given, pairs), far[:, None], out=self.banded(a))
-        inverse = 1 / (a.reshape(-1, c.shape[1]) @ np.ones(c.shape[1], np.float32)).reshape(a.shape[0], -1, 1)
+        w = rows_at(given, pairs)
+        if logs:
+            w += far[:, None]
+            np.exp(w, out=w)
+        else:
+            w *= far[:, None]
+        w *= (1 / w.sum(1))[:, None]
+        a = self.room(len(c), c.shape[1])
+        self.banded(a)[...] = w
         v = rows_at(value, c)
-        z = a @ v
-        z *= inverse
-        return pairs, a, inverse, v, z
+        return pairs, w, a, v, a @ v
+
+    def room(self, windows: int, inputs: int) -> np.ndarray:
+        """Weights of that many windows, all zero outside the band, for the next call to fill."""
+        kept = self.__dict__.get("_room")
+        if kept is None or kept.shape != (windows, self.stride, inputs):
+            kept = self.__dict__["_room"] = np.zeros((windows, self.stride, inputs), np.float32)
+        return kept
 
     def framed(self, classes: np.ndarray) -> np.ndarray:
         """Classes with ends before and after, so that every window lies inside."""
@@ -145,85 +160,107 @@ class AttentionModel:
         c[early] = np.where(place > start, c[early], np.where(place == start, end, CLASSES))
         return c[:, :-1], c[:, -self.stride :], at[:, -self.stride :]
 
+    def prepared(self, classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all windows of these texts what ``slopes`` takes: input classes, targets and their groups."""
+        first, seen = self.windows(sizes)
+        c, target, at = self.inputs(self.framed(classes), first, seen)
+        return np.ascontiguousarray(c), np.ascontiguousarray(target), self.targets(target, at, np.repeat(np.cumsum(sizes), -(-sizes // self.stride)))
+
+    def targets(self, target: np.ndarray, at: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The group of each target; GROUPS beyond its text's last id."""
+        return np.where(at < last[:, None], target // MEMBERS, GROUPS).astype(np.uint8)  # small numbers are sorted fast
+
     @staticmethod
-    def by_group(target: np.ndarray, real: np.ndarray) -> np.ndarray:
-        """Which of the targets are real, in the order of their groups."""
-        key = np.where(real, target // MEMBERS, GROUPS).astype(np.uint8).ravel()  # small numbers are sorted fast
-        return np.argsort(key, kind="stable")[: np.count_nonzero(real)]
-
-    def heads(self, z: np.ndarray, now: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
-        """Logits of groups and of the target group's members; rows must be in the order of their targets' groups."""
-        groups = target // MEMBERS
-        by_group = z @ self.out_group
-        by_group += rows_at(self.pair_group, now)
-        by_member = rows_at(self.pair_member.reshape(-1, MEMBERS), now * GROUPS + groups)
-        edges = np.searchsorted(groups, np.arange(GROUPS + 1)).tolist()
+    def by_group(groups: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Which of the targets are real, in the order of their groups; and where each group of them begins and ends."""
+        n = np.bincount(groups.ravel(), minlength=GROUPS + 1)[:GROUPS]
+        edges = np.concatenate([[0], np.cumsum(n)]).tolist()
         held = [(g, a, b) for g, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
-        more = np.empty_like(by_member)
-        for g, a, b in held:
-            np.matmul(z[a:b], self.out_member[g], out=more[a:b])
-        by_member += more
-        return by_group, by_member, held
+        return np.argsort(groups.ravel(), kind="stable")[: edges[-1]], held
+
+    def rows(self) -> np.ndarray:
+        """For each class and group the logits from counts: of the groups, and of that group's members."""
+        return np.concatenate([np.broadcast_to(self.pair_group[:, None], self.pair_member.shape), self.pair_member], axis=2).reshape(-1, GROUPS + MEMBERS)
 
-    def score_ids(self, ids: np.ndarray, left: np.ndarray, sizes: np.ndarray, batch: int = 192) -> np.ndarray:
+    def heads(self) -> np.ndarray:
+        """For each group the weights of such a row's logits."""
+        return np.concatenate([np.broadcast_to(self.out_group[None], self.out_member.shape), self.out_member], axis=2)
+
+    @staticmethod
+    def logits(z: np.ndarray, now: np.ndarray, target: np.ndarray, held: list[tuple[int, int, int]], rows: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of groups and of the target group's members; rows must be in the order of their targets' groups. And where the target's two stand."""
+        found, more = rows_at(rows, now * GROUPS + (target >> SHIFT)), np.empty((len(z), heads.shape[2]), np.float32)
+        for g, a, b in held:
+            np.matmul(z[a:b], heads[g], out=more[a:b])
+        found += more
+        pick = np.empty((len(z), 2), np.int64)
+        pick[:, 0], pick[:, 1] = target >> SHIFT, (target & (MEMBERS - 1)) + GROUPS
+        pick += np.arange(0, found.size, found.shape[1])[:, None]
+        return found.reshape(-1, MEMBERS), pick.ravel()
+
+    def score_ids(self, ids: np.ndarray, left: np.ndarray, sizes: np.ndarray, batch: int = 512) -> np.ndarray:
         """The natural log probability of each id; left: the row of ``share``. Ids of all texts in turn, each with its end."""
         classes = self.of[ids]
         framed = self.framed(classes)
         first, seen = self.windows(sizes)
         last = np.repeat(np.cumsum(sizes), -(-sizes // self.stride))
-        found, tables = np.zeros(len(ids), np.float32), self.tables()
+        found, rows, heads = np.zeros(len(ids), np.float32), self.rows(), self.heads()
+        given, far = self.by_class()
+        tables = np.exp(given).ravel(), np.exp(far), padded(self.value)
         for i in range(0, len(first), batch):
-            f, s = first[i : i + batch], seen[i : i + batch]
-            c, target, at = self.inputs(framed, f, s)
+            c, target, at = self.inputs(framed, first[i : i + batch], seen[i : i + batch])
             z = self.attend(c, tables)[-1].reshape(-1, self.value.shape[1])
-            real = self.by_group(target, at < last[i : i + batch, None])
-            t = target.ravel()[real]
-            rows = np.arange(len(t))
-            value = np.zeros(len(t), np.float32)
-            by_group, by_member, _ = self.heads(rows_at(z, real), c[:, -self.stride :].ravel()[real], t)
-            for logits, pick in ((by_group, t // MEMBERS), (by_member, t % MEMBERS)):
-                whole = exponents(logits)
-                value += np.log(np.maximum(logits.reshape(-1)[rows * logits.shape[1] + pick], np.float32(1e-35)) / whole)
-            found[at.ravel()[real]] = value
+            real, held = self.by_group(self.targets(target, at, last[i : i + batch]))
+            logits, pick = self.logits(rows_at(z, real), c[:, -self.stride :].ravel()[real], target.ravel()[real], held, rows, heads)
+            whole = exponents(logits)
+            value = np.log(np.maximum(rows_at(logits.reshape(-1), pick), np.float32(1e-35)) / whole)
+            found[at.ravel()[real]] = value[::2] + value[1::2]
         return found.astype(np.float64) + rows_at(self.share.reshape(-1), left * self.share.shape[1] + ids)
 
     def gradients(self, framed: np.ndarray, first: np.ndarray, seen: np.ndarray, last: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean loss over a batch of windows, by weight."""
-        s, dim = self.stride, self.query.shape[1]
         c, target, at = self.inputs(framed, first, seen)
-        pairs, a, inverse, v, z = self.attend(c, self.tables())
-        flat, now = z.reshape(-1, dim), c[:, -s:].ravel()
-        real = self.by_group(target, at < last[:, None])
-        t, zr = target.ravel()[real], rows_at(flat, real)
-        by_group, by_member, held = self.heads(zr, now[real], t)
-        rows, part = np.arange(len(t)), np.float32(1 / max(1, len(t)))
-        for logits, pick in ((by_group, t // MEMBERS), (by_member, t % MEMBERS)):
-            logits *= (part / exponents(logits))[:, None]
-            logits.reshape(-1)[rows * logits.shape[1] + pick] -= part
-        dzr, out_member = np.zeros((len(t) + 1, dim), np.float32), np.zeros_like(self.out_member)
+        return self.slopes(c, target, self.targets(target, at, last), self.rows())
+
+    def slopes(self, c: np.ndarray, target: np.ndarray, groups: np.ndarray, rows: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean loss, by weight, over windows of these input classes, targets, and groups of targets."""
+        s, dim = self.stride, self.query.shape[1]
+        given, far = self.by_class()
+        pairs, w, a, v, z = self.attend(c, (given.reshape(-1), far, padded(self.value)), logs=True)
+        real, held = self.by_group(groups)
+        heads, zr = self.heads(), rows_at(z.reshape(-1, dim), real)
+        logits, pick = self.logits(zr, c[:, -s:].ravel()[real], target.ravel()[real], held, rows, heads)
+        part = np.float32(1 / max(1, len(zr)))
+        logits *= (part / exponents(logits))[:, None]
+        logits.reshape(-1)[pick] -= part
+        logits = logits.reshape(-1, GROUPS + MEMBERS)
+        dzr, out = np.zeros((len(zr) + 1, dim), np.float32), np.zeros_like(heads)
         for g, x, y in held:
-            np.matmul(by_member[x:y], self.out_member[g].T, out=dzr[x:y])
-            np.matmul(zr[x:y].T, by_member[x:y], out=out_member[g])
-        dzr[:-1] += by_group @ self.out_group.T
-        place = np.full(len(flat), len(t))  # the others' are the last row, which is zero
-        place[real] = rows
+            np.matmul(logits[x:y], heads[g].T, out=dzr[x:y])
+            np.matmul(zr[x:y].T, logits[x:y], out=out[g])
+        place = np.full(groups.size, len(zr))  # the others' are the last row, which is zero
+        place[real] = np.arange(len(zr))
         dz = rows_at(dzr, place).reshape(z.shape)
-        dz *= inverse  # of the weights before they are divided by their sums
-        ds = np.empty(pairs.shape, np.float32)
         mean = (dz * z).reshape(-1, dim).dot(np.ones(dim, np.float32)).reshape(z.shape[:2])
-        np.subtract(self.banded(dz @ v.transpose(0, 2, 1)), mean.T[:, None, :], out=ds)
-        ds *= self.banded(a)
-        by_class = np.bincount(pairs.ravel(), ds.ravel(), CLASSES * (CLASSES + 1)).reshape(CLASSES, -1)[:, :CLASSES].astype(np.float32)
+        ds = self.banded(dz @ v.transpose(0, 2, 1)) - np.ascontiguousarray(mean.T)[:, None, :]
+        ds = np.multiply(ds, w, order="C")
+        by_class = np.zeros((CLASSES, CLASSES + 1), np.float32)
+        np.add.at(by_class.reshape(-1), pairs.reshape(-1), ds.reshape(-1))
         by_class *= np.float32(dim**-0.5)
         return {
-            "out_group": zr.T @ by_group, "out_member": out_member,
+            "out_group": out[:, :, :GROUPS].sum(0), "out_member": out[:, :, GROUPS:],
             "value": summed(c.ravel(), (a.transpose(0, 2, 1) @ dz).reshape(-1, dim)),
-            "query": by_class @ self.key,
-            "key": by_class.T @ self.query,
+            "query": by_class[:, :CLASSES] @ self.key,
+            "key": by_class[:, :CLASSES].T @ self.query,
             "bias": ds.sum(2).sum(0)[::-1],
         }
 
 
+def padded(value: np.ndarray) -> np.ndarray:
+    """With a row of zeros for no class."""
+    return np.concatenate([value, np.zeros((1, value.shape[1]), value.dtype)])
+
+
 def summed(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """The sum of the rows of each class; those at CLASSES are left out."""
     order = np.argsort(at.astype(np.uint16), kind="stable")  # small numbers are sorted fast
@@ -532,19 +569,16 @@ def train_attention(rows: DataFrame, path: str, dim: int = 16, context: int = 16
             of, pair_group, pair_member, flat = shared.value
             shapes = [(CLASSES, dim)] * 3 + [(context,), (dim, GROUPS), (GROUPS, dim, MEMBERS)]
             m = AttentionModel(of, np.zeros((0, 0)), pair_group, pair_member, *[np.zeros(x, np.float32) for x in shapes])
-            total, reached, now, here = 0, np.zeros(len(flat), np.int64), None, 0
+            rows, total, reached, now, here = m.rows(), 0, np.zeros(len(flat), np.int64), None, 0
             for shard, ids, sizes in lots(batches, end, CHUNK):
                 if shard != now:
                     reached += here * np.rint(m.weights().astype(float) * FINE).astype(np.int64)
                     m.set_weights(flat)
                     adam, order, now, here = Adam(m, pace), np.random.default_rng([seed, turn, shard]), shard, 0
-                framed = m.framed(of[ids])
-                first, seen = m.windows(sizes)
-                last = np.repeat(np.cumsum(sizes), -(-sizes // m.stride))
-                mixed = order.permutation(len(first))
+                windows = m.prepared(of[ids], sizes)
+                mixed = order.permutation(len(windows[0]))
                 for i in range(0, len(mixed), batch):
-                    w = mixed[i : i + batch]
-                    adam.down(m.gradients(framed, first[w], seen[w], last[w]))
+                    adam.down(m.slopes(*(rows_at(x, mixed[i : i + batch]) for x in windows), rows))
                 here, total = here + len(ids), total + len(ids)
             if total:
                 reached += here * np.rint(m.weights().astype(float) * FINE).astype(np.int64)

@@ -3,21 +3,40 @@
 from __future__ import annotations
 
 import os
-import re
 from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
-
-from .words import HashTable, Spans, distinct, spans_of, wide_hashes
-
-#: Pieces that the lower-casing normalizer leaves as long as they are, and that hold no white space.
-_SIMPLE = re.compile(r"[!-~\u00a1-\u012f\u0131-\u024f]+")
+from tokenizers.pre_tokenizers import WhitespaceSplit
+
+from .words import HashTable, Spans, distinct, lower, spans_of, wide_hashes
+
+#: Bytes of characters that the lower-casing normalizer leaves as long as they are, and that are no white space: ! to ~, and those of two bytes up to U+017F.
+_SIMPLE = np.isin(np.arange(256), [*range(33, 127), *range(0x80, 0xC0), *range(0xC2, 0xC6)])
+#: What such pieces are normalized and split by where ``split`` does the same: runs of letters, single digits, runs of others.
+_NORMALIZER = b'{"type":"Sequence","normalizers":[{"type":"NFC"},{"type":"Replace","pattern":{"Regex":"\\\\s+"},"content":" "},{"type":"Lowercase"}]}'
+_PRE_TOKENIZER = (
+    b'{"type":"Sequence","pretokenizers":[{"type":"Split","pattern":{"Regex":"\'s|\'t|\'re|\'ve|\'m|\'ll|\'d|[\\\\p{L}]+|[\\\\p{N}]|[^\\\\s\\\\p{L}\\\\p{N}]+"},'
+    b'"behavior":"Removed","invert":true},{"type":"ByteLevel","add_prefix_space":false,"trim_offsets":true,"use_regex":false}]}'
+)
+#: ASCII letters, digits and others; and what ``split`` doesn't do: characters beyond ASCII, contractions, special tokens.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[[*range(97, 123)]], _KIND[[*range(48, 58)]], _KIND[32] = 1, 2, 0
+_NOT_SPLIT = np.isin(np.arange(256), [*b"'<", *range(128, 256)])
 #: White space and its kin among ASCII.
 _WIDE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
 _BLANK = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
 
 
+def _odd(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to other characters than _SIMPLE's, or spaces: U+0080 to U+00A0 and U+0130 do too."""
+    odd = ~_SIMPLE[data]
+    odd[data == 32] = False
+    after = data[1:]
+    odd[:-1] |= ((data[:-1] == 0xC2) & (after <= 0xA0)) | ((data[:-1] == 0xC4) & (after == 0xB0))
+    return odd
+
+
 @lru_cache(maxsize=4)
 def _loaded(path: str, plain: bool) -> Tokenizer:
     tokenizer = Tokenizer.from_file(path)
@@ -49,7 +68,9 @@ class PieceEncoder:
     words. Either way a text's ids are its pieces' ids in turn. Pieces are found, hashed to 128
     bits and looked up by numpy, whole batches at a time; only new ones become strings. These are
     encoded many to a text, and told apart by the bytes that each id stands for. A text that
-    holds a special token's opening is one piece where spaces count. The store is bounded:
+    holds a special token's opening is one piece where spaces count. Where the file's rules are
+    the known ones, pieces of ASCII are lower-cased and split by numpy and go to the same model
+    without the library's regular expressions. The store is bounded:
     beyond ``most`` pieces, or eight times as many ids, it starts anew.
     """
 
@@ -59,6 +80,11 @@ class PieceEncoder:
         special = self.tokenizer.get_added_tokens_decoder()
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.sizes = np.array([1 << 20 if i in special else len(n.removesuffix("</w>")) for i, n in enumerate(names)], np.int64)
+        known = self.tokenizer.normalizer is not None and self.tokenizer.pre_tokenizer is not None and all("<" in x.content for x in special.values())
+        known = known and (self.tokenizer.normalizer.__getstate__(), self.tokenizer.pre_tokenizer.__getstate__()) == (_NORMALIZER, _PRE_TOKENIZER)
+        self.split = None if keep_space or not known else Tokenizer(self.tokenizer.model)  # the model is not copied
+        if self.split is not None:
+            self.split.pre_tokenizer = WhitespaceSplit()
         self.generation = 0
         self._clear()
 
@@ -107,28 +133,53 @@ class PieceEncoder:
             lengths = np.fromiter(map(len, rows), np.int64, len(rows))
             self._keep(np.fromiter((i for r in rows for i in r), np.uint32, int(lengths.sum())), lengths, at[s : s + 512])
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn_many(self, tokenizer: Tokenizer, at: np.ndarray, sizes: np.ndarray, data: np.ndarray, room: np.ndarray) -> list[np.ndarray]:
+        """Pieces of so many bytes, each with its gap in so much of ``data``; returns those whose ids can't be told apart by bytes."""
+        odd, whole, gap = [], data.tobytes(), 0 if self.keep_space else 1
+        ends, stops = np.cumsum(sizes), np.concatenate([[0], np.cumsum(room)])
+        for s in range(0, len(at), 4096):
+            some = at[s : s + 4096]
+            cuts = stops[[*range(s, s + len(some), 128), s + len(some)]].tolist()
+            try:
+                texts = [whole[x : y - gap].decode() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+            except UnicodeDecodeError:
+                odd.append(some)
+                continue
+            ids = np.concatenate([np.array(x.ids, np.uint32) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            to, goal = np.cumsum(self.sizes[ids]), ends[s : s + len(some)] - (ends[s - 1] if s else 0)
+            last = np.searchsorted(to, goal)
+            if len(to) != last[-1] + 1 or (to[last] != goal).any():
+                odd.append(some)
+            else:
+                self._keep(ids, np.diff(last, prepend=-1), self.count + some)
+        return odd
+
+    def _learn(self, raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> None:
         """Gives the next numbers to these pieces."""
-        n = self.count
-        self.count += len(new)
-        while self.count > len(self.starts):
+        sizes = stops - starts
+        while self.count + len(starts) > len(self.starts):
             self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        plain = [len(x) < 1000 and (x[0] == " " if self.keep_space else bool(_SIMPLE.fullmatch(x))) for x in new]
-        simple, odd = np.flatnonzero(plain), [np.flatnonzero(~np.array(plain, bool))]
-        for s in range(0, len(simple), 4096):
-            at = simple[s : s + 4096]
-            part = [new[i] for i in at.tolist()]
-            ends = np.cumsum([len((x if self.keep_space else x.lower()).encode()) for x in part])
-            texts = [("" if self.keep_space else " ").join(part[i : i + 128]) for i in range(0, len(part), 128)]
-            ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
-            to = np.cumsum(self.sizes[ids])
-            last = np.searchsorted(to, ends)
-            if len(to) != last[-1] + 1 or (to[last] != ends).any():
-                odd.append(at)  # not told apart by bytes: one by one
-            else:
-                self._keep(ids, np.diff(last, prepend=-1), n + at)
+        # the pieces one behind the other; each is followed by a space if its own spaces are not kept
+        room = sizes if self.keep_space else sizes + 1
+        edge = np.concatenate([[0], np.cumsum(room)])
+        data = np.full(edge[-1], 32, np.uint8)
+        run = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        data[np.repeat(edge[:-1], sizes) + run] = raw[np.repeat(starts, sizes) + run]
+        holds = lambda which: np.add.reduceat(which, edge[:-1], dtype=np.int64) > 0
+        many = (raw[starts] == 32 if self.keep_space else ~holds(_odd(data))) & (sizes < 1000)
+        odd = [np.flatnonzero(~many)]
+        if self.split is not None:
+            own = many & ~holds(_NOT_SPLIT[data])
+            many &= ~own
+            part, at = lower(data[np.repeat(own, room)]), np.flatnonzero(own)
+            kind = _KIND[part]
+            cut = np.flatnonzero((kind[:-1] > 0) & (kind[1:] > 0) & ((kind[:-1] != kind[1:]) | (kind[1:] == 2))) + 1
+            more = np.diff(np.searchsorted(cut, np.concatenate([[0], np.cumsum(room[own])])))
+            odd += self._learn_many(self.split, at, sizes[own], np.insert(part, cut, 32), room[own] + more)
+        odd += self._learn_many(self.tokenizer, np.flatnonzero(many), sizes[many], data[np.repeat(many, room)], room[many])
         left = np.concatenate(odd)
-        self._learn_each([new[i] for i in left.tolist()], n + left)
+        self._learn_each([raw[starts[i] : stops[i]].tobytes().decode("utf-8", "replace") for i in left.tolist()], self.count + left)
+        self.count += len(starts)
 
     def numbers(self, raw: np.ndarray, s: Spans, hashes: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
         """The number of each piece in the store, where new ones are entered."""
@@ -139,8 +190,7 @@ class PieceEncoder:
         missing = np.flatnonzero(where < 0)
         if len(missing):
             one = missing[distinct(a[missing], b[missing])[0]]
-            whole = raw.tobytes()
-            self._learn([whole[x:y].decode("utf-8", "replace") for x, y in zip(s.starts[one].tolist(), s.stops[one].tolist(), strict=True)])
+            self._learn(raw, s.starts[one], s.stops[one])
             self.table.add(a[one], b[one])
             where[missing] = self.table.find(a[missing], b[missing])
         return where
