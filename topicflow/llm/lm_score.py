@@ -105,8 +105,8 @@ class AttentionModel:
         table = np.empty((CLASSES, CLASSES + 1), np.float32)
         given, query = table[:, :CLASSES], self.query * np.float32(self.query.shape[1] ** -0.5)
         np.matmul(query, self.key.T, out=given)
-        longest = [np.sqrt(np.einsum("ij,ij->i", x, x).max()) for x in (query, self.key)]
-        if not longest[0] * longest[1] <= 30 and np.abs(given).max() > 30:
+        one = np.ones(query.shape[1], np.float32)
+        if not (query * query @ one).max() * (self.key * self.key @ one).max() <= 900 and np.abs(given).max() > 30:
             given -= given.max(1, keepdims=True)
             np.maximum(given, np.float32(-60), out=given)
         table[:, CLASSES] = -np.inf
@@ -266,8 +266,8 @@ def summed(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
     order = np.argsort(at.astype(np.uint16), kind="stable")  # small numbers are sorted fast
     at = at[order]
     begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    out = np.zeros((CLASSES + 1, rows.shape[1]), np.float32)
-    out[at[begin]] = np.add.reduceat(rows_at(rows, order), begin)
+    out, kind = np.zeros((CLASSES + 1, rows.shape[1]), np.float32), np.float32 if rows.shape[1] % 2 else np.complex64  # two numbers in one addition
+    out.view(kind)[at[begin]] = np.add.reduceat(rows_at(rows, order).view(kind), begin)
     return out[:CLASSES]
 
 
@@ -391,16 +391,16 @@ def count_words(rows: DataFrame, held: int = 1_000_000) -> DataFrame:
             for _, raw, bounds in parts(batch.column("text")):
                 raw = lower(raw)
                 a, b = wide_hashes(raw, words(raw, bounds))
-                at, times = distinct(a, b)
-                a, b = a[at], b[at]
                 where = table.find(a, b)
-                new = np.flatnonzero(where < 0)
-                where[new] = table.size + np.arange(len(new))
-                table.add(a[new], b[new])
-                keys.append((a[new], b[new]))
+                np.add.at(n, where[where >= 0], 1)
+                left = np.flatnonzero(where < 0)
+                at, times = distinct(a[left], b[left])
+                a, b = a[left[at]], b[left[at]]
+                table.add(a, b)
+                keys.append((a, b))
                 while len(n) < table.size:
                     n = np.concatenate([n, np.zeros_like(n)])
-                n[where] += times
+                n[table.size - len(at) : table.size] = times
                 if table.size > held:
                     yield made()
                     table, n, keys = HashTable(), np.zeros(1 << 12, np.int64), []
@@ -511,6 +511,7 @@ def train_attention(rows: DataFrame, path: str, dim: int = 16, context: int = 16
     end = vocabulary_size(path)
     rng = np.random.default_rng(seed)
     signs, half = rng.integers(-64, 65, (4, end + 1)).astype(float), 4
+    paired = signs[::2] + signs[1::2] * 2.0**26  # two whole numbers in one
     texts = rows if "ids" in rows.columns else encode_ids(rows, path)
 
     @lean
@@ -521,9 +522,14 @@ def train_attention(rows: DataFrame, path: str, dim: int = 16, context: int = 16
             inside = np.ones(len(ids), bool)  # what follows an end is another text's
             inside[np.cumsum(sizes) - 1] = False
             one, two = ids[:-1][inside[:-1]], ids[1:][inside[:-1]]
-            for j in range(half):
-                near[j, :] += np.bincount(two, signs[j][one], end + 1)
-                near[half + j, :] += np.bincount(one, signs[j][two], end + 1)
+            for i in range(0, len(one), 1 << 18):  # sums of so many are less than 2**25
+                x, y = one[i : i + (1 << 18)], two[i : i + (1 << 18)]
+                for j in range(0, half, 2):
+                    for k, at, by in ((j, y, x), (half + j, x, y)):
+                        both = np.bincount(at, paired[j // 2][by], end + 1)
+                        high = np.rint(both * 2.0**-26)
+                        near[k] += both - high * 2.0**26
+                        near[k + 1] += high
         at = np.flatnonzero(n)
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at]), *[pa.array(row[at]) for row in near]], names=["id", "n", *_NEAR])
@@ -651,16 +657,27 @@ def lm_scores(docs: DataFrame, training: Column, path: str, frequent: int = 1 <<
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, known = shared.value
         known = np.append(known, np.nan)
+        weighed = (1 - attention) * 10.0**known
         for batch in batches:
             for s, ids, heads, sizes in decoded(batch, end):
                 (low, edge), high = text_bytes(batch.column("low")[s]), text_bytes(batch.column("high")[s])[0]
                 number, n = low.view("<u2") + (high.view("<u2").astype(np.int64) << 16), np.diff(edge) // 2
-                base, text = known[(number >> 1) - 1], np.repeat(np.arange(len(n)), n)  # -1 has no count here
-                ends, rare = np.cumsum(n), np.isnan(base)
-                shown, plain = np.insert((number & 1).astype(bool), ends, True), np.insert(np.where(rare, 0, base), ends, of_end)
+                place, text = (number >> 1) - 1, np.repeat(np.arange(len(n)), n)  # -1 has no count here
+                base, ends = known[place], np.cumsum(n)
+                rare, kept = np.isnan(base), np.ones(len(place) + len(n), bool)
+                kept[ends + np.arange(len(n))] = False  # the ends
+                shown, plain = np.ones(len(kept), bool), np.full(len(kept), (1 - attention) * 10.0**of_end)
+                shown[kept], plain[kept] = number & 1, weighed[place]
                 seen = np.full(len(plain), np.nan)
-                seen[shown] = np.add.reduceat(m.score_ids(ids, left_of(ids, heads, m.of), sizes), np.flatnonzero(heads)) / np.log(10)
-                mixed = np.where(shown, np.logaddexp(np.log(attention) + np.log(10) * seen, np.log(1 - attention) + np.log(10) * plain) / np.log(10), plain)
+                seen[shown] = np.add.reduceat(m.score_ids(ids, left_of(ids, heads, m.of), sizes), np.flatnonzero(heads))
+                mixed = np.exp(seen)
+                mixed *= attention
+                mixed += plain
+                np.log(mixed, out=mixed)
+                mixed /= np.log(10)
+                seen /= np.log(10)
+                bare = np.flatnonzero(~shown)
+                mixed[bare] = np.log10(plain[bare] / (1 - attention))
                 later = np.flatnonzero(rare) + text[rare]  # these are mixed once their counts have joined
                 mixed[later] = 0
                 at = pa.array(np.searchsorted(text[rare], np.arange(len(n) + 1)).astype(np.int32))
@@ -677,7 +694,7 @@ def lm_scores(docs: DataFrame, training: Column, path: str, frequent: int = 1 <<
     rest = scored.select("row", F.explode(F.arrays_zip("a", "b", "part")).alias("r")).select("row", "r.*")
     each = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(total))
     both = F.log10(F.lit(attention) * F.pow(F.lit(10.0), "part") + F.lit(1 - attention) * F.pow(F.lit(10.0), each))
-    rest = rest.join(counts, ["a", "b"], "left").groupBy("row").agg(
+    rest = rest.join(counts.hint("shuffle_hash"), ["a", "b"], "left").groupBy("row").agg(
         F.sum(each).alias("more"), F.count(F.when(F.col("c") > 0, 1)).alias("more_known"), F.sum(F.when(F.isnan("part"), each).otherwise(both)).alias("more_score")
     )
     return scored.drop("a", "b", "part").join(rest, "row", "left").select(
